@@ -97,22 +97,23 @@ def _frequent(docs: DataFrame, c: Config) -> np.ndarray:
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
-def _pack(ids: np.ndarray, sizes: np.ndarray, h: np.ndarray, owner: np.ndarray, df: np.ndarray | None) -> bytes:
-    """Some n-grams of sets, as one string: sets, 48-bit hashes, counts. owner: the set of each n-gram, ascending."""
-    own, length = np.unique(owner, return_counts=True)
+def _pack(ids: np.ndarray, sizes: np.ndarray, h: np.ndarray, owner: np.ndarray, df: np.ndarray | None, width: int = 6) -> bytes:
+    """Some n-grams of sets, as one string: sets, the low `width` bytes of hashes, counts. owner: the set of each n-gram, ascending."""
+    new = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    own, length = owner[new], np.diff(np.append(new, len(owner)))
     head = np.empty(len(own), _SET)
     head["k1"], head["k2"], head["n"], head["len"] = ids[own, 0], ids[own, 1], sizes[own], length
-    low = np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+    low = np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
     return np.array([len(own), len(h)], "<i4").tobytes() + head.tobytes() + low.tobytes() + (b"" if df is None else df.astype("<u2").tobytes())
 
 
-def _unpack(data: bytes, top: int = 0, counted: bool = False):
+def _unpack(data: bytes, top: int = 0, counted: bool = False, width: int = 6):
     sets_, total = np.frombuffer(data, "<i4", 2)
     at = 8 + sets_ * _SET.itemsize
     head = np.frombuffer(data, _SET, sets_, 8)
     h = np.zeros((total, 8), np.uint8)
-    h[:, :6] = np.frombuffer(data, np.uint8, total * 6, at).reshape(-1, 6)
-    return head, h.reshape(-1).view("<u8") | np.uint64(top), np.frombuffer(data, "<u2", total, at + total * 6) if counted else None
+    h[:, :width] = np.frombuffer(data, np.uint8, total * width, at).reshape(-1, width)
+    return head, h.reshape(-1).view("<u8") | np.uint64(top), np.frombuffer(data, "<u2", total, at + total * width) if counted else None
 
 
 def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
@@ -143,17 +144,16 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
                 use = keep[owner]
                 h, owner = h[use], owner[use]
                 out = []
-                home = (docrows["k1"] % frags).astype(np.int64)
-                for f in np.unique(home).tolist():
-                    out.append((f, 1, docrows[home == f].tobytes()))
+                out.append((int(docrows["k1"][0] % frags), 1, docrows.tobytes()))
                 often = np.isin(h, hot_) if len(hot_) else np.zeros(len(h), bool)
                 if often.any():
-                    home = ids[owner[often], 0] % frags
-                    for f in np.unique(home).tolist():
-                        mine = home == f
-                        for top in np.unique(h[often][mine] >> np.uint64(48)).tolist():
-                            one = mine & (h[often] >> np.uint64(48) == np.uint64(top))
-                            out.append((f, 2 + top, _pack(ids, sizes, h[often][one], owner[often][one], np.full(one.sum(), _MANY))))
+                    known, whose = h[often], owner[often]
+                    home = ids[whose, 0] % frags
+                    order = np.argsort(home, kind="stable")
+                    known, whose, cut = known[order], whose[order], np.searchsorted(home[order], np.arange(frags + 1))
+                    for f in np.flatnonzero(np.diff(cut)).tolist():
+                        s, e = cut[f], cut[f + 1]
+                        out.append((f, 2, _pack(ids, sizes, known[s:e], whose[s:e], np.full(e - s, _MANY), 8)))
                     h, owner = h[~often], owner[~often]
                 frag = (h >> np.uint64(48)).astype(np.int64)
                 order = np.argsort(frag, kind="stable")
@@ -191,7 +191,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
             for b in range(frags):
                 s, e = cut[b], cut[b + 1]
                 if e > s:
-                    out.append((b, 2 + f, _pack(ids, head["n"], h[s:e], owner[s:e], df[s:e])))
+                    out.append((b, 3 + f, _pack(ids, head["n"], h[s:e], owner[s:e], df[s:e])))
         return pd.DataFrame({"bucket": np.array([o[0] for o in out], np.int64), "kind": np.array([o[1] for o in out], np.int32), "data": [o[2] for o in out]})
 
     def home(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -199,7 +199,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
         d = np.concatenate(rows) if rows else np.zeros(0, _DOC)
         out = pd.DataFrame({"kind": np.ones(len(d), np.int32), "id": pd.array(d["id"], "Int64"), "k1": d["k1"], "k2": d["k2"], "n": d["n"], "own": np.int32(0), "shared": None})
         out.loc[d["null"] == 1, "id"] = pd.NA
-        got = [_unpack(x, (k - 2) << 48, True) for k, x in zip(pdf["kind"], pdf["data"], strict=True) if k > 1]
+        got = [_unpack(x, (k - 3) << 48, True) if k > 2 else _unpack(x, 0, True, 8) for k, x in zip(pdf["kind"], pdf["data"], strict=True) if k > 1]
         records = []
         if got:
             head = np.concatenate([g[0] for g in got])
@@ -256,10 +256,12 @@ def cluster(docs: DataFrame, config: Config = Config(), id_: str = "doc_id", tex
     p = posts.withColumn("_h", F.xxhash64("g"))
     pairs = p.join(lead, (p["_h"] == lead["_h"]) & (p["g"] == lead["_g"]) & (p["sid"] != lead["l.sid"]) & (need(p["n"], lead["l.n"]) <= F.least(p["have"], lead["l.have"]))).select(F.col("sid").alias("x"), F.col("l.sid").alias("y")).distinct()
     links = stored(_links(pairs, sets_, c), "links")
-    comp = components(links)
+    # A label shared by linked sets is enough to pass over pairs; it needn't be a whole component.
+    one = links.groupBy("a").agg(F.min("b").alias("b"))
+    two = one.join(one.select(F.col("a").alias("_b"), F.col("b").alias("_c")), F.col("b") == F.col("_b"), "left").select(F.col("a").alias("sid"), F.coalesce("_c", "b").alias("component"))
 
-    # Second turn: candidates whose ends are in different components.
-    known = stored(posts.join(comp.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")), "postings")
+    # Second turn: candidates whose ends have different labels.
+    known = stored(posts.join(two, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "postings")
     mixed = known.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select(F.col("g"), F.xxhash64("g").alias("_h"))
     x = known.withColumn("_h", F.xxhash64("g")).join(mixed, ["_h", "g"], "left_semi")
     y = x.where("indexed").select(*(F.col(k).alias(f"y_{k}") for k in ("sid", "n", "have", "at", "g", "component")))
