@@ -11,17 +11,19 @@ each worker keeps a bounded table of pieces already merged.
 from __future__ import annotations
 
 import base64
+import gc
 import uuid
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 _NONE = 1 << 62
 #: Of pieces already merged, a worker remembers this many of the latest, and as many older ones.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -36,12 +38,13 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> tuple[int, ...
     n = len(piece)
     size = 1 << (n - 1).bit_length()
     get = ranks.get
-    tree = [_NONE] * size
-    tree += [_NONE if (r := get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)]
-    tree += [_NONE] * (2 * size - len(tree))
-    for i in range(size - 1, 0, -1):
-        a, b = tree[2 * i], tree[2 * i + 1]
-        tree[i] = a if a < b else b
+    level = [_NONE if (r := get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)]
+    level += [_NONE] * (size - n + 1)
+    tree = level
+    while len(level) > 1:
+        level = list(map(min, level[::2], level[1::2]))
+        tree = level + tree
+    tree = [_NONE, *tree]
     after, before = [*range(1, n + 1), n], [*range(-1, n)]  # live neighbours; n is the end
     while (top := tree[1]) != _NONE:
         i = top & 0xFFFFFFFF
@@ -49,11 +52,11 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> tuple[int, ...
         k = after[i] = after[j]
         before[k] = i
         h = before[i]
-        for p, q in ((j, n), (i, after[k]), (h, k)):  # pairs that start at p and now end at q
+        for p, q in ((j, 0), (i, after[k] if k < n else 0), (h, k)):  # pairs that start at p and now end at q, if any
             if p < 0:
                 continue
             value = _NONE
-            if (p != i or k < n) and p != j and q - p <= longest and (r := get(piece[p:q])) is not None:
+            if 0 < q - p <= longest and (r := get(piece[p:q])) is not None:
                 value = r << 32 | p
             at = size + p
             if tree[at] == value:
@@ -74,6 +77,68 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> tuple[int, ...
     return tuple(out)
 
 
+class Pairs:
+    """Ranks by the ids of a pair's two tokens, for many pairs at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        got = [(left << 32 | right, r) for t, r in ranks.items() for cut in range(1, len(t)) if (left := ranks.get(t[:cut])) is not None and (right := ranks.get(t[cut:])) is not None]
+        table = np.array(sorted(got), np.int64).reshape(-1, 2)
+        self.keys, self.ranks = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], 0)
+        self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+
+    def values(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """Leaves of the segment tree for pairs that start at these places."""
+        key = left << 32 | right
+        k = np.searchsorted(self.keys, key)
+        return np.where(there & (self.keys[k] == key), self.ranks[k] << 32 | at, _NONE)
+
+
+def merge_many(pieces: list[bytes], pairs: Pairs) -> list[tuple[int, ...]]:
+    """As merge, of pieces that no token is equal to, side by side: one segment tree a row. The longest piece sets the rows' size."""
+    rows = len(pieces)
+    n = np.array([len(p) for p in pieces])
+    size = 1 << int(n.max() - 1).bit_length()
+    raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(rows, size)
+    ids = pairs.bytes[raw]
+    place = np.arange(size)
+    live = place < n[:, None]
+    tree = np.full((rows, 2 * size), _NONE, np.int64)
+    tree[:, size : 2 * size - 1] = pairs.values(ids[:, :-1], ids[:, 1:], place[:-1], live[:, 1:])
+    width = size
+    while width > 1:
+        width >>= 1
+        tree[:, width : 2 * width] = np.minimum(tree[:, 2 * width : 4 * width : 2], tree[:, 2 * width + 1 : 4 * width : 2])
+    after = np.repeat(np.arange(1, size + 2)[None, :], rows, 0)
+    before = np.repeat(np.arange(-1, size)[None, :], rows, 0)
+    row = np.arange(rows)
+    while True:
+        row = row[tree[row, 1] != _NONE]
+        if not len(row):
+            break
+        top = tree[row, 1]
+        i = top & 0xFFFFFFFF
+        j = after[row, i]
+        k = after[row, j]
+        after[row, i] = k
+        before[row, k] = i
+        live[row, j] = False
+        ids[row, i] = top >> 32
+        h = before[row, i]
+        inside, some = np.minimum(k, size - 1), np.maximum(h, 0)
+        new_i = pairs.values(ids[row, i], ids[row, inside], i, k < n[row])
+        new_h = pairs.values(ids[row, some], ids[row, i], some, h >= 0)
+        tree[row, size + j] = _NONE
+        tree[row, size + i] = new_i
+        tree[row, size + some] = np.where(h >= 0, new_h, tree[row, size + some])
+        for p in (j, i, some):
+            at = (size + p) >> 1
+            while at[0]:
+                tree[row, at] = np.minimum(tree[row, 2 * at], tree[row, 2 * at + 1])
+                at = at >> 1
+    flat, end = ids[live].tolist(), np.cumsum(live.sum(1)).tolist()
+    return [tuple(flat[s:e]) for s, e in zip([0, *end], end, strict=False)]
+
+
 class Codec(dict):
     """Encodes and decodes; as a dict, the pieces already merged."""
 
@@ -81,21 +146,46 @@ class Codec(dict):
         super().__init__()
         self.older: dict[str, tuple[int, ...]] = {}
         self.ranks, self.split = ranks, regex.compile(pattern).findall
-        self.longest = max(map(len, ranks), default=0)
+        self.pairs, self.longest = Pairs(ranks), max(map(len, ranks), default=0)
         self.tokens = {i: t for t, i in ranks.items()}
+        self.decimals = {i: str(i) for i in self.tokens}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
+        self[piece] = ids = self.older[piece]
+        return ids
+
+    def _learn(self, pieces: set[str]) -> None:
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        if (ids := self.older.get(piece)) is None:
-            ids = merge(piece.encode(), self.ranks, self.longest)
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        by: dict[int, list[tuple[str, bytes]]] = {}
+        for p in pieces:
+            if (ids := self.older.get(p)) is not None:
+                self[p] = ids
+                continue
+            b = p.encode()
+            if len(b) < 2 or len(b) > 64 or b in self.ranks:
+                self[p] = merge(b, self.ranks, self.longest)
+            else:
+                by.setdefault((len(b) - 1).bit_length(), []).append((p, b))
+        for own in by.values():
+            for at in range(0, len(own), 8192):
+                part = own[at : at + 8192]
+                self.update(zip((p for p, _ in part), merge_many([b for _, b in part], self.pairs), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. Long pieces aren't remembered beyond this call."""
+        pieces = [self.split(t) for t in texts]
+        new = set(chain.from_iterable(pieces)).difference(self)
+        self._learn(new)
+        out = [list(chain.from_iterable(map(self.__getitem__, p))) for p in pieces]
+        for p in new:
+            if len(p) > 64:
+                del self[p]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -106,7 +196,7 @@ _CODECS: dict[str, Codec] = {}
 
 
 def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, make, schema: str) -> DataFrame:
-    """df with the columns of schema, which make(codec, value) returns for each value of the column."""
+    """df with the columns of schema, which make(codec, values) gives for each of some values of the column."""
     names = [x.split()[0] for x in schema.split(", ")]
     base = df.drop(*names)
     full = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), schema])
@@ -115,6 +205,7 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
     shared, key, columns = df.sparkSession.sparkContext.broadcast(ranks), uuid.uuid4().hex, base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes cycles, and walking the remembered pieces again and again would take long
         if key not in _CODECS:
             _CODECS.clear()
             _CODECS[key] = Codec(shared.value, pattern)
@@ -122,7 +213,7 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                got = [make(codec, v) for v in part.column(column).to_pylist()]
+                got = list(make(codec, part.column(column).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
 
     return base.mapInArrow(run, full)
@@ -130,19 +221,19 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
     """df with `ids` (replacing a column of this name)."""
-    return _mapped(df, ranks, pattern, text, lambda c, t: (c.encode(t or ""),), "ids array<int>")
+    return _mapped(df, ranks, pattern, text, lambda c, texts: ((x,) for x in c.encode_all([t or "" for t in texts])), "ids array<int>")
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids: str = "ids") -> DataFrame:
     """df with `decoded`, the bytes of ids (null: no bytes); an id without token raises."""
-    return _mapped(df, ranks, pattern, ids, lambda c, x: (c.decode(x or []),), "decoded binary")
+    return _mapped(df, ranks, pattern, ids, lambda c, many: ((c.decode(x or []),) for x in many), "decoded binary")
 
 
 def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
     """df with n_tokens, ids_text (decimal ids joined by one space) and decoded, made by encoding and then decoding in one pass."""
 
-    def both(c: Codec, t: str | None):
-        ids = c.encode(t or "")
-        return len(ids), " ".join(map(str, ids)), c.decode(ids)
+    def both(c: Codec, texts: list[str | None]):
+        for ids in c.encode_all([t or "" for t in texts]):
+            yield len(ids), " ".join(map(c.decimals.__getitem__, ids)), c.decode(ids)
 
     return _mapped(df, ranks, pattern, text, both, "n_tokens bigint, ids_text string, decoded binary")
