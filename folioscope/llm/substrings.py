@@ -86,7 +86,7 @@ def frequent_minimisers(texts: DataFrame, c: Config) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["key", "n"])
 
     part = texts.where(F.pmod("k1", F.lit(c.look)) == 0).select("text").mapInArrow(count, "key bigint, n bigint")
-    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "key").limit(c.hot).collect()
+    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 64").orderBy(F.desc("n"), "key").limit(c.hot).collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
@@ -134,7 +134,7 @@ def _scatter(part: list[tuple[bytes, int, int]], c: Config, hot: np.ndarray, buc
         o = out.setdefault(b, ([], []))
         o[0].append(own_runs[0])
         o[1].append(string)
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=3).compress
     for b, (ids, strings) in out.items():
         yield b, runs[ids].tobytes(), pack(b" ".join(strings))
     if known.any():
