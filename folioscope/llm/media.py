@@ -125,7 +125,7 @@ def _described(images: DataFrame, c: Config) -> DataFrame:
             got = []
             for w, p in zip(b.column("width").to_pylist(), b.column("pixels").to_pylist(), strict=True):
                 grey = np.frombuffer(p or b"", np.uint8)
-                fine = w and w > 0 and len(grey) % w == 0
+                fine = w and w > 0 and len(grey) and len(grey) % w == 0
                 got.append([dict(zip(("x", "y", "s", "t", "bits"), d, strict=True)) for d in describe(grey.reshape(-1, w), c)] if fine else [])
             yield pa.RecordBatch.from_arrays([b.column("class_id"), pa.array(got, kind)], names=["class_id", "corners"])
 

@@ -35,7 +35,9 @@ class Config:
     char_dim: int = 8
     hidden: int = 8
     window: int = 48
+    #: Passes over the sample, and steps at least, which make small samples pass more often.
     epochs: int = 6
+    steps: int = 400
     rate: float = 0.01
     threshold: float = 0.3
     seed: int = 7
@@ -176,7 +178,7 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
         b = np.unique(Words([t], _GAP, lower=True).hashes() % np.uint64(c.word_buckets)).astype(np.int64)
         count[int(label)][b] += 1
     share = (count + 0.5) / (np.array([[len(y) - y.sum()], [y.sum()]]) + 1)
-    odds = np.clip(np.log(share[1] / share[0]), -3, 3) * (count.sum(0) > 2)
+    odds = np.clip(np.log(share[1] / share[0]), -3, 3) * (count.sum(0) / (count.sum(0) + 8))  # rare words say little
     m = Model(c, odds.astype(np.float32))
     size, h = c.word_dim + c.char_dim + 1, c.hidden
     shapes = {"words": (c.word_buckets, c.word_dim), "chars": (c.char_buckets, c.char_dim), "att_w": (2 * h, h), "att_v": (h,), "out_w": (2 * h,)} | {k + d: s for d in "fb" for k, s in (("in_", (size, 3 * h)), ("rec_", (h, 3 * h)))}
@@ -190,8 +192,9 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
     one, two = ({k: np.zeros_like(v) for k, v in m.p.items()} for _ in range(2))
     turn = 0
     order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-    groups = [list(x) for x in chunks(order, size=lambda i: len(texts[i]) + (CHUNK_TRAIN // 64), limit=CHUNK_TRAIN)]
-    for epoch in range(c.epochs):
+    groups = [list(x) for x in chunks(order, size=lambda i: len(texts[i]) + CHUNK_TRAIN // 32, limit=CHUNK_TRAIN)]
+    epochs = max(c.epochs, -(-c.steps // len(groups)))
+    for epoch in range(epochs):
         for g in rng.permutation(len(groups)):
             own = groups[g]
             t = Tokens([texts[i] for i in own], c)
@@ -202,7 +205,7 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
             logit, rest = _forward(m, x, grid, there, keep=True)
             dlogit = ((_sigmoid(logit) - y[own]) / len(own)).astype(np.float32)
             turn += 1
-            rate = c.rate * (1 - epoch / c.epochs)
+            rate = c.rate * (1 - epoch / epochs)
             for k, d in _gradient(m, t, x, grid, there, rest, dlogit).items():
                 one[k] += 0.1 * (d - one[k])
                 two[k] += 0.001 * (d * d - two[k])
@@ -211,7 +214,7 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
 
 
 #: Bytes of texts in a training step at most, unless one text has more.
-CHUNK_TRAIN = 1 << 18
+CHUNK_TRAIN = 1 << 17
 
 
 def scores(m: Model, texts: list[bytes]) -> np.ndarray:
