@@ -2,9 +2,10 @@
 
 1. Corners: on each scale of a pyramid, local maxima of the Harris response, the `corners` strongest of a scale (a bound of
    the descriptor, whatever the table's size).
-2. Each corner's patch is turned by its intensity centroid; 128 comparisons of pairs of points make its bits.
-3. Hamming tables: descriptors within `radius` bits of each other are equal in one of radius + 1 pieces, so an equi-join on
-   (piece, bits) misses none. Each different descriptor is joined once, whatever the number of its corners.
+2. Each corner's patch, `reach` to each side, is turned by its intensity centroid; 128 comparisons of pairs of points make its
+   bits. One point must exceed the other by `margin` of the patch's deviation, so that noise in flat areas sets no bits.
+3. Hamming tables: descriptors within `radius` bits of each other are equal in two of radius + 2 pieces, so an equi-join on
+   two pieces misses none. Each different descriptor is joined once, whatever the number of its corners.
 4. Consensus: each matching pair of corners votes for scale and turn; an image pair is a copy where at least `votes` corners
    agree on one similarity transform to within `tolerance` pixels.
 
@@ -14,8 +15,11 @@ rows; every row is indexed. Null, empty or too small images have no corners and
 
 from __future__ import annotations
 
+import hashlib
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations, pairwise
 
 import numpy as np
 import pandas as pd
@@ -28,27 +32,27 @@ from .common import stored
 @dataclass(frozen=True)
 class Config:
     scales: tuple[float, ...] = (1.0, 1.5, 2.25)
-    corners: int = 24
-    radius: int = 7
-    votes: int = 6
+    corners: int = 32
+    reach: int = 16
+    margin: float = 0.2
+    radius: int = 3
+    votes: int = 4
     tolerance: float = 3.0
     seed: int = 5
 
 
-_PATCH = 9
 _BITS = 128
 
 
-def _pattern(seed: int) -> np.ndarray:
+def _pattern(seed: int, reach: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    return np.clip(rng.normal(0, _PATCH / 2.2, (_BITS, 4)), -_PATCH, _PATCH)
+    return np.clip(rng.normal(0, reach / 2.2, (_BITS, 4)), -reach, reach)
 
 
 def _blur(a: np.ndarray) -> np.ndarray:
-    for axis in (0, 1):
-        p = np.pad(a, [(2, 2) if i == axis else (0, 0) for i in (0, 1)], mode="edge")
-        n = a.shape[axis]
-        a = sum(w * p.take(range(k, k + n), axis) for k, w in enumerate((1, 4, 6, 4, 1))) / 16
+    for _ in range(2):
+        p = np.pad(a, ((2, 2), (0, 0)), mode="edge")
+        a = ((p[:-4] + p[4:] + 4 * (p[1:-3] + p[3:-1]) + 6 * p[2:-2]) / 16).T
     return a
 
 
@@ -66,10 +70,12 @@ def describe(image: np.ndarray, c: Config = Config()) -> list[tuple[float, float
     out = []
     if image.ndim != 2:
         return out
-    pattern = _pattern(c.seed)
-    r = int(np.ceil(_PATCH * 1.5))
-    yy, xx = np.mgrid[-_PATCH : _PATCH + 1, -_PATCH : _PATCH + 1]
-    disc = yy * yy + xx * xx <= _PATCH * _PATCH
+    pattern = _pattern(c.seed, c.reach)
+    r = int(np.ceil(c.reach * 1.5))
+    side = np.arange(-c.reach, c.reach + 1)
+    yy, xx = np.meshgrid(side, side, indexing="ij")
+    inside = yy * yy + xx * xx <= c.reach * c.reach
+    yy, xx = yy[inside], xx[inside]
     for scale in c.scales:
         a = _blur(_resized(image.astype(np.float64), scale) if scale != 1 else image.astype(np.float64))
         if min(a.shape) < 2 * r + 3:
@@ -77,22 +83,27 @@ def describe(image: np.ndarray, c: Config = Config()) -> list[tuple[float, float
         gy, gx = np.gradient(a)
         sxx, syy, sxy = _blur(gx * gx), _blur(gy * gy), _blur(gx * gy)
         s = sxx * syy - sxy * sxy - 0.05 * (sxx + syy) ** 2
-        peak = np.ones_like(s, bool)
+        h, w = s.shape
+        own = s[r : h - r, r : w - r]
+        peak = own > max(1.0, 0.01 * s.max())
         for dy in (-1, 0, 1):
             for dx in (-1, 0, 1):
                 if dy or dx:
-                    peak &= s > np.roll(s, (dy, dx), (0, 1)) if (dy, dx) < (0, 0) else s >= np.roll(s, (dy, dx), (0, 1))
-        peak[:r], peak[-r:], peak[:, :r], peak[:, -r:] = False, False, False, False
-        ys, xs = np.nonzero(peak & (s > max(1.0, 0.01 * s.max())))
+                    other = s[r - dy : h - r - dy, r - dx : w - r - dx]
+                    peak &= own > other if (dy, dx) < (0, 0) else own >= other
+        ys, xs = (k + r for k in np.nonzero(peak))
         best = np.lexsort((xs, ys, -s[ys, xs]))[: c.corners]
-        for y, x in zip(ys[best].tolist(), xs[best].tolist(), strict=True):
-            patch = a[y - _PATCH : y + _PATCH + 1, x - _PATCH : x + _PATCH + 1] * disc
-            angle = float(np.arctan2((patch * yy).sum(), (patch * xx).sum()))
-            co, si = np.cos(angle), np.sin(angle)
-            px = np.rint(x + pattern[:, 0::2] * co - pattern[:, 1::2] * si).astype(int)
-            py = np.rint(y + pattern[:, 0::2] * si + pattern[:, 1::2] * co).astype(int)
-            v = a[np.clip(py, 0, a.shape[0] - 1), np.clip(px, 0, a.shape[1] - 1)]
-            out.append(((x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale, angle, np.packbits(v[:, 0] < v[:, 1]).tobytes()))
+        if not len(best):
+            continue
+        ys, xs = ys[best], xs[best]
+        patch = a[ys[:, None] + yy, xs[:, None] + xx]
+        angle = np.arctan2(patch @ yy, patch @ xx)
+        co, si = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
+        px = np.rint(xs[:, None, None] + pattern[:, 0::2] * co - pattern[:, 1::2] * si).astype(int)
+        py = np.rint(ys[:, None, None] + pattern[:, 0::2] * si + pattern[:, 1::2] * co).astype(int)
+        v = a[np.clip(py, 0, h - 1), np.clip(px, 0, w - 1)]
+        bits = np.packbits(v[..., 1] - v[..., 0] > c.margin * patch.std(axis=1)[:, None], axis=1)
+        out += [((x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale, t, k.tobytes()) for x, y, t, k in zip(xs.tolist(), ys.tolist(), angle.tolist(), bits, strict=True)]
     return out
 
 
@@ -117,19 +128,29 @@ def consensus(pairs: np.ndarray, c: Config = Config()) -> int:
 
 
 def _described(images: DataFrame, c: Config) -> DataFrame:
-    """digest, corners of images (class id, width, pixels binary)."""
+    """image_id, query, digest and corners of images (id, query, width, pixels). Pixels go no further than this."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64()), ("s", pa.float64()), ("t", pa.float64()), ("bits", pa.binary())]))
+        kind = pa.list_(pa.struct([*((n, pa.float32()) for n in "xyst"), *((n, pa.int64()) for n in ("h0", "h1"))]))
         for b in batches:
-            got = []
+            got, digests = [], []
             for w, p in zip(b.column("width").to_pylist(), b.column("pixels").to_pylist(), strict=True):
                 grey = np.frombuffer(p or b"", np.uint8)
                 fine = w and w > 0 and len(grey) and len(grey) % w == 0
-                got.append([dict(zip(("x", "y", "s", "t", "bits"), d, strict=True)) for d in describe(grey.reshape(-1, w), c)] if fine else [])
-            yield pa.RecordBatch.from_arrays([b.column("class_id"), pa.array(got, kind)], names=["class_id", "corners"])
+                digests.append(hashlib.sha256(f"{w}|".encode() + (p or b"")).digest())
+                got.append([dict(zip("xyst", d, strict=False)) | dict(zip(("h0", "h1"), struct.unpack(">qq", d[4]), strict=True)) for d in describe(grey.reshape(-1, w), c)] if fine else [])
+            yield pa.RecordBatch.from_arrays([b.column("image_id"), b.column("query"), pa.array(digests, pa.binary()), pa.array(got, kind)], names=["image_id", "query", "digest", "corners"])
+
+    return images.mapInArrow(run, "image_id bigint, query boolean, digest binary, corners array<struct<x:float,y:float,s:float,t:float,h0:bigint,h1:bigint>>")
+
 
-    return images.mapInArrow(run, "class_id bigint, corners array<struct<x:double,y:double,s:double,t:double,bits:binary>>")
+def _keys(radius: int) -> Column:
+    """A row for each two of radius + 2 pieces of the bits. Bits apart touch at most `radius` pieces, so two others are equal."""
+    pieces, half = [], (radius + 3) // 2
+    for word, n in (("h0", half), ("h1", radius + 2 - half)):
+        cuts = [64 * k // n for k in range(n + 1)]
+        pieces += [F.shiftrightunsigned(F.shiftleft(word, lo), 64 - hi + lo) for lo, hi in pairwise(cuts)]
+    return F.explode(F.array(*(F.xxhash64(F.lit(k), x, y) for k, (x, y) in enumerate(combinations(pieces, 2))))).alias("key")
 
 
 def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_: str = "image_id") -> DataFrame:
@@ -138,20 +159,16 @@ def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_:
     copies: the classes with a query row of which this class is a copy (other than itself), each with its agreeing corners.
     """
     c = config
-    keyed = images.select(F.col(id_).cast("bigint").alias("image_id"), "width", "pixels", F.sha2(F.concat_ws("|", F.coalesce(F.col("width").cast("string"), F.lit("")), F.hex(F.coalesce("pixels", F.lit(b"")))), 256).alias("digest"), F.coalesce(is_query, F.lit(False)).alias("query"))
-    classes = keyed.groupBy("digest").agg(F.min("image_id").alias("class_id"), F.max("query").alias("query"), F.first("width").alias("width"), F.first("pixels").alias("pixels"))
-    corners = stored(_described(classes.where("class_id is not null").select("class_id", "width", "pixels"), c).select("class_id", F.posexplode("corners").alias("k", "d")).select("class_id", "k", "d.*"), "corners")
-    pieces = c.radius + 1
-    size = _BITS // 8 // pieces
-    keys = F.explode(F.array(*(F.struct(F.lit(i).alias("piece"), F.substring("bits", 1 + i * size, size).alias("part")) for i in range(pieces)))).alias("p")
+    described = stored(_described(images.select(F.col(id_).cast("bigint").alias("image_id"), F.coalesce(is_query, F.lit(False)).alias("query"), "width", "pixels"), c), "described")
+    classes = stored(described.groupBy("digest").agg(F.min("image_id").alias("class_id"), F.max("query").alias("query"), F.first("corners").alias("corners")), "classes")
+    corners = classes.where("class_id is not null").select("class_id", "query", F.explode("corners").alias("d")).select("class_id", "query", "d.*")
+    asked = corners.where("query").select(F.col("class_id").alias("qc"), *(F.col(n).alias(f"q{n}") for n in ("x", "y", "s", "t", "h0", "h1")))
     # each different descriptor is joined once; its corners come back afterwards
-    own = corners.join(classes.where("query").select("class_id"), "class_id", "left_semi").select("bits").distinct()
-    left = own.select(F.col("bits").alias("q"), keys).select("q", "p.*")
-    right = corners.select("bits").distinct().select("bits", keys).select("bits", "p.*")
-    apart = sum((F.bit_count(F.conv(F.hex(F.substring("q", 1 + 4 * i, 4)), 16, 10).cast("bigint").bitwiseXOR(F.conv(F.hex(F.substring("bits", 1 + 4 * i, 4)), 16, 10).cast("bigint"))) for i in range(4)), F.lit(0))
-    near = left.join(right, ["piece", "part"]).where(apart <= c.radius).select("q", "bits").distinct()
-    a = corners.select(F.col("bits").alias("q"), F.col("class_id").alias("qc"), *(F.col(n).alias(f"q{n}") for n in "xyst")).join(classes.where("query").select(F.col("class_id").alias("qc")), "qc", "left_semi")
-    met = near.join(a, "q").join(corners, "bits").where("qc <> class_id")
+    left = asked.select(F.col("qh0").alias("h0"), F.col("qh1").alias("h1")).distinct().select(F.col("h0").alias("qh0"), F.col("h1").alias("qh1"), _keys(c.radius))
+    right = corners.select("h0", "h1").distinct().select("h0", "h1", _keys(c.radius))
+    apart = F.bit_count(F.col("qh0").bitwiseXOR(F.col("h0"))) + F.bit_count(F.col("qh1").bitwiseXOR(F.col("h1")))
+    near = stored(left.join(right, "key").where(apart <= c.radius).select("qh0", "qh1", "h0", "h1").distinct(), "near")
+    met = near.join(asked, ["qh0", "qh1"]).join(corners.drop("query"), ["h0", "h1"]).where("qc <> class_id")
     pairs = met.groupBy("qc", "class_id").agg(F.collect_list(F.struct("qx", "qy", "qs", "qt", "x", "y", "s", "t")).alias("m")).where(F.size("m") >= c.votes)
 
     @F.pandas_udf("int")
@@ -159,5 +176,5 @@ def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_:
         return pd.Series([consensus(np.array([[*(d.values() if isinstance(d, dict) else d)] for d in x], np.float64), c) for x in m], dtype="int32")
 
     found = pairs.select("qc", "class_id", agree("m").alias("votes")).where(F.col("votes") >= c.votes).groupBy("class_id").agg(F.sort_array(F.collect_list(F.struct(F.col("qc").alias("query_class"), "votes"))).alias("copies"))
-    rows = keyed.select("image_id", "digest").join(classes.select("digest", "class_id"), "digest").select("image_id", "class_id")
-    return rows.withColumn("_c", F.xxhash64("class_id")).join(found.select(F.xxhash64("class_id").alias("_c"), F.col("class_id").alias("_i"), "copies"), ["_c"], "left").select("image_id", "class_id", F.coalesce("copies", F.expr("cast(array() as array<struct<query_class:bigint,votes:int>>)")).alias("copies"))
+    known = classes.select("digest", "class_id").join(found, "class_id", "left")
+    return described.select("image_id", "digest").join(known, "digest").select("image_id", "class_id", F.coalesce("copies", F.expr("cast(array() as array<struct<query_class:bigint,votes:int>>)")).alias("copies"))

@@ -109,6 +109,29 @@ def test_image_copies(spark):
     assert len(got) == len(rows)
 
 
+def test_image_copies_equal_brute_force(spark):
+    c = media.Config()
+    images = {i: scene(i // 4) if i % 4 == 0 else scene(100 + i) for i in range(0, 48)}
+    for i in range(0, 48, 4):
+        whole = images[i]
+        images[i + 1] = np.clip(whole[8:] * 0.8 + 20, 0, 255).astype(np.uint8)
+        images[i + 2] = np.rot90(whole).copy()
+        images[i + 3] = whole.copy()
+        images[i + 3][60:90, 50:110] = 7
+    table = spark.createDataFrame([(i, a.shape[1], bytearray(a.tobytes())) for i, a in images.items()], "image_id bigint, width int, pixels binary")
+    got = {(r.image_id, k.query_class, k.votes) for r in media.copies(table, F.col("image_id") % 4 == 0).collect() for k in r.copies}
+    seen = {i: media.describe(a, c) for i, a in images.items()}
+    want = set()
+    for q in range(0, 48, 4):
+        for i in images:
+            m = [(*x[:4], *y[:4]) for x in seen[q] for y in seen[i] if (int.from_bytes(x[4]) ^ int.from_bytes(y[4])).bit_count() <= c.radius]
+            if i != q and len(m) >= c.votes and (votes := media.consensus(np.array(m, np.float32).astype(np.float64), c)) >= c.votes:
+                want.add((i, q, votes))
+    assert {x[:2] for x in got} == {x[:2] for x in want}
+    assert len({(i, q) for i, q, _ in got if i // 4 == q // 4}) >= 30
+    assert media.copies(table.limit(0), F.lit(True)).count() == 0
+
+
 # urls
 
 
