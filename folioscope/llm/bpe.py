@@ -205,16 +205,21 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
     shared, key, columns = df.sparkSession.sparkContext.broadcast(ranks), uuid.uuid4().hex, base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enabled = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and walking the remembered pieces again and again would take long
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(shared.value, pattern)
-        codec = _CODECS[key]
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
-                got = list(make(codec, part.column(column).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
+        try:
+            if key not in _CODECS:
+                _CODECS.clear()
+                _CODECS[key] = Codec(shared.value, pattern)
+            codec = _CODECS[key]
+            for b in batches:
+                for at in range(0, len(b), 256):
+                    part = b.slice(at, 256)
+                    got = list(make(codec, part.column(column).to_pylist()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
+        finally:
+            if enabled:  # the worker goes on to other operators' tasks
+                gc.enable()
 
     return base.mapInArrow(run, full)
 
