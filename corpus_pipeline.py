@@ -15,13 +15,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
+#: Bytes of ids that a list of documents to drop may have to be sent to every executor; longer lists meet the documents in a shuffle.
+LISTED = 8 << 20
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one of least doc_id. Rows without doc_id stay."""
     rows = stored(jaccard.cluster(docs), "components")
-    least = rows.where("id = component").select(F.col("id").alias("doc_id"))
-    out = docs.join(least, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
+    ids = rows.where("id is not null").groupBy("id").agg(F.max(F.col("id") == F.col("component")).alias("kept"), F.count("*").alias("n"))
+    gone = ids.where("not kept").select(F.col("id").alias("doc_id"))
+    out = docs.join(F.broadcast(gone) if gone.count() * 16 <= LISTED else gone, "doc_id", "left_anti").select(docs.columns)
     # rows of one id are copies only if their texts are equal
-    repeated = rows.where("id is not null").groupBy("id").count().where("count > 1").limit(1).count()
+    repeated = ids.where("n > 1").limit(1).count()
     return out.dropDuplicates(["doc_id", "text"]) if repeated else out
 
 

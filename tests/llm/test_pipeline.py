@@ -28,3 +28,10 @@ def test_stages(spark):
     texts = {r.doc_id: r.text for r in before.collect()}
     assert all(codec.decode(r.ids).decode() == texts[r.doc_id] for r in docs.collect())
     assert docs.where(F.col("n_tokens") != F.size("ids")).count() == 0
+
+
+def test_long_list_of_copies_is_not_broadcast(spark, monkeypatch):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "other words that differ from these"), (None, "a b c d e f"), (4, None), (3, "other words that differ from these")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [sorted(map(tuple, P.drop_near_copies(spark, docs, "").collect()), key=str) for _ in range(2) if not _ or monkeypatch.setattr(P, "LISTED", 0) is None]
+    assert got[0] == got[1] == sorted([(1, "a b c d e f"), (3, "other words that differ from these"), (None, "a b c d e f"), (4, None)], key=str)
