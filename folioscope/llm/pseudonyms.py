@@ -28,6 +28,8 @@ FORMS = {
 }
 _EDGE, _END = r"(?<![\p{L}\d_])(?<!\d[.])", r"(?![\p{L}\d_])"
 ANY = _EDGE + "(?:" + "|".join(FORMS.values()) + ")" + _END
+#: Cheap, and true of every text in which ANY occurs.
+_GATE = "[0-9][ .-]?[0-9]"
 
 
 def _feistel(a: Column, b: Column, m, n, key: str, kind: str) -> Column:
@@ -128,8 +130,8 @@ def pseudonym(x: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_pseudonyms") -> DataFrame:
     """docs with text rewritten and a column of how many values were (which replaces one of that name)."""
     base = docs.drop(count, "_found", "_new")
-    # one match at least needs a digit beside a digit; most texts end here
-    found = F.when(F.col(text).rlike(r"[0-9]{2}"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    # every form has two digits with at most one separator between them; most texts end here
+    found = F.when(F.col(text).rlike(_GATE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     out = base.withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda x: pseudonym(x, key))))
     between = F.split(text, ANY, -1)
     whole = F.array_join(F.zip_with(between, F.concat(F.zip_with("_new", "_found", lambda a, b: F.coalesce(a, b)), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")

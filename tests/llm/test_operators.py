@@ -73,6 +73,15 @@ def test_pseudonyms_are_permutations(spark):
     assert got.select("text").distinct().count() == 20000 and got.where("try_cast(text as date) is null").count() == 0
 
 
+def test_pseudonyms_of_lone_digits(spark):
+    texts = ["dns 8.8.8.8 here", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "8.8.8.8 and 12", "4111111111111111", "1 2 3"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [(r.text, r.n_pseudonyms) for r in pseudonyms.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+    assert [n for _, n in got] == [1, 1, 1, 1, 1, 0] and got[5][0] == "1 2 3"
+    assert "8.8.8.8" not in got[0][0] and got[0][0].split()[1] == got[3][0].split()[0]
+    assert got[1][0].replace(" ", "") == got[2][0].replace("-", "") == got[4][0] != texts[4]
+
+
 # captures
 
 
