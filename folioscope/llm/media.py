@@ -4,10 +4,11 @@
    the descriptor, whatever the table's size).
 2. Each corner's patch, `reach` to each side, is turned by its intensity centroid; 128 comparisons of pairs of points make its
    bits. One point must exceed the other by `margin` of the patch's deviation, so that noise in flat areas sets no bits.
-3. Hamming tables: descriptors within `radius` bits of each other are equal in two of radius + 2 pieces, so an equi-join on
-   two pieces misses none. Each different descriptor is joined once, whatever the number of its corners.
+3. Hamming tables: descriptors within `radius` bits of each other are equal in two of radius + 2 pieces, so look-ups of two
+   pieces miss none. Each different descriptor is looked up once, whatever the number of its corners. Blocks of queries meet
+   chunks of images in tasks; matching corners, whose number is in proportion to queries times images, never become rows.
 4. Consensus: each matching pair of corners votes for scale and turn; an image pair is a copy where at least `votes` corners
-   agree on one similarity transform to within `tolerance` pixels.
+   agree on one similarity transform to within `tolerance` pixels and `turn` radians.
 
 Images of equal pixels are one class, joined once through its least id, so copies aren't expanded. Queries are a stated set of
 rows; every row is indexed. Null, empty or too small images have no corners and match only their equals.
@@ -16,7 +17,6 @@ rows; every row is indexed. Null, empty or too small images have no corners and
 from __future__ import annotations
 
 import hashlib
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations, pairwise
@@ -26,22 +26,28 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import mix, stored
 
 
 @dataclass(frozen=True)
 class Config:
     scales: tuple[float, ...] = (1.0, 1.5, 2.25)
-    corners: int = 32
-    reach: int = 16
+    corners: int = 128
+    reach: int = 8
     margin: float = 0.2
     radius: int = 3
-    votes: int = 4
+    votes: int = 5
     tolerance: float = 3.0
+    turn: float = 0.45
     seed: int = 5
 
 
 _BITS = 128
+_CORNER = np.dtype([("x", "<f4"), ("y", "<f4"), ("s", "<f4"), ("t", "<f4"), ("h", "<u8", 2)])
+#: Log of the scale up to which two pairs of corners agree.
+_RATIO = 0.2
+#: Query classes and image classes that one task holds side by side, and image classes of one step.
+_BLOCK, _CHUNK, _STEP = 1024, 1024, 32
 
 
 def _pattern(seed: int, reach: int) -> np.ndarray:
@@ -117,13 +123,21 @@ def consensus(pairs: np.ndarray, c: Config = Config()) -> int:
         return 0
     a, b = pairs[:, :4], pairs[:, 4:]
     ratio, turn = b[:, 2] / a[:, 2], b[:, 3] - a[:, 3]
-    best = 0
-    for k in range(len(pairs)):
-        co, si = ratio[k] * np.cos(turn[k]), ratio[k] * np.sin(turn[k])
-        x = co * (a[:, 0] - a[k, 0]) - si * (a[:, 1] - a[k, 1]) + b[k, 0]
-        y = si * (a[:, 0] - a[k, 0]) + co * (a[:, 1] - a[k, 1]) + b[k, 1]
-        fits = (np.hypot(x - b[:, 0], y - b[:, 1]) <= c.tolerance * np.maximum(1, b[:, 2])) & (np.abs(np.log(ratio / ratio[k])) < 0.2)
-        best = max(best, min(len(np.unique(np.rint(p[fits, :2]), axis=0)) for p in (a, b)))
+    near = c.tolerance * np.maximum(1, b[:, 2])
+    best, step = 0, max(1, 1_000_000 // len(pairs))
+    places = [np.unique(np.rint(p[:, :2]), axis=0, return_inverse=True)[1].reshape(-1) for p in (a, b)]
+    for at in range(0, len(pairs), step):
+        k = slice(at, at + step)
+        co, si = (ratio[k] * np.cos(turn[k]))[:, None], (ratio[k] * np.sin(turn[k]))[:, None]
+        dx, dy = a[:, 0] - a[k, :1], a[:, 1] - a[k, 1:2]
+        fits = np.hypot(co * dx - si * dy + b[k, :1] - b[:, 0], si * dx + co * dy + b[k, 1:2] - b[:, 1]) <= near
+        fits &= np.abs(np.log(ratio / ratio[k, None])) < _RATIO
+        fits &= np.cos(turn - turn[k, None]) > np.cos(c.turn)
+        count = fits.sum(1)
+        for row in np.argsort(-count, kind="stable"):
+            if count[row] <= best:
+                break
+            best = max(best, min(len(np.unique(p[fits[row]])) for p in places))
     return best
 
 
@@ -131,26 +145,116 @@ def _described(images: DataFrame, c: Config) -> DataFrame:
     """image_id, query, digest and corners of images (id, query, width, pixels). Pixels go no further than this."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([*((n, pa.float32()) for n in "xyst"), *((n, pa.int64()) for n in ("h0", "h1"))]))
         for b in batches:
             got, digests = [], []
             for w, p in zip(b.column("width").to_pylist(), b.column("pixels").to_pylist(), strict=True):
                 grey = np.frombuffer(p or b"", np.uint8)
                 fine = w and w > 0 and len(grey) and len(grey) % w == 0
                 digests.append(hashlib.sha256(f"{w}|".encode() + (p or b"")).digest())
-                got.append([dict(zip("xyst", d, strict=False)) | dict(zip(("h0", "h1"), struct.unpack(">qq", d[4]), strict=True)) for d in describe(grey.reshape(-1, w), c)] if fine else [])
-            yield pa.RecordBatch.from_arrays([b.column("image_id"), b.column("query"), pa.array(digests, pa.binary()), pa.array(got, kind)], names=["image_id", "query", "digest", "corners"])
+                found = describe(grey.reshape(-1, w), c) if fine else []
+                got.append(np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in found], _CORNER).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("image_id"), b.column("query"), pa.array(digests, pa.binary()), pa.array(got, pa.binary())], names=["image_id", "query", "digest", "corners"])
 
-    return images.mapInArrow(run, "image_id bigint, query boolean, digest binary, corners array<struct<x:float,y:float,s:float,t:float,h0:bigint,h1:bigint>>")
+    return images.mapInArrow(run, "image_id bigint, query boolean, digest binary, corners binary")
 
 
-def _keys(radius: int) -> Column:
-    """A row for each two of radius + 2 pieces of the bits. Bits apart touch at most `radius` pieces, so two others are equal."""
+def _keys(h: np.ndarray, radius: int) -> list[np.ndarray]:
+    """A key for each two of radius + 2 pieces of the bits. Bits apart touch at most `radius` pieces, so two others are equal."""
     pieces, half = [], (radius + 3) // 2
-    for word, n in (("h0", half), ("h1", radius + 2 - half)):
+    for word, n in ((0, half), (1, radius + 2 - half)):
         cuts = [64 * k // n for k in range(n + 1)]
-        pieces += [F.shiftrightunsigned(F.shiftleft(word, lo), 64 - hi + lo) for lo, hi in pairwise(cuts)]
-    return F.explode(F.array(*(F.xxhash64(F.lit(k), x, y) for k, (x, y) in enumerate(combinations(pieces, 2))))).alias("key")
+        pieces += [h[:, word] << np.uint64(lo) >> np.uint64(64 - hi + lo) for lo, hi in pairwise(cuts)]
+    return [mix(mix(x) + y) for x, y in combinations(pieces, 2)]
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ranges first, first + 1, ... of count members each: the range of each member, and the member."""
+    own = np.repeat(np.arange(len(count)), count)
+    return own, np.arange(len(own)) - np.repeat(np.cumsum(count) - count - first, count)
+
+
+class _Table:
+    """The different descriptors of some images, and the corners of each."""
+
+    def __init__(self, packed: list[bytes], c: Config):
+        self.corners = np.frombuffer(b"".join(packed), _CORNER)
+        self.image = np.repeat(np.arange(len(packed)), [len(p) // _CORNER.itemsize for p in packed])
+        self.bits, which, self.count = np.unique(self.corners["h"], axis=0, return_inverse=True, return_counts=True)
+        self.order = np.argsort(which.reshape(-1), kind="stable")
+        self.first = np.cumsum(self.count) - self.count
+        self.keys = _keys(self.bits, c.radius)
+
+    def sort(self) -> _Table:
+        self.by_key = [np.argsort(k, kind="stable") for k in self.keys]
+        self.keys = [k[o] for k, o in zip(self.keys, self.by_key, strict=True)]
+        return self
+
+
+def _met(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
+    """Corners of q (sorted) and of r whose descriptors are within the radius, each such pair once."""
+    codes = []
+    for at, (known, key) in enumerate(zip(q.keys, r.keys, strict=True)):
+        lo = np.searchsorted(known, key)
+        j, i = _spread(lo, np.searchsorted(known, key, "right") - lo)
+        i = q.by_key[at][i]
+        near = np.bitwise_count(q.bits[i] ^ r.bits[j]).sum(1, dtype=np.int64) <= c.radius
+        codes.append(i[near] * len(r.bits) + j[near])
+    i, j = np.divmod(np.unique(np.concatenate(codes)), max(1, len(r.bits)))
+    own, x = _spread(q.first[i], q.count[i])
+    again, y = _spread(r.first[j[own]], r.count[j[own]])
+    return q.order[x[again]], r.order[y]
+
+
+def _agreeing(q: _Table, r: _Table, c: Config) -> Iterator[tuple[int, int, int]]:
+    """Image of q, image of r and votes, where these suffice."""
+    x, y = _met(q, r, c)
+    if not len(x):
+        return
+    a, b = q.corners[x], r.corners[y]
+    wide = int(r.image[-1]) + 1
+    pair = q.image[x] * wide + r.image[y]
+    # Pairs of corners that agree have one scale, and turns in two neighbouring bins: too few of these rule a pair of images out.
+    logs = np.log(b["s"].astype(np.float64) / a["s"])
+    scales, scale = np.unique(np.rint(logs * 1e4), return_inverse=True)
+    if (np.diff(scales) <= 1e4 * _RATIO + 2).any():
+        scales, scale = scales[:1], np.zeros_like(scale)
+    bins = max(1, int(2 * np.pi / (2.01 * c.turn)))
+    turn = np.minimum(bins - 1, np.mod(b["t"].astype(np.float64) - a["t"], 2 * np.pi) * bins // (2 * np.pi)).astype(np.int64)
+    group, groups = pair * len(scales) + scale.reshape(-1), (int(pair.max()) + 1) * len(scales)
+    n = np.bincount(group * bins + turn, minlength=groups * bins).reshape(-1, bins)
+    most = n if bins == 1 else n + np.maximum(np.roll(n, -1, 1), np.roll(n, 1, 1))
+    use = np.flatnonzero(most[group, turn] >= c.votes)
+    use = use[np.argsort(group[use], kind="stable")]
+    a, b, pair, group = a[use], b[use], pair[use], group[use]
+    m = np.stack([t[k] for t in (a, b) for k in "xyst"], 1).astype(np.float64)
+    wanted = pair[_supported(m, group, c)]
+    where, first, size = np.unique(pair, return_index=True, return_counts=True)
+    fine = np.isin(where, wanted)
+    for p, s, z in zip(where[fine].tolist(), first[fine].tolist(), size[fine].tolist(), strict=True):
+        if (votes := consensus(m[s : s + z], c)) >= c.votes:
+            yield p // wide, p % wide, votes
+
+
+def _supported(m: np.ndarray, group: np.ndarray, c: Config) -> np.ndarray:
+    """Which pairs of corners have enough pairs of their group (ascending) that agree with them, before corners are told apart."""
+    _, first, which, size = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
+    first, size = first[which], size[which]
+    out = size > 512  # left to the consensus
+    turn, ratio = m[:, 7] - m[:, 3], m[:, 6] / m[:, 2]
+    ux, uy = np.cos(turn), np.sin(turn)
+    co, si, far = ratio * ux, ratio * uy, (c.tolerance * np.maximum(1, m[:, 6]) + 1e-6) ** 2
+    ask = np.flatnonzero(~out)
+    ends = np.cumsum(size[ask])
+    for part in np.split(ask, np.searchsorted(ends, np.arange(1, ends[-1] // 1_000_000 + 1) * 1_000_000) if len(ask) else []):
+        own, j = _spread(first[part], size[part])
+        i = part[own]
+        close = ux[i] * ux[j] + uy[i] * uy[j] > np.cos(c.turn) - 1e-9
+        own, i, j = own[close], i[close], j[close]
+        dx, dy = m[j, 0] - m[i, 0], m[j, 1] - m[i, 1]
+        x, y = co[i] * dx - si[i] * dy + m[i, 4] - m[j, 4], si[i] * dx + co[i] * dy + m[i, 5] - m[j, 5]
+        near = x * x + y * y <= far[j]
+        out[part] = np.bincount(own[near], minlength=len(part)) >= c.votes
+    return out
 
 
 def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_: str = "image_id") -> DataFrame:
@@ -161,20 +265,25 @@ def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_:
     c = config
     described = stored(_described(images.select(F.col(id_).cast("bigint").alias("image_id"), F.coalesce(is_query, F.lit(False)).alias("query"), "width", "pixels"), c), "described")
     classes = stored(described.groupBy("digest").agg(F.min("image_id").alias("class_id"), F.max("query").alias("query"), F.first("corners").alias("corners")), "classes")
-    corners = classes.where("class_id is not null").select("class_id", "query", F.explode("corners").alias("d")).select("class_id", "query", "d.*")
-    asked = corners.where("query").select(F.col("class_id").alias("qc"), *(F.col(n).alias(f"q{n}") for n in ("x", "y", "s", "t", "h0", "h1")))
-    # each different descriptor is joined once; its corners come back afterwards
-    left = asked.select(F.col("qh0").alias("h0"), F.col("qh1").alias("h1")).distinct().select(F.col("h0").alias("qh0"), F.col("h1").alias("qh1"), _keys(c.radius))
-    right = corners.select("h0", "h1").distinct().select("h0", "h1", _keys(c.radius))
-    apart = F.bit_count(F.col("qh0").bitwiseXOR(F.col("h0"))) + F.bit_count(F.col("qh1").bitwiseXOR(F.col("h1")))
-    near = stored(left.join(right, "key").where(apart <= c.radius).select("qh0", "qh1", "h0", "h1").distinct(), "near")
-    met = near.join(asked, ["qh0", "qh1"]).join(corners.drop("query"), ["h0", "h1"]).where("qc <> class_id")
-    pairs = met.groupBy("qc", "class_id").agg(F.collect_list(F.struct("qx", "qy", "qs", "qt", "x", "y", "s", "t")).alias("m")).where(F.size("m") >= c.votes)
-
-    @F.pandas_udf("int")
-    def agree(m: pd.Series) -> pd.Series:
-        return pd.Series([consensus(np.array([[*(d.values() if isinstance(d, dict) else d)] for d in x], np.float64), c) for x in m], dtype="int32")
-
-    found = pairs.select("qc", "class_id", agree("m").alias("votes")).where(F.col("votes") >= c.votes).groupBy("class_id").agg(F.sort_array(F.collect_list(F.struct(F.col("qc").alias("query_class"), "votes"))).alias("copies"))
+    rows = classes.where("class_id is not null and length(corners) > 0")
+    # every block of queries meets every chunk of images in one task, so that matching corners never are rows
+    blocks, chunks = (max(1, -(-n // size)) for n, size in zip(rows.agg(F.count_if("query"), F.count("*")).first(), (_BLOCK, _CHUNK), strict=True))
+    block, chunk = (F.pmod(F.xxhash64("class_id"), F.lit(n)) for n in (blocks, chunks))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    asked = rows.where("query").select(block.alias("block"), every(chunks).alias("chunk"), "class_id", "corners")
+    held = rows.select(every(blocks).alias("block"), chunk.alias("chunk"), "class_id", "corners")
+
+    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            q, qc = _Table(left["corners"].tolist(), c).sort(), left["class_id"].tolist()
+            for at in range(0, len(right), _STEP):
+                part = right.iloc[at : at + _STEP]
+                rc = part["class_id"].tolist()
+                out += [(qc[i], rc[k], v) for i, k, v in _agreeing(q, _Table(part["corners"].tolist(), c), c) if qc[i] != rc[k]]
+        return pd.DataFrame(out, columns=["qc", "class_id", "votes"])
+
+    agreed = asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(match, "qc bigint, class_id bigint, votes int")
+    found = agreed.groupBy("class_id").agg(F.sort_array(F.collect_list(F.struct(F.col("qc").alias("query_class"), "votes"))).alias("copies"))
     known = classes.select("digest", "class_id").join(found, "class_id", "left")
     return described.select("image_id", "digest").join(known, "digest").select("image_id", "class_id", F.coalesce("copies", F.expr("cast(array() as array<struct<query_class:bigint,votes:int>>)")).alias("copies"))

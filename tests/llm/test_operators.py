@@ -141,6 +141,39 @@ def test_image_copies_equal_brute_force(spark):
     assert media.copies(table.limit(0), F.lit(True)).count() == 0
 
 
+def mosaic(seed):
+    rng = np.random.default_rng(seed)
+    at = np.clip(np.searchsorted([0, *(np.arange(1, 8) * 15 + rng.integers(-3, 4, 7)), 120], np.arange(120), "right") - 1, 0, 7)
+    return rng.integers(8, 249, (8, 8)).astype(np.uint8)[np.ix_(at, at)]
+
+
+def edited(a, seed):
+    h, m = len(a) // 8, len(a) // 2
+    block = a.copy()
+    block[m - 20 : m + 20, m - 30 : m + 30] = 7
+    noisy = np.clip(a + np.random.default_rng(seed).normal(0, 6, a.shape), 0, 255).astype(np.uint8)
+    smaller = np.rint(media._resized(media._blur(a.astype(float)), 1.5)).astype(np.uint8)
+    return {"crop": a[h:-h, h:-h], "small crop": a[m - 32 : m + 32, m - 32 : m + 32], "gain": np.clip(a * 0.8 + 20, 0, 255).astype(np.uint8), "noise": noisy, "turn": np.rot90(a).copy(), "block": block, "smaller": smaller}
+
+
+@pytest.mark.parametrize("draw", [scene, mosaic])
+def test_edited_images_are_found(draw):
+    c = media.Config()
+
+    def found(x, y):
+        m = [(*p[:4], *q[:4]) for p in x for q in y if (int.from_bytes(p[4]) ^ int.from_bytes(q[4])).bit_count() <= c.radius]
+        return len(m) >= c.votes and media.consensus(np.array(m), c) >= c.votes
+
+    images = [draw(i) for i in range(25)]
+    seen = [media.describe(a, c) for a in images]
+    hits = {}
+    for i, a in enumerate(images):
+        for name, b in edited(a, i).items():
+            hits[name] = hits.get(name, 0) + found(seen[i], media.describe(b, c))
+    assert min(hits.values()) >= 0.9 * len(images), hits
+    assert not any(found(seen[i], seen[i + 1]) for i in range(len(images) - 1))
+
+
 # urls
 
 
