@@ -1,6 +1,7 @@
 """PII: format-preserving pseudonyms of validated numbers and dates, by a keyed Feistel network in DataFrame functions only.
 
-Found are payment card numbers (13 to 19 digits, single spaces or hyphens between them, valid by Luhn), telephone numbers
+Found are payment card numbers (13 to 19 digits, single spaces or hyphens between them, valid by Luhn; in a longer run of digits
+the first and then longest valid part between separators), telephone numbers
 (`+1 (ddd) ddd-dddd` and forms without the code), dotted IPv4 addresses without leading zeros, US social security numbers
 of valid areas, groups and serials, and dates (yyyy-mm-dd, mm/dd/yyyy or else dd/mm/yyyy, dd.mm.yyyy; 1800-01-01 to
 2099-12-20) that the calendar has. What touches a letter, digit or underscore, or isn't valid, stays. Each value is permuted
@@ -28,6 +29,9 @@ FORMS = {
 }
 _EDGE, _END = r"(?<![\p{L}\d_])(?<!\d[.])", r"(?![\p{L}\d_])"
 ANY = _EDGE + "(?:" + "|".join(FORMS.values()) + ")" + _END
+_FIXED = "(?:" + "|".join(v for k, v in FORMS.items() if k != "card") + ")"
+#: At each place where a card may begin, the longest run of its digits; neither begins nor goes on where a fixed form does.
+_RUN = _EDGE + f"(?!{_FIXED}{_END})" + rf"(?=(\d(?:(?:[ -](?!{_FIXED}{_END}))?\d){{12,18}}){_END})"
 #: Cheap, and true of every text in which ANY occurs.
 _GATE = "[0-9][ .-]?[0-9]"
 
@@ -80,11 +84,16 @@ def _permuted(digits: Column, key: str, kind: str) -> Column:
     return F.concat(F.lpad(got["a"].cast("string"), half, F.lit("0")), F.lpad(got["b"].cast("string"), n - half, F.lit("0")))
 
 
+def _luhn(x: Column) -> Column:
+    d = _digits(x)
+    return _check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1))
+
+
 def _card(x: Column, key: str) -> Column:
     d = _digits(x)
     body = F.substr(d, F.lit(1), F.length(d) - 1)
     new = _permuted(body, key, "card")
-    return F.when(_check_digit(body) == F.right(d, F.lit(1)), _refill(x, F.concat(new, _check_digit(new))))
+    return F.when(_luhn(x), _refill(x, F.concat(new, _check_digit(new))))
 
 
 def _phone(x: Column, key: str) -> Column:
@@ -127,13 +136,23 @@ def pseudonym(x: Column, key: str) -> Column:
     )
 
 
+def _cards(text: Column) -> Column:
+    """The different valid cards that occur in text, longer ones first: runs of digits and what they begin with, up to a separator."""
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)))
+    starts = F.flatten(F.transform(runs, lambda x: F.array(*(F.regexp_extract(x, rf"^\d(?:[ -]?\d){{{n}}}(?!\d)", 0) for n in range(12, 19)))))
+    valid = F.filter(F.array_distinct(starts), lambda x: (x != "") & _luhn(x))
+    return F.transform(F.reverse(F.array_sort(F.transform(valid, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))), lambda s: s["x"])
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_pseudonyms") -> DataFrame:
     """docs with text rewritten and a column of how many values were (which replaces one of that name)."""
-    base = docs.drop(count, "_found", "_new")
+    base = docs.drop(count, "_cards", "_form", "_found", "_new")
     # every form has two digits with at most one separator between them; most texts end here
-    found = F.when(F.col(text).rlike(_GATE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    out = base.withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda x: pseudonym(x, key))))
-    between = F.split(text, ANY, -1)
+    # a text's valid cards are named in its pattern, so a number beside a card isn't taken with it
+    form = F.when(F.col(text).rlike(_GATE), F.concat(F.lit(f"{_EDGE}(?=[+(\\d])(?:"), F.array_join(F.concat("_cards", F.array(F.lit(_FIXED))), "|"), F.lit(f"){_END}")))
+    out = base.withColumn("_cards", F.when(F.col(text).rlike(_GATE), F.when(F.col(text).rlike(FORMS["card"]), _cards(F.col(text))).otherwise(F.array().cast("array<string>")))).withColumn("_form", form)
+    out = out.withColumn("_found", F.when(F.col("_form").isNotNull(), F.regexp_extract_all(text, "_form", F.lit(0)))).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda x: pseudonym(x, key))))
+    between = F.when(F.size("_found") > 0, F.split(text, F.col("_form"), -1))
     whole = F.array_join(F.zip_with(between, F.concat(F.zip_with("_new", "_found", lambda a, b: F.coalesce(a, b)), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     done = F.coalesce(F.size(F.filter("_new", lambda x: x.isNotNull())), F.lit(0)).cast("bigint")
     kept = [F.when(F.size("_found") > 0, whole).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in base.columns]

@@ -82,6 +82,19 @@ def test_pseudonyms_of_lone_digits(spark):
     assert got[1][0].replace(" ", "") == got[2][0].replace("-", "") == got[4][0] != texts[4]
 
 
+def test_pseudonyms_of_cards_beside_numbers(spark):
+    card = "4111111111111111"
+    texts = [card, "4111 1111 1111 1111 123", f"{card} 12 apples", f"7 {card}", f"12345678 {card} 12345678", f"{card} 123-45-6789", f"{card} 10.0.0.1", "1 2 " * 3000 + card]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [(r.text, r.n_pseudonyms) for r in pseudonyms.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+    new = got[0][0]
+    assert new != card and [n for _, n in got[:7]] == [1, 1, 1, 1, 1, 2, 2]
+    assert got[1][0] == " ".join(new[i : i + 4] for i in range(0, 16, 4)) + " 123"
+    assert [t for t, _ in got[2:5]] == [f"{new} 12 apples", f"7 {new}", f"12345678 {new} 12345678"]
+    assert got[5][0].startswith(new + " ") and "6789" not in got[5][0] and got[6][0].startswith(new + " ") and "10.0.0.1" not in got[6][0]
+    assert card not in got[7][0]
+
+
 # captures
 
 
