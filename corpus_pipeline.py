@@ -19,15 +19,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 LISTED = 8 << 20
 
 
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    return docs.join(F.broadcast(gone) if gone.count() * 16 <= LISTED else gone, key, "left_anti")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one of least doc_id. Rows without doc_id stay."""
-    rows = stored(jaccard.cluster(docs), "components")
-    ids = rows.where("id is not null").groupBy("id").agg(F.max(F.col("id") == F.col("component")).alias("kept"), F.count("*").alias("n"))
-    gone = ids.where("not kept").select(F.col("id").alias("doc_id"))
-    out = docs.join(F.broadcast(gone) if gone.count() * 16 <= LISTED else gone, "doc_id", "left_anti").select(docs.columns)
-    # rows of one id are copies only if their texts are equal
-    repeated = ids.where("n > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    """Of each group of linked documents, one row of least doc_id; of equal word-free rows of one doc_id, one. Rows without doc_id stay."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if not repeated:
+        # then an id is a row, and texts needn't be written again with keys
+        rows = stored(jaccard.cluster(docs), "components")
+        return _without(docs, rows.where("id <> component").select(F.col("id").alias("doc_id")), "doc_id").select(docs.columns)
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    rows = stored(jaccard.cluster(keyed, id_="_row").withColumnRenamed("id", "_row"), "components")
+    named = keyed.where("doc_id is not null").select("_row", "doc_id", F.xxhash64("text").alias("_t"), "text").join(rows, "_row")
+    least = F.min(F.struct("doc_id", "_t", "_row"))["_row"].alias("_row")
+    kept = named.where("n > 0").groupBy("component").agg(least).select("_row").union(named.where("n = 0").groupBy("doc_id", "text").agg(least).select("_row"))
+    return _without(keyed, named.select("_row").join(kept, "_row", "left_anti"), "_row").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
