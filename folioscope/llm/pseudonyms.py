@@ -2,7 +2,7 @@
 
 Found are payment card numbers (13 to 19 digits, single spaces or hyphens between them, valid by Luhn; in a longer run of digits
 the first and then longest valid part between separators), telephone numbers
-(`+1 (ddd) ddd-dddd` and forms without the code), dotted IPv4 addresses without leading zeros, US social security numbers
+(`+1 (ddd) ddd-dddd`, `+1 ddd ddd dddd`, with points or hyphens, and forms without the code), dotted IPv4 addresses without leading zeros, US social security numbers
 of valid areas, groups and serials, and dates (yyyy-mm-dd, mm/dd/yyyy or else dd/mm/yyyy, dd.mm.yyyy; 1800-01-01 to
 2099-12-20) that the calendar has. What touches a letter, digit or underscore, or isn't valid, stays. Each value is permuted
 among the valid values of its format: a card stays valid with as many digits and separators in place, a date stays a date.
@@ -19,7 +19,7 @@ _ROUNDS = 10
 _BASE, _SIDE = "1800-01-01", 331
 #: Fixed forms, tried in this order at each place.
 FORMS = {
-    "phone": r"(?:\+?\d{1,3}[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}",
+    "phone": r"(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}",
     "ipv4": r"(?:\d{1,3}\.){3}\d{1,3}(?!\.\d)",
     "iso": r"\d{4}-\d{2}-\d{2}",
     "slashed": r"\d{2}/\d{2}/\d{4}",

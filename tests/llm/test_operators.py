@@ -95,6 +95,14 @@ def test_pseudonyms_of_cards_beside_numbers(spark):
     assert card not in got[7][0]
 
 
+def test_pseudonyms_of_plain_telephone_numbers(spark):
+    texts = ["(212) 555-0187", "212-555-0187", "212.555.0187", "+1 212 555 0187", "+1-212-555-0187", "1212-555-0187", "1799-12-31 2099-12-21"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [(r.text, r.n_pseudonyms) for r in pseudonyms.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+    assert [n for _, n in got] == [1, 1, 1, 1, 1, 0, 0] and got[3][0].startswith("+1 ") and [t for t, _ in got[5:]] == texts[5:]
+    assert len({"".join(filter(str.isdigit, t))[-10:] for t, _ in got[:5]}) == 1 and "2125550187" not in got[0][0].replace("-", "")
+
+
 # captures
 
 
