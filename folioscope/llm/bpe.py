@@ -5,7 +5,7 @@ rank of the pair that starts there; its root is the leftmost pair of least rank.
 grew, the pair before it and the position that died, so a piece of n bytes takes O(n log n) whatever its form.
 
 Null text is empty and has no ids. One pass over rows, no shuffle; the ranks (fixed size) are the only thing broadcast, and
-each worker keeps a bounded table of pieces already merged.
+each task keeps a table of pieces already merged, bounded in bytes and dropped when the task ends.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 
 _NONE = 1 << 62
-#: Of pieces already merged, a worker remembers this many of the latest, and as many older ones.
-REMEMBERED = 400_000
+#: Bytes, by estimate, of the latest pieces already merged that a task remembers, and as many of older ones.
+REMEMBERED = 16 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -145,6 +145,7 @@ class Codec(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.older: dict[str, tuple[int, ...]] = {}
+        self.size = 0
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.pairs, self.longest = Pairs(ranks), max(map(len, ranks), default=0)
         self.tokens = {i: t for t, i in ranks.items()}
@@ -154,10 +155,16 @@ class Codec(dict):
         self[piece] = ids = self.older[piece]
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.older.clear()
+        self.size = 0
+
     def _learn(self, pieces: set[str]) -> None:
-        if len(self) >= REMEMBERED:
+        if self.size >= REMEMBERED:
             self.older = dict(self)
             self.clear()
+            self.size = 0
         by: dict[int, list[tuple[str, bytes]]] = {}
         for p in pieces:
             if (ids := self.older.get(p)) is not None:
@@ -172,6 +179,8 @@ class Codec(dict):
             for at in range(0, len(own), 8192):
                 part = own[at : at + 8192]
                 self.update(zip((p for p, _ in part), merge_many([b for _, b in part], self.pairs), strict=True))
+        # a dict's entry, a string and a tuple; an id in it
+        self.size += sum(240 + len(p) + 40 * len(self[p]) for p in pieces)
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text. Long pieces aren't remembered beyond this call."""
@@ -181,7 +190,7 @@ class Codec(dict):
         out = [list(chain.from_iterable(map(self.__getitem__, p))) for p in pieces]
         for p in new:
             if len(p) > 64:
-                del self[p]
+                self.size -= 240 + len(p) + 40 * len(self.pop(p))
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -191,7 +200,7 @@ class Codec(dict):
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-#: Of this worker, by the key of the query that made it; only the latest stays.
+#: Of this worker, by the key of the query that made it; only the latest stays, and between tasks only its ranks (fixed size).
 _CODECS: dict[str, Codec] = {}
 
 
@@ -218,6 +227,8 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
                     got = list(make(codec, part.column(column).to_pylist()))
                     yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
         finally:
+            if key in _CODECS:
+                _CODECS[key].forget()
             if enabled:  # the worker goes on to other operators' tasks
                 gc.enable()
 
