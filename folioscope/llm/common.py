@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -18,6 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
+_LOCAL: list[str] = []
 #: Bytes of text worked on at once; a longer text is a chunk of its own.
 CHUNK = 1 << 21
 
@@ -27,17 +30,34 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; in a temporary folder only where that is unset (tests on one machine)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioscope-")
+    """A new path in the folder of spark.checkpoint.dir. Only a local session may go without that setting; it gets a temporary folder that goes with it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="folioscope-"))
+            atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+        root = _LOCAL[0]
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts lineage in a way that survives lost executors."""
+    """Writes df to the shared folder and reads it again: cuts lineage in a way that survives lost executors. See discard."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what `stored` wrote for tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _least(edges: DataFrame, of: str, other: str) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = _least(both, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(now.where("u = v")).distinct()
         m = _least(large, "u", "v")
         small = m.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(m.select("u", F.col("m").alias("v"))).distinct()
-        now = stored(small, "edges")
+        before, now = now, stored(small, "edges")
+        discard(before)
         got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if got == state:
             break

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, byte_texts, chunks, mix, ngram_hashes, stored
+from .common import Words, byte_texts, chunks, discard, mix, ngram_hashes, stored
 from .graph import components
 
 
@@ -42,15 +42,17 @@ class Config:
     #: Pairs link when intersection / union >= num / den.
     num: int = 4
     den: int = 5
-    #: One row in so many is looked at for frequent n-grams, of which at most `hot` are listed.
+    #: One row in so many is looked at for frequent n-grams; listed are at most `hot`, or two for each fragment if these are more.
     look: int = 64
     hot: int = 4096
     #: Pieces into which a set is cut for counting a pair's overlap.
     pieces: int = 8
 
 
-_SET = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("n", "<i4"), ("len", "<i4")])
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("k1", "<i8"), ("k2", "<i8"), ("n", "<i4")])
+_INFO = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("n", "<i4")])
+#: Kinds of pieces: n-grams on the way to their fragment; rows, sets, frequent n-grams and shared n-grams on the way home.
+_GRAMS, _ROWS, _SETS, _OFTEN, _SHARED = range(5)
 _MANY = 65535
 
 
@@ -83,7 +85,9 @@ def _digests(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _frequent(docs: DataFrame, c: Config) -> np.ndarray:
+def _frequent(docs: DataFrame, c: Config, most: int) -> np.ndarray:
+    """n-grams that stand out in a sample, `most` at most: any other has a smaller share of all than 1 / most, so it overloads no fragment."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
@@ -93,38 +97,54 @@ def _frequent(docs: DataFrame, c: Config) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["key", "n"])
 
     part = docs.where(F.pmod(F.xxhash64("text"), F.lit(c.look)) == 0).select("text").mapInArrow(count, "key bigint, n bigint")
-    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 16").orderBy(F.desc("n"), "key").limit(c.hot).collect()
+    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 16").orderBy(F.desc("n"), "key").limit(most).collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
-def _pack(ids: np.ndarray, sizes: np.ndarray, h: np.ndarray, owner: np.ndarray, df: np.ndarray | None, width: int = 6) -> bytes:
-    """Some n-grams of sets, as one string: sets, the low `width` bytes of hashes, counts. owner: the set of each n-gram, ascending."""
+def _pack(ids: np.ndarray, h: np.ndarray, owner: np.ndarray, df: np.ndarray | None = None) -> bytes:
+    """Some n-grams of sets, as one string of columns: 96 bits and a length for each set, hashes, counts. owner: the set of each n-gram, ascending."""
     new = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     own, length = owner[new], np.diff(np.append(new, len(owner)))
-    head = np.empty(len(own), _SET)
-    head["k1"], head["k2"], head["n"], head["len"] = ids[own, 0], ids[own, 1], sizes[own], length
-    low = np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-    return np.array([len(own), len(h)], "<i4").tobytes() + head.tobytes() + low.tobytes() + (b"" if df is None else df.astype("<u2").tobytes())
+    width = next(k for k in (1, 2, 4) if int(length.max()) < 1 << 8 * k)
+    columns = [np.array([len(own), len(h), width], "<i4"), ids[own, 0].astype("<i8"), (ids[own, 1] & 0xFFFFFFFF).astype("<u4"), length.astype(f"<u{width}"), h.astype("<u8")]
+    return b"".join(c.tobytes() for c in [*columns, *([] if df is None else [df.astype("<u2")])])
+
+
+def _unpack(data: bytes, counted: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """Ids (k1 and the low half of k2), lengths, hashes and counts."""
+    sets_, total, width = np.frombuffer(data, "<i4", 3).tolist()
+    at, out = 12, []
+    for kind, n in (("<i8", sets_), ("<u4", sets_), (f"<u{width}", sets_), ("<u8", total), ("<u2", total if counted else 0)):
+        out.append(np.frombuffer(data, kind, n, at))
+        at += out[-1].nbytes
+    k1, k2, length, h, df = out
+    return np.stack([k1, k2.astype(np.int64)], 1), length.astype(np.int64), h, df if counted else None
 
 
-def _unpack(data: bytes, top: int = 0, counted: bool = False, width: int = 6):
-    sets_, total = np.frombuffer(data, "<i4", 2)
-    at = 8 + sets_ * _SET.itemsize
-    head = np.frombuffer(data, _SET, sets_, 8)
-    h = np.zeros((total, 8), np.uint8)
-    h[:, :width] = np.frombuffer(data, np.uint8, total * width, at).reshape(-1, width)
-    return head, h.reshape(-1).view("<u8") | np.uint64(top), np.frombuffer(data, "<u2", total, at + total * width) if counted else None
+def _joined(pieces: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """Ids of the pieces' sets, and for each n-gram its set, hash and count."""
+    ids, length, h = (np.concatenate([p[k] for p in pieces]) for k in range(3))
+    return ids, np.repeat(np.arange(len(length)), length), h, np.concatenate([p[3] for p in pieces]) if pieces[0][3] is not None else None
+
+
+def _by(home: np.ndarray, n: int, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Columns dealt by home, in the order they have."""
+    order = np.argsort(home, kind="stable")
+    cut = np.searchsorted(home[order], np.arange(n + 1))
+    columns = [c[order] for c in columns]
+    for b in np.flatnonzero(np.diff(cut)).tolist():
+        yield b, [c[cut[b] : cut[b + 1]] for c in columns]
 
 
 def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
-    """kind 1: a row of docs (id, k1, k2, n). kind 0: a set that may link (k1, k2, n, own n-grams, shared n-grams in order)."""
+    """kind 1: a row of docs (id, k1, k2, n). kind 0: a set that may link (sid, k1, k2, n, own n-grams, shared n-grams in order)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(16, max(4, (parts - 1).bit_length()))
+    bits = max(4, (parts - 1).bit_length())
     frags = 1 << bits
     shift = np.uint64(64 - bits)
     base = docs.select(F.col(id_).cast("bigint").alias("id"), F.col(text).alias("text"))
-    hot = _frequent(base, c)
+    hot = _frequent(base, c, max(c.hot, 2 * frags))
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,51 +153,37 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
                 texts = list(dict.fromkeys(t for _, t in part))
                 number = {t: i for i, t in enumerate(texts)}
                 h, sizes = sets(texts, c.n)
-                h = (h >> shift << np.uint64(48)) | (h & np.uint64((1 << 48) - 1))
                 ids = _digests(h, sizes)
                 docrows = np.array([(i or 0, i is None, *ids[k], sizes[k]) for i, k in ((i, number[t]) for i, t in part)], _DOC)
-                at = np.cumsum(sizes) - sizes
+                out = [(int(docrows["k1"][0] % frags), _ROWS, docrows.tobytes())]
                 _, once = np.unique(ids, axis=0, return_index=True)
+                once = once[sizes[once] > 0]
                 keep = np.zeros(len(sizes), bool)
                 keep[once] = True
+                info = np.empty(len(once), _INFO)
+                info["k1"], info["k2"], info["n"] = ids[once, 0], ids[once, 1], sizes[once]
+                out += [(f, _SETS, own.tobytes()) for f, (own,) in _by(info["k1"] % frags, frags, info)]
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 use = keep[owner]
                 h, owner = h[use], owner[use]
-                out = []
-                out.append((int(docrows["k1"][0] % frags), 1, docrows.tobytes()))
-                often = np.isin(h, hot_) if len(hot_) else np.zeros(len(h), bool)
+                often = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
                 if often.any():
                     known, whose = h[often], owner[often]
-                    home = ids[whose, 0] % frags
-                    order = np.argsort(home, kind="stable")
-                    known, whose, cut = known[order], whose[order], np.searchsorted(home[order], np.arange(frags + 1))
-                    for f in np.flatnonzero(np.diff(cut)).tolist():
-                        s, e = cut[f], cut[f + 1]
-                        out.append((f, 2, _pack(ids, sizes, known[s:e], whose[s:e], np.full(e - s, _MANY), 8)))
+                    out += [(f, _OFTEN, _pack(ids, x, o, np.full(len(x), _MANY))) for f, (x, o) in _by(ids[whose, 0] % frags, frags, known, whose)]
                     h, owner = h[~often], owner[~often]
-                frag = (h >> np.uint64(48)).astype(np.int64)
-                order = np.argsort(frag, kind="stable")
-                h, owner, cut = h[order], owner[order], np.searchsorted(frag[order], np.arange(frags + 1))
-                for f in range(frags):
-                    if cut[f + 1] > cut[f]:
-                        out.append((f, 0, _pack(ids, sizes, h[cut[f] : cut[f + 1]], owner[cut[f] : cut[f + 1]], None)))
+                out += [(f, _GRAMS, _pack(ids, x, o)) for f, (x, o) in _by((h >> shift).astype(np.int64), frags, h, owner)]
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.binary())], names=["frag", "kind", "data"])
 
-    hot_ = np.sort((hot >> shift << np.uint64(48)) | (hot & np.uint64((1 << 48) - 1)))
-
     def fragment(pdf: pd.DataFrame) -> pd.DataFrame:
         """Counts the sets of each n-gram of one fragment; what others share goes home to its set, by bucket of sets."""
         f = int(pdf["frag"].iloc[0])
-        out = [(f, k, d) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k]
-        parts_ = [_unpack(d, f << 48) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if not k]
-        if parts_:
-            head = np.concatenate([p[0] for p in parts_])
-            h = np.concatenate([p[1] for p in parts_])
-            owner = np.repeat(np.arange(len(head)), head["len"])
-            ids = np.stack([head["k1"], head["k2"]], 1)
+        out = [(f, k, d) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k != _GRAMS]
+        pieces = [_unpack(d) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k == _GRAMS]
+        if pieces:
+            ids, owner, h, _ = _joined(pieces)
             order = np.lexsort((ids[:, 1], ids[:, 0]))
             same = np.concatenate([[False], (ids[order][1:] == ids[order][:-1]).all(1)])
-            fresh = np.ones(len(head), bool)
+            fresh = np.ones(len(ids), bool)
             fresh[order[same]] = False  # the same set from another chunk
             use = fresh[owner]
             h, owner = h[use], owner[use]
@@ -185,36 +191,37 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
             df = np.minimum(count[back], _MANY)
             shared = df > 1
             h, owner, df = h[shared], owner[shared], df[shared]
-            home = ids[owner, 0] % frags
-            order = np.argsort(home, kind="stable")
-            h, owner, df, cut = h[order], owner[order], df[order], np.searchsorted(home[order], np.arange(frags + 1))
-            for b in range(frags):
-                s, e = cut[b], cut[b + 1]
-                if e > s:
-                    out.append((b, 3 + f, _pack(ids, head["n"], h[s:e], owner[s:e], df[s:e])))
+            out += [(b, _SHARED, _pack(ids, x, o, d)) for b, (x, o, d) in _by(ids[owner, 0] % frags, frags, h, owner, df)]
         return pd.DataFrame({"bucket": np.array([o[0] for o in out], np.int64), "kind": np.array([o[1] for o in out], np.int32), "data": [o[2] for o in out]})
 
     def home(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [np.frombuffer(d, _DOC) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k == 1]
-        d = np.concatenate(rows) if rows else np.zeros(0, _DOC)
-        out = pd.DataFrame({"kind": np.ones(len(d), np.int32), "id": pd.array(d["id"], "Int64"), "k1": d["k1"], "k2": d["k2"], "n": d["n"], "own": np.int32(0), "shared": None})
+        bucket = int(pdf["bucket"].iloc[0])
+        by: list[list[bytes]] = [[] for _ in range(5)]
+        for k, d in zip(pdf["kind"], pdf["data"], strict=True):
+            by[k].append(d)
+        d = np.frombuffer(b"".join(by[_ROWS]), _DOC)
+        out = pd.DataFrame({"kind": np.ones(len(d), np.int32), "id": pd.array(d["id"], "Int64"), "sid": np.int64(0), "k1": d["k1"], "k2": d["k2"], "n": d["n"], "own": np.int32(0), "shared": None})
         out.loc[d["null"] == 1, "id"] = pd.NA
-        got = [_unpack(x, (k - 3) << 48, True) if k > 2 else _unpack(x, 0, True, 8) for k, x in zip(pdf["kind"], pdf["data"], strict=True) if k > 1]
+        got = [_unpack(x, True) for k in (_OFTEN, _SHARED) for x in by[k]]
         records = []
         if got:
-            head = np.concatenate([g[0] for g in got])
-            h, df = (np.concatenate([g[i] for g in got]) for i in (1, 2))
-            _, first, number = np.unique(np.stack([head["k1"], head["k2"]], 1), axis=0, return_index=True, return_inverse=True)
-            owner = np.repeat(number.reshape(-1), head["len"])
+            info = np.unique(np.frombuffer(b"".join(by[_SETS]), _INFO))
+            ids, owner, h, df = _joined(got)
+            both = np.concatenate([np.stack([info["k1"], info["k2"] & 0xFFFFFFFF], 1), ids])
+            _, number = np.unique(both, axis=0, return_inverse=True)
+            number = number.reshape(-1)
+            known = np.empty(number.max() + 1, np.int64)
+            known[number[: len(info)]] = np.arange(len(info))
+            owner = known[number[len(info) :]][owner]
             order = np.lexsort((h, df, owner))
             h, df, owner = h[order], df[order], owner[order]
             new = np.concatenate([[True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])])  # frequent ones come from several chunks
             h, owner = h[new], owner[new]
-            cut = np.searchsorted(owner, np.arange(len(first) + 1))
-            for i, s in enumerate(first.tolist()):
-                have, n = int(cut[i + 1] - cut[i]), int(head["n"][s])
-                if have * c.den >= n * c.num:
-                    records.append((0, pd.NA, head["k1"][s], head["k2"][s], n, n - have, h[cut[i] : cut[i + 1]].view(np.int64)))
+            cut = np.searchsorted(owner, np.arange(len(info) + 1))
+            have = np.diff(cut)
+            for i in np.flatnonzero((have > 0) & (have * c.den >= info["n"].astype(np.int64) * c.num)).tolist():
+                n, k = int(info["n"][i]), int(have[i])
+                records.append((0, pd.NA, bucket << 40 | i, info["k1"][i], info["k2"][i], n, n - k, h[cut[i] : cut[i + 1]].view(np.int64)))
         if records:
             more = pd.DataFrame(records, columns=out.columns)
             more["id"] = more["id"].astype("Int64")
@@ -222,7 +229,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
         return out
 
     first = base.mapInArrow(scatter, "frag bigint, kind int, data binary").groupBy("frag").applyInPandas(fragment, "bucket bigint, kind int, data binary")
-    return first.groupBy("bucket").applyInPandas(home, "kind int, id bigint, k1 bigint, k2 bigint, n int, own int, shared array<bigint>")
+    return first.groupBy("bucket").applyInPandas(home, "kind int, id bigint, sid bigint, k1 bigint, k2 bigint, n int, own int, shared array<bigint>")
 
 
 def _ceil(x, den: int):
@@ -243,7 +250,7 @@ def cluster(docs: DataFrame, config: Config = Config(), id_: str = "doc_id", tex
     c = config
     table = stored(_record_table(docs, id_, text, c), "ngram-sets")
     rows = table.where("kind = 1").select("id", "k1", "k2", "n")
-    sets_ = table.where("kind = 0").select(F.concat_ws("_", "k1", "k2").alias("sid"), "n", "own", "shared")
+    sets_ = table.where("kind = 0").select("sid", "n", "own", "shared")
     total = c.num + c.den
     probe = F.col("n") - _ceil(F.col("n") * c.num, c.den) + 1
     index = F.col("n") - _ceil(F.col("n") * 2 * c.num, total) + 1
@@ -256,9 +263,11 @@ def cluster(docs: DataFrame, config: Config = Config(), id_: str = "doc_id", tex
     p = posts.withColumn("_h", F.xxhash64("g"))
     pairs = p.join(lead, (p["_h"] == lead["_h"]) & (p["g"] == lead["_g"]) & (p["sid"] != lead["l.sid"]) & (need(p["n"], lead["l.n"]) <= F.least(p["have"], lead["l.have"]))).select(F.col("sid").alias("x"), F.col("l.sid").alias("y")).distinct()
     links = stored(_links(pairs, sets_, c), "links")
-    # A label shared by linked sets is enough to pass over pairs; it needn't be a whole component.
+    # A label shared by linked sets is enough to pass over pairs; it needn't be a whole component. Joined by a form of the key, so that AQE can split a hub.
     one = links.groupBy("a").agg(F.min("b").alias("b"))
-    two = one.join(one.select(F.col("a").alias("_b"), F.col("b").alias("_c")), F.col("b") == F.col("_b"), "left").select(F.col("a").alias("sid"), F.coalesce("_c", "b").alias("component"))
+    up = one.select(F.xxhash64("a").alias("_h"), F.col("a").alias("_b"), F.col("b").alias("_c"))
+    down = one.withColumn("_h", F.xxhash64("b"))
+    two = down.join(up, (down["_h"] == up["_h"]) & (down["b"] == up["_b"]), "left").select(F.col("a").alias("sid"), F.coalesce("_c", "b").alias("component"))
 
     # Second turn: candidates whose ends have different labels.
     known = stored(posts.join(two, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "postings")
@@ -269,13 +278,17 @@ def cluster(docs: DataFrame, config: Config = Config(), id_: str = "doc_id", tex
     on = (F.col("g") == F.col("y_g")) & (F.col("component") != F.col("y_component")) & ((F.col("y_n") < F.col("n")) | ((F.col("y_n") == F.col("n")) & (F.col("y_sid") < F.col("sid")))) & (F.col("y_n") * c.den >= F.col("n") * c.num)
     on = on & (bound <= F.least(F.col("have"), F.col("y_have"))) & (bound <= F.least(F.col("n") - F.col("at"), F.col("y_n") - F.col("y_at")))
     more = x.join(y, on).select(F.col("sid").alias("x"), F.col("y_sid").alias("y")).distinct()
-    labels = components(links.union(_links(more, sets_, c)))
+    labels = stored(components(links.union(_links(more, sets_, c))), "labels")
+    discard(posts, known, links)
 
     # Back to rows: equal sets are one; n = 0 stays alone.
-    keyed = rows.withColumn("_k", F.when(F.col("n") > 0, F.concat_ws("_", "k1", "k2")))
-    ids = keyed.where("n > 0").groupBy("_k").agg(F.min("id").alias("least")).join(labels.select(F.col("node").alias("_k"), "component"), "_k", "left").withColumn("component", F.coalesce("component", "_k"))
-    best = ids.groupBy("component").agg(F.min("least").alias("least"))
-    ids = ids.select("_k", F.xxhash64("component").alias("_c"), "component").join(best.select(F.xxhash64("component").alias("_c"), F.col("component").alias("_b"), "least"), "_c").where("component = _b").select(F.xxhash64("_k").alias("_h"), F.col("_k").alias("_s"), "least")
-    keyed = keyed.withColumn("_h", F.coalesce(F.xxhash64("_k"), F.xxhash64("id")))
-    out = keyed.join(ids, (keyed["_h"] == ids["_h"]) & (keyed["_k"] == ids["_s"]), "left")
+    named = table.where("kind = 0").select("sid", "k1", "k2").join(labels.select(F.col("node").alias("sid"), "component"), "sid").select("k1", "k2", "component")
+    least = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("least"))
+    ids = named.join(least, ["k1", "k2"])
+    best = ids.groupBy("component").agg(F.min("least").alias("least")).select(F.xxhash64("component").alias("_h"), F.col("component").alias("_c"), F.col("least").alias("best"))
+    own = ids.withColumn("_h", F.xxhash64("component"))
+    own = own.join(best, (own["_h"] == best["_h"]) & (own["component"] == best["_c"])).select("k1", "k2", "best")
+    final = least.join(own, ["k1", "k2"], "left").select(F.xxhash64("k1", "k2").alias("_h"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.coalesce("best", "least").alias("least"))
+    keyed = rows.withColumn("_h", F.when(F.col("n") > 0, F.xxhash64("k1", "k2")).otherwise(F.xxhash64("id")))
+    out = keyed.join(final, (keyed["_h"] == final["_h"]) & (keyed["k1"] == final["_k1"]) & (keyed["k2"] == final["_k2"]) & (keyed["n"] > 0), "left")
     return out.select("id", F.col("n").cast("bigint").alias("n"), F.coalesce("least", "id").alias("component"))
