@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioscope.llm import bpe, decontaminate, jaccard, pseudonyms, queries, toxicity
-from folioscope.llm.common import read, stored
+from folioscope.llm.common import discard, read, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,22 +20,25 @@ LISTED = 8 << 20
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """docs without the keys of gone, a stored table, whose count is cheap."""
     return docs.join(F.broadcast(gone) if gone.count() * 16 <= LISTED else gone, key, "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, one row of least doc_id; of equal word-free rows of one doc_id, one. Rows without doc_id stay."""
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
+    """Of each group of linked documents one row: of least doc_id (rows without one come last). Of equal word-free rows of one doc_id one; without doc_id they stay."""
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
         # then an id is a row, and texts needn't be written again with keys
-        rows = stored(jaccard.cluster(docs), "components")
-        return _without(docs, rows.where("id <> component").select(F.col("id").alias("doc_id")), "doc_id").select(docs.columns)
+        rows = stored(jaccard.cluster(docs).where("id <> component").select(F.col("id").alias("doc_id")), "copies")
+        return _without(docs, rows, "doc_id").select(docs.columns)
     keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    rows = stored(jaccard.cluster(keyed, id_="_row").withColumnRenamed("id", "_row"), "components")
-    named = keyed.where("doc_id is not null").select("_row", "doc_id", F.xxhash64("text").alias("_t"), "text").join(rows, "_row")
-    least = F.min(F.struct("doc_id", "_t", "_row"))["_row"].alias("_row")
-    kept = named.where("n > 0").groupBy("component").agg(least).select("_row").union(named.where("n = 0").groupBy("doc_id", "text").agg(least).select("_row"))
-    return _without(keyed, named.select("_row").join(kept, "_row", "left_anti"), "_row").select(docs.columns)
+    rows = jaccard.cluster(keyed, id_="_row").withColumnRenamed("id", "_row")
+    named = stored(keyed.select("_row", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_none")).select("_row", "doc_id", "_none", F.sha2("text", 256).alias("_t")).join(rows, "_row"), "named")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_t", "_row"))["_row"].alias("_row")
+    some = named.where("n > 0").groupBy("component").agg(least).select("_row")
+    empty = named.where("n = 0 and doc_id is not null").groupBy("doc_id", "_none", "_t").agg(least).select("_row")
+    kept = some.union(empty).union(named.where("n = 0 and doc_id is null").select("_row"))
+    return _without(keyed, stored(named.select("_row").join(kept, "_row", "left_anti"), "copies"), "_row").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
