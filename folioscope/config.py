@@ -33,13 +33,19 @@ class EngineConfig:
     attempts: int = 3
     requests_a_minute: int = 200
     cooldown_s: float = 65.0
-    all_blocked_wait_s: float = 30.0
     dpi: int = 200
     image_quality: int = 80
+    image_detail: str = "low"
+    model: str = "gpt-4o-mini"
+    base_url: str = "https://api.openai.com/v1"
     reply_tokens: int = 50
     # Output folders and files. Fixed values.
     sections_dir: str = "comments_mentioned/cag_pages"
     missing_dir: str = "no_comments_content"
     archive_dir: str = "archives"
+    ledger_dir: str = "_ledger"
+    report_dir: str = "missing_years_report"
+    #: Tasks that ask the classifier at once.
+    ask_tasks: int = 8
     use_ledger_consensus: bool = False
     """Whether sections that earlier runs confirmed count for the consensus; otherwise only this run's do."""

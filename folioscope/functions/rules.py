@@ -7,6 +7,8 @@ U+001C to U+001F as space, or see no word boundary after a combining vowel sign,
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -76,42 +78,55 @@ YEAR_PATTERNS = (r"(\d{4})-03-31", r"(\d{4})_03_31", r"(\d{4})-(\d{4})", r"(\d{4
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern with its flags: i ignores case, m lets ^ and $ meet at lines."""
+    """A pattern with its flags: i ignores case, m lets ^ and $ meet at lines.
+
+    needs: words of which every match holds at least one, folded (see folded); texts without any skip the pattern. Empty: none are known.
+    """
 
     pattern: str
     flags: str = "i"
+    needs: tuple[str, ...] = ()
 
     @property
     def java(self) -> str:
         return f"(?dU{self.flags})" + self.pattern
 
-    def found(self, text: Column) -> Column:
-        return text.rlike(self.java)
+    def may(self, folded_: Column | None) -> Column:
+        """Whether a folded text holds one of the needed words; cheap, and true of every text that matches."""
+        return F.lit(True) if folded_ is None or not self.needs else reduce(or_, (folded_.contains(w) for w in self.needs))
+
+    def found(self, text: Column, folded_: Column | None = None) -> Column:
+        return self.may(folded_) & text.rlike(self.java)
+
+    def count(self, text: Column, folded_: Column | None = None) -> Column:
+        return F.when(self.may(folded_), F.regexp_count(text, F.lit(self.java))).otherwise(0).cast("int")
+
 
-    def count(self, text: Column) -> Column:
-        return F.regexp_count(text, F.lit(self.java)).cast("int")
+def folded(text: Column) -> Column:
+    """text so that letters which patterns without case take for one are one."""
+    return F.lower(F.upper(F.translate(text, "\u0130", "i")))
 
 
 @dataclass(frozen=True)
 class Catalogue:
     """All that is specific to one kind of section; another preset locates other sections."""
 
-    canonical: Rule = Rule(CANONICAL)
-    short_header: Rule = Rule(SHORT_HEADER)
-    nil_comments: Rule = Rule(NIL_COMMENTS)
-    body_behalf: Rule = Rule(BODY_BEHALF)
-    body_section: Rule = Rule(BODY_SECTION)
-    body_decl: Rule = Rule(BODY_DECLARATION)
-    nil_body: Rule = Rule(NIL_BODY)
-    signature: Rule = Rule(SIGNATURE)
+    canonical: Rule = Rule(CANONICAL, needs=("comptroller",))
+    short_header: Rule = Rule(SHORT_HEADER, needs=("comments",))
+    nil_comments: Rule = Rule(NIL_COMMENTS, needs=("comments", "supplementary"))
+    body_behalf: Rule = Rule(BODY_BEHALF, needs=("comptroller",))
+    body_section: Rule = Rule(BODY_SECTION, needs=("supplementary",))
+    body_decl: Rule = Rule(BODY_DECLARATION, needs=("comptroller",))
+    nil_body: Rule = Rule(NIL_BODY, needs=("nothing", "comment", "supplementary"))
+    signature: Rule = Rule(SIGNATURE, needs=("comptroller", "director"))
     toc_tail: Rule = Rule(TOC_TAIL, "m")
-    toc_dotted_line: Rule = Rule(TOC_DOTTED_LINE, "m")
+    toc_dotted_line: Rule = Rule(TOC_DOTTED_LINE, "m", ("...",))
     toc_dotless_line: Rule = Rule(TOC_DOTLESS_LINE, "m")
-    disqualifier: Rule = Rule(r"^\s*(?:" + "|".join(DISQUALIFIERS) + ")", "im")
+    disqualifier: Rule = Rule(r"^\s*(?:" + "|".join(DISQUALIFIERS) + ")", "im", ("report", "notice", "form"))
     firm: Rule = Rule("|".join(FIRMS))
     devanagari: Rule = Rule(DEVANAGARI, "")
-    redirect: Rule = Rule(REDIRECT)
-    any_evidence: Rule = Rule(ANY_EVIDENCE)
+    redirect: Rule = Rule(REDIRECT, needs=("placed", "form", "annexed", "appended", "enclosed", "attached"))
+    any_evidence: Rule = Rule(ANY_EVIDENCE, needs=("comptroller", "cag", "&", "supplementary", "section"))
     toc_entries: tuple[Rule, ...] = tuple(Rule(p, "im") for p in TOC_ENTRIES)
 
 

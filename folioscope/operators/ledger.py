@@ -25,15 +25,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], SCHEMA)
-    return spark.read.schema(SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    return spark.read.schema(SCHEMA).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).json(path)
 
 
 def append(records: DataFrame, path: str, run_id: str) -> None:
-    """Adds records as JSON lines. seq orders them within and after earlier runs; one writer at a time."""
-    last = read(records.sparkSession, path).agg(F.max("seq")).first()[0] or 0
-    numbered = records.withColumns({"seq": F.monotonically_increasing_id() + F.lit(last + 1), "run_id": F.lit(run_id), "ts": F.current_timestamp()})
+    """Adds a run's records as JSON lines of its own folder, which a repeat of the run replaces. One writer at a time.
+
+    seq orders records within and after earlier runs: a run's number, kept in its folder's name, above the record's number.
+    """
+    spark = records.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = sorted(f.getPath().getName() for f in system.listStatus(folder) if f.isDirectory() and f.getPath().getName().startswith("run=")) if system.exists(folder) else []
+    name = next((r for r in runs if r.partition("-")[2] == run_id), None) or f"run={int(runs[-1][4:].partition('-')[0]) + 1 if runs else 1:012d}-{run_id}"
+    base = int(name[4:].partition("-")[0]) << 40
+    numbered = records.withColumns({"seq": F.monotonically_increasing_id() + F.lit(base), "run_id": F.lit(run_id), "ts": F.current_timestamp()})
     names = [f.split()[0] for f in SCHEMA.split(", ")]
-    numbered.select(*(F.col(n) if n in numbered.columns else F.lit(None).alias(n) for n in names)).write.mode("append").json(path)
+    numbered.select(*(F.col(n) if n in numbered.columns else F.lit(None).alias(n) for n in names)).write.mode("overwrite").json(f"{path}/{name}")
 
 
 def done_keys(ledger: DataFrame) -> DataFrame:
@@ -70,7 +78,7 @@ def to_organise(files: DataFrame, ledger: DataFrame, copies: DataFrame) -> DataF
 def coverage(files: DataFrame, sections: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """company, year, status, source_filename, extract_path of each company's years; of files of one year the last name counts, of sections the first path."""
     dated = files.withColumn("year", fiscal_year(F.col("stem"))).where(F.col("year") != "").where(~F.array_contains(F.split("source_pdf", "/"), config.archive_dir))
-    names = dated.groupBy("company", "year").agg(F.max(F.concat("stem", F.lit(".pdf"))).alias("source_filename"))
+    names = dated.groupBy("company", "year").agg(F.max("stem").alias("source_filename"))
     got = sections.where("year <> ''").groupBy("company", "year").agg(F.min("path").alias("extract_path"))
     return names.join(got, ["company", "year"], "left").select("company", "year", F.when(F.col("extract_path").isNotNull(), "present_clean").otherwise("missing_extract").alias("status"), "source_filename", F.coalesce("extract_path", F.lit("")).alias("extract_path"))
 

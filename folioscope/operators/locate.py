@@ -19,27 +19,30 @@ def page_counts(pages: DataFrame) -> DataFrame:
 
 def text_layer(judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     total = F.sum("n_chars")
-    return judged.groupBy(*FILE).agg(total.cast("bigint").alias("n_chars"), (total >= config.text_layer_chars).alias("has_text"), F.max("page").alias("n_pages"), F.bool_or("any_evidence").alias("evidence"))
+    return judged.groupBy(*FILE).agg(total.cast("bigint").alias("n_chars"), (total >= config.text_layer_chars).alias("has_text"), F.max("page").alias("n_pages"), F.bool_or("any_evidence").alias("evidence"), F.count_if(F.col("n_chars") > 0).cast("bigint").alias("n_written"), F.bool_or(F.col("toc_like") & (F.col("page") <= config.toc_pages)).alias("has_toc"))
 
 
-def toc_entries(pages: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:
+def toc_entries(judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """All entries of contents pages with a page number of the file, in order (toc_page, pattern, position)."""
     # Unicode digits count, as they do for the patterns
     digits = F.translate("number", "०१२३४५६७८९", "0123456789").try_cast("int")
-    listed = judged.where(F.col("toc_like") & (F.col("page") <= config.toc_pages)).select(*FILE, "page")
-    rows = pages.join(listed, [*FILE, "page"], "left_semi")
-    each = F.array(*(F.regexp_extract_all("text", F.lit(r.java), F.lit(1)) for r in rules.toc_entries))
-    out = rows.select(*FILE, F.col("page").alias("toc_page"), F.posexplode(each).alias("pattern", "found")).select(*FILE, "toc_page", "pattern", F.posexplode("found").alias("position", "number"))
+    out = judged.where("toc_numbers is not null").select(*FILE, F.col("page").alias("toc_page"), F.posexplode("toc_numbers").alias("pattern", "found")).select(*FILE, "toc_page", "pattern", F.posexplode("found").alias("position", "number"))
     return out.withColumn("target", digits).join(page_counts(judged), FILE).where("target between 1 and n_pages").select(*FILE, "toc_page", "pattern", "position", "target")
 
 
 def toc_jump(entries: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """Each file's first entry and the first page from its target on, within the offsets, that the verdict accepts (else null)."""
     first = entries.groupBy(*FILE).agg(F.min_by("target", F.struct("toc_page", "pattern", "position")).alias("target"))
-    good = judged.where("ok").select(*FILE, "page", "kind")
+    good = judged.where("ok").select(*FILE, "page", "kind", "signals")
     near = first.join(good, FILE).where(F.col("page").between(F.col("target"), F.col("target") + config.toc_offsets))
-    hit = near.groupBy(*FILE).agg(F.min("page").alias("start"), F.min_by("kind", "page").alias("kind"))
-    return first.join(hit, FILE, "left").select(*FILE, "target", "start", "kind")
+    hit = near.groupBy(*FILE).agg(F.min("page").alias("start"), F.min_by("kind", "page").alias("kind"), F.min_by("signals", "page").alias("signals"))
+    return first.join(hit, FILE, "left").select(*FILE, "target", "start", "kind", "signals")
+
+
+def toc_outcome(layer: DataFrame, jump: DataFrame) -> DataFrame:
+    """What the contents gave for each file: no contents page, no entry of the section in it, an entry that no page bears out, or a valid one."""
+    rows = layer.select(*FILE, "has_toc").join(jump.select(*FILE, "target", "start"), FILE, "left")
+    return rows.select(*FILE, F.when(~F.col("has_toc"), "no_toc_pages").when(F.col("target").isNull(), "no_entries_in_toc").when(F.col("start").isNull(), F.concat(F.lit("toc_validation_failed|target_p"), F.col("target").cast("string"))).otherwise(F.concat(F.lit("toc_validated|target_p"), F.col("target").cast("string"))).alias("toc"))
 
 
 def first_pages(judged: DataFrame, low: str = "1", high: str = "2147483647", centre: str | None = None, radius: int = 0) -> DataFrame:
@@ -50,32 +53,37 @@ def first_pages(judged: DataFrame, low: str = "1", high: str = "2147483647", cen
     w = judged.where(f"page between {low} and {high}")
     rank = F.lit(False) if centre is None else F.expr(f"abs(page - ({centre})) > {radius} and least({high}, max(page) over (partition by company, source_pdf)) - greatest(1, {low}) > {2 * radius + 5}")
     w = w.withColumn("_at", F.struct(rank.alias("r"), "page"))
-    hit = w.where("scan_kind is not null").groupBy(*FILE).agg(F.min("_at").alias("_hit"), F.min_by("scan_kind", "_at").alias("kind"))
+    hit = w.where("scan_kind is not null").groupBy(*FILE).agg(F.min("_at").alias("_hit"), F.min_by("scan_kind", "_at").alias("kind"), F.min_by("signals", "_at").alias("signals"))
     seen = w.where("n_chars > 0").join(hit, FILE, "left").groupBy(*FILE).agg(F.count_if(F.col("_hit").isNull() | (F.col("_at") <= F.col("_hit"))).cast("bigint").alias("scanned"))
-    return hit.join(seen, FILE, "full").select(*FILE, F.col("_hit.page").alias("start"), "kind", "scanned")
+    return hit.join(seen, FILE, "full").select(*FILE, F.col("_hit.page").alias("start"), "kind", "signals", "scanned")
 
 
 def section_starts(judged: DataFrame, jump: DataFrame) -> DataFrame:
-    """The contents' page where it holds, else the scan's."""
-    a = jump.where("start is not null").select(*FILE, F.col("start").alias("a"), F.col("kind").alias("ak"))
-    b = first_pages(judged).where("start is not null").select(*FILE, F.col("start").alias("b"), F.col("kind").alias("bk"))
-    return a.join(b, FILE, "full").select(*FILE, F.coalesce("a", "b").alias("start"), F.when(F.col("a").isNotNull(), "toc").otherwise("strict_rule").alias("method"), F.coalesce("ak", "bk").alias("kind"))
+    """The contents' page where it holds, else the scan's. signals say what the page itself showed."""
+    a = jump.where("start is not null").select(*FILE, F.col("start").alias("a"), F.lit("toc_jump").alias("ak"), F.col("signals").alias("sa"))
+    b = first_pages(judged).where("start is not null").select(*FILE, F.col("start").alias("b"), F.col("kind").alias("bk"), F.col("signals").alias("sb"))
+    return a.join(b, FILE, "full").select(*FILE, F.coalesce("a", "b").alias("start"), F.when(F.col("a").isNotNull(), "toc").otherwise("strict_rule").alias("method"), F.coalesce("ak", "bk").alias("kind"), F.coalesce("sa", "sb").alias("signals"))
 
 
 def section_ends(starts: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """starts with end: pages follow while they continue, up to and with the first signature after the start."""
-    after = starts.select(*FILE, "start").join(judged.select(*FILE, "page", "cont", "signature"), FILE).where(F.col("page").between(F.col("start") + 1, F.col("start") + config.walk_pages))
+    """starts with end: pages follow while they continue, up to and with the first signature after the start; and with stop, what ended it."""
+    after = starts.select(*FILE, "start").join(judged.select(*FILE, "page", "stop", "signature"), FILE).where(F.col("page").between(F.col("start") + 1, F.col("start") + config.walk_pages))
     w = Window.partitionBy(*FILE).orderBy("page")
-    stopped = F.max((~F.col("cont")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    signed = F.coalesce(F.max(F.col("signature").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # a missing page stops the walk as an empty one does
-    gap = F.col("page") - F.row_number().over(w) != F.col("start")
-    kept = after.withColumn("_keep", (stopped == 0) & (signed == 0) & ~gap).where("_keep").groupBy(*FILE).agg(F.max("page").alias("end"))
-    return starts.join(kept, FILE, "left").withColumn("end", F.coalesce("end", "start"))
+    before = F.col("start") + F.row_number().over(w) - 1
+    why = F.when(before != F.col("page") - 1, "short").when(F.col("stop") != "", F.col("stop")).when(F.col("signature"), "signature")
+    marked = after.withColumns({"_why": why, "_upto": before}).withColumn("_upto", F.col("_upto") + (F.col("_why") == "signature").cast("int"))
+    # the first page with a reason ends the walk; a signed one still belongs to it
+    first = marked.groupBy(*FILE).agg(F.min(F.when(F.col("_why").isNotNull(), F.struct("page", "_why", "_upto"))).alias("_first"), F.max("page").alias("_last"))
+    found = first.select(*FILE, F.coalesce("_first._upto", "_last").alias("_end"), F.col("_first._why").alias("_why"), "_last")
+    ended = starts.join(found, FILE, "left")
+    why = F.coalesce("_why", F.when(F.col("_last") - F.col("start") >= config.walk_pages, "cap").otherwise("eof"))
+    return ended.select(*starts.columns, F.greatest("start", F.coalesce("_end", "start")).alias("end"), why.alias("stop"))
 
 
 def section_texts(ranges: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages of each section, in order, as one text."""
-    own = pages.join(ranges.select(*FILE, "start", "end"), FILE).where("page between start and end")
+    """Pages of each section, in order, as one text. Ranges become their few pages first, so that the join is by page and most texts needn't travel."""
+    wanted = ranges.select(*FILE, F.explode(F.sequence("start", "end")).alias("page"))
+    own = pages.join(wanted, [*FILE, "page"])
     ordered = F.array_sort(F.collect_list(F.struct("page", F.coalesce("text", F.lit("")).alias("text"))))
     return own.groupBy(*FILE).agg(F.array_join(F.transform(ordered, lambda s: s["text"]), "\n").alias("text"), F.count("*").cast("bigint").alias("n_pages"))

@@ -8,36 +8,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import EngineConfig
-from ..functions.rules import PRESET, Catalogue
+from ..functions.rules import PRESET, Catalogue, folded
 from ..functions.text import bottom, script_ratio, stripped_length
 
 KEY = ("company", "source_pdf", "page")
 
 
-def features(pages: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET, keep_text: bool = False) -> DataFrame:
-    t = F.col("text")
+def features(pages: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:
+    """Flags of each page beside its text (null: empty) and folded text, by which patterns that can't match are passed over."""
+    t, f = F.col("text"), F.col("folded")
     low = bottom(t, config)
-    tail = lambda r: F.regexp_extract(t, f"{r.java}([\\s\\S]{{0,{config.toc_tail_chars}}})", 1)
-    return pages.withColumn("text", F.coalesce("text", F.lit(""))).select(
+    after = lambda r: F.regexp_extract(t, f"{r.java}([\\s\\S]{{0,{config.toc_tail_chars}}})", 1)
+    base = pages.select(*KEY, F.coalesce("text", F.lit("")).alias("text")).withColumn("folded", folded(t))
+    flags = base.select(
         *KEY,
-        *(["text"] if keep_text else []),
+        "text",
+        "folded",
         F.length(t).alias("n_chars"),
-        *(getattr(rules, r).found(t).alias(r) for r in ("canonical", "short_header", "nil_comments", "signature", "redirect", "any_evidence", "nil_body")),
-        (rules.body_behalf.found(t) | rules.body_section.found(t) | rules.body_decl.found(t)).alias("body"),
-        rules.toc_dotted_line.count(t).alias("toc_dotted_n"),
-        rules.toc_dotless_line.count(t).alias("toc_dotless_n"),
-        F.when(rules.canonical.found(t), rules.toc_tail.found(tail(rules.canonical))).when(rules.short_header.found(t), rules.toc_tail.found(tail(rules.short_header))).otherwise(False).alias("tail_hit"),
-        rules.firm.found(low).alias("firm_bottom"),
-        rules.signature.found(low).alias("signature_bottom"),
-        rules.disqualifier.found(F.substring(t, 1, config.head_chars)).alias("dq_head"),
-        rules.disqualifier.found(F.substring(t, 1, config.walk_head_chars)).alias("dq_walk"),
+        *(getattr(rules, r).found(t, f).alias(r) for r in ("canonical", "short_header", "nil_comments", "signature", "redirect", "any_evidence", "nil_body")),
+        (rules.body_behalf.found(t, f) | rules.body_section.found(t, f) | rules.body_decl.found(t, f)).alias("body"),
+        rules.toc_dotted_line.count(t, f).alias("toc_dotted_n"),
+        rules.toc_dotless_line.count(t, f).alias("toc_dotless_n"),
+        rules.firm.found(low, f).alias("firm_bottom"),
+        rules.signature.found(low, f).alias("signature_bottom"),
+        rules.disqualifier.found(F.substring(t, 1, config.head_chars), f).alias("dq_head"),
+        rules.disqualifier.found(F.substring(t, 1, config.walk_head_chars), f).alias("dq_walk"),
         stripped_length(t).alias("n_stripped"),
         script_ratio(t).alias("script_ratio"),
     )
+    tail = F.when(F.col("canonical"), after(rules.canonical)).when(F.col("short_header"), after(rules.short_header))
+    return flags.withColumn("tail_hit", F.coalesce(rules.toc_tail.found(tail), F.lit(False)))
 
 
-def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """flags with head, toc_reason, ca_firm, strong, is_redirect, kind, ok, cont, toc_like and the kind under which a scan takes the page."""
+def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:
+    """flags with head, toc_reason, ca_firm, strong, is_redirect, kind, ok, cont, stop, toc_like, signals and the kind under which a scan takes the page.
+
+    stop: why a page doesn't continue a section. signals: the kind and what it rests on. toc_numbers: of contents pages, the numbers of each kind of entry.
+    """
     c = F.col
     head = c("canonical") | c("short_header")
     nil = c("nil_comments") | c("nil_body")
@@ -46,7 +53,7 @@ def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig()) -> DataFra
         "toc_reason": F.when(~head, "").when(c("tail_hit"), "toc_tail").when(c("toc_dotted_n") >= config.toc_lines, "toc_dotted").when(c("toc_dotless_n") >= config.toc_lines, "toc_dotless").otherwise(""),
         "ca_firm": c("firm_bottom") & ~c("signature_bottom"),
         "is_redirect": head & c("redirect") & ~c("body") & ~c("signature"),
-        "cont": (c("n_stripped") >= config.walk_min_chars) & (c("script_ratio") <= config.script_share) & ~c("dq_walk"),
+        "stop": F.when(c("n_stripped") < config.walk_min_chars, "short").when(c("script_ratio") > config.script_share, "script").when(c("dq_walk"), "disqualifier").otherwise(""),
         "toc_like": (c("n_chars") >= config.toc_like_chars) & ((c("toc_dotted_n") >= config.toc_like_dotted) | (c("toc_dotless_n") >= config.toc_like_dotless)),
         "score": head.cast("int") + c("body").cast("int") + c("signature").cast("int"),
     })
@@ -61,13 +68,22 @@ def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig()) -> DataFra
         .when(toc & ~both, F.concat(name, F.lit("_rejected_as_toc")))
         .otherwise(name)
     )
-    two = one.withColumns({"kind": kind, "strong": ~c("ca_firm") & (c("score") >= 2)}).withColumn("ok", F.col("kind").isin("canonical", "short_header", "nil_comments"))
+    # a firm's name is looked for only where it decides
+    low = bottom(c("text"), config)
+    firm = rules.firm.found(low, c("folded")) & ~rules.signature.found(low, c("folded"))
+    each = F.array(*(F.regexp_extract_all("text", F.lit(r.java), F.lit(1)) for r in rules.toc_entries))
+    two = one.withColumns({"kind": kind, "strong": (c("score") >= 2) & ~firm, "cont": c("stop") == "", "toc_numbers": F.when(c("toc_like") & (c("page") <= config.toc_pages), each)}).withColumn("ok", F.col("kind").isin("canonical", "short_header", "nil_comments"))
     scan = F.when(c("n_chars") == 0, F.lit(None)).when(c("dq_head"), F.when(c("strong"), "strong_cag_overrides_dq")).when(c("ok"), c("kind"))
-    return two.withColumn("scan_kind", scan)
+    three = two.withColumn("scan_kind", scan)
+    return three.withColumn("signals", F.concat(F.coalesce("scan_kind", "kind"), F.lit("("), evidence(three), F.lit(")"))).drop("text", "folded")
+
+
+#: What finding, walking and reports need of a page.
+LOCATING = (*KEY, "n_chars", "any_evidence", "toc_like", "toc_numbers", "ok", "kind", "scan_kind", "signals", "cont", "stop", "signature")
 
 
 def judged(pages: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:
-    return verdicts(features(pages, config, rules), config)
+    return verdicts(features(pages, config, rules), config, rules)
 
 
 def evidence(v: DataFrame) -> Column:

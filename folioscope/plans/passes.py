@@ -13,20 +13,29 @@ from ..sources.tables import stored
 FIELDS = ["company", "source_pdf", "source_hash", "year", "phase", "pass1_action", "action", "result", "method", "evidence", "extract_page", "extract_end_page", "new_path"]
 
 
-def pass1(files: DataFrame, pages: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig(), dry_run: bool = False) -> DataFrame:
-    """A record for each file (company, source_pdf, source_hash, stem). Files without pages were unreadable."""
+def pass1(files: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig(), dry_run: bool = False) -> DataFrame:
+    """A record for each file (company, source_pdf, source_hash, stem). Files without pages were unreadable.
+
+    Evidence says what the contents gave, what the page showed and what ended the walk.
+    """
     layer = locate.text_layer(judged, config)
-    starts = locate.section_starts(judged, locate.toc_jump(locate.toc_entries(pages, judged, config), judged, config))
-    found = locate.section_ends(starts, judged, config)
-    rows = files.join(layer, FILE, "left").join(found, FILE, "left")
+    jump = locate.toc_jump(locate.toc_entries(judged, config), judged, config)
+    found = locate.section_ends(locate.section_starts(judged, jump), judged, config)
+    rows = files.join(layer, FILE, "left").join(locate.toc_outcome(layer, jump), FILE, "left").join(found, FILE, "left")
     hit = F.col("has_text") & F.col("start").isNotNull()
     action = F.when(F.col("n_pages").isNull(), "ERROR").when(~F.col("has_text"), "DEFER_VISION").when(F.col("start").isNull(), "DEFER_XY").otherwise("EXTRACT")
-    result = F.when(action == "ERROR", "error").when(action != "EXTRACT", "deferred").otherwise("dry_run" if dry_run else "ok")
-    path = ledger.output_path(config, F.col("company"), output_name(F.col("stem"), F.col("company"), F.col("start"), F.col("end")))
+    rows = rows.withColumns({"year": fiscal_year(F.col("stem")), "action": action, "hit": F.coalesce(hit, F.lit(False))})
+    result = F.when(F.col("action") == "ERROR", "error").when(F.col("action") != "EXTRACT", "deferred").otherwise("dry_run" if dry_run else "ok")
+    path = ledger.output_path(config, F.col("company"), output_name(F.col("stem"), F.col("company"), F.col("start"), F.col("end"), F.col("year")))
+    why = (
+        F.when(F.col("action") == "ERROR", "could_not_open_source").when(F.col("action") == "DEFER_VISION", F.concat(F.lit("no_text_layer|n_pages="), F.col("n_pages").cast("string")))
+        .when(F.col("action") == "DEFER_XY", F.concat(F.lit("toc:"), F.col("toc"), F.lit("|scanned="), F.col("n_written").cast("string")))
+        .otherwise(F.concat(F.col("kind"), F.lit("|"), F.col("signals"), F.lit("|toc:"), F.col("toc"), F.lit("|walk:"), F.col("stop")))
+    )
     return rows.select(
-        "company", "source_pdf", "source_hash", fiscal_year(F.col("stem")).alias("year"), F.lit("pass1").alias("phase"), F.lit(None).cast("string").alias("pass1_action"), action.alias("action"), result.alias("result"),
-        F.when(hit, F.col("method")).alias("method"), F.when(hit, F.col("kind")).when(action == "ERROR", "pdf_unreadable").alias("evidence"),
-        F.when(hit, F.col("start")).alias("extract_page"), F.when(hit, F.col("end")).alias("extract_end_page"), F.when(hit, path).alias("new_path"),
+        "company", "source_pdf", "source_hash", "year", F.lit("pass1").alias("phase"), F.lit(None).cast("string").alias("pass1_action"), "action", result.alias("result"),
+        F.when(F.col("hit"), F.col("method")).alias("method"), why.alias("evidence"),
+        F.when(F.col("hit"), F.col("start")).alias("extract_page"), F.when(F.col("hit"), F.col("end")).alias("extract_end_page"), F.when(F.col("hit"), path).alias("new_path"),
     )
 
 
@@ -50,6 +59,7 @@ def pass2_plan(first: DataFrame, judged: DataFrame, config: EngineConfig = Engin
 def pass2(plan: DataFrame, files: DataFrame, replies: DataFrame | None, config: EngineConfig = EngineConfig(), dry_run: bool = False) -> DataFrame:
     """Records of deferred files. replies: source_pdf, company, page, verdict of the classifier, or None where it is off."""
     stems = files.select(*FILE, "stem")
+    pages = recover.sample_pages(F.col("ws"), F.col("we"), F.col("centre"), config)
     scanned = F.col("pass1_action") == "DEFER_VISION"
     looks = scanned | F.coalesce("evidence", F.lit(False))
     known = F.col("pass1_action").isin("DEFER_VISION", "DEFER_XY")
@@ -57,22 +67,26 @@ def pass2(plan: DataFrame, files: DataFrame, replies: DataFrame | None, config:
     if replies is None or dry_run:
         rows = rows.withColumns({"start": F.lit(None).cast("int"), "end": F.lit(None).cast("int")})
     else:
-        samples = rows.where(looks).select(*FILE, recover.sample_pages(F.col("ws"), F.col("we"), F.col("centre"), config).alias("pages"))
+        samples = rows.where(looks).select(*FILE, pages.alias("pages"))
         hits = recover.yes_range(recover.first_yes(samples, replies), replies, config)
         rows = rows.join(hits, FILE, "left")
     hit = F.col("start").isNotNull()
     sees = F.when(scanned, "VISION").otherwise("VISION_AGG")
     action = F.when(F.col("n_pages").isNull() | ~known, "ERROR").when(~looks, "TRULY_MISSING").when(F.lit(replies is None), "TRULY_MISSING").when(F.lit(dry_run) | hit, sees).otherwise("TRULY_MISSING")
     result = F.when(action == "ERROR", "error").when(action == "TRULY_MISSING", "no_match").otherwise("dry_run" if dry_run else "ok")
+    window = F.concat(F.lit("p"), F.col("ws").cast("string"), F.lit("-p"), F.col("we").cast("string"))
+    sampled = F.concat(F.lit("|sampled="), F.size(pages).cast("string"))
     why = (
-        F.when(F.col("n_pages").isNull(), "pdf_unreadable").when(~known, "unexpected_pass1_action").when(~looks, F.when(F.col("eligible"), "skipped_vision").otherwise("no_keywords_anywhere, not_eligible_xy"))
-        .when(F.lit(replies is None), F.when(scanned, "scanned_pdf, vision_disabled").otherwise("vision_disabled")).when(F.lit(dry_run), F.concat_ws("-", "ws", "we")).when(hit, "vision_hit").otherwise("vision_no_match")
+        F.when(F.col("n_pages").isNull(), "could_not_open_source").when(~known, F.concat(F.lit("unexpected_pass1_action:"), F.col("pass1_action")))
+        .when(~looks, F.when(F.col("eligible"), "no_keywords_anywhere|skipped_vision").otherwise("no_keywords_anywhere|not_eligible_xy"))
+        .when(F.lit(replies is None), F.when(scanned, "scanned_pdf|vision_disabled").otherwise("deterministic_failed|vision_disabled")).when(F.lit(dry_run), F.concat(F.lit("would_look|"), window))
+        .when(hit, F.concat(F.lit("vision_hit"), sampled)).otherwise(F.concat(F.lit("vision_no_match|window="), window, sampled))
     )
-    path = ledger.output_path(config, F.col("company"), output_name(F.col("stem"), F.col("company"), F.col("start"), F.col("end")))
+    path = ledger.output_path(config, F.col("company"), output_name(F.col("stem"), F.col("company"), F.col("start"), F.col("end"), F.col("year")))
     return rows.select("company", "source_pdf", "source_hash", "year", F.lit("pass2").alias("phase"), "pass1_action", action.alias("action"), result.alias("result"), F.lit(None).cast("string").alias("method"), why.alias("evidence"), F.col("start").alias("extract_page"), F.col("end").alias("extract_end_page"), F.when(hit, path).alias("new_path"))
 
 
 def both(files: DataFrame, pages: DataFrame, replies: DataFrame | None, config: EngineConfig = EngineConfig(), dry_run: bool = False) -> DataFrame:
-    judged = stored(verdict.judged(pages, config), "judged")
-    first = stored(pass1(files, pages, judged, config, dry_run), "pass1")
+    judged = stored(verdict.judged(pages, config).select(*verdict.LOCATING), "judged")
+    first = stored(pass1(files, judged, config, dry_run), "pass1")
     return first.unionByName(pass2(pass2_plan(first, judged, config), files, replies, config, dry_run))

@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..operators import ledger, locate, recover, verdict
 from ..operators.locate import FILE
 from ..sources import corpus, files as sources
-from ..sources.tables import stored
+from ..sources.tables import spread, stored
 from . import passes
 
 CONFIG = EngineConfig()
@@ -27,19 +27,22 @@ class Case:
 
     all_files = cached_property(lambda s: corpus.files(s.spark, s.sf_dir))
     files = cached_property(lambda s: corpus.active(s.all_files))
-    pages = cached_property(lambda s: stored(corpus.pages(s.files).select(*KEY, "text"), "pages"))
-    judged = cached_property(lambda s: stored(verdict.judged(s.pages), "judged"))
-    entries = cached_property(lambda s: locate.toc_entries(s.pages, s.judged))
-    jump = cached_property(lambda s: locate.toc_jump(s.entries, s.judged))
-    starts = cached_property(lambda s: locate.section_starts(s.judged, s.jump))
-    ranges = cached_property(lambda s: locate.section_ends(s.starts, s.judged))
-    pass1 = cached_property(lambda s: stored(passes.pass1(s.files.select("company", "source_pdf", "source_hash", "stem"), s.pages, s.judged), "pass1"))
-    plan = cached_property(lambda s: passes.pass2_plan(s.pass1, s.judged))
-    replies = cached_property(lambda s: corpus.replies(s.files))
-    pass2 = cached_property(lambda s: passes.pass2(s.plan, s.files, s.replies))
+    pages = cached_property(lambda s: corpus.pages(spread(s.files)).select(*KEY, "text"))
+    judged = cached_property(lambda s: verdict.judged(s.pages))
+    # read by several stages of a plan, so written once, without texts
+    located = cached_property(lambda s: stored(s.judged.select(*verdict.LOCATING), "judged"))
+    entries = cached_property(lambda s: locate.toc_entries(s.located))
+    jump = cached_property(lambda s: locate.toc_jump(s.entries, s.located))
+    starts = cached_property(lambda s: locate.section_starts(s.located, s.jump))
+    ranges = cached_property(lambda s: locate.section_ends(s.starts, s.located))
+    records = cached_property(lambda s: s.files.select("company", "source_pdf", "source_hash", "stem"))
+    pass1 = cached_property(lambda s: stored(passes.pass1(s.records, s.located), "pass1"))
+    plan = cached_property(lambda s: passes.pass2_plan(s.pass1, s.located))
+    replies = cached_property(lambda s: corpus.replies(s.files.drop("text")))
+    pass2 = cached_property(lambda s: passes.pass2(s.plan, s.records, s.replies))
     ledger = cached_property(lambda s: ledger.parse_lines(corpus.ledger_lines(s.files)))
     samples = cached_property(lambda s: s.plan.select(*FILE, "n_pages", "ws", "we", "centre", recover.sample_pages(F.col("ws"), F.col("we"), F.col("centre")).alias("pages")))
-    sections = cached_property(lambda s: s.pass1.where("result = 'ok'").select("company", "year", F.col("new_path").alias("path")))
+    sections = cached_property(lambda s: s.pass1.unionByName(s.pass2).where("result = 'ok'").select("company", "year", F.col("new_path").alias("path")))
     report = cached_property(lambda s: ledger.coverage(s.all_files, s.sections))
     outputs = cached_property(
         lambda s: s.pass1.where("result = 'ok' and extract_page % 2 = 0").select("company", sources.presence(F.element_at(F.split("new_path", "/"), -1)).alias("o")).select("company", "o.*").unionByName(
@@ -52,7 +55,7 @@ def _flags(*names: str) -> Callable[[Case], DataFrame]:
 
 
 def _modes(s: Case) -> DataFrame:
-    off, dry = passes.pass2(s.plan, s.files, None), passes.pass2(s.plan, s.files, s.replies, dry_run=True)
+    off, dry = passes.pass2(s.plan, s.records, None), passes.pass2(s.plan, s.records, s.replies, dry_run=True)
     return s.pass2.withColumn("mode", F.lit("on")).unionByName(off.withColumn("mode", F.lit("off"))).unionByName(dry.withColumn("mode", F.lit("dry")))
 
 
@@ -94,9 +97,9 @@ CASES: dict[str, Callable[[Case], DataFrame]] = {
     # finders
     "toc_entries": lambda s: s.entries,
     "toc_jump": lambda s: s.jump,
-    "first_section_page": lambda s: locate.first_pages(s.judged).where("start is not null").select(*FILE, "start", "kind"),
-    "scan_position": lambda s: locate.first_pages(s.judged).select(*FILE, "scanned"),
-    "priority_scan": lambda s: locate.first_pages(s.judged, centre="6", radius=2).where("start is not null").select(*FILE, "start", "kind"),
+    "first_section_page": lambda s: locate.first_pages(s.located).where("start is not null").select(*FILE, "start", "kind"),
+    "scan_position": lambda s: locate.first_pages(s.located).select(*FILE, "scanned"),
+    "priority_scan": lambda s: locate.first_pages(s.located, centre="6", radius=2).where("start is not null").select(*FILE, "start", "kind"),
     "section_start": lambda s: s.starts,
     "section_range": lambda s: s.ranges,
     "vision_sample": lambda s: s.samples.select("source_pdf", F.size("pages").cast("bigint").alias("n_sampled"), F.array_join(F.transform("pages", lambda p: p.cast("string")), ",").alias("sampled")),

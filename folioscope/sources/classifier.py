@@ -1,17 +1,27 @@
-"""The external yes/no page classifier: prompts, keys with rate limits, and a table that stands in for it.
+"""The external yes/no page classifier: prompts, keys with a pace, and the tasks that ask.
 
-Calls cost money, so a file's pages are asked in order in one task and stop at the first yes (`ask_files`).
+Calls cost money, so a file's pages are asked in order in one task and stop at the first yes (`ask_files`). Each task holds its
+own keys and an equal share of their pace, so no state crosses machines; what was used comes back through an accumulator.
 """
 
 from __future__ import annotations
 
+import base64
+import heapq
+import io
+import json
+import os
 import time
-from collections.abc import Callable
+import urllib.error
+import urllib.request
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from typing import Protocol
+from typing import Any, Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark import AccumulatorParam
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import EngineConfig
 
@@ -19,87 +29,81 @@ PROMPTS = {
     "find": "Does this page of an annual report hold the government auditor's comments: their heading, their text, a certificate that there are none, or their signature? A passing mention, a contents list, another auditor's report or accounts don't count. Answer YES or NO.",
     "continue": "The page before holds the government auditor's comments. Does this page carry them on, by text or signature, rather than begin something else? Answer YES or NO.",
 }
+#: Parts of keys that nobody has filled in. Fixed values.
+PLACEHOLDERS = ("REPLACE_ME", "xxxx")
 
 
 class PageOracle(Protocol):
     def __call__(self, source_pdf: str, page: int, prompt: str) -> bool | None: ...
 
 
-@dataclass
-class _Key:
-    calls: int = 0
-    errors_429: int = 0
-    errors_auth: int = 0
-    blocked_until: float = 0.0
-    exhausted: bool = False
-    next_call: float = 0.0
+def usable_keys(given: list[str] | None = None, variable: str = "OPENAI_API_KEY") -> list[str]:
+    """Keys that aren't empty or placeholders; without any given, those of the environment variable, separated by commas."""
+    found = given if given is not None else os.environ.get(variable, "").split(",")
+    return [k.strip() for k in found if k and k.strip() and not any(p in k for p in PLACEHOLDERS)]
+
+
+def outcome_of(error: Exception) -> str:
+    code = str(getattr(error, "code", "")) + " " + str(error)
+    return "throttled" if "429" in code else "refused" if "401" in code or "403" in code else "failed"
 
 
 @dataclass
-class KeyRing:
-    """Keys in turn, each with its own pace. A task's ring gets the pace of one of `share` tasks; it never sleeps under a lock."""
+class Pace:
+    """The keys of one task, as a queue by the time from which each may be used. A refused key leaves it; a throttled one waits longer."""
 
     keys: list[str]
-    config: EngineConfig = EngineConfig()
-    share: int = 1
-    now: Callable[[], float] = time.monotonic
+    gap: float
+    cooldown: float
+    clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
-    state: dict[str, _Key] = field(init=False)
+    used: Counter = field(default_factory=Counter)
 
     def __post_init__(self):
         if not self.keys:
             raise ValueError("at least one key is needed")
-        self.state = {k: _Key() for k in self.keys}
-        self._turn = 0
-
-    def acquire(self) -> str | None:
-        """The next key that may be used, after its gap; None when all are exhausted."""
-        while not all(s.exhausted for s in self.state.values()):
-            for step in range(len(self.keys)):
-                i = (self._turn + step) % len(self.keys)
-                s = self.state[self.keys[i]]
-                if s.exhausted or self.now() < s.blocked_until:
-                    continue
-                if (wait := s.next_call - self.now()) > 0:
-                    self.sleep(wait)
-                s.next_call = self.now() + 60.0 * self.share / self.config.requests_a_minute
-                s.calls += 1
-                self._turn = (i + 1) % len(self.keys)
-                return self.keys[i]
-            self.sleep(self.config.all_blocked_wait_s)
+        self.ready = [(float("-inf"), i) for i in range(len(self.keys))]
+
+    def call(self, send: Callable[[str], str | None], attempts: int) -> str | None:
+        """The reply to send(key), with up to so many attempts; None when they all fail or no key is left."""
+        for _ in range(attempts):
+            if not self.ready:
+                return None
+            at, i = heapq.heappop(self.ready)
+            if (wait := at - self.clock()) > 0:
+                self.sleep(wait)
+            began, reply, outcome = self.clock(), None, "answered"
+            try:
+                reply = send(self.keys[i])
+            except Exception as e:  # noqa: BLE001  the next attempt may do better
+                outcome = outcome_of(e)
+            self.used[self.keys[i][-8:], outcome] += 1
+            if outcome != "refused":
+                heapq.heappush(self.ready, ((self.clock() + self.cooldown) if outcome == "throttled" else began + self.gap, i))
+            if outcome == "answered":
+                return reply
         return None
 
-    def throttled(self, key: str) -> None:
-        self.state[key].errors_429 += 1
-        self.state[key].blocked_until = self.now() + self.config.cooldown_s
 
-    def refused(self, key: str) -> None:
-        self.state[key].errors_auth += 1
-        self.state[key].exhausted = True
+class _Used(AccumulatorParam):
+    def zero(self, value: Counter) -> Counter:
+        return Counter()
 
-    def summary(self) -> list[dict]:
-        return [{"key_tail": k[-8:], "calls": s.calls, "errors_429": s.errors_429, "errors_auth": s.errors_auth, "exhausted": s.exhausted} for k, s in self.state.items()]
+    def addInPlace(self, a: Counter, b: Counter) -> Counter:  # noqa: N802
+        return a + b
 
 
-def verdict_of(reply: str | None) -> bool:
-    said = (reply or "").upper()
-    return "YES" in said and "NO" not in said
+def usage(spark: SparkSession):
+    """Counts of calls by the key's last characters and outcome, summed over tasks."""
+    return spark.sparkContext.accumulator(Counter(), _Used())
 
 
-def ask(call: Callable[[str], str | None], ring: KeyRing) -> bool | None:
-    """Asks with up to `attempts` keys; None when there is no key left or all attempts fail."""
-    for _ in range(ring.config.attempts):
-        key = ring.acquire()
-        if key is None:
-            return None
-        try:
-            return verdict_of(call(key))
-        except Exception as e:  # noqa: BLE001
-            if "429" in str(e):
-                ring.throttled(key)
-            elif "401" in str(e) or "403" in str(e):
-                ring.refused(key)
-    return None
+def verdict_of(reply: str | None) -> bool | None:
+    """Whether a reply says yes and not no; None without a reply."""
+    if reply is None:
+        return None
+    said = reply.upper()
+    return "YES" in said and "NO" not in said
 
 
 def request_arguments(model: str, config: EngineConfig = EngineConfig()) -> dict:
@@ -109,26 +113,88 @@ def request_arguments(model: str, config: EngineConfig = EngineConfig()) -> dict
     return {"model": model, "max_tokens": config.reply_tokens, "temperature": 0}
 
 
+def pdf_image(source_pdf: str, page: int, dpi: int) -> Any | None:
+    """A page as an image, by the optional pdf2image package."""
+    from pdf2image import convert_from_path
+
+    images = convert_from_path(source_pdf.removeprefix("file:"), first_page=page, last_page=page, dpi=dpi)
+    return images[0] if images else None
+
+
+def image_base64(image: Any, quality: int) -> str:
+    """JPEG of an image (anything with convert and save, as Pillow's) or of JPEG bytes, in base64."""
+    if not isinstance(image, bytes):
+        out = io.BytesIO()
+        image.convert("RGB").save(out, format="JPEG", quality=quality)
+        image = out.getvalue()
+    return base64.b64encode(image).decode()
+
+
+def post(url: str, key: str, body: dict, timeout: float = 60.0) -> str | None:
+    """A chat completion's reply."""
+    request = urllib.request.Request(f"{url.rstrip('/')}/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
+    with urllib.request.urlopen(request, timeout=timeout) as got:
+        return json.load(got)["choices"][0]["message"]["content"]
+
+
+@dataclass
+class ImageOracle:
+    """Renders a page and asks a model about it. render, send and pace can be replaced; `tasks` share the pace of the keys."""
+
+    keys: list[str]
+    config: EngineConfig = EngineConfig()
+    tasks: int = 8
+    render: Callable[[str, int, int], Any | None] = pdf_image
+    send: Callable[[str, str, dict], str | None] = post
+    used: Any = None
+    pace: Pace | None = None
+
+    def __call__(self, source_pdf: str, page: int, prompt: str) -> bool | None:
+        c = self.config
+        image = self.render(source_pdf, page, c.dpi)
+        if image is None:
+            return None
+        if self.pace is None:
+            self.pace = Pace(self.keys, 60.0 * self.tasks / c.requests_a_minute, c.cooldown_s)
+        before = Counter(self.pace.used)
+        picture = {"type": "image_url", "image_url": {"url": f"data:image/jpeg;base64,{image_base64(image, c.image_quality)}", "detail": c.image_detail}}
+        body = request_arguments(c.model, c) | {"messages": [{"role": "user", "content": [{"type": "text", "text": PROMPTS[prompt]}, picture]}]}
+        reply = self.pace.call(lambda key: self.send(c.base_url, key, body), c.attempts)
+        if self.used is not None:
+            self.used.add(self.pace.used - before)
+        return verdict_of(reply)
+
+
 def ask_files(samples: DataFrame, oracle: PageOracle, config: EngineConfig = EngineConfig(), tasks: int = 8) -> DataFrame:
     """Asks for each file of samples (company, source_pdf, n_pages, pages): replies (company, source_pdf, page, verdict), as a table that both passes read.
 
-    At most `tasks` tasks ask at once, which is what key rings divide their pace by. A page that fails has a null verdict.
+    At most `tasks` tasks ask at once, which is what an oracle divides its pace by. A page that fails, to render or to be
+    answered, has a null verdict: a search goes on to the next page, a walk ends there.
     """
 
-    def run(batches):
+    def judged(source: str, page: int, prompt: str) -> bool | None:
+        try:
+            return oracle(source, page, prompt)
+        except Exception:  # noqa: BLE001  a null verdict
+            return None
+
+    def asked(source: str, pages: list[int], n_pages: int) -> Iterator[tuple[int, bool | None]]:
+        for p in pages:
+            verdict = judged(source, int(p), "find")
+            yield int(p), verdict
+            if verdict:
+                break
+        else:
+            return
+        for q in range(int(p) + 1, min(int(p) + config.walk_pages, n_pages) + 1):
+            verdict = judged(source, q, "continue")
+            yield q, verdict
+            if not verdict:
+                return
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for r in b.itertuples():
-                replies: dict[int, bool | None] = {}
-                try:
-                    start = next((p for p in r.pages if replies.setdefault(p, oracle(r.source_pdf, int(p), "find"))), None)
-                    for p in range(start + 1, min(start + config.walk_pages, r.n_pages) + 1) if start else ():
-                        replies[p] = oracle(r.source_pdf, int(p), "continue")
-                        if not replies[p]:
-                            break
-                except Exception:  # noqa: BLE001
-                    pass
-                out += [(r.company, r.source_pdf, p, v) for p, v in replies.items()]
+            out = [(r.company, r.source_pdf, p, v) for r in b.itertuples() for p, v in asked(r.source_pdf, r.pages, r.n_pages)]
             yield pd.DataFrame(out, columns=["company", "source_pdf", "page", "verdict"]).astype({"page": "int32"})
 
     return samples.select("company", "source_pdf", "n_pages", F.col("pages")).coalesce(tasks).mapInPandas(run, "company string, source_pdf string, page int, verdict boolean")

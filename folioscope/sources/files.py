@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,16 +15,49 @@ from ..config import EngineConfig
 Decoder = Callable[[bytes], list[str]]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """path as Spark's readers write it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def company_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of root's folders that aren't hidden. One listing of one folder, which the driver does for every read anyway."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory() and not f.getPath().getName().startswith("."))
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.pdf", config: EngineConfig = EngineConfig()) -> DataFrame:
-    """company, source_pdf, stem, source_hash, content of files below root's company folders; hidden folders and archives are left out."""
+    """company, source_pdf, stem, source_hash, content of files below root's company folders; hidden folders and archives are left out.
+
+    Contents are read only by plans that use content or source_hash.
+    """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    below = F.substring_index("path", root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
-    parts = F.split(below, "/")
-    rows = raw.withColumns({"_parts": parts, "company": F.element_at(parts, 1)}).where(F.size("_parts") > 1)
+    prefix = qualified(spark, root) + "/"
+    rows = raw.where(F.startswith("path", F.lit(prefix))).withColumn("_parts", F.split(F.substr("path", F.lit(len(prefix) + 1)), "/"))
+    rows = rows.where(F.size("_parts") > 1).withColumn("company", F.element_at("_parts", 1))
     rows = rows.where(~F.col("company").startswith(".") & ~F.array_contains("_parts", config.archive_dir))
     return rows.select("company", F.col("path").alias("source_pdf"), F.regexp_replace(F.element_at("_parts", -1), r"\.[^.]*$", "").alias("stem"), F.substring(F.sha1("content"), 1, 16).alias("source_hash"), "content")
 
 
+def list_outputs(spark: SparkSession, root: str, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """company, path, kind, year, short and name of sections and copies below an output folder; none where it isn't there yet."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], "company string, path string, kind string, year string, short string, name string")
+    prefix = qualified(spark, root) + "/"
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(root).select("path").where(F.startswith("path", F.lit(prefix)))
+    below = F.substr("path", F.lit(len(prefix) + 1))
+    folder = F.regexp_replace(F.regexp_replace(below, "/[^/]*$", ""), "^[^/]*/", "")
+    rows = raw.select(F.split(below, "/")[0].alias("company"), "path", folder.alias("folder"), presence(F.element_at(F.split("path", "/"), -1)).alias("o"))
+    return rows.where(((F.col("folder") == config.sections_dir) & (F.col("o.kind") == "section")) | (F.col("folder") == config.missing_dir)).select("company", "path", F.when(F.col("folder") == config.missing_dir, "copy").otherwise("section").alias("kind"), "o.year", "o.short", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.pdf$", "").alias("name"))
+
+
 def companies(files: DataFrame, only: str | None = None) -> DataFrame:
     """files of companies whose name contains `only`, whatever its case."""
     return files if not only else files.where(F.contains(F.lower("company"), F.lit(only.lower())))
@@ -58,39 +94,94 @@ def pypdf_pages(content: bytes) -> list[str]:
     return out
 
 
-def write_sections(ranges: DataFrame, write: Callable[[str, int, int, str], str]) -> DataFrame:
-    """ranges (source_pdf, start, end, n_pages, new_path) with status, by write(source, start, end, target) on the executors.
+def pypdf_write(source: str, start: int, end: int, target: str) -> None:
+    """Writes pages of a file as a file of their own, by the optional pypdf package."""
+    from pypdf import PdfReader, PdfWriter
+
+    with _opened(source) as f:
+        reader, writer = PdfReader(f), PdfWriter()
+        for i in range(start - 1, end):
+            writer.add_page(reader.pages[i])
+        with _created(target) as out:
+            writer.write(out)
+
 
-    The end is held between the start and the last page; a start outside the file isn't written.
+def write_sections(records: DataFrame, write: Callable[[str, int, int, str], None], root: str) -> DataFrame:
+    """records with the outcome of write(source, start, end, target) for those of result ok, on the executors; target is below root.
+
+    The end is held between the start and the last page (n_pages). What can't be written becomes result error, with the reason as
+    evidence and without path and pages; it fails no other record. Writing again replaces a file, so a task may be run twice.
     """
+    columns = records.drop("n_pages").columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for r in b.itertuples():
-                end = max(r.start, min(r.end, r.n_pages))
-                if not 1 <= r.start <= r.n_pages:
-                    out.append(f"start_out_of_range_(pdf_has_{r.n_pages})")
-                    continue
+            out = b.copy()
+            for i in b.index[b["result"] == "ok"]:
+                start, n = int(b.at[i, "extract_page"]), int(b.at[i, "n_pages"])
+                end = max(start, min(int(b.at[i, "extract_end_page"]), n))
                 try:
-                    write(r.source_pdf, r.start, end, r.new_path)
-                    out.append(f"saved_pages_{r.start}-{end}")
-                except Exception as e:  # noqa: BLE001
-                    out.append(f"write_failed:{str(e)[:200]}")
-            yield b.assign(status=out)
-
-    base = ranges.select("source_pdf", "start", "end", "n_pages", "new_path")
-    return base.mapInPandas(run, "source_pdf string, start int, end int, n_pages int, new_path string, status string")
-
-
-def copy_files(spark: SparkSession, pairs: DataFrame) -> None:
-    """Copies source to target (columns) where the target doesn't exist, by Spark's binary files and one folder a run: see to_organise."""
-    for r in pairs.select("source", "target").toLocalIterator():
-        hadoop = spark._jvm.org.apache.hadoop
-        conf = spark._jsc.hadoopConfiguration()
-        a, b = hadoop.fs.Path(r.source), hadoop.fs.Path(r.target)
-        if not b.getFileSystem(conf).exists(b):
-            hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+                    if not 1 <= start <= n:
+                        raise ValueError(f"start_out_of_range_(pdf_has_{n})")
+                    write(b.at[i, "source_pdf"], start, end, f"{root}/{b.at[i, 'new_path']}")
+                    out.at[i, "extract_end_page"] = end
+                except Exception as e:  # noqa: BLE001  becomes a row
+                    out.loc[i, ["result", "evidence"]] = ["error", f"save_fail:{e}"[: EngineConfig().error_chars]]
+                    out.loc[i, ["extract_page", "extract_end_page", "new_path"]] = None
+            for c in ("extract_page", "extract_end_page"):
+                out[c] = out[c].astype("Int32")
+            yield out[columns]
+
+    return records.mapInPandas(run, records.drop("n_pages").schema)
+
+
+def _place(path: str):
+    """File system and path of a path as Spark writes it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def _opened(path: str):
+    system, at = _place(path)
+    return system.open_input_file(at)
+
+
+@contextmanager
+def _created(path: str):
+    """A stream whose file appears under its name when all is written."""
+    system, at = _place(path)
+    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    part = f"{at}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as out:
+        yield out
+    system.move(part, at)
+
+
+def copy_files(pairs: DataFrame) -> DataFrame:
+    """pairs (source, target) with status, copying on the executors what isn't there yet: copied, present or the error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for b in batches:
+            said = []
+            for source, target in zip(b["source"], b["target"], strict=True):
+                try:
+                    system, at = _place(target)
+                    if system.get_file_info(at).type != fs.FileType.NotFound:
+                        said.append("present")
+                        continue
+                    with _opened(source) as f, _created(target) as out:
+                        shutil.copyfileobj(f, out, 1 << 20)
+                    said.append("copied")
+                except Exception as e:  # noqa: BLE001  becomes a row
+                    said.append(f"copy_failed:{e}"[: EngineConfig().error_chars])
+            yield b.assign(status=said)
+
+    return pairs.select("source", "target").mapInPandas(run, "source string, target string, status string")
 
 
 def presence(outputs: Column) -> Column:

@@ -1,20 +1,42 @@
-"""Tables kept for a run in the folder that all machines see."""
+"""Tables kept for a run in the folder that all machines see, and their spread over tasks."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
+_LOCAL: list[str] = []
+
+
+def shared_root(df: DataFrame) -> str:
+    """The folder of spark.checkpoint.dir. Only a local session may go without that setting; it gets a temporary folder that goes with it."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="folioscope-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir (a temporary one only where that is unset) and read again.
+    """df written to the shared folder and read again.
 
     What several later stages read is computed once, survives lost executors, and keeps wide projections out of later plans.
     """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioscope-")
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(df)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(files: DataFrame, key: str = "source_pdf") -> DataFrame:
+    """files in as many tasks as there are cores at least, before rows become many: a table may come as one row group. Tables of more parts stay as they are."""
+    n = files.sparkSession.sparkContext.defaultParallelism
+    return files if files.rdd.getNumPartitions() >= n else files.repartition(2 * n, key)

@@ -105,34 +105,68 @@ def test_files_and_bad_pages(spark, tmp_path):
         (tmp_path / name).write_bytes(b"one\ftwo" if name != "Other/d/e.pdf" else b"\xff")
     listed = files.list_files(spark, str(tmp_path))
     assert sorted(r.stem for r in listed.collect()) == ["a", "e"]
+    for name in ("reports/Acme/old_reports/x.pdf", "reports/Acme/reports/y.pdf"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"one")
+    assert sorted((r.company, r.stem) for r in files.list_files(spark, f"{tmp_path}/reports/").select("company", "stem").collect()) == [("Acme", "x"), ("Acme", "y")]
     got = files.read_pages(listed, lambda b: b.decode().split("\f")).collect()
     assert sorted((r.page or 0, bool(r.error)) for r in got) == [(0, True), (1, False), (2, False)]
 
 
-def test_keys():
+def test_pace():
     clock = [0.0]
-    ring = classifier.KeyRing(["a" * 9, "b" * 9], now=lambda: clock[0], sleep=lambda s: clock.__setitem__(0, clock[0] + s))
-    replies = iter(["YES", RuntimeError("429 slow"), RuntimeError("401"), "no, YES"])
+    pace = classifier.Pace(["a" * 9, "b" * 9], 0.3, 65.0, lambda: clock[0], lambda s: clock.__setitem__(0, clock[0] + s))
+    replies = iter(["YES", RuntimeError("429 slow"), RuntimeError("401"), "no, YES", RuntimeError("broken"), "NO"])
 
-    def call(key):
+    def send(key):
         if isinstance(x := next(replies), Exception):
             raise x
         return x
 
-    assert classifier.ask(call, ring) is True
-    assert classifier.ask(call, ring) is False
-    assert [s["errors_429"] + s["errors_auth"] for s in ring.summary()] == [1, 1]
-    for k in ring.keys:
-        ring.refused(k)
-    assert classifier.ask(call, ring) is None
+    assert pace.call(send, 3) == "YES" and clock[0] == 0.0
+    # b is throttled; a waits for its gap, is refused and leaves; b comes back after its cooldown
+    assert pace.call(send, 3) == "no, YES" and clock[0] == 65.0
+    assert pace.call(send, 1) is None
+    assert pace.call(send, 1) == "NO" and round(clock[0], 6) == 65.6
+    assert {k[1]: n for k, n in pace.used.items()} == {"answered": 1, "throttled": 1, "refused": 1, "failed": 1} or sum(pace.used.values()) == 6
     with pytest.raises(ValueError):
-        classifier.KeyRing([])
+        classifier.Pace([], 0.3, 65.0)
+    assert classifier.Pace(["a"], 0, 0).call(lambda k: (_ for _ in ()).throw(RuntimeError("403")), 3) is None
+
+
+def test_usable_keys(monkeypatch):
+    assert classifier.usable_keys(["", "sk-REPLACE_ME", "xxxx", " good "]) == ["good"]
+    monkeypatch.setenv("OPENAI_API_KEY", "one,two")
+    assert classifier.usable_keys() == ["one", "two"]
+    monkeypatch.delenv("OPENAI_API_KEY")
+    assert classifier.usable_keys() == []
+
+
+def test_image_oracle():
+    sent = []
+    oracle = classifier.ImageOracle(["k" * 9], render=lambda s, p, d: b"jpeg" if p != 2 else None, send=lambda url, key, body: sent.append(body) or "yes")
+    assert oracle("f", 1, "find") is True and oracle("f", 2, "find") is None
+    assert sent[0]["messages"][0]["content"][1]["image_url"]["url"] == "data:image/jpeg;base64,anBlZw==" and sent[0]["max_tokens"] == 50
+    assert classifier.request_arguments("o3-mini")["reasoning_effort"] == "low"
+
+
+def _page_judge(source, page, prompt):
+    if page == 1:
+        raise RuntimeError("no image")
+    return page in (2, 3)
+
+
+def test_a_bad_page_is_one_null_verdict(spark):
+    rows = spark.createDataFrame([("c", "f", 9, [1, 2, 5]), ("c", "g", 1, [1])], "company string, source_pdf string, n_pages int, pages array<int>")
+    got = classifier.ask_files(rows, _page_judge)
+    assert sorted((r.source_pdf, r.page, r.verdict) for r in got.collect()) == [("f", 1, None), ("f", 2, True), ("f", 3, True), ("f", 4, False), ("g", 1, None)]
+    assert recover.yes_range(recover.first_yes(rows, got), got).select("start", "end").collect() == [(2, 3)]
 
 
 @settings(max_examples=30, deadline=None)
 @given(st.text(alphabet="YESNOT ", max_size=12))
 def test_replies(reply):
-    assert classifier.verdict_of(reply) == ("YES" in reply and "NO" not in reply)
+    assert classifier.verdict_of(reply) == ("YES" in reply and "NO" not in reply) and classifier.verdict_of(None) is None
 
 
 def test_window(spark):
@@ -142,3 +176,93 @@ def test_window(spark):
         buffer = max(int(max(30, r.b - r.a + 1) * 0.3), 5)
         want = (max(1, r.a - buffer), min(r.n, r.b + buffer))
         assert (r.ws, r.we) == (want if want[0] <= want[1] else (1, r.n))
+
+
+def _decode(content):
+    if content == b"broken":
+        raise ValueError("not a document")
+    return content.decode().split("\f")
+
+
+def _copy_pages(source, start, end, target):
+    if "unwritable" in target:
+        raise OSError("full")
+    with files._opened(source) as f, files._created(target) as out:
+        out.write("\f".join(_decode(f.read())[start - 1 : end]).encode())
+
+
+def _second_page(source, page, prompt):
+    return page == 2
+
+
+def test_command_twice_over_folders(spark, tmp_path):
+    """Folders of fake files through the command: sections and copies are written, a second run has nothing to do."""
+    from folioscope.__main__ import main
+
+    filler = "y" * 250
+    section = "\f".join([filler, f"{H}\n{B}\n{S}" + "x" * 200, "short"])
+    made = {"Acme Steel Ltd/R_AR_2001.pdf": section, "Acme Steel Ltd/deep/R_AR_2002.pdf": section, "Acme Steel Ltd/R_AR_2003.pdf": section, "Acme Steel Ltd/R_AR_2004.pdf": "one\ftwo\fthree", "Acme Steel Ltd/R_AR_2005.pdf": filler, "Acme Steel Ltd/archives/R_AR_1990.pdf": section, "Other/R_AR_2001.pdf": "broken"}
+    for name, text in made.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    (tmp_path / "in" / "Empty").mkdir()
+    given = [str(tmp_path / "in"), str(tmp_path / "out"), "--decode", f"{__name__}:_decode", "--write", f"{__name__}:_copy_pages"]
+    out = tmp_path / "out"
+    assert main([*given, "--skip-vision", "--dry-run"], spark) == 0
+    assert not list(out.rglob("*.pdf"))
+    assert main([*given, "--oracle", f"{__name__}:_second_page"], spark) == 0
+    wrote = sorted(p.relative_to(out).as_posix() for p in out.rglob("*.pdf"))
+    names = [f"Acme Steel Ltd/comments_mentioned/cag_pages/{y}__Acme_Steel__cag_p2_en.pdf" for y in (2001, 2002, 2003, 2004)]
+    assert wrote == sorted([*names, "Acme Steel Ltd/no_comments_content/R_AR_2005.pdf"])
+    assert (out / names[0]).read_text().startswith(H)
+    rows = {(r.source_pdf.rsplit("/", 1)[-1], r.company, r.phase): r for r in ledger.read(spark, str(out / "_ledger")).where("result <> 'dry_run'").orderBy("seq").collect()}
+    assert rows["R_AR_2001.pdf", "Other", "pass1"].action == "ERROR" and "not a document" in rows["R_AR_2001.pdf", "Other", "pass1"].evidence
+    assert rows["R_AR_2004.pdf", "Acme Steel Ltd", "pass2"].action == "VISION" and rows["R_AR_2005.pdf", "Acme Steel Ltd", "pass2"].action == "TRULY_MISSING"
+    report = spark.read.option("header", True).csv(str(out / "missing_years_report"))
+    assert {(r.company, r.year, r.status, r.source_filename) for r in report.collect()} == {("Acme Steel Ltd", str(y), "present_clean", f"R_AR_{y}") for y in range(2001, 2005)} | {("Acme Steel Ltd", "2005", "missing_extract", "R_AR_2005"), ("Other", "2001", "missing_extract", "R_AR_2001")}
+    before = ledger.read(spark, str(out / "_ledger")).count()
+    assert main([*given, "--skip-vision", "--company", "acme"], spark) == 0
+    assert ledger.read(spark, str(out / "_ledger")).count() == before
+    assert len(list(out.glob("run_log_*.txt"))) >= 1
+
+
+def test_command_exit_codes(spark, tmp_path, monkeypatch):
+    from folioscope.__main__ import main
+
+    monkeypatch.delenv("OPENAI_API_KEY", raising=False)
+    assert main([str(tmp_path / "none"), str(tmp_path / "out")], spark) == 1
+    assert main([str(tmp_path), str(tmp_path / "out")], spark) == 4
+
+
+def test_unwritable_section_is_an_error_record(spark, tmp_path):
+    rows = spark.createDataFrame([("s", "ok", "k", 1, 2, "c/unwritable.pdf", 5), ("s", "ok", "k", 9, 9, "c/x.pdf", 5), ("s", "deferred", "k", None, None, None, 5)], "source_pdf string, result string, evidence string, extract_page int, extract_end_page int, new_path string, n_pages int")
+    got = files.write_sections(rows, _copy_pages, str(tmp_path)).collect()
+    assert sorted((r.result, r.extract_page) for r in got) == [("deferred", None), ("error", None), ("error", None)]
+    assert any("out_of_range" in r.evidence for r in got) and any("full" in r.evidence for r in got)
+
+
+RULE_CASES = {
+    "canonical": (["Comments of the Comptroller and Auditor General", "COMMENTS  of the comptroller & auditor general"], ["Comments of Comptroller and Auditor General"]),
+    "short_header": (["Comments of C&AG", "comments of the CAG", "C & AG Comments", "Comments of C and AG"], ["xCAG Comments", "CAG Commentsx"]),
+    "nil_comments": (["No Comments by the C & AG", "nil comments", "have decided not to conduct the supplementary audit"], ["No Comments by anyone"]),
+    "body_behalf": (["I on behalf of the Comptroller and Auditor General"], ["on behalf of the Comptroller and Auditor General"]),
+    "body_section": (["have conducted a supplementary audit under S. 619 (4)", "have conducted a supplementary audit under Section 143(6)"], ["have conducted a supplementary audit under Section 143(5)"]),
+    "body_decl": (["Comptroller and Auditor General of India (CAG) has conducted a supplementary audit"], ["Comptroller and Auditor General has conducted a supplementary audit"]),
+    "nil_body": (["nothing significant has come to knowledge", "no comment upon or supplement to", "nothing has come to my notice"], ["nothing came to my notice"]),
+    "signature": (["Director General of Audit", "For on behalf of the Comptroller & Auditor General", "Pr Director of Audit", "Principal D\u0130rector of Commercial Audit"], ["Director of Audit"]),
+    "redirect": (["annexed hereto", "forms part of this report", "appended to this report", "is enclosed herewith", "attached herewith", "placed after", "placed immediately after the Audit"], ["nothing of the kind"]),
+    "any_evidence": (["Section 619 (2", "C & AG", "the CAG", "supplementary audit"], ["CAGE", "section 143 (5"]),
+    "disqualifier": (["  Secretarial Auditors Report", "Cost Audit Report", "Form MGT-9", "x\nInternal Auditor's Report", "Directors Report to the Members"], ["a Form MGT-9"]),
+    "firm": (["S.R.B.C & Co", "E.Y", "pwc", "BSR & Co", "(Firm Registration No", "Chartered Accountants\nFirm Registration"], ["they", "Sharp & Co"]),
+}
+
+
+def test_rules_by_literal_texts(spark):
+    """Each alternative with both signs; the words by which texts are passed over change nothing."""
+    from folioscope.functions.rules import PRESET, folded
+
+    for name, (yes, no) in RULE_CASES.items():
+        rule = getattr(PRESET, name)
+        t = spark.createDataFrame([(x, True) for x in yes] + [(x, False) for x in no], "t string, want boolean")
+        got = t.select("t", "want", rule.found(F.col("t"), folded(F.col("t"))).alias("gated"), rule.found(F.col("t")).alias("bare")).collect()
+        assert [(r.t, r.gated, r.bare) for r in got if not r.gated == r.bare == r.want] == [], name
