@@ -3,12 +3,14 @@
 Found are payment card numbers (13 to 19 digits, single spaces or hyphens between them, valid by Luhn; in a longer run of digits
 the first and then longest valid part between separators), telephone numbers
 (`+1 (ddd) ddd-dddd`, `+1 ddd ddd dddd`, with points or hyphens, and forms without the code), dotted IPv4 addresses without leading zeros, US social security numbers
-of valid areas, groups and serials, and dates (yyyy-mm-dd, mm/dd/yyyy or else dd/mm/yyyy, dd.mm.yyyy; 1800-01-01 to
-2099-12-20) that the calendar has. What touches a letter, digit or underscore, or isn't valid, stays. Each value is permuted
-among the valid values of its format: a card stays valid with as many digits and separators in place, a date stays a date.
-
-One key gives one permutation, so equal values stay equal across documents and different ones different (in a format; the
-two slashed date forms are separate formats). Null text stays null, and nothing depends on other rows: no shuffle.
+of valid areas, groups and serials, and dates (yyyy-mm-dd, mm/dd/yyyy or dd/mm/yyyy, dd.mm.yyyy; years 0001 to 9999) that the
+calendar has. What touches a letter, digit or underscore, or isn't valid, stays. Each value is permuted among the valid values
+of its format: a card stays valid with as many digits and separators in place, a date stays a date, a telephone number's ten
+digits become any ten. Slashed dates are one format: all strings that either reading takes for a date.
+
+One key gives one permutation of a format, so equal values stay equal across documents and different ones different. Where the
+valid values don't fill the network's domain, it is applied until it gives a valid one, which keeps it a permutation. Null text
+stays null, and nothing depends on other rows: no shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 _ROUNDS = 10
-_BASE, _SIDE = "1800-01-01", 331
+#: First day, days up to 9999-12-31, and the side of a square that holds them.
+_BASE, _DAYS, _SIDE = "0001-01-01", 3_652_059, 1912
+#: Steps by which a value returns to the valid ones. At most 0.4 of a domain is invalid, so no key is known to need as many.
+_WALK = 96
 #: Fixed forms, tried in this order at each place.
 FORMS = {
     "phone": r"(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}",
@@ -47,6 +52,12 @@ def _feistel(a: Column, b: Column, m, n, key: str, kind: str) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS - 1)), F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b")), turn)
 
 
+def _walked(a: Column, b: Column, m: int, n: int, key: str, kind: str, valid) -> Column:
+    """A permutation of the pairs that valid(struct of a and b) admits, of which (a, b) is one."""
+    step = lambda s: _feistel(s["a"], s["b"], m, n, key, kind)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), _feistel(a, b, m, n, key, kind), lambda s, _: F.when(valid(s), s).otherwise(step(s)))
+
+
 def _number(x: Column) -> Column:
     return x.try_cast("bigint")
 
@@ -118,12 +129,31 @@ def _ssn(x: Column, key: str) -> Column:
     return F.when(fits, F.concat_ws("-", F.lpad(back.cast("string"), 3, "0"), F.lpad((F.floor(s["b"] / 9999) + 1).cast("int").cast("string"), 2, "0"), F.lpad((s["b"] % 9999 + 1).cast("string"), 4, "0")))
 
 
+def _day(year: Column, month: Column, day: Column) -> Column:
+    """A date of such digits, else null."""
+    return F.when(year != "0000", F.concat_ws("-", year, month, day).try_cast("date"))
+
+
 def _date(x: Column, key: str, form: str, year: int, month: int, day: int) -> Column:
-    """Null where x, read by positions, is no date of the range."""
-    date = F.concat_ws("-", F.substring(x, year, 4), F.substring(x, month, 2), F.substring(x, day, 2)).try_cast("date")
-    at = F.datediff(date, F.lit(_BASE).cast("date"))
-    s = _feistel(F.floor(at / _SIDE), at % _SIDE, _SIDE, _SIDE, key, form)
-    return F.when((at >= 0) & (at < _SIDE * _SIDE), F.date_format(F.date_add(F.lit(_BASE).cast("date"), (s["a"] * _SIDE + s["b"]).cast("int")), form))
+    """Null where x, read by positions, is no date."""
+    at = F.datediff(_day(F.substring(x, year, 4), F.substring(x, month, 2), F.substring(x, day, 2)), F.lit(_BASE).cast("date"))
+    s = _walked(F.floor(at / _SIDE), at % _SIDE, _SIDE, _SIDE, key, form, lambda s: s["a"] * _SIDE + s["b"] < _DAYS)
+    return F.when(at.isNotNull(), F.date_format(F.date_add(F.lit(_BASE).cast("date"), (s["a"] * _SIDE + s["b"]).cast("int")), form))
+
+
+def _slashed(x: Column, key: str) -> Column:
+    """Of nn/nn/yyyy, in which either number may be the month; null where neither reading is a date."""
+    padded = lambda v, n: F.lpad(v.cast("string"), n, "0")
+
+    def fits(one: Column, two: Column, year: Column) -> Column:
+        return _day(year, one, two).isNotNull() | _day(year, two, one).isNotNull()
+
+    def parts(s: Column) -> tuple[Column, Column, Column]:
+        return padded(F.floor(s["a"] / 31) + 1, 2), padded(s["a"] % 31 + 1, 2), padded(s["b"] + 1, 4)
+
+    one, two, year = F.substring(x, 1, 2), F.substring(x, 4, 2), F.substring(x, 7, 4)
+    s = _walked((_number(one) - 1) * 31 + _number(two) - 1, _number(year) - 1, 961, 9999, key, "slashed", lambda s: fits(*parts(s)))
+    return F.when(fits(one, two, year), F.concat_ws("/", *parts(s)))
 
 
 def pseudonym(x: Column, key: str) -> Column:
@@ -131,7 +161,7 @@ def pseudonym(x: Column, key: str) -> Column:
     like = lambda kind: x.rlike("^(?:" + FORMS[kind] + ")$")
     return (
         F.when(like("phone"), _phone(x, key)).when(like("ipv4"), _ipv4(x, key)).when(like("iso"), _date(x, key, "yyyy-MM-dd", 1, 6, 9))
-        .when(like("slashed"), F.coalesce(_date(x, key, "MM/dd/yyyy", 7, 1, 4), _date(x, key, "dd/MM/yyyy", 7, 4, 1)))
+        .when(like("slashed"), _slashed(x, key))
         .when(like("dotted"), _date(x, key, "dd.MM.yyyy", 7, 4, 1)).when(like("ssn"), _ssn(x, key)).when(like("card"), _card(x, key))
     )
 

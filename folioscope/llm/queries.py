@@ -45,7 +45,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
     sent = F.when(i % 7 == 0, F.lit('"changed"')).when((i % 11 == 0) | (i % 13 == 0), F.lit(None)).when(i % 5 == 0, F.concat(F.lit("W/"), tag)).otherwise(tag)
     dated = F.when(i % 11 == 0, stamp(made - i % 3))
     fields = F.filter(F.array(F.struct(F.lit("etag").alias("key"), sent.alias("value")), F.struct(F.lit("last-modified").alias("key"), dated.alias("value")), F.struct(F.lit("DATE").alias("key"), stamp(seen).alias("value")), F.struct(F.lit("Content-Type").alias("key"), F.lit("text/plain").alias("value"))), lambda e: e["value"].isNotNull())
-    revisit = pages.select((2 * i + 1).alias("record_id"), F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit("#again")).alias("url"), seen.alias("ts"), F.lit(304).alias("status"), F.lit(None).cast("string").alias("digest"), F.map_from_entries(fields).alias("headers"))
+    revisit = pages.select((2 * i + 1).alias("record_id"), F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")).alias("url"), seen.alias("ts"), F.lit(304).alias("status"), F.lit(None).cast("string").alias("digest"), F.map_from_entries(fields).alias("headers"))
     return response.unionByName(revisit)
 
 
@@ -145,8 +145,9 @@ from t group by conv_id""",
 with p as (select page_id as i, url, coalesce(html, '') as html, 1600000000 + page_id * 7919 % 864000 as made from pages),
 r as (select i, made, '"' || substr(md5(html), 1, 16) || '"' as tag, sha1(html) as digest,
   translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-  regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) as path from p where strpos(url, '://') > 0),
-c as (select *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') as u from r where host <> ''),
+  regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) as path,
+  regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*\?([^#]+)', 1) as query from p where strpos(url, '://') > 0),
+c as (select *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') || case when query <> '' then '?' || query else '' end as u from r where host <> ''),
 v as (select *, made + 86400 as seen,
   case when i % 7 = 0 then '"changed"' when i % 11 = 0 or i % 13 = 0 then null when i % 5 = 0 then 'W/' || tag else tag end as sent,
   case when i % 11 = 0 then strftime(make_timestamp((made - i % 3) * 1000000), '%Y-%m-%d %H:%M:%S') end as dated from c),

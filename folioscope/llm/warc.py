@@ -5,16 +5,23 @@ is by (ts, record_id). Its validators are checked: where both have an ETag the o
 else, where both have Last-Modified, these must be; else there is nothing to check and the match is unchecked. The response's
 headers are merged with those headers of the revisit that a 304 may update (RFC 9110, 15.4.5); names are lower-cased.
 
-As-of join by two levels: within slices of time of a URL by a window, and across slices by each slice's last full response, so
-a URL with a third of all captures is spread over its slices. Payloads don't travel, only digests and headers of responses do.
-Null or host-less URLs, null times and null ids resolve to nothing (`no_base`). Of two responses with equal (ts, record_id)
-the one of greater digest counts. Rows that are neither kind are passed over.
+A URL's key is its canonical host and path (see urlfilter) and its query, which names the resource; scheme and fragment don't count.
+
+As-of join by two levels: captures are cut into ranges of (key, ts, record_id) of about equal size, so a URL with a third of all
+captures, even of one day, is spread over its ranges. Inside a range a window finds the latest response, and from range to range
+only each range's last response of a URL is carried. Headers and payloads stay behind: numbers of rows travel, and a base's
+headers are fetched by its number. The narrow rows are written once, as ranges must not change between their uses.
+
+Null or host-less URLs, null times and null ids resolve to nothing (`no_base`). Of responses with equal (ts, record_id) the one of
+greater digest counts, then that of greater headers' hash. Repeated revisits are answered each. Rows that are neither kind are
+passed over, and columns beyond the six aren't looked at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import stored
 from .urlfilter import canonical, host, path
 
 #: Header fields that a not-modified answer may update. Fixed values.
@@ -32,26 +39,36 @@ def _opaque(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
-def resolve(records: DataFrame, slice_: int = 86_400) -> DataFrame:
+def key_of(url: Column) -> Column:
+    """Null without host."""
+    rest = F.regexp_replace(F.substr(url, F.locate("://", url) + 3), "#.*$", "")
+    query = F.regexp_extract(rest, r"^[^?]*\?(.+)$", 1)
+    return F.concat(canonical(host(url), path(url)), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+
+
+def resolve(records: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row for each revisit of records (record_id, url, ts in seconds, status, digest, headers map): record_id, base_id, base_digest, outcome, headers.
 
-    outcome: resolved, unchecked, stale (validators differ; headers are the revisit's own) or no_base.
+    outcome: resolved, unchecked, stale (validators differ; headers are the revisit's own) or no_base. ranges: by default as many
+    as shuffle partitions.
     """
-    full = F.when((F.col("status") == 200) & F.col("record_id").isNotNull(), F.struct("ts", "record_id", "digest", F.map_entries("h").alias("h")))
-    rows = records.where("status in (200, 304)").select(
-        "record_id", "ts", "status", "digest", _lowered(F.col("headers")).alias("h"), canonical(host(F.col("url")), path(F.col("url"))).alias("u")
-    )
-    # rows that can't resolve leave before the shuffle
-    lost = rows.where("status = 304 and (u is null or ts is null or record_id is null)").withColumn("base", F.lit(None))
-    rows = rows.where("u is not null and ts is not null and record_id is not null").withColumns({"full": full, "slice": F.floor(F.col("ts") / slice_)})
-    last = rows.where("full is not null").groupBy("u", "slice").agg(F.max_by("full", F.struct("ts", "record_id", "digest")).alias("last"))
-    # slices in which a URL has any row, each with the last full response of an earlier slice
-    slices = rows.select("u", "slice").distinct().join(last, ["u", "slice"], "left")
-    carried = slices.withColumn("carry", F.last("last", True).over(Window.partitionBy("u").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))).select("u", "slice", "carry")
-    inside = Window.partitionBy("u", "slice").orderBy("ts", "record_id", F.col("status").desc(), "digest").rowsBetween(Window.unboundedPreceding, -1)
-    found = rows.withColumn("near", F.last("full", True).over(inside)).where("status = 304").join(carried, ["u", "slice"], "left")
-    base = F.coalesce("near", "carry")
-    found = found.select("record_id", "h", base.alias("base")).unionByName(lost.select("record_id", "h", F.lit(None).cast(found.schema["near"].dataType).alias("base")))
+    spark = records.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lowered = _lowered(F.col("headers"))
+    kept = records.where("status in (200, 304)").select("record_id", "ts", "status", "digest", lowered.alias("h"), key_of(F.col("url")).alias("u"))
+    kept = stored(kept.withColumns({"_row": F.monotonically_increasing_id(), "_hash": F.xxhash64(F.to_json(F.array_sort(F.map_entries("h"))))}), "captures")
+    rows = kept.where("u is not null and ts is not null and record_id is not null").select("u", "ts", "record_id", "status", F.coalesce("digest", F.lit("")).alias("_d"), "_hash", "_row")
+    # responses come after revisits of the same instant and id, so that they aren't earlier
+    order = ["ts", "record_id", F.col("status").desc(), "_d", "_hash", "_row"]
+    rows = stored(rows.repartitionByRange(ranges, "u", *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    rows = rows.withColumn("_full", F.when(F.col("status") == 200, F.col("_row")))
+    last = rows.groupBy("u", "_range").agg(F.max_by("_full", F.when(F.col("status") == 200, F.struct("ts", "record_id", "_d", "_hash", "_row"))).alias("_last"))
+    carried = last.withColumn("_carry", F.last("_last", True).over(Window.partitionBy("u").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))).where("_carry is not null").select("u", "_range", "_carry")
+    inside = Window.partitionBy("u", "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    near = rows.withColumn("_near", F.last("_full", True).over(inside)).where("status = 304").select("u", "_range", "_row", "_near")
+    found = near.join(carried, ["u", "_range"], "left").select("_row", F.coalesce("_near", "_carry").alias("_base")).where("_base is not null")
+    base = kept.where("status = 200").select(F.col("_row").alias("_base"), F.struct("record_id", "digest", F.map_entries("h").alias("h")).alias("base"))
+    found = kept.where("status = 304").select("_row", "record_id", "h").join(found.join(base, "_base").select("_row", "base"), "_row", "left")
     old = F.map_from_entries("base.h")
     tags, dates = (old["etag"], F.col("h")["etag"]), (old["last-modified"], F.col("h")["last-modified"])
     both = lambda p: p[0].isNotNull() & p[1].isNotNull()
