@@ -1,28 +1,33 @@
 """Benchmark decontamination by the q-gram lemma.
 
 An item of m characters that occurs in a text with at most e edits (e = rate * m, rounded down) shares at least
-m + 1 - q * (e + 1) q-grams with it, all within e of one diagonal. So per text and item, shared character q-grams are counted
-in diagonal bands of width 2 (e + 1) that overlap by half; a band that reaches the bound is kept, and a banded alignment of
-the whole item with the band's region decides. Nothing that the lemma admits is lost.
+m + 1 - q * (e + 1) q-grams with it, at different places of the text and all within e of one diagonal. So per text and item, the
+places whose q-gram the item has are counted in diagonal bands of width 2 (e + 1) that overlap by half; bands that reach the
+bound are kept, and a banded alignment of the whole item with each region of kept bands decides. Nothing that the lemma admits
+is lost. A q-gram's places in a text and in an item are taken by runs, so that repetitive texts and items cost no product of both.
 
 Characters are code points; A-Z are lower-cased and ASCII white space counts as a space. q is the largest up to `q` for which
 an item's bound is positive; an item too short for any (m <= e) can't exist for rates below 1. Null and empty texts hold
 nothing; null and empty items, and items given twice, are found nowhere and once per item_id, respectively.
 
-The items' q-grams are broadcast: their size is checked against `most` characters, as it doesn't follow the documents. Texts
-are scanned in one pass without shuffle, in chunks, so hot sources, copies and lost executors cost their own tasks only.
+The items' q-grams are broadcast in parts of about `most` characters. With one part, texts are scanned in one pass without
+shuffle, in chunks, so hot sources, copies and lost executors cost their own tasks only. With more, each part has a pass of its
+own over the texts, numbered and written once, and the hits found (narrow rows) are joined to them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import _powers, byte_texts, chunks, mix
+from .common import _powers, byte_texts, chunks, mix, stored
 
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -34,8 +39,8 @@ _SIEVE = 20
 class Config:
     q: int = 16
     rate: float = 0.05
-    #: Characters that all items may have together.
-    most: int = 20_000_000
+    #: Characters of items, about, that one pass looks for.
+    most: int = 4_000_000
 
 
 def folded(text: str) -> np.ndarray:
@@ -56,31 +61,36 @@ def gram_hashes(x: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """q-grams of the items, by q."""
+    """q-grams of the items, by q: hashes, and for each the item and the run of places (no further apart than the item's width) it has there."""
 
-    def __init__(self, items: list[tuple[int, str]], c: Config):
+    def __init__(self, items: list[tuple], c: Config):
         self.items = [(i, folded(t)) for i, t in items]
         self.edits = [int(c.rate * len(x)) for _, x in self.items]
         self.qs: dict[int, tuple] = {}
         by: dict[int, list[int]] = {}
         for k, (_, x) in enumerate(self.items):
             by.setdefault(max(1, min(c.q, len(x) // (self.edits[k] + 1))), []).append(k)
+        width = np.array(self.edits, np.int64) + 1
         for q, own in by.items():
             h = [gram_hashes(self.items[k][1], q) for k in own]
             item, at = np.repeat(own, [len(x) for x in h]), np.concatenate([np.arange(len(x)) for x in h])
             h = np.concatenate(h)
-            order = np.argsort(h, kind="stable")
+            order = np.lexsort((at, item, h))
+            h, item, at = h[order], item[order], at[order]
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (np.diff(at) > width[item[1:]])])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(h)) - 1
             sieve = np.zeros(1 << _SIEVE, bool)
             sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)] = True
-            self.qs[q] = h[order], item[order], at[order], sieve
+            self.qs[q] = h[first], item[first], at[first], at[last], sieve
 
 
 def distance(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int]:
     """Least edits of the item against a part of text that begins on a diagonal from low to high, and the part's end; more than `most` may be too high."""
-    d = np.arange(low - most, high + most + 1)
-    cost = np.where((d >= 0) & (d <= len(text)), 0, most + 1).astype(np.int64)
-    step = np.arange(len(d))
-    padded = np.concatenate([text, [0xFFFFFFFF]])
+    d = np.arange(low - most, high + most + 1, dtype=np.int64)
+    cost = np.where((d >= 0) & (d <= len(text)), 0, most + 1).astype(np.int32)
+    step = np.arange(len(d), dtype=np.int32)
+    padded = np.concatenate([text, np.full(1, 0xFFFFFFFF, text.dtype)])
     for i, c in enumerate(item):
         j = d + i  # text position that this character meets
         there = (j >= 0) & (j < len(text))
@@ -93,6 +103,62 @@ def distance(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int)
     return int(cost[best]), int(d[best] + len(item))
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ranges first, first + 1, ... of count members each: the range of each member, and the member."""
+    own = np.repeat(np.arange(len(count)), count)
+    return own, np.arange(len(own)) - np.repeat(np.cumsum(count) - count - first, count)
+
+
+#: Places of one q-gram in a text that are no further apart are one run; diagonals that one alignment takes at most.
+_NEAR, _SPAN = 16, 1 << 18
+
+
+def _regions(xs: list[np.ndarray], flat: np.ndarray, first: np.ndarray, size: np.ndarray, index: Index, q: int) -> np.ndarray:
+    """Rows (text, item, first band, last band) of neighbouring bands that reach the bound."""
+    keys, item, a1, a2, sieve = index.qs[q]
+    h = gram_hashes(flat, q)
+    place = np.flatnonzero(sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)])
+    lo, hi = np.searchsorted(keys, h[place]), np.searchsorted(keys, h[place], "right")
+    text = np.searchsorted(first, place, "right") - 1
+    inside = (hi > lo) & (place + q <= first[text] + size[text])
+    place, text, lo, hi = place[inside], text[inside], lo[inside], hi[inside]
+    if not len(place):
+        return np.zeros((0, 4), np.int64)
+    order = np.lexsort((place, lo, text))
+    place, text, lo, hi = place[order], text[order], lo[order], hi[order]
+    at = place - first[text]
+    # groups: a q-gram of a text; runs: its places near each other
+    group = np.cumsum(np.concatenate([[True], (text[1:] != text[:-1]) | (lo[1:] != lo[:-1])])) - 1
+    run = np.flatnonzero(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(at) > _NEAR)]))
+    end = np.append(run[1:], len(at)) - 1
+    # each run with each entry of its q-gram, and the bands that they touch
+    own, entry = _spread(lo[run], (hi - lo)[run])
+    width = np.array(index.edits, np.int64)[item[entry]] + 1
+    low = np.floor_divide(at[run][own] - a2[entry], width) - 1
+    which, band = _spread(low, np.floor_divide(at[end][own] - a1[entry], width) - low + 1)
+    own, entry, width = own[which], entry[which], width[which]
+    # of the run's places, those that the band has for any of the entry's places
+    far = int(at.max()) + int(a2.max()) + 2 * int(width.max()) + 4
+    line = group * (2 * far) + far + at
+    base = group[run][own] * (2 * far) + far
+    left = np.searchsorted(line, base + np.maximum(band * width + a1[entry], at[run][own]))
+    count = np.searchsorted(line, base + np.minimum((band + 2) * width + a2[entry], at[end][own] + 1)) - left
+    some = count > 0
+    t, k, band, count = text[run][own][some], item[entry][some], band[some], count[some]
+    order = np.lexsort((band, k, t))
+    t, k, band, count = t[order], k[order], band[order], count[order]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(t) != 0) | (np.diff(k) != 0) | (np.diff(band) != 0)]))
+    total = np.add.reduceat(count, new)
+    t, k, band = t[new], k[new], band[new]
+    length = np.array([len(x) for _, x in index.items], np.int64)
+    enough = total >= length[k] + 1 - q * (np.array(index.edits, np.int64)[k] + 1)
+    t, k, band = t[enough], k[enough], band[enough]
+    if not len(t):
+        return np.zeros((0, 4), np.int64)
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(t) != 0) | (np.diff(k) != 0) | (np.diff(band) > 2)]))
+    return np.stack([t[new], k[new], band[new], band[np.append(new[1:], len(t)) - 1]], 1)
+
+
 def find(texts: list[str], index: Index) -> list[tuple[int, int, int, int]]:
     """(text, item, edits, end) for each text and item found, with the fewest edits."""
     xs = [folded(t) for t in texts]
@@ -100,57 +166,69 @@ def find(texts: list[str], index: Index) -> list[tuple[int, int, int, int]]:
     first = np.cumsum(size) - size
     flat = np.concatenate(xs) if xs else np.zeros(0, np.uint32)
     out: dict[tuple[int, int], tuple[int, int]] = {}
-    for q, (keys, item, at, sieve) in index.qs.items():
-        h = gram_hashes(flat, q)
-        place = np.flatnonzero(sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)])
-        lo = np.searchsorted(keys, h[place])
-        hi = np.searchsorted(keys, h[place], "right")
-        text = np.searchsorted(first, place, "right") - 1
-        inside = (hi > lo) & (place + q <= first[text] + size[text])
-        place, text, lo, n = place[inside], text[inside], lo[inside], (hi - lo)[inside]
-        if not len(place):
-            continue
-        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        text, diag = np.repeat(text, n), np.repeat(place, n) - np.repeat(first[text], n) - at[entry]
-        which = item[entry]
-        width = np.array(index.edits)[which] + 1
-        cell = np.floor_divide(diag, width)
-        key = np.stack([np.concatenate([text, text]), np.concatenate([which, which]), np.concatenate([cell, cell - 1])], 1)
-        bands, count = np.unique(key, axis=0, return_counts=True)
-        for (t, k, band), got in zip(bands.tolist(), count.tolist(), strict=True):
+    for q in index.qs:
+        for t, k, one, last in _regions(xs, flat, first, size, index, q).tolist():
             x, e = index.items[k][1], index.edits[k]
-            if got < len(x) + 1 - q * (e + 1) or out.get((t, k), (e + 1,))[0] == 0:
-                continue
-            dist, end = distance(x, xs[t], band * (e + 1), (band + 2) * (e + 1) - 1, e)
-            if dist <= e and dist < out.get((t, k), (e + 1,))[0]:
-                out[t, k] = dist, end
+            w = e + 1
+            for low in range(one * w, (last + 2) * w, _SPAN):
+                if out.get((t, k), (e + 1,))[0] == 0:
+                    break
+                dist, end = distance(x, xs[t], low, min((last + 2) * w, low + _SPAN + 2 * w) - 1, e)
+                if dist < out.get((t, k), (e + 1,))[0]:
+                    out[t, k] = dist, end
     return [(t, k, *v) for (t, k), v in sorted(out.items())]
 
 
-def hits(docs: DataFrame, items: DataFrame, config: Config = Config(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs with `hits` (replacing a column of this name): item_id, edits and end (in characters) of each item found."""
-    rows = items.where(f"`{item_text}` is not null and `{item_text}` <> '' and `{item_id}` is not null").select(item_id, item_text).distinct()
-    total = rows.selectExpr(f"sum(length(`{item_text}`))").first()[0] or 0
-    if total > config.most:
-        raise ValueError(f"the items have {total} characters; this operator broadcasts at most {config.most}")
-    given = sorted((r[0], r[1]) for r in rows.collect())
-    base = docs.drop("hits")
-    columns = base.columns
-    shared = docs.sparkSession.sparkContext.broadcast(given)
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("end", pa.int32())]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", hits array<struct<item_id:bigint,edits:int,end:int>>"
+#: Of this worker: the latest index, kept between tasks where it is small, by the key of its query.
+_INDEXES: dict[str, Index] = {}
+_KEPT = 1 << 20
+
+
+def _searched(base: DataFrame, given: list[tuple], id_type, config: Config, text: str, keep: list[str]) -> DataFrame:
+    """The columns `keep` of base and the hits of these items."""
+    spark = base.sparkSession
+    shared, key, small = spark.sparkContext.broadcast(given), uuid.uuid4().hex, sum(len(t) for _, t in given) <= _KEPT
+    kind = pa.list_(pa.struct([("item_id", to_arrow_type(id_type)), ("edits", pa.int32()), ("end", pa.int32())]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*(f"`{k}`" for k in keep)).schema) + f", hits array<struct<item_id:{id_type.simpleString()},edits:int,end:int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value, config)
+        index = _INDEXES.get(key)
+        if index is None:
+            index = Index(shared.value, config)
+            _INDEXES.clear()
+            if small:
+                _INDEXES[key] = index
         for b in batches:
-            got: list[dict[int, dict]] = []
+            got: list[dict] = []
             for part in chunks(byte_texts(b.column(text)), limit=1 << 20):
-                own: list[dict[int, dict]] = [{} for _ in part]
+                own: list[dict] = [{} for _ in part]
                 for t, k, edits, end in find([x.decode() for x in part], index):
                     i = index.items[k][0]
                     if i not in own[t] or own[t][i]["edits"] > edits:
                         own[t][i] = {"item_id": i, "edits": edits, "end": end}
                 got += own
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([[*g.values()] for g in got], kind)], names=[*columns, "hits"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array([[*g.values()] for g in got], kind)], names=[*keep, "hits"])
 
     return base.mapInArrow(run, schema)
+
+
+def hits(docs: DataFrame, items: DataFrame, config: Config = Config(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """docs with `hits` (replacing a column of this name): item_id, edits and end (in characters) of each item found."""
+    rows = items.where(f"`{item_text}` is not null and `{item_text}` <> '' and `{item_id}` is not null").select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).distinct()
+    parts = -(-(rows.agg(F.sum(F.length("t"))).first()[0] or 0) // config.most) or 1
+    id_type = rows.schema["i"].dataType
+    base = docs.drop("hits")
+    one = F.pmod(F.xxhash64("i", "t"), F.lit(parts))
+
+    def given(part: int) -> list[tuple]:
+        return sorted((r[0], r[1]) for r in rows.where(one == part).collect())
+
+    if parts == 1:
+        return _searched(base, given(0), id_type, config, text, base.columns)
+    keyed = stored(base.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    found = reduce(DataFrame.unionByName, (_searched(keyed.select("_number", text), given(k), id_type, config, text, ["_number"]).where(F.size("hits") > 0) for k in range(parts)))
+    found = found.select("_number", F.explode("hits").alias("h")).groupBy("_number").agg(F.sort_array(F.collect_list("h")).alias("_all"))
+    # an item_id whose texts are in several parts counts once, with its fewest edits
+    best = F.filter("_all", lambda h, k: (k == 0) | (F.get(F.col("_all"), k - 1)["item_id"] != h["item_id"]))
+    none = F.expr(f"cast(array() as array<struct<item_id:{id_type.simpleString()},edits:int,end:int>>)")
+    return keyed.join(found.select("_number", best.alias("hits")), "_number", "left").select(*(f"`{c}`" for c in base.columns), F.coalesce("hits", none).alias("hits"))
