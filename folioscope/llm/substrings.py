@@ -33,7 +33,7 @@ class Config:
     minimiser: int = 4
     #: Buckets for each shuffle partition.
     buckets: int = 16
-    #: One row in so many is looked at for frequent minimisers, of which at most `hot` are listed.
+    #: One row in so many is looked at for frequent minimisers; listed are at most `hot`, or two for each bucket if these are more.
     look: int = 64
     hot: int = 4096
 
@@ -70,8 +70,8 @@ def _minimisers(w: Words, c: Config, hashes: np.ndarray, at: np.ndarray) -> np.n
     return sliding_min(ngram_hashes(hashes, c.minimiser), c.window - c.minimiser + 1)[at]
 
 
-def frequent_minimisers(texts: DataFrame, c: Config) -> np.ndarray:
-    """Minimisers that stand out in the rows whose text hash is divisible by `look`; at most `hot` of them."""
+def frequent_minimisers(texts: DataFrame, c: Config, most: int) -> np.ndarray:
+    """Minimisers that stand out in the rows whose text hash is divisible by `look`, `most` at most: any other has a smaller share of all than 1 / most, so it overloads no bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -86,7 +86,7 @@ def frequent_minimisers(texts: DataFrame, c: Config) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["key", "n"])
 
     part = texts.where(F.pmod("k1", F.lit(c.look)) == 0).select("text").mapInArrow(count, "key bigint, n bigint")
-    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 64").orderBy(F.desc("n"), "key").limit(c.hot).collect()
+    rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 64").orderBy(F.desc("n"), "key").limit(most).collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
@@ -186,9 +186,9 @@ def _repeats(runs: np.ndarray, text: bytes, c: Config) -> tuple[np.ndarray, np.n
 def repeated_spans(texts: DataFrame, c: Config) -> DataFrame:
     """Of texts (text, k1, k2): k1, k2, s, e, ranges of words that repeated windows cover; ranges of a text may overlap."""
     spark = texts.sparkSession
-    hot = frequent_minimisers(texts, c)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = c.buckets * parts
+    hot = frequent_minimisers(texts, c, max(c.hot, 2 * buckets))
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,8 +1,7 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs, trained in numpy.
 
 A token is a maximal run of letters, digits and non-ASCII bytes, lower-cased (A-Z). Its input is a learned vector of its
-hash bucket (words), the mean of learned vectors of its byte trigrams (characters) and the log odds of its bucket among the
-training texts. A text is cut into windows of `window` tokens that overlap by a quarter, the last one moved back to the end, so
+hash bucket (words) and the mean of learned vectors of its byte trigrams (characters); nothing else goes into a score. A text is cut into windows of `window` tokens that overlap by a quarter, the last one moved back to the end, so
 that every token is scored; a text's score is its highest window's. Null, empty and token-free texts are one empty window.
 Training takes the window that now scores highest of each text (multiple-instance learning).
 
@@ -29,6 +28,8 @@ _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Fals
 class Config:
     #: Rows of labels that training may take at most; of more, those of least hash.
     sample: int = 4000
+    #: Bytes that their texts may have together.
+    sample_bytes: int = 64 << 20
     word_buckets: int = 1 << 14
     char_buckets: int = 1 << 12
     word_dim: int = 8
@@ -39,6 +40,8 @@ class Config:
     epochs: int = 6
     steps: int = 400
     rate: float = 0.01
+    #: What a row of label 1 counts for in training.
+    weight: float = 2.0
     threshold: float = 0.3
     seed: int = 7
 
@@ -46,7 +49,6 @@ class Config:
 @dataclass
 class Model:
     config: Config
-    odds: np.ndarray
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
 
@@ -79,11 +81,10 @@ class Tokens:
 def _inputs(m: Model, t: Tokens) -> np.ndarray:
     """Of each distinct word; the last row is padding."""
     p, n = m.p, len(t.hash)
-    x = np.zeros((n + 1, m.config.word_dim + m.config.char_dim + 1), np.float32)
+    x = np.zeros((n + 1, m.config.word_dim + m.config.char_dim), np.float32)
     if n:
         x[:n, : m.config.word_dim] = p["words"][t.bucket]
-        x[:n, m.config.word_dim : -1] = np.add.reduceat(p["chars"][t.code], t.at, axis=0)[: n] / (t.length + 1)[:, None]
-        x[:n, -1] = m.odds[t.bucket]
+        x[:n, m.config.word_dim :] = np.add.reduceat(p["chars"][t.code], t.at, axis=0)[: n] / (t.length + 1)[:, None]
     return x
 
 
@@ -164,7 +165,7 @@ def _gradient(m: Model, t: Tokens, x: np.ndarray, grid, there, rest, dlogit) ->
         np.add.at(g["words"], t.bucket, dx[:n, : c.word_dim])
         part = np.zeros((len(t.code), c.char_dim), np.float32)
         own = np.minimum(np.repeat(np.arange(n), t.length + 1), n - 1)
-        part[: len(own)] = (dx[:n, c.word_dim : -1] / (t.length + 1)[:, None])[own][: len(part)]
+        part[: len(own)] = (dx[:n, c.word_dim :] / (t.length + 1)[:, None])[own][: len(part)]
         np.add.at(g["chars"], t.code, part)
     return g
 
@@ -173,16 +174,11 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
     """Fits a model; without both labels, one that scores everything by the share of label 1."""
     c, rng = config, np.random.default_rng(config.seed)
     y = np.asarray(toxic, np.float32)
-    count = np.zeros((2, c.word_buckets))
-    for t, label in zip(texts, toxic, strict=True):
-        b = np.unique(Words([t], _GAP, lower=True).hashes() % np.uint64(c.word_buckets)).astype(np.int64)
-        count[int(label)][b] += 1
-    share = (count + 0.5) / (np.array([[len(y) - y.sum()], [y.sum()]]) + 1)
-    odds = np.clip(np.log(share[1] / share[0]), -3, 3) * (count.sum(0) / (count.sum(0) + 8))  # rare words say little
-    m = Model(c, odds.astype(np.float32))
-    size, h = c.word_dim + c.char_dim + 1, c.hidden
+    m = Model(c)
+    size, h = c.word_dim + c.char_dim, c.hidden
     shapes = {"words": (c.word_buckets, c.word_dim), "chars": (c.char_buckets, c.char_dim), "att_w": (2 * h, h), "att_v": (h,), "out_w": (2 * h,)} | {k + d: s for d in "fb" for k, s in (("in_", (size, 3 * h)), ("rec_", (h, 3 * h)))}
     m.p = {k: rng.normal(0, 0.1 if k in ("words", "chars") else 0.3, s).astype(np.float32) for k, s in shapes.items()}
+    m.p["words"][:] *= 0.1  # words never seen say little
     m.p |= {"bias_f": np.zeros(3 * h, np.float32), "bias_b": np.zeros(3 * h, np.float32), "att_b": np.zeros(h, np.float32), "out_b": np.zeros(1, np.float32)}
     prior = float(np.clip(y.mean() if len(y) else 0.0, 1e-4, 1 - 1e-4))
     m.p["out_b"][:] = np.log(prior / (1 - prior))
@@ -203,7 +199,7 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
             best = np.lexsort((-every, t.text))[t.lead]
             grid, there = _grid(t, best, c.window)
             logit, rest = _forward(m, x, grid, there, keep=True)
-            dlogit = ((_sigmoid(logit) - y[own]) / len(own)).astype(np.float32)
+            dlogit = ((_sigmoid(logit) - y[own]) * np.where(y[own] > 0, c.weight, 1) / len(own)).astype(np.float32)
             turn += 1
             rate = c.rate * (1 - epoch / epochs)
             for k, d in _gradient(m, t, x, grid, there, rest, dlogit).items():
@@ -228,12 +224,26 @@ def scores(m: Model, texts: list[bytes]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, config: Config = Config()) -> Model:
     """Learns from at most config.sample labelled rows that `usable` (over doc_id) admits; rows without text or label don't count.
 
-    A doc_id of several rows gives as many examples. The sample is what the driver holds, whatever the size of the tables.
+    A doc_id of several rows gives as many examples. The driver holds the sample, of at most config.sample rows and
+    config.sample_bytes bytes, whatever the size of the tables: of rows in the order of their hash (ties by doc_id, label and
+    text's hash), those that fit; a longer text leaves its place to the next. The order doesn't depend on how rows are stored.
     """
     pick = F.xxhash64("doc_id", F.lit(config.seed))
-    given = labels.where(F.col("toxic").isin(0, 1) & usable).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.where(F.col("text").isNotNull() & usable).select("doc_id", "text").join(given.orderBy(pick, "doc_id", "toxic").limit(config.sample), "doc_id").orderBy(pick, "doc_id", "toxic").limit(config.sample).collect()
-    return train([r.text.encode() for r in rows], [r.toxic for r in rows], config)
+    order = ["_pick", "doc_id", "toxic", "_text"]
+    given = labels.where(F.col("toxic").isin(0, 1) & usable).select("doc_id", F.col("toxic").cast("int").alias("toxic"), pick.alias("_pick"))
+    first = given.orderBy("_pick", "doc_id", "toxic").limit(config.sample)
+    texts = docs.where(F.col("text").isNotNull() & usable).select("doc_id", "text")
+    found = texts.select("doc_id", F.sha2("text", 256).alias("_text"), F.octet_length("text").cast("bigint").alias("_bytes")).join(first, "doc_id").orderBy(*order).limit(config.sample)
+    chosen, room = [], config.sample_bytes
+    for r in found.collect():  # no texts yet, at most config.sample rows
+        if r["_bytes"] <= room:
+            chosen.append((r["doc_id"], r["toxic"], r["_pick"], r["_text"]))
+            room -= r["_bytes"]
+    if not chosen:
+        return train([], [], config)
+    ids = docs.sparkSession.createDataFrame({(i, x) for i, _, _, x in chosen}, texts.select("doc_id", F.lit("").alias("_text")).schema)
+    by = {(r.doc_id, r["_text"]): r.text.encode() for r in texts.withColumn("_text", F.sha2("text", 256)).join(F.broadcast(ids), ["doc_id", "_text"]).dropDuplicates(["doc_id", "_text"]).collect()}
+    return train([by[i, x] for i, _, _, x in chosen], [y for _, y, _, _ in chosen], config)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
