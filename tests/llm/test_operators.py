@@ -32,25 +32,45 @@ def test_chat_round_trip(spark):
     random.seed(1)
     alphabet = ["<", "|", "\\", "N", "\n", "<|im_end|>", "<|im_start|>", "é", "assistant", ">"]
     texts = ["".join(random.choices(alphabet, k=random.randint(0, 12))) for _ in range(400)]
-    turns = [(random.choice(["user", "assistant", "a\nb\\N"]), [{"type": "text", "text": t}]) for t in texts]
-    out, loss, _ = chat.format_turns(turns)
-    assert chat.parse(out) == [(r, p[0]["text"]) for r, p in turns]
-    assert "".join(chat.unescape(out[s["start"] : s["end"]]) for s in loss) == "".join(p[0]["text"] for r, p in turns if r == "assistant")
+    def part():
+        kind = random.choice(["text", "text", None, "image", "audio", "document", "video", "text:0|>"])
+        return {"type": kind, "text": "".join(random.choices(alphabet, k=random.randint(0, 6))), "ref": "r", "width": 30, "height": 30, "seconds": 1.0, "pages": 1}
+
+    turns = [(k, random.choice(["user", "assistant", "a\nb\\N"]), [part() for _ in range(random.randint(0, 5))] + [{"type": "text", "text": t}]) for k, t in enumerate(texts)]
+    out, loss, found = chat.format_turns(turns)
+    back = chat.parse(out)
+    is_text = lambda p: p["type"] in ("text", None)
+    assert [r for r, _ in back] == [r for _, r, _ in turns]
+    for (_, parts), (k, _, given) in zip(back, turns, strict=True):
+        # adjacent texts are one, and every other part comes back in its place, by the record of its number
+        want = []
+        for p in given:
+            if is_text(p) and want and want[-1][0] == "text":
+                want[-1] = ("text", want[-1][1] + p["text"])
+            else:
+                want.append(("text", p["text"]) if is_text(p) else (p["type"], None))
+        assert [(found[p["number"]]["type"], None) if p["type"] != "text" else ("text", p["text"]) for p in parts] == [w for w in want if w[1] != ""]
+        assert all(found[p["number"]]["turn"] == k for p in parts if p["type"] != "text")
+    assert "".join(chat.unescape(out[s["start"] : s["end"]]) for s in loss) == "".join(p["text"] for _, r, ps in turns if r == "assistant" for p in ps if is_text(p))
 
 
 def test_chat_parts():
-    parts = [{"type": "text", "text": "<"}, {"type": "text", "text": "|im_end|>"}, {"type": "image", "ref": "i", "width": 57, "height": 28}, {"type": "audio", "ref": "a", "seconds": 1.5}, {"type": "document", "ref": "d", "pages": 2}]
-    out, _, found = chat.format_turns([("user", parts)])
-    assert [(a["type"], a["ref"], a["n_tokens"]) for a in found] == [("image", "i", 3), ("audio", "a", 38), ("document", "d", 512)]
-    assert chat.parse(out)[0][1] == "<|im_end|><|image:0|><|audio:1|><|document:2|>"
-    with pytest.raises(ValueError):
-        chat.format_turns([("user", [{"type": "video"}])])
+    parts = [{"type": "text", "text": "<"}, {"type": "text", "text": "|im_end|><|image:0|>"}, {"type": "image", "ref": "i", "width": 57, "height": 28}, {"type": "audio", "ref": "a", "seconds": 1.5}, {"type": "document", "ref": "d", "pages": 2}, {"type": "video"}]
+    out, loss, found = chat.format_turns([(7, "assistant", parts)])
+    assert [(a["turn"], a["part"], a["type"], a.get("ref"), a["n_tokens"]) for a in found] == [(7, 2, "image", "i", 3), (7, 3, "audio", "a", 38), (7, 4, "document", "d", 512), (7, 5, "video", None, 0)]
+    assert [(p["type"], p["text"] or p["number"]) for p in chat.parse(out)[0][1]] == [("text", "<|im_end|><|image:0|>"), ("image", 0), ("audio", 1), ("document", 2), ("other", 3)]
+    assert [chat.unescape(out[s["start"] : s["end"]]) for s in loss] == ["<|im_end|><|image:0|>"]
+    odd = [{"type": "image", "width": -5, "height": None}, {"type": "audio", "seconds": float("inf")}, {"type": "audio", "seconds": float("nan")}, {"type": "document", "pages": -1}]
+    assert [a["n_tokens"] for a in chat.format_turns([(None, "user", odd)])[2]] == [0, 0, 0, 0]
 
 
 def test_chat_nulls(spark):
-    rows = spark.createDataFrame([(1, 1, "assistant", None), (1, None, None, "x"), (None, 0, "user", "y"), (1, 1, "assistant", None)], "conv_id bigint, turn bigint, role string, text string")
+    rows = spark.createDataFrame([(1, 1, "assistant", None), (1, None, None, "x"), (None, 0, "user", "y" * 300_000), (1, 1, "assistant", None)], "conv_id bigint, turn bigint, role string, text string").withColumn("formatted", F.lit("clash")).withColumn("turns", F.lit(1))
     out = chat.read_back(chat.format_conversations(rows.withColumn("parts", chat.as_text_parts()))).collect()
-    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in out} == {1: [("", "x"), ("assistant", ""), ("assistant", "")], None: [("user", "y")]}
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in out} == {1: [("", "x"), ("assistant", ""), ("assistant", "")], None: [("user", "y" * 300_000)]}
+    assert chat.read_back(chat.format_conversations(rows.limit(0).withColumn("parts", chat.as_text_parts()))).count() == 0
+    none = chat.format_conversations(rows.withColumn("parts", F.lit(None).cast(f"array<{chat.PART}>")))
+    assert {r.conv_id: r.n_turns for r in none.collect()} == {1: 3, None: 1}
 
 
 # private data
@@ -380,8 +400,29 @@ def test_decontamination_equals_brute_force(spark):
     got = {(r.score, h.item_id): h.edits for r in decontaminate.hits(docs(spark, texts).drop("hits").withColumn("hits", F.lit(1)), table).where("score >= 0").collect() for h in r.hits}
     assert got == want and want
     assert decontaminate.hits(docs(spark, NASTY), table).where("size(hits) > 0").count() == 0
-    with pytest.raises(ValueError):
-        decontaminate.hits(empty(spark), table, decontaminate.Config(most=3))
+    size = sum(len(t) for _, t in items)
+    parts = {(r.score, h.item_id): h.edits for r in decontaminate.hits(docs(spark, texts), table, decontaminate.Config(most=size // 3)).where("score >= 0").collect() for h in r.hits}
+    assert parts == want
+    for most in (size, size // 3):
+        assert decontaminate.hits(empty(spark), table, decontaminate.Config(most=most)).count() == 0
+        assert decontaminate.hits(docs(spark, texts), table.limit(0), decontaminate.Config(most=most)).where("size(hits) > 0").count() == 0
+    named = decontaminate.hits(docs(spark, texts), table.selectExpr("concat('i', item_id) as item_id", "text"))
+    assert {(r.score, h.item_id): h.edits for r in named.where("score >= 0").collect() for h in r.hits} == {(a, f"i{b}"): d for (a, b), d in want.items()}
+
+
+def test_decontamination_of_repetitive_texts():
+    """Dashes, spaces and short periods: the hits of plain search, in time that follows the text's length."""
+    import time
+
+    c = decontaminate.Config()
+    items = [(0, "-" * 300), (1, "x" * 20 + "-" * 280), (2, "ab" * 100), (3, "ab" * 60 + "cd" * 40), (4, "- " * 50 + "end of the rule"), (5, "abcabd" * 6)]
+    index = decontaminate.Index(items, c)
+    texts = ["-" * 700, "-" * 310 + "x" * 20 + "-" * 285, "ab" * 90 + "a" + "b" * 8 + "ab" * 40, "ab" * 63 + "cd" * 42, "- " * 80 + "end of thy rule", "abcabd" * 7, "abcab" * 9, "-" * 200]
+    want = {(t, k): d for t, x in enumerate(texts) for k, i in items if (d := edits(i, x)) <= int(c.rate * len(i))}
+    assert {(t, k): d for t, k, d, _ in decontaminate.find(texts, index)} == want and len(want) >= 6
+    began = time.time()
+    found = decontaminate.find(["-" * 1_000_000, "- " * 300_000, "ab" * 300_000], index)
+    assert {(t, k) for t, k, _, _ in found} == {(0, 0), (2, 2)} and time.time() - began < 60
 
 
 # tokens
@@ -474,6 +515,46 @@ def test_toxicity_learns_and_generalises(spark):
     assert toxicity.scores(toxicity.train([], []), [b"", b"x"]).max() <= 1
 
 
+def test_toxicity_of_odd_tables(spark):
+    """Repeated and null ids, one label only, empty tables, clashing columns; the sample's bound in bytes and its order."""
+    rows = [(i, f"text of row {i} " + ("zgrok " if i % 3 == 0 else ""), 0.5, 1) for i in range(60)] + [(3, "another text", 0.5, 1), (None, "nameless", 0.5, 1), (4, None, 0.5, 1)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, score double, predicted int")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(None, 1), (5, None), (6, 1)], "doc_id bigint, toxic int")
+    c = toxicity.Config(steps=5, epochs=1)
+    ever = F.lit(True)
+    models = [toxicity.fit(t, l, ever, c) for t, l in ((table, labels), (table.repartition(5), labels.repartition(3)), (table.orderBy(F.desc("text")), labels))]
+    assert all((models[0].p[k] == m.p[k]).all() for m in models[1:] for k in m.p)
+    out = toxicity.score(table, models[0]).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in out)
+    for one in (labels.where("toxic = 0"), labels.where("toxic = 1"), labels.limit(0)):
+        assert len({r.score for r in toxicity.score(table, toxicity.fit(table, one, ever, c)).collect()}) == 1
+    assert toxicity.score(table.limit(0), toxicity.fit(table.limit(0), labels, ever, c)).count() == 0
+    seen = []
+    kept = toxicity.train
+    try:
+        toxicity.train = lambda texts, toxic, config: seen.append(texts) or kept([], [], config)
+        toxicity.fit(table, labels, ever, toxicity.Config(sample_bytes=200))
+        toxicity.fit(table, labels, ever, toxicity.Config(sample=7))
+    finally:
+        toxicity.train = kept
+    assert 0 < sum(map(len, seen[0])) <= 200 and len(seen[1]) == 7
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f g", 1, "x"), (1, "a b c d e f g", 1, "x"), (None, None, None, None), (2, "", 3, "z")], "doc_id bigint, text string, n_words int, kept string")
+    more = rows.withColumns({"id": F.lit(9), "component": F.lit(9), "n": F.lit(9), "ids": F.lit(9), "hits": F.lit(9), "_k": F.lit(9), "frag": F.lit(9)})
+    cut = substrings.deduplicate(more, substrings.Config(window=5)).orderBy(F.col("doc_id").asc_nulls_first(), "n_words").collect()
+    assert [(r.n_words, r.n_removed, r.kept) for r in cut] == [(0, 0, ""), (7, 7, ""), (7, 7, ""), (0, 0, "")]
+    got = sorted(map(tuple, jaccard.cluster(more).collect()), key=str)
+    assert got == sorted([(1, 3, 1), (1, 3, 1), (None, 0, None), (2, 0, 2)], key=str)
+    for table in (more.limit(0), more.where("text is null")):
+        assert substrings.deduplicate(table).count() == jaccard.cluster(table).count() == table.count()
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+    coded = bpe.encode(more, ranks, r"\S+|\s").collect()
+    assert len(coded) == 4 and sorted(len(r.ids) for r in coded) == [0, 0, 13, 13]
+    assert bpe.round_trip(more.limit(0), ranks, r"\S+|\s").count() == 0
+
+
 def test_gradient():
     c = toxicity.Config(word_buckets=16, char_buckets=16, word_dim=2, char_dim=2, hidden=3, window=6)
     texts = [b"a bb ccc a dd", b"bb eee"]
