@@ -2,13 +2,15 @@
 
 1. Corners: on each scale of a pyramid, local maxima of the Harris response, the `corners` strongest of a scale (a bound of
    the descriptor, whatever the table's size).
-2. Each corner's patch, `reach` to each side, is turned by its intensity centroid; 128 comparisons of pairs of points make its
-   bits. One point must exceed the other by `margin` of the patch's deviation, so that noise in flat areas sets no bits.
-3. Hamming tables: descriptors within `radius` bits of each other are equal in two of radius + 2 pieces, so look-ups of two
-   pieces miss none. Each different descriptor is looked up once, whatever the number of its corners. Blocks of queries meet
-   chunks of images in tasks; matching corners, whose number is in proportion to queries times images, never become rows.
-4. Consensus: each matching pair of corners votes for scale and turn; an image pair is a copy where at least `votes` corners
-   agree on one similarity transform to within `tolerance` pixels and `turn` radians.
+2. Each corner's patch, `reach` to each side, is turned by its intensity centroid; 128 pairs of points are compared, each at
+   each of `margins`: a bit says that one point exceeds the other by so much of the patch's deviation, so noise in flat areas sets none.
+3. Hamming tables: the bits are dealt to radius + 1 words, so descriptors within `radius` bits of each other are equal in one
+   word at least, and a table for each word misses none. Each different descriptor is looked up once, whatever the number of its
+   corners. Blocks of queries meet chunks of images in tasks; matching corners, whose number is in proportion to queries times
+   images, never become rows.
+4. Consensus: each matching pair of corners votes for scale and turn; an image pair is a copy where at least `votes` corners,
+   and a `share` of those that the image with fewer corners has, agree on one similarity transform to within `tolerance` pixels
+   and `turn` radians.
 
 Images of equal pixels are one class, joined once through its least id, so copies aren't expanded. Queries are a stated set of
 rows; every row is indexed. Null, empty or too small images have no corners and match only their equals.
@@ -19,14 +21,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import mix, stored
+from .common import stored
 
 
 @dataclass(frozen=True)
@@ -34,16 +35,24 @@ class Config:
     scales: tuple[float, ...] = (1.0, 1.5, 2.25)
     corners: int = 128
     reach: int = 8
-    margin: float = 0.2
+    margins: tuple[float, ...] = (0.2,)
     radius: int = 3
     votes: int = 5
+    #: At least so many of the corners of the image that has fewer must agree.
+    share: float = 0.08
     tolerance: float = 3.0
     turn: float = 0.45
     seed: int = 5
 
 
-_BITS = 128
-_CORNER = np.dtype([("x", "<f4"), ("y", "<f4"), ("s", "<f4"), ("t", "<f4"), ("h", "<u8", 2)])
+_TESTS = 128
+
+
+def _corner(c: Config) -> np.dtype:
+    """x, y, scale, angle and the words of a descriptor, of which each is `radius` + 1-th of its bits."""
+    return np.dtype([("x", "<f4"), ("y", "<f4"), ("s", "<f4"), ("t", "<f4"), ("h", "<u8", c.radius + 1)])
+
+
 #: Log of the scale up to which two pairs of corners agree.
 _RATIO = 0.2
 #: Query classes and image classes that one task holds side by side, and image classes of one step.
@@ -52,7 +61,7 @@ _BLOCK, _CHUNK, _STEP = 1024, 1024, 32
 
 def _pattern(seed: int, reach: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    return np.clip(rng.normal(0, reach / 2.2, (_BITS, 4)), -reach, reach)
+    return np.clip(rng.normal(0, reach / 2.2, (_TESTS, 4)), -reach, reach)
 
 
 def _blur(a: np.ndarray) -> np.ndarray:
@@ -71,6 +80,15 @@ def _resized(a: np.ndarray, factor: float) -> np.ndarray:
     return (a[np.ix_(y0, x0)] * (1 - fx) + a[np.ix_(y0, x1)] * fx) * (1 - fy) + (a[np.ix_(y1, x0)] * (1 - fx) + a[np.ix_(y1, x1)] * fx) * fy
 
 
+def _words(bits: np.ndarray, n: int) -> np.ndarray:
+    """n words of the bits, dealt in turn."""
+    out = np.zeros((len(bits), n, 64), bool)
+    for k in range(n):
+        own = bits[:, k::n]
+        out[:, k, : own.shape[1]] = own
+    return np.packbits(out, axis=2).view("<u8").reshape(len(bits), n)
+
+
 def describe(image: np.ndarray, c: Config = Config()) -> list[tuple[float, float, float, float, bytes]]:
     """(x, y, scale, angle, bits) of each corner of a grey image."""
     out = []
@@ -108,7 +126,8 @@ def describe(image: np.ndarray, c: Config = Config()) -> list[tuple[float, float
         px = np.rint(xs[:, None, None] + pattern[:, 0::2] * co - pattern[:, 1::2] * si).astype(int)
         py = np.rint(ys[:, None, None] + pattern[:, 0::2] * si + pattern[:, 1::2] * co).astype(int)
         v = a[np.clip(py, 0, h - 1), np.clip(px, 0, w - 1)]
-        bits = np.packbits(v[..., 1] - v[..., 0] > c.margin * patch.std(axis=1)[:, None], axis=1)
+        gap = (v[..., 1] - v[..., 0]) / np.maximum(patch.std(axis=1), 1e-9)[:, None]
+        bits = _words(np.concatenate([gap > m for m in c.margins], axis=1), c.radius + 1)
         out += [((x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale, t, k.tobytes()) for x, y, t, k in zip(xs.tolist(), ys.tolist(), angle.tolist(), bits, strict=True)]
     return out
 
@@ -152,57 +171,76 @@ def _described(images: DataFrame, c: Config) -> DataFrame:
                 fine = w and w > 0 and len(grey) and len(grey) % w == 0
                 digests.append(hashlib.sha256(f"{w}|".encode() + (p or b"")).digest())
                 found = describe(grey.reshape(-1, w), c) if fine else []
-                got.append(np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in found], _CORNER).tobytes())
+                got.append(np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in found], _corner(c)).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("image_id"), b.column("query"), pa.array(digests, pa.binary()), pa.array(got, pa.binary())], names=["image_id", "query", "digest", "corners"])
 
     return images.mapInArrow(run, "image_id bigint, query boolean, digest binary, corners binary")
 
 
-def _keys(h: np.ndarray, radius: int) -> list[np.ndarray]:
-    """A key for each two of radius + 2 pieces of the bits. Bits apart touch at most `radius` pieces, so two others are equal."""
-    pieces, half = [], (radius + 3) // 2
-    for word, n in ((0, half), (1, radius + 2 - half)):
-        cuts = [64 * k // n for k in range(n + 1)]
-        pieces += [h[:, word] << np.uint64(lo) >> np.uint64(64 - hi + lo) for lo, hi in pairwise(cuts)]
-    return [mix(mix(x) + y) for x, y in combinations(pieces, 2)]
-
-
 def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of ranges first, first + 1, ... of count members each: the range of each member, and the member."""
     own = np.repeat(np.arange(len(count)), count)
     return own, np.arange(len(own)) - np.repeat(np.cumsum(count) - count - first, count)
 
 
+def needed(a, b, c: Config = Config()):
+    """Corners that must agree for images of a and b corners."""
+    return np.maximum(c.votes, np.ceil(c.share * np.minimum(a, b) - 1e-9)).astype(np.int64)
+
+
+def _bins(c: Config) -> int:
+    """Bins of turns, each as wide as the turns of agreeing corners may differ."""
+    return max(1, int(2 * np.pi / (c.turn + 1e-4)))
+
+
 class _Table:
     """The different descriptors of some images, and the corners of each."""
 
     def __init__(self, packed: list[bytes], c: Config):
-        self.corners = np.frombuffer(b"".join(packed), _CORNER)
-        self.image = np.repeat(np.arange(len(packed)), [len(p) // _CORNER.itemsize for p in packed])
-        self.bits, which, self.count = np.unique(self.corners["h"], axis=0, return_inverse=True, return_counts=True)
-        self.order = np.argsort(which.reshape(-1), kind="stable")
+        kind = _corner(c)
+        corners = np.frombuffer(b"".join(packed), kind)
+        self.image = np.repeat(np.arange(len(packed), dtype=np.int32), [len(p) // kind.itemsize for p in packed])
+        self.own = np.array([len(p) // kind.itemsize for p in packed])
+        self.x, self.y, self.s, self.t = (np.ascontiguousarray(corners[k]) for k in "xyst")
+        self.scale = np.searchsorted(np.sort(np.array(c.scales, np.float32)), self.s).astype(np.int32)
+        self.turn = self.t * np.float32(_bins(c) / (2 * np.pi))
+        bits = np.ascontiguousarray(corners["h"]).reshape(len(corners), -1)
+        _, lead, which, self.count = np.unique(bits.view([("", "V", bits.shape[1] * 8)]).reshape(-1), return_index=True, return_inverse=True, return_counts=True)
+        self.words = [np.ascontiguousarray(bits[lead, k]) for k in range(bits.shape[1])]
+        self.order = np.argsort(which, kind="stable")
         self.first = np.cumsum(self.count) - self.count
-        self.keys = _keys(self.bits, c.radius)
 
     def sort(self) -> _Table:
-        self.by_key = [np.argsort(k, kind="stable") for k in self.keys]
-        self.keys = [k[o] for k, o in zip(self.keys, self.by_key, strict=True)]
+        self.by_word = [np.argsort(w, kind="stable") for w in self.words]
+        self.sorted = [w[o] for w, o in zip(self.words, self.by_word, strict=True)]
         return self
 
 
 def _met(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
     """Corners of q (sorted) and of r whose descriptors are within the radius, each such pair once."""
-    codes = []
-    for at, (known, key) in enumerate(zip(q.keys, r.keys, strict=True)):
-        lo = np.searchsorted(known, key)
-        j, i = _spread(lo, np.searchsorted(known, key, "right") - lo)
-        i = q.by_key[at][i]
-        near = np.bitwise_count(q.bits[i] ^ r.bits[j]).sum(1, dtype=np.int64) <= c.radius
-        codes.append(i[near] * len(r.bits) + j[near])
-    i, j = np.divmod(np.unique(np.concatenate(codes)), max(1, len(r.bits)))
+    left, right = [], []
+    for at, (known, word) in enumerate(zip(q.sorted, r.words, strict=True)):
+        lo = np.searchsorted(known, word)
+        j, i = _spread(lo, np.searchsorted(known, word, "right") - lo)
+        i = q.by_word[at][i]
+        apart = np.zeros(len(i), np.uint8)
+        for k, (a, b) in enumerate(zip(q.words, r.words, strict=True)):
+            if k == at:
+                continue
+            differ = np.bitwise_count(a[i] ^ b[j])
+            apart += differ
+            # a pair whose earlier words are equal was met there
+            near = (apart <= c.radius) & (differ > 0) if k < at else apart <= c.radius
+            i, j, apart = i[near], j[near], apart[near]
+        left.append(i)
+        right.append(j)
+    i, j = np.concatenate(left), np.concatenate(right)
+    # each corner of the one descriptor with each of the other
+    n = r.count[j]
     own, x = _spread(q.first[i], q.count[i])
-    again, y = _spread(r.first[j[own]], r.count[j[own]])
-    return q.order[x[again]], r.order[y]
+    left = np.repeat(q.order[x], n[own])
+    again, y = _spread(r.first[j[own]], n[own])
+    return left, r.order[y]
 
 
 def _agreeing(q: _Table, r: _Table, c: Config) -> Iterator[tuple[int, int, int]]:
@@ -210,50 +248,66 @@ def _agreeing(q: _Table, r: _Table, c: Config) -> Iterator[tuple[int, int, int]]
     x, y = _met(q, r, c)
     if not len(x):
         return
-    a, b = q.corners[x], r.corners[y]
-    wide = int(r.image[-1]) + 1
-    pair = q.image[x] * wide + r.image[y]
-    # Pairs of corners that agree have one scale, and turns in two neighbouring bins: too few of these rule a pair of images out.
-    logs = np.log(b["s"].astype(np.float64) / a["s"])
-    scales, scale = np.unique(np.rint(logs * 1e4), return_inverse=True)
-    if (np.diff(scales) <= 1e4 * _RATIO + 2).any():
-        scales, scale = scales[:1], np.zeros_like(scale)
-    bins = max(1, int(2 * np.pi / (2.01 * c.turn)))
-    turn = np.minimum(bins - 1, np.mod(b["t"].astype(np.float64) - a["t"], 2 * np.pi) * bins // (2 * np.pi)).astype(np.int64)
-    group, groups = pair * len(scales) + scale.reshape(-1), (int(pair.max()) + 1) * len(scales)
-    n = np.bincount(group * bins + turn, minlength=groups * bins).reshape(-1, bins)
-    most = n if bins == 1 else n + np.maximum(np.roll(n, -1, 1), np.roll(n, 1, 1))
-    use = np.flatnonzero(most[group, turn] >= c.votes)
+    # Pairs of corners that agree have one ratio of scales, and turns in a bin or its neighbours: too few of these rule a pair of images out.
+    scales = np.sort(np.array(c.scales, np.float32)).astype(np.float64)
+    ratios, ratio = np.unique(np.rint(np.log(scales[None, :] / scales[:, None]) * 1e4), return_inverse=True)
+    if (np.diff(ratios) <= 1e4 * _RATIO + 2).any():
+        ratios, ratio = ratios[:1], np.zeros_like(ratio)
+    ratio = ratio.astype(np.int32)
+    wide, bins = len(r.own), _bins(c)
+    if len(ratios) > 1:
+        group = (q.image * (wide * len(ratios)))[x] + (r.image * len(ratios))[y] + ratio.reshape(-1)[(q.scale * len(scales))[x] + r.scale[y]]
+    else:
+        group = (q.image * wide)[x] + r.image[y]
+    turn = np.floor(r.turn[y] - q.turn[x]).astype(np.int32)
+    turn += (turn < 0) * np.int32(bins)  # angles are within half a turn, so differences within a whole one
+    turn -= (turn >= bins) * np.int32(bins)
+    cell = group.astype(np.int64) * bins + turn
+    n = np.minimum(np.bincount(cell, minlength=(int(group.max()) + 1) * bins), 9999).astype(np.uint16).reshape(-1, bins)
+    if bins > 2:
+        n = n + np.roll(n, 1, 1) + np.roll(n, -1, 1)
+    else:
+        n = np.repeat(n.sum(1, keepdims=True), bins, 1)
+    need = needed(q.own[:, None], r.own[None, :], c).reshape(-1).astype(np.uint16)
+    use = np.flatnonzero(n.reshape(-1)[cell] >= need[group // len(ratios)])
     use = use[np.argsort(group[use], kind="stable")]
-    a, b, pair, group = a[use], b[use], pair[use], group[use]
-    m = np.stack([t[k] for t in (a, b) for k in "xyst"], 1).astype(np.float64)
-    wanted = pair[_supported(m, group, c)]
+    x, y, group = x[use], y[use], group[use]
+    m = [t[k] for t, k in ((q.x, x), (q.y, x), (q.s, x), (q.t, x), (r.x, y), (r.y, y), (r.s, y), (r.t, y))]
+    pair = group // len(ratios)
+    wanted = pair[_supported(m, group, need[pair], c)]
     where, first, size = np.unique(pair, return_index=True, return_counts=True)
     fine = np.isin(where, wanted)
     for p, s, z in zip(where[fine].tolist(), first[fine].tolist(), size[fine].tolist(), strict=True):
-        if (votes := consensus(m[s : s + z], c)) >= c.votes:
+        if (votes := consensus(np.stack([v[s : s + z] for v in m], 1).astype(np.float64), c)) >= need[p]:
             yield p // wide, p % wide, votes
 
 
-def _supported(m: np.ndarray, group: np.ndarray, c: Config) -> np.ndarray:
-    """Which pairs of corners have enough pairs of their group (ascending) that agree with them, before corners are told apart."""
-    _, first, which, size = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
-    first, size = first[which], size[which]
+def _supported(m: list[np.ndarray], group: np.ndarray, need: np.ndarray, c: Config) -> np.ndarray:
+    """Which pairs of corners have enough pairs of their group (ascending) that agree with them, before corners are told apart. With some slack."""
+    if not len(group):
+        return np.zeros(0, bool)
+    new = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    size = np.diff(np.append(new, len(group)))
+    first, size = np.repeat(new, size), np.repeat(size, size)
     out = size > 512  # left to the consensus
-    turn, ratio = m[:, 7] - m[:, 3], m[:, 6] / m[:, 2]
+    ax, ay, a_s, at, bx, by, bs, bt = m
+    turn, ratio = bt - at, bs / a_s
     ux, uy = np.cos(turn), np.sin(turn)
-    co, si, far = ratio * ux, ratio * uy, (c.tolerance * np.maximum(1, m[:, 6]) + 1e-6) ** 2
+    co, si, far = ratio * ux, ratio * uy, (c.tolerance * np.maximum(1, bs) + 0.05) ** 2
+    least = np.float32(np.cos(c.turn) - 1e-4)
     ask = np.flatnonzero(~out)
     ends = np.cumsum(size[ask])
-    for part in np.split(ask, np.searchsorted(ends, np.arange(1, ends[-1] // 1_000_000 + 1) * 1_000_000) if len(ask) else []):
+    for part in np.split(ask, np.searchsorted(ends, np.arange(1, ends[-1] // 500_000 + 1) * 500_000) if len(ask) else []):
         own, j = _spread(first[part], size[part])
         i = part[own]
-        close = ux[i] * ux[j] + uy[i] * uy[j] > np.cos(c.turn) - 1e-9
-        own, i, j = own[close], i[close], j[close]
-        dx, dy = m[j, 0] - m[i, 0], m[j, 1] - m[i, 1]
-        x, y = co[i] * dx - si[i] * dy + m[i, 4] - m[j, 4], si[i] * dx + co[i] * dy + m[i, 5] - m[j, 5]
-        near = x * x + y * y <= far[j]
-        out[part] = np.bincount(own[near], minlength=len(part)) >= c.votes
+        dx, dy = ax[j] - ax[i], ay[j] - ay[i]
+        ex, ey = bx[j] - bx[i], by[j] - by[i]
+        # lengths first: most pairs of corners differ in them
+        like = np.abs(np.sqrt(ex * ex + ey * ey) - ratio[i] * np.sqrt(dx * dx + dy * dy)) <= np.sqrt(far[j])
+        own, i, j, dx, dy, ex, ey = (v[like] for v in (own, i, j, dx, dy, ex, ey))
+        x, y = co[i] * dx - si[i] * dy - ex, si[i] * dx + co[i] * dy - ey
+        near = (x * x + y * y <= far[j]) & (ux[i] * ux[j] + uy[i] * uy[j] > least)
+        out[part] = np.bincount(own[near], minlength=len(part)) >= need[part]
     return out
 
 
