@@ -475,7 +475,23 @@ def test_bpe_equals_library(spark):
     assert all(bytes(r.decoded).decode() == (r.text or "") for r in got) and len(got) == len(NASTY) + 1
     pieces = ["".join(rng.choices("theonrias", k=rng.randint(2, 40))).encode() for _ in range(300)]
     pieces = [p for p in pieces if p not in ranks]
-    assert bpe.merge_many(pieces, codec.pairs) == [bpe.merge(p, ranks, codec.longest) for p in pieces]
+    assert bpe.merge_many(pieces, codec.pairs) == [bpe.packed(bpe.merge(p, ranks, codec.longest)) for p in pieces]
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    """Far more pieces than are remembered: the same ids, and no more than two tables, each of the bound and one call's pieces."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 20_000)
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"abc": 257}
+    small, rng = bpe.Codec(ranks, r"\S+|\s"), random.Random(6)
+    many = [["".join(rng.choices("abcd", k=rng.randint(1, 9))) for _ in range(40)] + ["abc", "x" * 90] for _ in range(60)]
+    texts = [" ".join(t) for t in many]
+    want = [bpe.Codec(ranks, r"\S+|\s").encode(t) for t in texts]
+    for at in range(0, len(texts), 3):
+        assert small.encode_all(texts[at : at + 3]) == want[at : at + 3]
+        assert len(small) + len(small.older) < 2 * (20_000 / bpe._ENTRY + 130)
+        assert "x" * 90 not in small
+    small.forget()
+    assert not small and not small.older and small.size == 0
 
 
 # substrings
