@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import tidy
+
 _NONE = 1 << 62
 #: Bytes, by estimate, of the latest pieces already merged that a task remembers, and as many of older ones.
 REMEMBERED = 24 << 20
@@ -88,8 +90,15 @@ class Pairs:
     """Ranks by the ids of a pair's two tokens, for many pairs at once."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        got = [(left << 32 | right, r) for t, r in ranks.items() for cut in range(1, len(t)) if (left := ranks.get(t[:cut])) is not None and (right := ranks.get(t[cut:])) is not None]
-        table = np.array(sorted(got), np.int64).reshape(-1, 2)
+        def cuts() -> Iterator[int]:
+            for t, r in ranks.items():
+                for cut in range(1, len(t)):
+                    if (left := ranks.get(t[:cut])) is not None and (right := ranks.get(t[cut:])) is not None:
+                        yield left << 32 | right
+                        yield r
+
+        table = np.fromiter(cuts(), np.int64).reshape(-1, 2)
+        table = table[np.argsort(table[:, 0])]
         self.keys, self.ranks = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], 0)
         self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
@@ -214,14 +223,15 @@ class Codec(dict):
 _CODECS: dict[str, Codec] = {}
 
 
-def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, make, schema: str) -> DataFrame:
-    """df with the columns of schema, which make(codec, values) gives for each of some values of the column."""
+def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, make, schema: str, keep: list[str] | None = None) -> DataFrame:
+    """df (or its columns `keep`) with the columns of schema, which make(codec, values) gives for each of some values of the column."""
     names = [x.split()[0] for x in schema.split(", ")]
-    base = df.drop(*names)
-    full = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), schema])
+    base = df.drop(*(n for n in names if n != column))
+    kept = [f for f in base.schema if f.name not in names and (keep is None or f.name in keep)]
+    full = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), schema])
     kinds = {"array<int>": pa.list_(pa.int32()), "string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}
     types = [kinds[x.split()[1]] for x in schema.split(", ")]
-    shared, key, columns = df.sparkSession.sparkContext.broadcast(ranks), uuid.uuid4().hex, base.columns
+    shared, key, columns = df.sparkSession.sparkContext.broadcast(ranks), uuid.uuid4().hex, [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enabled = gc.isenabled()
@@ -235,31 +245,31 @@ def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str, m
                 for at in range(0, len(b), 256):
                     part = b.slice(at, 256)
                     got = list(make(codec, part.column(column).to_pylist()))
-                    yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
+                    yield pa.RecordBatch.from_arrays([*(part.column(k) for k in columns), *(pa.array([g[k] for g in got], t) for k, t in enumerate(types))], names=[*columns, *names])
         finally:
             if key in _CODECS:
                 _CODECS[key].forget()
             if enabled:  # the worker goes on to other operators' tasks
                 gc.enable()
 
-    return base.mapInArrow(run, full)
+    return base.mapInArrow(tidy(run), full)
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """df with `ids` (replacing a column of this name)."""
-    return _mapped(df, ranks, pattern, text, lambda c, texts: ((x,) for x in c.encode_all([t or "" for t in texts])), "ids array<int>")
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """df (or its columns `keep`, so that texts needn't come back) with `ids` (replacing a column of this name)."""
+    return _mapped(df, ranks, pattern, text, lambda c, texts: ((x,) for x in c.encode_all([t or "" for t in texts])), "ids array<int>", keep)
 
 
-def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids: str = "ids") -> DataFrame:
-    """df with `decoded`, the bytes of ids (null: no bytes); an id without token raises."""
-    return _mapped(df, ranks, pattern, ids, lambda c, many: ((c.decode(x or []),) for x in many), "decoded binary")
+def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """df (or its columns `keep`) with `decoded`, the bytes of ids (null: no bytes); an id without token raises."""
+    return _mapped(df, ranks, pattern, ids, lambda c, many: ((c.decode(x or []),) for x in many), "decoded binary", keep)
 
 
-def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """df with n_tokens, ids_text (decimal ids joined by one space) and decoded, made by encoding and then decoding in one pass."""
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """df (or its columns `keep`) with n_tokens, ids_text (decimal ids joined by one space) and decoded, made by encoding and then decoding in one pass."""
 
     def both(c: Codec, texts: list[str | None]):
         for ids in c.encode_all([t or "" for t in texts]):
             yield len(ids), " ".join(map(c.decimals.__getitem__, ids)), c.decode(ids)
 
-    return _mapped(df, ranks, pattern, text, both, "n_tokens bigint, ids_text string, decoded binary")
+    return _mapped(df, ranks, pattern, text, both, "n_tokens bigint, ids_text string, decoded binary", keep)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
@@ -60,6 +62,31 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Drops tables that are quickly made again and gives freed memory back to the system: workers are reused, and what one stage took would stay with all later ones."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidy(run):
+    """run (of batches), with memory released before and after a task."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

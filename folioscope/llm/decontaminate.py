@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import _powers, byte_texts, chunks, mix, stored
+from .common import _powers, byte_texts, chunks, mix, stored, tidy
 
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -209,7 +209,7 @@ def _searched(base: DataFrame, given: list[tuple], id_type, config: Config, text
                 got += own
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array([[*g.values()] for g in got], kind)], names=[*keep, "hits"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
 
 
 def hits(docs: DataFrame, items: DataFrame, config: Config = Config(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

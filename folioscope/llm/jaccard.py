@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, byte_texts, chunks, discard, mix, ngram_hashes, stored
+from .common import Words, byte_texts, chunks, discard, mix, ngram_hashes, release, stored, tidy
 from .graph import components
 
 
@@ -96,7 +96,7 @@ def _frequent(docs: DataFrame, c: Config, most: int) -> np.ndarray:
                 seen.update(dict(zip(k[n > 1].tolist(), n[n > 1].tolist(), strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["key", "n"])
 
-    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(c.look)) == 0).select("text").mapInArrow(count, "key bigint, n bigint")
+    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(c.look)) == 0).select("text").mapInArrow(tidy(count), "key bigint, n bigint")
     rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 16").orderBy(F.desc("n"), "key").limit(most).collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
@@ -176,6 +176,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
 
     def fragment(pdf: pd.DataFrame) -> pd.DataFrame:
         """Counts the sets of each n-gram of one fragment; what others share goes home to its set, by bucket of sets."""
+        release()
         f = int(pdf["frag"].iloc[0])
         out = [(f, k, d) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k != _GRAMS]
         pieces = [_unpack(d) for k, d in zip(pdf["kind"], pdf["data"], strict=True) if k == _GRAMS]
@@ -195,6 +196,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
         return pd.DataFrame({"bucket": np.array([o[0] for o in out], np.int64), "kind": np.array([o[1] for o in out], np.int32), "data": [o[2] for o in out]})
 
     def home(pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         bucket = int(pdf["bucket"].iloc[0])
         by: list[list[bytes]] = [[] for _ in range(5)]
         for k, d in zip(pdf["kind"], pdf["data"], strict=True):
@@ -228,7 +230,7 @@ def _record_table(docs: DataFrame, id_: str, text: str, c: Config) -> DataFrame:
             out = pd.concat([out, more]) if len(out) else more
         return out
 
-    first = base.mapInArrow(scatter, "frag bigint, kind int, data binary").groupBy("frag").applyInPandas(fragment, "bucket bigint, kind int, data binary")
+    first = base.mapInArrow(tidy(scatter), "frag bigint, kind int, data binary").groupBy("frag").applyInPandas(fragment, "bucket bigint, kind int, data binary")
     return first.groupBy("bucket").applyInPandas(home, "kind int, id bigint, sid bigint, k1 bigint, k2 bigint, n int, own int, shared array<bigint>")
 
 

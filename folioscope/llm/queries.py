@@ -123,7 +123,7 @@ def ranks() -> dict[bytes, int]:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), ranks(), public_tokenizers.PATTERN)
+    out = bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), ranks(), public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

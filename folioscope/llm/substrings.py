@@ -24,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, byte_texts, chunks, mix, ngram_hashes, _powers
+from .common import Words, byte_texts, chunks, mix, ngram_hashes, _powers, tidy
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def frequent_minimisers(texts: DataFrame, c: Config, most: int) -> np.ndarray:
                     seen.update(dict(zip(*(x.tolist() for x in np.unique(key.view(np.int64), return_counts=True)), strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["key", "n"])
 
-    part = texts.where(F.pmod("k1", F.lit(c.look)) == 0).select("text").mapInArrow(count, "key bigint, n bigint")
+    part = texts.where(F.pmod("k1", F.lit(c.look)) == 0).select("text").mapInArrow(tidy(count), "key bigint, n bigint")
     rows = part.groupBy("key").agg(F.sum("n").alias("n")).where("n >= 64").orderBy(F.desc("n"), "key").limit(most).collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
@@ -221,7 +221,7 @@ def repeated_spans(texts: DataFrame, c: Config) -> DataFrame:
         k1, k2, s, e = (np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(4))
         return pd.DataFrame({"k1": k1, "k2": k2, "s": s.astype(np.int32), "e": e.astype(np.int32)})
 
-    return texts.mapInArrow(scatter, "bucket bigint, runs binary, words binary").groupBy("bucket").applyInPandas(count, "k1 bigint, k2 bigint, s int, e int")
+    return texts.mapInArrow(tidy(scatter), "bucket bigint, runs binary, words binary").groupBy("bucket").applyInPandas(count, "k1 bigint, k2 bigint, s int, e int")
 
 
 def deduplicate(docs: DataFrame, config: Config = Config(), text: str = "text") -> DataFrame:
@@ -253,4 +253,4 @@ def deduplicate(docs: DataFrame, config: Config = Config(), text: str = "text")
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in columns), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=[*columns, *names])
 
-    return both.mapInArrow(remove, schema)
+    return both.mapInArrow(tidy(remove), schema)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Words, byte_texts, chunks
+from .common import Words, byte_texts, chunks, tidy
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -259,4 +259,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             got = np.concatenate([scores(m, part) for part in chunks(texts)]) if texts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got), pa.array((got >= m.config.threshold).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
