@@ -54,7 +54,7 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and its text's ids."""
-    out = bpe.encode(docs.select("doc_id", "text"), queries.ranks(), public_tokenizers.PATTERN)
+    out = bpe.encode(docs.select("doc_id", "text"), queries.ranks(), public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
