@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, jaccard, media, pseudonyms, substrings, toxicity, urlfilter, warc
+from . import bpe, chat, decontaminate, jaccard, media, nearest, periodic, pseudonyms, substrings, toxicity, urlfilter, warc
 from .common import read
 
 #: The key of pseudonyms in the registered query; a deployment passes its own.
@@ -147,8 +147,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """docs whose text, where h = crc32(doc_id) is divisible by 10, repeats p of its words from word a on (both from h)."""
+    hash_ = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g = F.floor(hash_ / 10)
+    rows = docs.withColumn("_w", F.when(hash_ % 10 == 0, words)).withColumn("_n", F.when(F.size("_w") > 0, F.size("_w"))).withColumn("_a", (g % F.col("_n")).cast("int"))
+    rows = rows.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + g % 8))).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    times = F.ceil(rest / F.col("_p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("_w", F.col("_a") + 1, F.col("_p")), times)), F.lit(1), rest)
+    return rows.withColumn("text", F.when(F.col("_n") > 0, F.array_join(F.concat(F.slice("_w", F.lit(1), F.col("_a")), tail), " ")).otherwise(F.col("text"))).select(docs.columns)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.detect(with_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")), keep=["doc_id"])
+    # of greatest length / period, compared as fractions; runs come by start, then period
+    more = lambda r, b: r["length"] * b["period"] > b["length"] * r["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(more(r, b), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    out = out.withColumn("b", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat, op2_pii, op3_warc, op4_images, op5_urls, op6_benchmark, op7_bpe, op8_substrings, op9_jaccard, op10_toxicity)}
+    return {f.__name__: f for f in (op1_chat, op2_pii, op3_warc, op4_images, op5_urls, op6_benchmark, op7_bpe, op8_substrings, op9_jaccard, op10_toxicity, op11_nearest, op12_periodic)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -222,4 +252,11 @@ l as (select a, b from o where 100 * c >= 80 * (na + nb - c)),
 e as (select a, b from l union select b, a from l),
 reach(a, b) as (select a, b from e union select reach.a, e.b from reach join e on reach.b = e.a)
 select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id from s left join (select a, min(b) as m from reach group by a) r on s.doc_id = r.a""",
+    "op11_nearest": r"""
+with v as (select row_number() over () as r, vec_id, embedding from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+x as (select r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as x from v),
+s as (select q.r, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.x, c.x) as bigint) as score from x q join x c on q.r <> c.r where q.vec_id % 20 = 0),
+k as (select *, cast(row_number() over (partition by r order by score desc, vec_id nulls last) as int) as rank from s)
+select query_id, rank, vec_id, score from k where rank <= 20""",
 }
