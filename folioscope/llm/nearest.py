@@ -108,39 +108,66 @@ class Block:
         return {"n": len(rows), "width": width, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "vectors": v.tobytes(), "table": table.tobytes(), "low": table.min(0).tolist(), "high": table.max(0).tolist(), "longest": int(lengths.max())}
 
 
+#: Queries whose bounds are computed at once.
+_TOGETHER = 16
+
+
+def _bounds(q: Block, c: Block) -> Iterator[np.ndarray]:
+    """Of each query of q: an upper bound of its score with each row of c, from the greatest of the pivots' lower bounds of the distance."""
+    table, lengths = np.ascontiguousarray(c.table.T, np.float32), c.lengths.astype(np.float32)
+    slack = np.float32(_SLACK)
+    for at in range(0, len(q.lengths), _TOGETHER):
+        ask, own = q.table[at : at + _TOGETHER].astype(np.float32), q.lengths[at : at + _TOGETHER].astype(np.float32)
+        apart, one = np.zeros((len(ask), len(lengths)), np.float32), np.empty((len(ask), len(lengths)), np.float32)
+        for p in range(len(table)):
+            np.subtract(table[p][None, :], ask[:, p][:, None], out=one)
+            np.abs(one, out=one)
+            np.maximum(apart, one, out=apart)
+        apart -= slack * (table.max(initial=0) + ask.max(1, initial=0))[:, None]
+        np.maximum(apart, 0, out=apart)
+        size = lengths[None, :] + own[:, None]
+        np.multiply(apart, apart, out=apart)
+        np.subtract(size, apart, out=apart)
+        apart *= np.float32(0.5)
+        size *= slack
+        apart += size
+        apart += 1
+        yield from apart
+
+
 def best(q: Block, c: Block, floor: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """Of each query of q: its number, places in c and scores of the k best rows of c that aren't below its floor, best first, and how many were evaluated; own: its place in c, or -1."""
-    wide = min(q.vectors.shape[1], c.vectors.shape[1])
-    exact = float(q.lengths.max()) * float(c.lengths.max()) < 2.0**104  # then float64 holds every partial sum
-    kind = np.float64 if exact else np.int64
+    wide, most = min(q.vectors.shape[1], c.vectors.shape[1]), float(q.lengths.max()) * float(c.lengths.max())
+    kind = np.float32 if most < 2.0**46 else np.float64 if most < 2.0**104 else np.int64  # every partial sum is at most the square root
     right, left = c.vectors[:, :wide].astype(kind), q.vectors[:, :wide].astype(kind)
-    table, lengths = np.ascontiguousarray(c.table.T).astype(np.float32), c.lengths.astype(np.float32)
-    top = table.max(1) if c.table.size else np.zeros(0, np.float32)
-    ask = q.table.astype(np.float32)
-    for i in range(len(q.lengths)):
-        bound = np.zeros(len(lengths), np.float32)
-        for p in range(len(table)):
-            np.maximum(bound, np.abs(table[p] - ask[i, p]) - np.float32(_SLACK) * (top[p] + ask[i, p]), out=bound)
-        size = lengths + np.float32(q.lengths[i])
-        most = (size - bound * bound) * np.float32(0.5) + size * np.float32(_SLACK) + np.float32(1)
-        need = floor[i]
-        at = np.flatnonzero(most >= np.float32(need) * np.float32(1 - _SLACK if need > 0 else 1 + _SLACK))
+    for i, most in enumerate(_bounds(q, c)):
+        need = float(floor[i])
+        at = np.flatnonzero(most >= need * (1 - _SLACK if need > 0 else 1 + _SLACK))
         at = at[at != own[i]]
-        at = at[np.argsort(-most[at], kind="stable")]
-        place, score, done, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4 * k
+        bound = most[at]
+        top = bound.max(initial=0)
+        step = max((top - bound.min(initial=top)) / 65_000, 1e-30)
+        rank = ((top - bound) / step).astype(np.uint16)  # bounds in 65,000 steps, which sort in linear time; a bound is at most top - rank * step
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        place, score, done, size = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 8 * k
         while done < len(at):
-            part = at[done : done + step]
-            if len(score) == k and most[part[0]] < need - abs(need) * _SLACK:
+            if len(score) == k and (float(top) - int(rank[done]) * float(step)) * (1 + _SLACK) + float(step) < need:
                 break
-            got = (right[part] @ left[i]).astype(np.int64)
-            fine = got >= need
-            place, score = np.concatenate([place, part[fine]]), np.concatenate([score, got[fine]])
-            order = np.lexsort((c.ids[1][place], c.ids[0][place], -score))[:k]
-            place, score = place[order], score[order]
+            part = at[done : done + size]
+            got = right[part] @ left[i]
+            fine = np.flatnonzero(got >= need)
+            place, score = np.concatenate([place, part[fine]]), np.concatenate([score, got[fine].astype(np.int64)])
+            if len(score) > k:
+                least = np.partition(score, len(score) - k)[len(score) - k]
+                near = score >= least
+                place, score = place[near], score[near]
+            sort = np.lexsort((c.ids[1][place], c.ids[0][place], -score))[:k]
+            place, score = place[sort], score[sort]
             if len(score) == k:
                 need = max(need, float(score[-1]))
-            done += step
-            step *= 2
+            done += size
+            size *= 4
         yield i, place, score, min(done, len(at))
 
 
@@ -158,23 +185,23 @@ def neighbours(vectors: DataFrame, is_query: Column, config: Config = Config(),
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for i, query, v in zip(*(b.column(k).to_pylist() for k in ("id", "query", "v")), strict=True):
-                x = _integers(np.array(v, np.float64), c.scale)
-                if float(x @ x) < _MOST:
-                    out.append((i, query, x))
-            for at in range(0, len(out), 256):
-                part = out[at : at + 256]
-                wide = max(len(r[2]) for r in part)
-                v = np.zeros((len(part), wide))
-                for i, r in enumerate(part):
-                    v[i, : len(r[2])] = r[2]
-                lengths = np.array([sum(int(e) * int(e) for e in r[2]) if wide and float(r[2] @ r[2]) > 2.0**52 else int(r[2] @ r[2]) for r in part], np.int64)
+            for at in range(0, len(b), 512):
+                part = b.slice(at, 512)
+                lists = part.column("v")
+                size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                x = _integers(lists.flatten().to_numpy(zero_copy_only=False), c.scale)
+                v = np.zeros((len(part), int(size.max(initial=0))))
+                v[np.arange(v.shape[1])[None, :] < size[:, None]] = x
+                square = (v * v).sum(1)
+                fits = square < _MOST
+                exact = lambda r: sum(int(e) * int(e) for e in r)
+                lengths = np.array([int(s) if s < 2.0**52 else exact(r) for s, r in zip(square[fits], v[fits], strict=True)], np.int64)
+                v, size, part = v[fits], size[fits], part.filter(pa.array(fits))
                 d = _to_pivots(v, lengths, pivots)
                 near = d.argmin(1)
-                cols = [[r[0] for r in part], [r[1] for r in part], near.tolist(), d[np.arange(len(d)), near].tolist(), lengths.tolist(), [r[2].astype(np.int32).tobytes() for r in part], [x.tobytes() for x in d]]
-                kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.float64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names=["id", "query", "near", "far", "length", "v", "d"])
+                packed_ = [r[:n].astype(np.int32).tobytes() for r, n in zip(v, size, strict=True)]
+                cols = [part.column("id"), part.column("query"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near]), pa.array(lengths), pa.array(packed_, pa.binary()), pa.array([r.tobytes() for r in d], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "query", "near", "far", "length", "v", "d"])
 
     def packed(rows: Iterator[tuple], most: int) -> Iterator[list[tuple]]:
         """Rows (.., .., vector, ..) in lists of at most `most` rows and c.bytes bytes at one width."""
@@ -219,7 +246,7 @@ def neighbours(vectors: DataFrame, is_query: Column, config: Config = Config(),
     ddl = lambda *more: ", ".join([*more, Block.SCHEMA])
     parts = max(1, -(-vectors.count() // c.block))
     rows = given.mapInArrow(tidy(table), "id bigint, query boolean, near int, far double, length bigint, v binary, d binary")
-    ranged = rows.repartitionByRange(parts, "near", "far", "id").sortWithinPartitions("near", "far", "id")
+    ranged = rows.repartitionByRange(parts, "near", "far", "id").sortWithinPartitions("near", "far", "id").coalesce(parts)
     blocks = stored(ranged.mapInArrow(tidy(blocks_of), ddl("block bigint", "asks binary")), "blocks")
     asked = stored(blocks.where("length(asks) > 0").mapInArrow(tidy(asked_of), ddl("pack bigint", "homes binary", "floors binary", "floor double")), "asked")
 
@@ -251,20 +278,21 @@ def neighbours(vectors: DataFrame, is_query: Column, config: Config = Config(),
     pairs = stored(pairs.withColumn("salt", group("pack", salts)), "pairs")
 
     def evaluate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [np.zeros((0, 6), np.int64)]
         for row in right.to_dict("records"):
             held = Block(row)
             for pack in left.to_dict("records"):
                 q, homes, floors = Block(pack), np.frombuffer(pack["homes"], np.int64).reshape(-1, 2), np.frombuffer(pack["floors"], np.float64)
                 own = np.where(homes[:, 0] == row["served"], homes[:, 1], -1)
                 for i, place, score, _ in best(q, held, floors, own, c.k):
-                    null = held.ids[0][place] == 1
-                    ids = pd.Series(held.ids[1][place], dtype="Int64").mask(null)
-                    out.append(pd.DataFrame({"home": homes[i, 0], "place": homes[i, 1], "query_id": pd.Series([None if q.ids[0][i] else int(q.ids[1][i])] * len(place), dtype="Int64"), "vec_id": ids, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in ("home", "place", "query_id", "vec_id", "score")})
+                    rows = np.empty((len(place), 6), np.int64)
+                    rows[:, :2], rows[:, 2], rows[:, 3], rows[:, 4], rows[:, 5] = homes[i], q.ids[1][i], held.ids[1][place], held.ids[0][place], score
+                    out.append(rows)
+        return pd.DataFrame(np.concatenate(out), columns=["home", "place", "query_id", "vec_id", "none", "score"])
 
     travelling = asked.select("pack", "homes", "floors", *body).join(pairs, "pack")
     serving = blocks.select("block", *body).join(pairs.select("block", F.col("salt").alias("part")).distinct(), "block")
-    found = travelling.groupBy("block", "salt").cogroup(serving.select(F.col("block").alias("served"), "part", *body).groupBy("served", "part")).applyInPandas(evaluate, "home bigint, place bigint, query_id bigint, vec_id bigint, score bigint")
+    found = travelling.groupBy("block", "salt").cogroup(serving.select(F.col("block").alias("served"), "part", *body).groupBy("served", "part")).applyInPandas(evaluate, "home bigint, place bigint, query_id bigint, vec_id bigint, none bigint, score bigint")
+    found = found.withColumn("vec_id", F.when(F.col("none") == 0, F.col("vec_id")))
     rank = F.row_number().over(Window.partitionBy("home", "place").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= c.k).select("query_id", "rank", "vec_id", "score")
