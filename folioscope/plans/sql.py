@@ -42,7 +42,7 @@ _SAID = f"list_filter({_WORDS}, lambda w: lower(w) not in ({_DROPPED}) and lengt
 _SHORT = f"coalesce(nullif(trim(regexp_replace(array_to_string(case when len({_SAID}) > 0 then {_SAID}[1:3] else {_WORDS}[1:2] end, '_'), '_{{2,}}', '_', 'g'), '_'), ''), 'Unknown')"
 _NAME = f"""case when year <> '' then year || '__' || short || '__' else stem || '__' end || 'cag_p' || "start" || case when "end" > "start" then '-' || "end" else '' end || '_en.pdf'"""
 
-_BASE = f"""
+BASE = f"""
 with all_files as (select doc_id, company, '/corpus/' || company || '/d' || doc_id || case when doc_id % 97 = 0 then '/archives/' else '/' end || stem || '.pdf' as source_pdf, stem,
   substr(sha1(stem || '|' || doc_id), 1, 16) as source_hash, n, k, odd, cast(1 + doc_id % (n - 2) as int) as p, cast(2 + doc_id % (n - 4) as int) as t, text, {_YEAR} as year, {_SHORT} as short
  from (select *, case i % 8 when 0 then 'R_' || y || '-03-31' when 1 then 'R_' || y || '_03_31' when 2 then 'R_AR_' || (y - 1) || '-' || y when 3 then 'R_' || (y - 1) || '_' || y
@@ -186,4 +186,4 @@ _FINAL = {
     "actions_all": "select source_pdf, phase, action, result, extract_page from pass1 union all select source_pdf, phase, action, result, extract_page from pass2 where mode = 'on'",
 }
 
-SQL = {name: _BASE + final for name, final in _FINAL.items()}
+SQL = {name: BASE + final for name, final in _FINAL.items()}

@@ -16,7 +16,12 @@ HINDI = "भारत के नियंत्रक एवं महाले
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    return files_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def files_of(documents: DataFrame) -> DataFrame:
+    """A file for each document (doc_id, source, text), with what its pages will show."""
+    d = documents.select("doc_id", "source", "text")
     n = (F.ceil(F.length("text") / F.lit(400.0)) + 4).cast("int")
     i, k = F.expr("doc_id div 20"), F.expr("doc_id div 20") % 10
     y = 1975 + i % 45
@@ -24,7 +29,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     bare = k.isin(0, 3, 4, 5, 8) & ((F.col("doc_id") % 20 == 3) | ((F.col("doc_id") % 20 == 7) & (i > 0)))
     stem = F.expr("""case s when 0 then concat('R_', y, '-03-31') when 1 then concat('R_', y, '_03_31') when 2 then concat('R_AR_', y - 1, '-', y) when 3 then concat('R_', y - 1, '_', y)
         when 4 then concat('R_', y - 1, '_', lpad(y % 100, 2, '0')) when 5 then concat('R_AR_', y) when 6 then concat('Report ', y) else 'Report' end""")
-    d = d.withColumns({"k": F.when(bare, 9).otherwise(k).cast("int"), "stem": stem, "p": (1 + F.col("doc_id") % (F.col("n") - 2)).cast("int"), "t": (2 + F.col("doc_id") % (F.col("n") - 4)).cast("int")})
+    d = d.withColumns({"k": F.when(bare, 9).otherwise(k).cast("int"), "stem": stem, "p": (1 + F.col("doc_id") % (F.col("n") - 2)).cast("int"), "t": (2 + F.try_mod("doc_id", F.col("n") - 4)).cast("int")})
     path = F.concat(F.lit("/corpus/"), "company", F.lit("/d"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 97 == 0, "/archives/").otherwise("/"), "stem", F.lit(".pdf"))
     return d.select("doc_id", "company", path.alias("source_pdf"), "stem", F.substring(F.sha1(F.concat_ws("|", "stem", F.col("doc_id").cast("string"))), 1, 16).alias("source_hash"), "n", "k", "odd", "p", "t", "text")
 
