@@ -4,15 +4,22 @@ An item of m characters that occurs in a text with at most e edits (e = rate * m
 m + 1 - q * (e + 1) q-grams with it, at different places of the text and all within e of one diagonal. So per text and item, the
 places whose q-gram the item has are counted in diagonal bands of width 2 (e + 1) that overlap by half; bands that reach the
 bound are kept, and a banded alignment of the whole item with each region of kept bands decides. Nothing that the lemma admits
-is lost. A q-gram's places in a text and in an item are taken by runs, so that repetitive texts and items cost no product of both.
+is lost. A q-gram's places in a text and in an item are taken by runs.
 
-Characters are code points; A-Z are lower-cased and ASCII white space counts as a space. q is the largest up to `q` for which
-an item's bound is positive; an item too short for any (m <= e) can't exist for rates below 1. Null and empty texts hold
-nothing; null and empty items, and items given twice, are found nowhere and once per item_id, respectively.
+Q-grams that more than `shared` items have (a stem that all questions of a benchmark begin with) are left out of the count, and
+each item's bound is lowered by as many as it has of them, which again loses nothing. Of the q up to `q`, an item takes the
+largest whose lowered bound is positive, so that a text that repeats the stem is no candidate for any item. Items with no such q
+(they differ from many others in a few characters only) are looked for with all their q-grams, `shared` of them at a time: their
+candidates are as many as they are, but memory stays bounded. All regions of an item in a text are aligned side by side.
+
+Characters are code points; A-Z are lower-cased and ASCII white space counts as a space. An item too short for any q (m <= e)
+can't exist for rates below 1. Null and empty texts hold nothing; null and empty items, and items given twice, are found nowhere
+and once per item_id, respectively. Texts are looked through in pieces that overlap by more than the longest item.
 
 The items' q-grams are broadcast in parts of about `most` characters. With one part, texts are scanned in one pass without
 shuffle, in chunks, so hot sources, copies and lost executors cost their own tasks only. With more, each part has a pass of its
-own over the texts, numbered and written once, and the hits found (narrow rows) are joined to them.
+own over the texts, numbered and written once; its hits (narrow rows) are written before the next part is fetched, so the driver
+holds one part at a time, and all hits are joined to the texts.
 """
 
 from __future__ import annotations
@@ -40,7 +47,11 @@ class Config:
     q: int = 16
     rate: float = 0.05
     #: Characters of items, about, that one pass looks for.
-    most: int = 4_000_000
+    most: int = 1_000_000
+    #: Items that may have a q-gram which counts.
+    shared: int = 8
+    #: Characters of a text looked through at once, at least.
+    piece: int = 1 << 18
 
 
 def folded(text: str) -> np.ndarray:
@@ -61,46 +72,84 @@ def gram_hashes(x: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """q-grams of the items, by q: hashes, and for each the item and the run of places (no further apart than the item's width) it has there."""
+    """q-grams of the items by group: q, hashes, and for each the item and the run of places (no further apart than the item's width) it has there."""
 
     def __init__(self, items: list[tuple], c: Config):
         self.items = [(i, folded(t)) for i, t in items]
         self.edits = [int(c.rate * len(x)) for _, x in self.items]
-        self.qs: dict[int, tuple] = {}
-        by: dict[int, list[int]] = {}
-        for k, (_, x) in enumerate(self.items):
-            by.setdefault(max(1, min(c.q, len(x) // (self.edits[k] + 1))), []).append(k)
+        self.longest = max((len(x) + e for (_, x), e in zip(self.items, self.edits, strict=True)), default=0)
+        #: Q-grams that a band must hold of each item.
+        self.need = np.zeros(len(self.items), np.int64)
+        self.groups: list[tuple] = []
+        size = np.array([len(x) for _, x in self.items], np.int64)
+        bound = lambda q: size + 1 - q * (np.array(self.edits, np.int64) + 1)
+        left = np.arange(len(self.items))
+        for q in range(c.q, 0, -1):
+            own = left[bound(q)[left] > 0]
+            if not len(own):
+                continue
+            # common: of all items, also those that have found their q
+            h, item, at = self._grams(np.arange(len(self.items)), q)
+            order = np.lexsort((item, h))
+            once = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(item[order]) != 0)])[: len(h)]
+            kinds, many = np.unique(h[order][once], return_counts=True)
+            common = kinds[many > c.shared]
+            rare = ~np.isin(h, common)
+            lost = np.bincount(item[~rare], minlength=len(self.items))
+            fine = own[(bound(q) - lost)[own] > 0]
+            if len(fine):
+                self.need[fine] = (bound(q) - lost)[fine]
+                take = rare & np.isin(item, fine)
+                self._add(q, h[take], item[take], at[take])
+                left = left[~np.isin(left, fine)]
+        for q in sorted({max(1, min(c.q, int(size[k]) // (self.edits[k] + 1))) for k in left.tolist()}, reverse=True):
+            own = np.array([k for k in left.tolist() if max(1, min(c.q, int(size[k]) // (self.edits[k] + 1))) == q])
+            self.need[own] = bound(q)[own]
+            for one in range(0, len(own), c.shared):
+                self._add(q, *self._grams(own[one : one + c.shared], q))
+
+    def _grams(self, own: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h = [gram_hashes(self.items[k][1], q) for k in own.tolist()]
+        return np.concatenate([np.zeros(0, np.uint64), *h]), np.repeat(own, [len(x) for x in h]).astype(np.int64), np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in h)])
+
+    def _add(self, q: int, h: np.ndarray, item: np.ndarray, at: np.ndarray) -> None:
+        if not len(h):
+            return
         width = np.array(self.edits, np.int64) + 1
-        for q, own in by.items():
-            h = [gram_hashes(self.items[k][1], q) for k in own]
-            item, at = np.repeat(own, [len(x) for x in h]), np.concatenate([np.arange(len(x)) for x in h])
-            h = np.concatenate(h)
-            order = np.lexsort((at, item, h))
-            h, item, at = h[order], item[order], at[order]
-            new = np.concatenate([[True], (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (np.diff(at) > width[item[1:]])])
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(h)) - 1
-            sieve = np.zeros(1 << _SIEVE, bool)
-            sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)] = True
-            self.qs[q] = h[first], item[first], at[first], at[last], sieve
-
-
-def distance(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int]:
-    """Least edits of the item against a part of text that begins on a diagonal from low to high, and the part's end; more than `most` may be too high."""
-    d = np.arange(low - most, high + most + 1, dtype=np.int64)
-    cost = np.where((d >= 0) & (d <= len(text)), 0, most + 1).astype(np.int32)
-    step = np.arange(len(d), dtype=np.int32)
-    padded = np.concatenate([text, np.full(1, 0xFFFFFFFF, text.dtype)])
-    for i, c in enumerate(item):
-        j = d + i  # text position that this character meets
-        there = (j >= 0) & (j < len(text))
-        same = cost + np.where(there & (padded[np.clip(j, 0, len(text))] == c), 0, np.where(there, 1, most + 1))
-        skip = np.append(cost[1:], most + 1) + 1
-        now = np.minimum(same, skip)
-        now = np.where((j + 1 >= 0) & (j + 1 <= len(text)), now, most + 1)
-        cost = np.minimum(np.minimum.accumulate(now - step) + step, most + 1)
-    best = int(np.argmin(cost))
-    return int(cost[best]), int(d[best] + len(item))
+        order = np.lexsort((at, item, h))
+        h, item, at = h[order], item[order], at[order]
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (np.diff(at) > width[item[1:]])]))
+        last = np.append(first[1:], len(h)) - 1
+        sieve = np.zeros(1 << _SIEVE, bool)
+        sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)] = True
+        self.groups.append((q, h[first], item[first], at[first], at[last], sieve))
+
+
+#: Cells of an alignment step that are worked on at once.
+_CELLS = 1 << 19
+
+
+def distances(item: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Of each region, the least edits of the item against a part of text that begins on a diagonal from low to high, and the part's end; more than `most` may be too high."""
+    width, m, n = int((high - low).max()) + 2 * most + 1, len(item), len(text)
+    many = max(1, _CELLS // (width + m))
+    for at in range(0, len(low), many):
+        d = low[at : at + many, None] - most + np.arange(width + m)[None, :]
+        chars = text[np.clip(d, 0, max(0, n - 1))] if n else np.zeros(d.shape, np.uint32)
+        there, ends = (d >= 0) & (d < n), (d >= 0) & (d <= n)
+        cost = np.where(ends[:, :width], 0, most + 1).astype(np.int32)
+        step = np.arange(width, dtype=np.int32)
+        skip = np.full_like(cost, most + 2)
+        for i, c in enumerate(item):
+            on = there[:, i : i + width]  # diagonal d meets the text at d + i
+            same = cost + np.where(on, chars[:, i : i + width] != c, most + 1)
+            skip[:, :-1] = cost[:, 1:] + 1
+            now = np.where(ends[:, i + 1 : i + 1 + width], np.minimum(same, skip), most + 1)
+            cost = np.minimum(np.minimum.accumulate(now - step, axis=1) + step, most + 1).astype(np.int32)
+            if i % 16 == 15 and cost.min() > most:
+                break
+        best = cost.argmin(1)
+        yield from zip(cost[np.arange(len(cost)), best].tolist(), (low[at : at + many] - most + best + m).tolist(), strict=True)
 
 
 def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +159,12 @@ def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 #: Places of one q-gram in a text that are no further apart are one run; diagonals that one alignment takes at most.
-_NEAR, _SPAN = 16, 1 << 18
+_NEAR, _SPAN = 16, 1 << 12
 
 
-def _regions(xs: list[np.ndarray], flat: np.ndarray, first: np.ndarray, size: np.ndarray, index: Index, q: int) -> np.ndarray:
+def _regions(flat: np.ndarray, first: np.ndarray, size: np.ndarray, index: Index, group: tuple) -> np.ndarray:
     """Rows (text, item, first band, last band) of neighbouring bands that reach the bound."""
-    keys, item, a1, a2, sieve = index.qs[q]
+    q, keys, item, a1, a2, sieve = group
     h = gram_hashes(flat, q)
     place = np.flatnonzero(sieve[(h >> np.uint64(64 - _SIEVE)).astype(np.int64)])
     lo, hi = np.searchsorted(keys, h[place]), np.searchsorted(keys, h[place], "right")
@@ -150,8 +199,7 @@ def _regions(xs: list[np.ndarray], flat: np.ndarray, first: np.ndarray, size: np
     new = np.flatnonzero(np.concatenate([[True], (np.diff(t) != 0) | (np.diff(k) != 0) | (np.diff(band) != 0)]))
     total = np.add.reduceat(count, new)
     t, k, band = t[new], k[new], band[new]
-    length = np.array([len(x) for _, x in index.items], np.int64)
-    enough = total >= length[k] + 1 - q * (np.array(index.edits, np.int64)[k] + 1)
+    enough = total >= index.need[k]
     t, k, band = t[enough], k[enough], band[enough]
     if not len(t):
         return np.zeros((0, 4), np.int64)
@@ -159,23 +207,40 @@ def _regions(xs: list[np.ndarray], flat: np.ndarray, first: np.ndarray, size: np
     return np.stack([t[new], k[new], band[new], band[np.append(new[1:], len(t)) - 1]], 1)
 
 
-def find(texts: list[str], index: Index) -> list[tuple[int, int, int, int]]:
+def _pieces(x: np.ndarray, piece: int, overlap: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Where each piece of x begins, and the piece."""
+    step = max(piece, 3 * overlap)
+    for at in range(0, max(1, len(x) - overlap), step):
+        yield at, x[at : at + step + overlap]
+
+
+def find(texts: list[str], index: Index, c: Config = Config()) -> list[tuple[int, int, int, int]]:
     """(text, item, edits, end) for each text and item found, with the fewest edits."""
-    xs = [folded(t) for t in texts]
-    size = np.array([len(x) for x in xs])
-    first = np.cumsum(size) - size
-    flat = np.concatenate(xs) if xs else np.zeros(0, np.uint32)
     out: dict[tuple[int, int], tuple[int, int]] = {}
-    for q in index.qs:
-        for t, k, one, last in _regions(xs, flat, first, size, index, q).tolist():
-            x, e = index.items[k][1], index.edits[k]
-            w = e + 1
-            for low in range(one * w, (last + 2) * w, _SPAN):
-                if out.get((t, k), (e + 1,))[0] == 0:
-                    break
-                dist, end = distance(x, xs[t], low, min((last + 2) * w, low + _SPAN + 2 * w) - 1, e)
-                if dist < out.get((t, k), (e + 1,))[0]:
-                    out[t, k] = dist, end
+    cut = [(t, at, x) for t, text in enumerate(texts) for at, x in _pieces(folded(text), c.piece, index.longest + c.q + 1)]
+    for part in chunks(cut, size=lambda p: len(p[2]), limit=2 * c.piece):
+        size = np.array([len(x) for _, _, x in part])
+        first = np.cumsum(size) - size
+        flat = np.concatenate([x for _, _, x in part])
+        for group in index.groups:
+            rows = _regions(flat, first, size, index, group)
+            for one in np.split(rows, np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1) if len(rows) else []:
+                p, k = one[0, :2].tolist()
+                t, at, text = part[p]
+                x, e = index.items[k][1], index.edits[k]
+                w = e + 1
+                # wide regions in parts, so that all that stand side by side are about as wide
+                own, nth = _spread(np.zeros(len(one), np.int64), -(-((one[:, 3] + 2 - one[:, 2]) * w) // _SPAN))
+                low = one[own, 2] * w + nth * _SPAN
+                high = np.minimum((one[own, 3] + 2) * w, low + _SPAN + 2 * w) - 1
+                order = np.argsort(high - low, kind="stable")
+                best = out.get((t, k), (e + 1, 0))
+                for same in np.split(order, np.flatnonzero(np.diff((high - low)[order].astype(np.float64)) > 4 * w) + 1):
+                    for dist, end in distances(x, text, low[same], high[same], e):
+                        if (dist, at + end) < best and dist <= e:
+                            best = dist, at + end
+                if best[0] <= e:
+                    out[t, k] = best
     return [(t, k, *v) for (t, k), v in sorted(out.items())]
 
 
@@ -202,7 +267,7 @@ def _searched(base: DataFrame, given: list[tuple], id_type, config: Config, text
             got: list[dict] = []
             for part in chunks(byte_texts(b.column(text)), limit=1 << 20):
                 own: list[dict] = [{} for _ in part]
-                for t, k, edits, end in find([x.decode() for x in part], index):
+                for t, k, edits, end in find([x.decode() for x in part], index, config):
                     i = index.items[k][0]
                     if i not in own[t] or own[t][i]["edits"] > edits:
                         own[t][i] = {"item_id": i, "edits": edits, "end": end}
@@ -226,8 +291,11 @@ def hits(docs: DataFrame, items: DataFrame, config: Config = Config(), text: str
     if parts == 1:
         return _searched(base, given(0), id_type, config, text, base.columns)
     keyed = stored(base.withColumn("_number", F.monotonically_increasing_id()), "numbered")
-    found = reduce(DataFrame.unionByName, (_searched(keyed.select("_number", text), given(k), id_type, config, text, ["_number"]).where(F.size("hits") > 0) for k in range(parts)))
-    found = found.select("_number", F.explode("hits").alias("h")).groupBy("_number").agg(F.sort_array(F.collect_list("h")).alias("_all"))
+    each = []
+    for k in range(parts):
+        some = _searched(keyed.select("_number", text), given(k), id_type, config, text, ["_number"]).where(F.size("hits") > 0)
+        each.append(stored(some.select("_number", F.explode("hits").alias("h")), "hits"))
+    found = reduce(DataFrame.unionByName, each).groupBy("_number").agg(F.sort_array(F.collect_list("h")).alias("_all"))
     # an item_id whose texts are in several parts counts once, with its fewest edits
     best = F.filter("_all", lambda h, k: (k == 0) | (F.get(F.col("_all"), k - 1)["item_id"] != h["item_id"]))
     none = F.expr(f"cast(array() as array<struct<item_id:{id_type.simpleString()},edits:int,end:int>>)")

@@ -461,6 +461,37 @@ def test_decontamination_of_repetitive_texts():
     assert {(t, k) for t, k, _, _ in found} == {(0, 0), (2, 2)} and time.time() - began < 60
 
 
+def test_decontamination_of_a_shared_stem():
+    """Items that begin alike against texts that repeat the beginning: brute force at small size, and time and memory that don't multiply."""
+    import time
+    import tracemalloc
+
+    rng, c = random.Random(12), decontaminate.Config()
+    stem = "the following is a multiple choice question. choose an answer: "
+    word = lambda: "".join(rng.choices("aeionrst", k=rng.randint(2, 6)))
+    tail = lambda n: " ".join(word() for _ in range(n))
+    items = [(k, stem + tail(rng.choice([4, 12, 20]))) for k in range(20)]
+    # a family that differs in a few characters, which no q tells apart by rare q-grams
+    long = tail(40)
+    items += [(100 + k, long[: 7 * k] + "#" + long[7 * k :]) for k in range(12)]
+    texts = [" ".join(stem + word() for _ in range(50)), stem * 30, "x " + items[3][1] + " y " + items[5][1].replace("choice", "chioce"), items[7][1][:-6], long, tail(5) + items[24][1] + tail(5), stem + tail(12)]
+    want = {(t, k): d for t, x in enumerate(texts) for k, (_, i) in enumerate(items) if (d := edits(i, x)) <= int(c.rate * len(i))}
+    for small in (c, decontaminate.Config(piece=64), decontaminate.Config(shared=1)):
+        assert {(t, k): d for t, k, d, _ in decontaminate.find(texts, decontaminate.Index(items, small), small)} == want
+    assert {(2, 3), (2, 5), (5, 24)} <= want.keys() and len(want) > 20
+    items = [(k, stem + tail(16)) for k in range(1000)]
+    text = " ".join(stem + word() for _ in range(3000)) + " " + items[17][1]
+    tracemalloc.start()
+    began, index = time.time(), decontaminate.Index(items, c)
+    assert [(t, k, d) for t, k, d, _ in decontaminate.find([text], index)] == [(0, 17, 0)]
+    assert time.time() - began < 30 and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    # an item's own words many times over
+    began = time.time()
+    assert {(k, d) for _, k, d, _ in decontaminate.find([" ".join(items[3][1][60:] + word() for _ in range(2000))], index)} == set()
+    assert time.time() - began < 30
+
+
 # tokens
 
 
