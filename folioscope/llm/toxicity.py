@@ -64,11 +64,14 @@ class Tokens:
         self.hash, at, self.word = np.unique(w.hashes(), return_index=True, return_inverse=True)
         self.bucket = (self.hash % np.uint64(c.word_buckets)).astype(np.int64)
         mv = w.buf.tobytes()
-        spelt = np.frombuffer(b" " + b" ".join(mv[s:e] for s, e in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)) + b"  ", np.uint8).astype(np.uint32)
-        code = (spelt[:-2] * np.uint32(65599) ^ spelt[1:-1] * np.uint32(2654435761) ^ spelt[2:] * np.uint32(40503 * 257)) >> np.uint32(7)
-        self.code = (code % np.uint32(c.char_buckets)).astype(np.int64)
+        # each distinct word between one space and two, so that none of its trigrams reaches into the next
+        spelt = np.frombuffer(b" " + b"".join(mv[s:e] + b"   " for s, e in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)) + b"  ", np.uint8).astype(np.uint32)
         self.length = (w.end - w.start)[at]
+        first = np.cumsum(self.length + 3) - self.length - 3
         self.at = np.cumsum(self.length + 1) - self.length - 1  # of each distinct word's first trigram
+        where = np.repeat(first - self.at, self.length + 1) + np.arange(int((self.length + 1).sum()))
+        code = (spelt[where] * np.uint32(65599) ^ spelt[where + 1] * np.uint32(2654435761) ^ spelt[where + 2] * np.uint32(40503 * 257)) >> np.uint32(7)
+        self.code = (code % np.uint32(c.char_buckets)).astype(np.int64)
         n, half = w.counts, c.window * 3 // 4
         count = 1 + np.maximum(0, -(-(n - c.window) // half))
         self.text = np.repeat(np.arange(len(texts)), count)
@@ -230,9 +233,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, config: Config = Con
     """
     pick = F.xxhash64("doc_id", F.lit(config.seed))
     order = ["_pick", "doc_id", "toxic", "_text"]
-    given = labels.where(F.col("toxic").isin(0, 1) & usable).select("doc_id", F.col("toxic").cast("int").alias("toxic"), pick.alias("_pick"))
-    first = given.orderBy("_pick", "doc_id", "toxic").limit(config.sample)
     texts = docs.where(F.col("text").isNotNull() & usable).select("doc_id", "text")
+    given = labels.where(F.col("toxic").isin(0, 1) & usable).select("doc_id", F.col("toxic").cast("int").alias("toxic"), pick.alias("_pick"))
+    # labels without a text take no place in the sample; only ids are shuffled for this
+    first = given.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy("_pick", "doc_id", "toxic").limit(config.sample)
     found = texts.select("doc_id", F.sha2("text", 256).alias("_text"), F.octet_length("text").cast("bigint").alias("_bytes")).join(first, "doc_id").orderBy(*order).limit(config.sample)
     chosen, room = [], config.sample_bytes
     for r in found.collect():  # no texts yet, at most config.sample rows

@@ -11,6 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, chat, decontaminate, jaccard, media, pseudonyms, substrings, toxicity, urlfilter, warc
+from folioscope.llm.common import Words
 
 NASTY = [None, "", " \n\t ", "one", "Tie tie", "ü" * 50, "a b c d e " * 60, "a b c d e " * 60, "x " * 5000]
 
@@ -623,6 +624,80 @@ def test_toxicity_of_odd_tables(spark):
     assert 0 < sum(map(len, seen[0])) <= 200 and len(seen[1]) == 7
 
 
+def test_toxicity_sample_is_of_labels_with_texts(spark, monkeypatch):
+    """Many labels without a text take no place of those with one."""
+    table = spark.range(5000, 5040).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    seen, kept = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, config: seen.append((texts, toxic)) or kept([], [], config))
+    toxicity.fit(table, labels, F.lit(True), toxicity.Config(sample=100))
+    assert sorted(zip(*seen[0], strict=True)) == [(f"text {i}".encode(), i % 2) for i in range(5000, 5040)]
+
+
+def plain_score(m, text):
+    """The network's score of a text, step by step over lists, from its definition."""
+    from math import exp, tanh
+
+    c, p = m.config, {k: v.astype(float).tolist() for k, v in m.p.items()}
+    sigmoid = lambda x: 1 / (1 + exp(-x)) if x > -700 else 0.0
+    tokens, now = [], b""
+    for b in text.lower() + b" ":
+        if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128:
+            now += bytes([b])
+        elif now:
+            tokens.append(now)
+            now = b""
+    hashes = Words([b" ".join(tokens)]).hashes() if tokens else []
+
+    def vector(word, h):
+        spelt = b" " + word + b"  "
+        grams = []
+        for k in range(len(word) + 1):
+            x = (spelt[k] * 65599 & 0xFFFFFFFF) ^ (spelt[k + 1] * 2654435761 & 0xFFFFFFFF) ^ (spelt[k + 2] * (40503 * 257) & 0xFFFFFFFF)
+            grams.append(p["chars"][(x >> 7) % c.char_buckets])
+        return p["words"][int(h) % c.word_buckets] + [sum(g[d] for g in grams) / len(grams) for d in range(c.char_dim)]
+
+    vectors = [vector(t, h) for t, h in zip(tokens, hashes, strict=True)]
+    times = lambda v, w: [sum(a * r[k] for a, r in zip(v, w, strict=True)) for k in range(len(w[0]))]
+
+    def direction(window, name):
+        state, out, h = [0.0] * c.hidden, [], c.hidden
+        for v in window:
+            a, rec = [x + b for x, b in zip(times(v, p["in_" + name]), p["bias_" + name], strict=True)], times(state, p["rec_" + name])
+            r = [sigmoid(a[k] + rec[k]) for k in range(h)]
+            z = [sigmoid(a[h + k] + rec[h + k]) for k in range(h)]
+            new = [tanh(a[2 * h + k] + r[k] * rec[2 * h + k]) for k in range(h)]
+            state = [(1 - z[k]) * new[k] + z[k] * state[k] for k in range(h)]
+            out.append(state)
+        return out
+
+    def logit(window):
+        states = [f + b for f, b in zip(direction(window, "f"), direction(window[::-1], "b")[::-1], strict=True)]
+        weight = [exp(sum(tanh(x + b) * v for x, b, v in zip(times(s, p["att_w"]), p["att_b"], p["att_v"], strict=True))) for s in states]
+        pooled = [sum(w * s[k] for w, s in zip(weight, states, strict=True)) / sum(weight) for k in range(2 * c.hidden)] if states else [0.0] * (2 * c.hidden)
+        return sum(x * w for x, w in zip(pooled, p["out_w"], strict=True)) + p["out_b"][0]
+
+    starts, n = [0], len(vectors)
+    while starts[-1] + c.window < n:
+        starts.append(min(starts[-1] + c.window * 3 // 4, n - c.window))
+    return sigmoid(max(logit(vectors[s : s + c.window]) for s in starts))
+
+
+def test_toxicity_scores_equal_plain_loops():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("aeiorsté9", k=rng.randint(1, 6)))
+    texts = [" ".join(word() for _ in range(n)).encode() for n in (1, 2, 7, 47, 48, 49, 84, 85, 150)] + [b"", b" .,; ", "Ünï CODE, mixed-case".encode()]
+    c = toxicity.Config(steps=20, epochs=1)
+    m = toxicity.train(texts[:9] + [t + b" zgrok" for t in texts[:9]], [0] * 9 + [1] * 9, c)
+    for x in m.p.values():
+        x += np.random.default_rng(1).normal(0, 0.05, x.shape).astype(np.float32)
+    got = toxicity.scores(m, texts)
+    want = [plain_score(m, t) for t in texts]
+    assert np.abs(got - want).max() < 1e-4 and np.ptp(got) > 0.001
+    # a text's score doesn't depend on the texts beside it
+    assert np.abs(np.concatenate([toxicity.scores(m, [t]) for t in texts]) - got).max() < 1e-6
+
+
 def test_clashing_columns_and_empty_tables(spark):
     rows = spark.createDataFrame([(1, "a b c d e f g", 1, "x"), (1, "a b c d e f g", 1, "x"), (None, None, None, None), (2, "", 3, "z")], "doc_id bigint, text string, n_words int, kept string")
     more = rows.withColumns({"id": F.lit(9), "component": F.lit(9), "n": F.lit(9), "ids": F.lit(9), "hits": F.lit(9), "_k": F.lit(9), "frag": F.lit(9)})
