@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import EngineConfig
 from ..operators import ledger, locate, recover, verdict
 from ..operators.locate import FILE
-from ..sources import classifier, files as sources
-from ..sources.tables import spread, stored
+from ..sources import classifier, files as sources, paged
+from ..sources.tables import discard, spread, stored
 from . import passes
 
 log = logging.getLogger("folioscope")
@@ -29,12 +29,11 @@ class Adapters:
     oracle: classifier.PageOracle | None = None
 
 
-def pending_files(spark: SparkSession, input_root: str, output_root: str, company: str = "", config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Files without output and without a record of success of their content."""
-    listed = sources.companies(sources.list_files(spark, input_root, config=config), company)
-    names = stored(ledger.not_present(listed.select("company", "source_pdf", "stem"), sources.list_outputs(spark, output_root, config)), "listed")
-    files = listed.join(names.select("source_pdf"), "source_pdf", "left_semi")
-    return ledger.pending(files, ledger.read(spark, f"{output_root}/{config.ledger_dir}"))
+def pending_files(listed: DataFrame, output_root: str, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """Files without output and without a record of success of their content; only files without output are read for their hash."""
+    spark = listed.sparkSession
+    names = ledger.not_present(listed, sources.list_outputs(spark, output_root, config))
+    return ledger.pending(paged.hashed(spread(names)), ledger.read(spark, f"{output_root}/{config.ledger_dir}"))
 
 
 def _failed(pages: DataFrame) -> DataFrame:
@@ -61,13 +60,12 @@ def run(spark: SparkSession, input_root: str, output_root: str, adapters: Adapte
     run_id = run_id or time.strftime("%Y%m%d-%H%M%S-") + uuid.uuid4().hex[:6]
     book = f"{output_root}/{config.ledger_dir}"
     folders = [f for f in sources.company_folders(spark, input_root) if company.lower() in f.lower()]
-    files = stored(pending_files(spark, input_root, output_root, company, config).select("company", "source_pdf", "stem", "source_hash"), "files")
-    listed = sources.companies(sources.list_files(spark, input_root, config=config), company).select("company", "source_pdf", "stem")
+    listed = stored(sources.companies(sources.list_files(spark, input_root, config=config), company), "listed")
+    files = stored(pending_files(listed, output_root, config).select("company", "source_pdf", "stem", "bytes", "source_hash"), "files")
     held = {r.company: r.n for r in listed.groupBy("company").agg(F.count("*").alias("n")).collect()}
     log.info("run %s: %s companies, %s without files, %s files to do%s", run_id, len(folders), len(set(folders) - set(held)), files.count(), ", dry run" if dry_run else "")
 
-    content = sources.list_files(spark, input_root, config=config).select("source_pdf", "content").join(files, "source_pdf")
-    pages = stored(sources.read_pages(spread(content), adapters.decode), "pages")
+    pages = stored(sources.read_pages(files, adapters.decode), "pages")
     texts = pages.where("page is not null").select("company", "source_pdf", "page", "text")
     located = stored(verdict.judged(texts, config).select(*verdict.LOCATING), "judged")
     first = passes.pass1(files, located, config, dry_run).join(_failed(pages), FILE, "left").withColumn("evidence", F.coalesce("reason", "evidence")).drop("reason")
@@ -96,6 +94,7 @@ def run(spark: SparkSession, input_root: str, output_root: str, adapters: Adapte
         ledger.write_coverage(report, f"{output_root}/{config.report_dir}")
     totals = ledger.coverage_totals(report).first()
     log.info("coverage: %s present, %s missing", totals.n_present, totals.n_missing)
+    discard(files, pages, located, first, plan, second, *([replies] if replies is not None else []), *([listed, copied] if not dry_run else []))
     return report
 
 

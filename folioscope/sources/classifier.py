@@ -17,6 +17,7 @@ import urllib.request
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import Any, Protocol
 
 import pandas as pd
@@ -24,6 +25,7 @@ from pyspark import AccumulatorParam
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import EngineConfig
+from .places import opened
 
 PROMPTS = {
     "find": "Does this page of an annual report hold the government auditor's comments: their heading, their text, a certificate that there are none, or their signature? A passing mention, a contents list, another auditor's report or accounts don't count. Answer YES or NO.",
@@ -115,12 +117,19 @@ def request_arguments(model: str, config: EngineConfig = EngineConfig()) -> dict
 
 def pdf_image(source_pdf: str, page: int, dpi: int) -> Any | None:
     """A page as an image, by the optional pdf2image package."""
-    from pdf2image import convert_from_path
+    from pdf2image import convert_from_bytes
 
-    images = convert_from_path(source_pdf.removeprefix("file:"), first_page=page, last_page=page, dpi=dpi)
+    images = convert_from_bytes(_content(source_pdf), first_page=page, last_page=page, dpi=dpi)
     return images[0] if images else None
 
 
+@lru_cache(maxsize=1)
+def _content(source_pdf: str) -> bytes:
+    """A file's bytes, wherever it is; the pages asked about one after the other are of one file."""
+    with opened(source_pdf) as f:
+        return f.read()
+
+
 def image_base64(image: Any, quality: int) -> str:
     """JPEG of an image (anything with convert and save, as Pillow's) or of JPEG bytes, in base64."""
     if not isinstance(image, bytes):

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import shutil
-import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import EngineConfig
+from . import paged
+from .places import created, opened, place
 
 Decoder = Callable[[bytes], list[str]]
 
@@ -41,28 +41,25 @@ def company_folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found if f.isDirectory() and not f.getPath().getName().startswith("."))
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.pdf", config: EngineConfig = EngineConfig()) -> DataFrame:
-    """company, source_pdf, stem, source_hash, content of files below root's company folders; hidden folders and archives are left out.
+def _listed(spark: SparkSession, root: str, pattern: str, archive: str) -> DataFrame:
+    paged.register(spark)
+    return spark.read.format("folioscope_files").option("pattern", pattern).option("archive", archive).load(qualified(spark, root))
 
-    Contents are read only by plans that use content or source_hash.
-    """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    prefix = qualified(spark, root) + "/"
-    rows = raw.where(F.startswith("path", F.lit(prefix))).withColumn("_parts", F.split(F.substr("path", F.lit(len(prefix) + 1)), "/"))
-    rows = rows.where(F.size("_parts") > 1).withColumn("company", F.element_at("_parts", 1))
-    rows = rows.where(~F.col("company").startswith(".") & ~F.array_contains("_parts", config.archive_dir))
-    return rows.select("company", F.col("path").alias("source_pdf"), F.regexp_replace(F.element_at("_parts", -1), r"\.[^.]*$", "").alias("stem"), F.substring(F.sha1("content"), 1, 16).alias("source_hash"), "content")
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*.pdf", config: EngineConfig = EngineConfig()) -> DataFrame:
+    """company, source_pdf, stem, bytes of all files below root's company folders, whatever their names; hidden company folders and archives are left out. No file is opened."""
+    return _listed(spark, root, pattern, config.archive_dir).select("company", "source_pdf", "stem", "bytes")
 
 
 def list_outputs(spark: SparkSession, root: str, config: EngineConfig = EngineConfig()) -> DataFrame:
     """company, path, kind, year, short and name of sections and copies below an output folder; none where it isn't there yet."""
     if not exists(spark, root):
         return spark.createDataFrame([], "company string, path string, kind string, year string, short string, name string")
+    raw = _listed(spark, root, "*.pdf", "").withColumnRenamed("source_pdf", "path")
     prefix = qualified(spark, root) + "/"
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(root).select("path").where(F.startswith("path", F.lit(prefix)))
-    below = F.substr("path", F.lit(len(prefix) + 1))
-    folder = F.regexp_replace(F.regexp_replace(below, "/[^/]*$", ""), "^[^/]*/", "")
-    rows = raw.select(F.split(below, "/")[0].alias("company"), "path", folder.alias("folder"), presence(F.element_at(F.split("path", "/"), -1)).alias("o"))
+    folder = F.regexp_replace(F.regexp_replace(F.substr("path", F.lit(len(prefix) + 1)), "/[^/]*$", ""), "^[^/]*/", "")
+    file = F.element_at(F.split("path", "/"), -1)
+    rows = raw.select("company", "path", folder.alias("folder"), presence(file).alias("o"))
     return rows.where(((F.col("folder") == config.sections_dir) & (F.col("o.kind") == "section")) | (F.col("folder") == config.missing_dir)).select("company", "path", F.when(F.col("folder") == config.missing_dir, "copy").otherwise("section").alias("kind"), "o.year", "o.short", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.pdf$", "").alias("name"))
 
 
@@ -72,19 +69,8 @@ def companies(files: DataFrame, only: str | None = None) -> DataFrame:
 
 
 def read_pages(files: DataFrame, decode: Decoder | None = None) -> DataFrame:
-    """company, source_pdf, page, text, error. An unreadable file is one row with page null and an error; one bad file fails no job."""
-    decode = decode or pypdf_pages
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for company, path, content in zip(b["company"], b["source_pdf"], b["content"], strict=True):
-                try:
-                    texts = decode(bytes(content))
-                    yield pd.DataFrame({"company": company, "source_pdf": path, "page": pd.array(range(1, len(texts) + 1), "Int32"), "text": texts, "error": None})
-                except Exception as e:  # noqa: BLE001  becomes a row
-                    yield pd.DataFrame({"company": [company], "source_pdf": [path], "page": pd.array([None], "Int32"), "text": [""], "error": [str(e)[: EngineConfig().error_chars]]})
-
-    return files.select("company", "source_pdf", "content").mapInPandas(run, "company string, source_pdf string, page int, text string, error string")
+    """company, source_pdf, page, text, error of files (company, source_pdf, bytes), which should be stored. An unreadable file is one row with page null and an error; one bad file fails no job."""
+    return paged.pages_of(files, None if decode in (None, pypdf_pages) else decode if getattr(decode, "by_page", False) else paged.whole(decode))
 
 
 def pypdf_pages(content: bytes) -> list[str]:
@@ -106,11 +92,11 @@ def pypdf_write(source: str, start: int, end: int, target: str) -> None:
     """Writes pages of a file as a file of their own, by the optional pypdf package."""
     from pypdf import PdfReader, PdfWriter
 
-    with _opened(source) as f:
+    with opened(source) as f:
         reader, writer = PdfReader(f), PdfWriter()
         for i in range(start - 1, end):
             writer.add_page(reader.pages[i])
-        with _created(target) as out:
+        with created(target) as out:
             writer.write(out)
 
 
@@ -143,31 +129,6 @@ def write_sections(records: DataFrame, write: Callable[[str, int, int, str], Non
     return records.mapInPandas(run, records.drop("n_pages").schema)
 
 
-def _place(path: str):
-    """File system and path of a path as Spark writes it."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
-
-
-def _opened(path: str):
-    system, at = _place(path)
-    return system.open_input_file(at)
-
-
-@contextmanager
-def _created(path: str):
-    """A stream whose file appears under its name when all is written."""
-    system, at = _place(path)
-    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    part = f"{at}.{uuid.uuid4().hex}.part"
-    with system.open_output_stream(part) as out:
-        yield out
-    system.move(part, at)
-
-
 def copy_files(pairs: DataFrame) -> DataFrame:
     """pairs (source, target) with status, copying on the executors what isn't there yet: copied, present or the error."""
 
@@ -178,11 +139,11 @@ def copy_files(pairs: DataFrame) -> DataFrame:
             said = []
             for source, target in zip(b["source"], b["target"], strict=True):
                 try:
-                    system, at = _place(target)
+                    system, at = place(target)
                     if system.get_file_info(at).type != fs.FileType.NotFound:
                         said.append("present")
                         continue
-                    with _opened(source) as f, _created(target) as out:
+                    with opened(source) as f, created(target) as out:
                         shutil.copyfileobj(f, out, 1 << 20)
                     said.append("copied")
                 except Exception as e:  # noqa: BLE001  becomes a row

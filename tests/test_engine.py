@@ -187,7 +187,7 @@ def _decode(content):
 def _copy_pages(source, start, end, target):
     if "unwritable" in target:
         raise OSError("full")
-    with files._opened(source) as f, files._created(target) as out:
+    with files.opened(source) as f, files.created(target) as out:
         out.write("\f".join(_decode(f.read())[start - 1 : end]).encode())
 
 
