@@ -66,7 +66,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if not files.exists(spark, a.input):
             log.error("no input folder: %s", a.input)
             return 1
-        oracle = used = None
+        oracle = None
         if not a.skip_vision and a.oracle:
             oracle = _named(a.oracle)
         elif not a.skip_vision:
@@ -74,15 +74,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             if not keys:
                 log.error("no usable key for vision; set one or pass --skip-vision")
                 return 4
-            used = classifier.usage(spark)
-            oracle = classifier.ImageOracle(keys, used=used)
+            oracle = classifier.ImageOracle(keys)
         try:
             flow.run(spark, a.input, a.output, flow.Adapters(_named(a.decode), _named(a.write), oracle), a.company, a.dry_run)
         except KeyboardInterrupt:
             log.warning("interrupted; what the ledger holds is kept")
             return 130
-        if used is not None:
-            log.info("calls by key and outcome: %s", dict(used.value))
         lines.write(spark, f"{a.output}/run_log_{time.strftime('%Y%m%d_%H%M%S')}.txt")
         return 0
     finally:

@@ -78,6 +78,8 @@ def run(spark: SparkSession, input_root: str, output_root: str, adapters: Adapte
     if adapters.oracle is not None:
         wanted = plan.where("pass1_action = 'DEFER_VISION' or evidence").select(*FILE, "n_pages", recover.sample_pages(F.col("ws"), F.col("we"), F.col("centre"), config).alias("pages"))
         replies = stored(classifier.ask_files(wanted if not dry_run else wanted.limit(0), adapters.oracle, config, config.ask_tasks), "replies")
+        used = sorted(map(tuple, classifier.usage(replies).collect()))  # a row for each key and outcome
+        log.info("calls by key and outcome: %s", ", ".join(f"{k} {o}={n}" for k, o, n in used) or "none")
     second = _saved(passes.pass2(plan, files, replies, config, dry_run), located, adapters, output_root, "pass2")
     ledger.append(second, book, f"{run_id}-2")
     _tell(second, "pass 2")

@@ -1,7 +1,7 @@
 """The external yes/no page classifier: prompts, keys with a pace, and the tasks that ask.
 
 Calls cost money, so a file's pages are asked in order in one task and stop at the first yes (`ask_files`). Each task holds its
-own keys and an equal share of their pace, so no state crosses machines; what was used comes back through an accumulator.
+own keys and an equal share of their pace, so no state crosses machines; what each page took of them comes back with its reply.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from functools import lru_cache
 from typing import Any, Protocol
 
 import pandas as pd
-from pyspark import AccumulatorParam
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import EngineConfig
 from .places import opened
@@ -87,17 +86,10 @@ class Pace:
         return None
 
 
-class _Used(AccumulatorParam):
-    def zero(self, value: Counter) -> Counter:
-        return Counter()
-
-    def addInPlace(self, a: Counter, b: Counter) -> Counter:  # noqa: N802
-        return a + b
-
-
-def usage(spark: SparkSession):
-    """Counts of calls by the key's last characters and outcome, summed over tasks."""
-    return spark.sparkContext.accumulator(Counter(), _Used())
+def usage(replies: DataFrame) -> DataFrame:
+    """key (last characters), outcome and n of the calls that stored replies took. A call is counted with the page it was made for, so a task that is run again counts once."""
+    calls = replies.select(F.explode("calls").alias("call", "n"))
+    return calls.select(F.element_at(F.split("call", "\\|"), 1).alias("key"), F.element_at(F.split("call", "\\|"), 2).alias("outcome"), "n").groupBy("key", "outcome").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def verdict_of(reply: str | None) -> bool | None:
@@ -155,9 +147,12 @@ class ImageOracle:
     tasks: int = 8
     render: Callable[[str, int, int], Any | None] = pdf_image
     send: Callable[[str, str, dict], str | None] = post
-    used: Any = None
     pace: Pace | None = None
 
+    def spent(self) -> Counter:
+        """Calls so far, in this task, by key and outcome."""
+        return Counter() if self.pace is None else Counter(self.pace.used)
+
     def __call__(self, source_pdf: str, page: int, prompt: str) -> bool | None:
         c = self.config
         image = self.render(source_pdf, page, c.dpi)
@@ -165,17 +160,14 @@ class ImageOracle:
             return None
         if self.pace is None:
             self.pace = Pace(self.keys, 60.0 * self.tasks / c.requests_a_minute, c.cooldown_s)
-        before = Counter(self.pace.used)
         picture = {"type": "image_url", "image_url": {"url": f"data:image/jpeg;base64,{image_base64(image, c.image_quality)}", "detail": c.image_detail}}
         body = request_arguments(c.model, c) | {"messages": [{"role": "user", "content": [{"type": "text", "text": PROMPTS[prompt]}, picture]}]}
         reply = self.pace.call(lambda key: self.send(c.base_url, key, body), c.attempts)
-        if self.used is not None:
-            self.used.add(self.pace.used - before)
         return verdict_of(reply)
 
 
 def ask_files(samples: DataFrame, oracle: PageOracle, config: EngineConfig = EngineConfig(), tasks: int = 8) -> DataFrame:
-    """Asks for each file of samples (company, source_pdf, n_pages, pages): replies (company, source_pdf, page, verdict), as a table that both passes read.
+    """Asks for each file of samples (company, source_pdf, n_pages, pages): replies (company, source_pdf, page, verdict, calls), as a table that both passes read; calls: how many calls of each `key|outcome` the page took, if the oracle tells what it has spent.
 
     At most `tasks` tasks ask at once, which is what an oracle divides its pace by. A page that fails, to render or to be
     answered, has a null verdict: a search goes on to the next page, a walk ends there.
@@ -187,23 +179,30 @@ def ask_files(samples: DataFrame, oracle: PageOracle, config: EngineConfig = Eng
         except Exception:  # noqa: BLE001  a null verdict
             return None
 
-    def asked(source: str, pages: list[int], n_pages: int) -> Iterator[tuple[int, bool | None]]:
+    spent = getattr(oracle, "spent", Counter)
+
+    def counted(source: str, page: int, prompt: str) -> tuple[bool | None, dict[str, int]]:
+        before = spent()
+        said = judged(source, page, prompt)
+        return said, {"|".join(k): n for k, n in (spent() - before).items()}
+
+    def asked(source: str, pages: list[int], n_pages: int) -> Iterator[tuple[int, bool | None, dict[str, int]]]:
         for p in pages:
-            verdict = judged(source, int(p), "find")
-            yield int(p), verdict
+            verdict, calls = counted(source, int(p), "find")
+            yield int(p), verdict, calls
             if verdict:
                 break
         else:
             return
         for q in range(int(p) + 1, min(int(p) + config.walk_pages, n_pages) + 1):
-            verdict = judged(source, q, "continue")
-            yield q, verdict
+            verdict, calls = counted(source, q, "continue")
+            yield q, verdict, calls
             if not verdict:
                 return
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(r.company, r.source_pdf, p, v) for r in b.itertuples() for p, v in asked(r.source_pdf, r.pages, r.n_pages)]
-            yield pd.DataFrame(out, columns=["company", "source_pdf", "page", "verdict"]).astype({"page": "int32"})
+            out = [(r.company, r.source_pdf, p, v, c) for r in b.itertuples() for p, v, c in asked(r.source_pdf, r.pages, r.n_pages)]
+            yield pd.DataFrame(out, columns=["company", "source_pdf", "page", "verdict", "calls"]).astype({"page": "int32"})
 
-    return samples.select("company", "source_pdf", "n_pages", F.col("pages")).coalesce(tasks).mapInPandas(run, "company string, source_pdf string, page int, verdict boolean")
+    return samples.select("company", "source_pdf", "n_pages", F.col("pages")).coalesce(tasks).mapInPandas(run, "company string, source_pdf string, page int, verdict boolean, calls map<string,int>")

@@ -163,6 +163,29 @@ def test_a_bad_page_is_one_null_verdict(spark):
     assert recover.yes_range(recover.first_yes(rows, got), got).select("start", "end").collect() == [(2, 3)]
 
 
+def _flaky_send(url, key, body):
+    """Fails once for each key in a process, then answers."""
+    seen = _flaky_send.__dict__
+    seen[key] = seen.get(key, 0) + 1
+    if seen[key] == 1:
+        raise RuntimeError("broken")
+    return "no"
+
+
+def test_usage_counts_stored_replies_once(spark, tmp_path):
+    """Calls come with the pages they were made for: a plan that is run again isn't counted again, once its replies are stored."""
+    rows = spark.createDataFrame([("c", f"f{i}", 9, [1, 2, 3]) for i in range(4)], "company string, source_pdf string, n_pages int, pages array<int>")
+    oracle = classifier.ImageOracle(["a" * 9], EngineConfig(requests_a_minute=10**9), render=lambda s, p, d: b"jpeg", send=_flaky_send)
+    got = classifier.ask_files(rows.coalesce(1), oracle, tasks=1)
+    got.write.parquet(str(tmp_path / "replies"))
+    got.count()  # run once more
+    stored = spark.read.parquet(str(tmp_path / "replies"))
+    used = {(r.key, r.outcome): r.n for r in classifier.usage(stored).collect()}
+    assert used == {("a" * 8, "answered"): 12, ("a" * 8, "failed"): 1} and stored.count() == 12
+    assert sum(sum(r.calls.values()) for r in stored.collect()) == 13
+    assert classifier.usage(classifier.ask_files(rows, _page_judge)).count() == 0
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.text(alphabet="YESNOT ", max_size=12))
 def test_replies(reply):
