@@ -1,7 +1,8 @@
 """Media columns: local image descriptors that find cropped or edited copies.
 
-1. Corners: on each scale of a pyramid, local maxima of the Harris response, the `corners` strongest of a scale (a bound of
-   the descriptor, whatever the table's size).
+1. Corners: on each scale of a pyramid, local maxima of the Harris response, the `corners` strongest of a scale, and of those
+   with equal bits the `same` strongest (bounds of the descriptor, whatever the table's size): of a texture that repeats itself,
+   more say nothing new, and all would match all.
 2. Each corner's patch, `reach` to each side, is turned by its intensity centroid; 128 pairs of points are compared, each at
    each of `margins`: a bit says that one point exceeds the other by so much of the patch's deviation, so noise in flat areas sets none.
 3. Hamming tables: the bits are dealt to radius + 1 words, so descriptors within `radius` bits of each other are equal in one
@@ -10,7 +11,7 @@
    images, never become rows.
 4. Consensus: each matching pair of corners votes for scale and turn; an image pair is a copy where at least `votes` corners,
    and a `share` of those that the image with fewer corners has, agree on one similarity transform to within `tolerance` pixels
-   and `turn` radians.
+   and `turn` radians. Agreeing corners are counted up to `enough`; transforms that many pairs propose are tried once.
 
 Images of equal pixels are one class, joined once through its least id, so copies aren't expanded. Queries are a stated set of
 rows; every row is indexed. Null, empty or too small images have no corners and match only their equals.
@@ -34,12 +35,16 @@ from .common import stored
 class Config:
     scales: tuple[float, ...] = (1.0, 1.5, 2.25)
     corners: int = 128
+    #: Corners of equal bits that an image keeps of a scale.
+    same: int = 16
     reach: int = 8
     margins: tuple[float, ...] = (0.2,)
     radius: int = 3
     votes: int = 5
     #: At least so many of the corners of the image that has fewer must agree.
     share: float = 0.08
+    #: Agreeing corners beyond which they aren't counted.
+    enough: int = 64
     tolerance: float = 3.0
     turn: float = 0.45
     seed: int = 5
@@ -128,28 +133,45 @@ def describe(image: np.ndarray, c: Config = Config()) -> list[tuple[float, float
         v = a[np.clip(py, 0, h - 1), np.clip(px, 0, w - 1)]
         gap = (v[..., 1] - v[..., 0]) / np.maximum(patch.std(axis=1), 1e-9)[:, None]
         bits = _words(np.concatenate([gap > m for m in c.margins], axis=1), c.radius + 1)
+        kept = _first_of_each(bits, c.same)  # corners come by strength
+        ys, xs, angle, bits = ys[kept], xs[kept], angle[kept], bits[kept]
         out += [((x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale, t, k.tobytes()) for x, y, t, k in zip(xs.tolist(), ys.tolist(), angle.tolist(), bits, strict=True)]
     return out
 
 
+def _first_of_each(bits: np.ndarray, n: int) -> np.ndarray:
+    """Numbers, ascending, of the first n rows of each kind."""
+    _, kind = np.unique(bits, axis=0, return_inverse=True)
+    order = np.argsort(kind.reshape(-1), kind="stable")
+    ordered = kind.reshape(-1)[order]
+    nth = np.arange(len(order)) - np.searchsorted(ordered, ordered)
+    return np.sort(order[nth < n])
+
+
 def consensus(pairs: np.ndarray, c: Config = Config()) -> int:
-    """Most matched corners that agree on one similarity transform. pairs: x, y, scale, angle of one corner, then of the other.
+    """Most matched corners that agree on one similarity transform, counted up to c.enough. pairs: x, y, scale, angle of one corner, then of the other.
 
     Each pair by itself gives a transform (scale, turn, shift); the pairs that it puts to within the tolerance are counted, and
-    no corner of either image counts twice.
+    no corner of either image counts twice. Equal transforms are one, and those of most pairs come first.
     """
     if not len(pairs):
         return 0
     a, b = pairs[:, :4], pairs[:, 4:]
     ratio, turn = b[:, 2] / a[:, 2], b[:, 3] - a[:, 3]
     near = c.tolerance * np.maximum(1, b[:, 2])
-    best, step = 0, max(1, 1_000_000 // len(pairs))
     places = [np.unique(np.rint(p[:, :2]), axis=0, return_inverse=True)[1].reshape(-1) for p in (a, b)]
-    for at in range(0, len(pairs), step):
-        k = slice(at, at + step)
-        co, si = (ratio[k] * np.cos(turn[k]))[:, None], (ratio[k] * np.sin(turn[k]))[:, None]
+    most = min(c.enough, *(int(p.max()) + 1 for p in places))
+    co, si = ratio * np.cos(turn), ratio * np.sin(turn)
+    shift_x, shift_y = b[:, 0] - co * a[:, 0] + si * a[:, 1], b[:, 1] - si * a[:, 0] - co * a[:, 1]
+    same = np.rint(np.stack([ratio * 1e4, co * 1e3, si * 1e3, shift_x * 100, shift_y * 100], 1))
+    _, lead, count = np.unique(same, axis=0, return_index=True, return_counts=True)
+    lead = lead[np.lexsort((lead, -count))]
+    best, at, step = 0, 0, 4
+    while at < len(lead):
+        k = lead[at : at + step]
+        at, step = at + step, max(1, min(4 * step, 1_000_000 // len(pairs)))
         dx, dy = a[:, 0] - a[k, :1], a[:, 1] - a[k, 1:2]
-        fits = np.hypot(co * dx - si * dy + b[k, :1] - b[:, 0], si * dx + co * dy + b[k, 1:2] - b[:, 1]) <= near
+        fits = np.hypot(co[k, None] * dx - si[k, None] * dy + b[k, :1] - b[:, 0], si[k, None] * dx + co[k, None] * dy + b[k, 1:2] - b[:, 1]) <= near
         fits &= np.abs(np.log(ratio / ratio[k, None])) < _RATIO
         fits &= np.cos(turn - turn[k, None]) > np.cos(c.turn)
         count = fits.sum(1)
@@ -157,6 +179,8 @@ def consensus(pairs: np.ndarray, c: Config = Config()) -> int:
             if count[row] <= best:
                 break
             best = max(best, min(len(np.unique(p[fits[row]])) for p in places))
+            if best >= most:
+                return most
     return best
 
 
@@ -216,8 +240,8 @@ class _Table:
         return self
 
 
-def _met(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
-    """Corners of q (sorted) and of r whose descriptors are within the radius, each such pair once."""
+def _near(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
+    """Descriptors of q (sorted) and of r that are within the radius, each such pair once."""
     left, right = [], []
     for at, (known, word) in enumerate(zip(q.sorted, r.words, strict=True)):
         lo = np.searchsorted(known, word)
@@ -234,8 +258,11 @@ def _met(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
             i, j, apart = i[near], j[near], apart[near]
         left.append(i)
         right.append(j)
-    i, j = np.concatenate(left), np.concatenate(right)
-    # each corner of the one descriptor with each of the other
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _met(q: _Table, r: _Table, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each corner of a descriptor of q with each of that of r."""
     n = r.count[j]
     own, x = _spread(q.first[i], q.count[i])
     left = np.repeat(q.order[x], n[own])
@@ -243,11 +270,23 @@ def _met(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
     return left, r.order[y]
 
 
-def _agreeing(q: _Table, r: _Table, c: Config) -> Iterator[tuple[int, int, int]]:
-    """Image of q, image of r and votes, where these suffice."""
-    x, y = _met(q, r, c)
-    if not len(x):
+#: Pairs of corners that are held at once, unless one image has more.
+_PAIRS = 4_000_000
+
+
+def _agreeing(q: _Table, packed: list[bytes], c: Config, first: int = 0) -> Iterator[tuple[int, int, int]]:
+    """Image of q, image of packed and votes, where these suffice. Images whose corners meet too many are taken by halves."""
+    r = _Table(packed, c)
+    i, j = _near(q, r, c)
+    if not len(i):
+        return
+    if len(packed) > 1 and int((q.count[i].astype(np.int64) * r.count[j]).sum()) > _PAIRS:
+        half = len(packed) // 2
+        del r, i, j
+        yield from _agreeing(q, packed[:half], c, first)
+        yield from _agreeing(q, packed[half:], c, first + half)
         return
+    x, y = _met(q, r, i, j)
     # Pairs of corners that agree have one ratio of scales, and turns in a bin or its neighbours: too few of these rule a pair of images out.
     scales = np.sort(np.array(c.scales, np.float32)).astype(np.float64)
     ratios, ratio = np.unique(np.rint(np.log(scales[None, :] / scales[:, None]) * 1e4), return_inverse=True)
@@ -275,11 +314,11 @@ def _agreeing(q: _Table, r: _Table, c: Config) -> Iterator[tuple[int, int, int]]
     m = [t[k] for t, k in ((q.x, x), (q.y, x), (q.s, x), (q.t, x), (r.x, y), (r.y, y), (r.s, y), (r.t, y))]
     pair = group // len(ratios)
     wanted = pair[_supported(m, group, need[pair], c)]
-    where, first, size = np.unique(pair, return_index=True, return_counts=True)
+    where, begin, size = np.unique(pair, return_index=True, return_counts=True)
     fine = np.isin(where, wanted)
-    for p, s, z in zip(where[fine].tolist(), first[fine].tolist(), size[fine].tolist(), strict=True):
+    for p, s, z in zip(where[fine].tolist(), begin[fine].tolist(), size[fine].tolist(), strict=True):
         if (votes := consensus(np.stack([v[s : s + z] for v in m], 1).astype(np.float64), c)) >= need[p]:
-            yield p // wide, p % wide, votes
+            yield p // wide, first + p % wide, votes
 
 
 def _supported(m: list[np.ndarray], group: np.ndarray, need: np.ndarray, c: Config) -> np.ndarray:
@@ -334,7 +373,7 @@ def copies(images: DataFrame, is_query: Column, config: Config = Config(), id_:
             for at in range(0, len(right), _STEP):
                 part = right.iloc[at : at + _STEP]
                 rc = part["class_id"].tolist()
-                out += [(qc[i], rc[k], v) for i, k, v in _agreeing(q, _Table(part["corners"].tolist(), c), c) if qc[i] != rc[k]]
+                out += [(qc[i], rc[k], v) for i, k, v in _agreeing(q, part["corners"].tolist(), c) if qc[i] != rc[k]]
         return pd.DataFrame(out, columns=["qc", "class_id", "votes"])
 
     agreed = asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(match, "qc bigint, class_id bigint, votes int")

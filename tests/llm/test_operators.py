@@ -367,6 +367,37 @@ def test_descriptors_by_plain_tests():
     assert not m or media.consensus(np.array(m), c) < c.votes
 
 
+def board(cell, dx, dy, low=40, high=215, side=256):
+    y, x = np.mgrid[:side, :side]
+    return np.where(((x + dx) // cell + (y + dy) // cell) % 2 == 0, low, high).astype(np.uint8)
+
+
+def test_repeated_texture_is_bounded(spark):
+    """Checkerboards, whose corners all look alike: few corners of a kind are kept, pairs are taken in portions, and copies are found."""
+    import time
+
+    images = [board(16, k % 8, k // 8, 40 + k) for k in range(32)]
+    c = media.Config()
+    seen = [media.describe(a, c) for a in images]
+    assert all(max(Counter((d[2], d[4]) for d in own).values()) <= c.same for own in seen) and min(map(len, seen)) >= 16
+    rows = [(k, 256, bytearray(a.tobytes())) for k, a in enumerate(images)] + [(100 + k, 160, bytearray(scene(k).tobytes())) for k in range(4)]
+    table = spark.createDataFrame(rows, "image_id bigint, width int, pixels binary").repartition(1)
+    began = time.time()
+    got = {r.image_id: {k.query_class for k in r.copies} for r in media.copies(table, F.col("image_id") < 32).collect()}
+    assert time.time() - began < 60
+    # any two boards of one cell size are shifts of each other, and no scene is a board
+    assert all(got[k] == set(range(32)) - {k} for k in range(32)) and not any(got[100 + k] for k in range(4))
+    # the same in small portions
+    q = media._Table([np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in own], media._corner(c)).tobytes() for own in seen[:8]], c).sort()
+    packed = [np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in own], media._corner(c)).tobytes() for own in seen[8:16]]
+    whole = sorted(media._agreeing(q, packed, c))
+    kept, media._PAIRS = media._PAIRS, 1000
+    try:
+        assert sorted(media._agreeing(q, packed, c)) == whole and len(whole) == 64
+    finally:
+        media._PAIRS = kept
+
+
 def test_images_of_odd_tables(spark):
     """Null and repeated ids, null widths, repeated pixels, clashing columns, an empty table."""
     a, b = bytearray(scene(1).tobytes()), bytearray(scene(2).tobytes())
