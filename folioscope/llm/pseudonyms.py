@@ -4,7 +4,7 @@ Found are payment card numbers (13 to 19 digits, single spaces or hyphens betwee
 the first and then longest valid part between separators), telephone numbers
 (`+1 (ddd) ddd-dddd`, `+1 ddd ddd dddd`, with points or hyphens, and forms without the code), dotted IPv4 addresses without leading zeros, US social security numbers
 of valid areas, groups and serials, and dates (yyyy-mm-dd, mm/dd/yyyy or dd/mm/yyyy, dd.mm.yyyy; years 0001 to 9999) that the
-calendar has. What touches a letter, digit or underscore, or isn't valid, stays. Each value is permuted among the valid values
+calendar has. What touches a letter, digit or underscore, or isn't valid, stays, but for a yyyy-mm-dd that a time follows after a T. Each value is permuted among the valid values
 of its format: a card stays valid with as many digits and separators in place, a date stays a date, a telephone number's ten
 digits become any ten. Slashed dates are one format: all strings that either reading takes for a date.
 
@@ -33,7 +33,9 @@ FORMS = {
     "card": r"\d(?:[ -]?\d){12,18}",
 }
 _EDGE, _END = r"(?<![\p{L}\d_])(?<!\d[.])", r"(?![\p{L}\d_])"
-ANY = _EDGE + "(?:" + "|".join(FORMS.values()) + ")" + _END
+#: The date of a timestamp.
+_STAMPED = FORMS["iso"] + r"(?=T\d)"
+ANY = _EDGE + "(?:(?:" + "|".join(FORMS.values()) + ")" + _END + "|" + _STAMPED + ")"
 _FIXED = "(?:" + "|".join(v for k, v in FORMS.items() if k != "card") + ")"
 #: At each place where a card may begin, the longest run of its digits; neither begins nor goes on where a fixed form does.
 _RUN = _EDGE + f"(?!{_FIXED}{_END})" + rf"(?=(\d(?:(?:[ -](?!{_FIXED}{_END}))?\d){{12,18}}){_END})"
@@ -179,7 +181,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     base = docs.drop(count, "_cards", "_form", "_found", "_new")
     # every form has two digits with at most one separator between them; most texts end here
     # a text's valid cards are named in its pattern, so a number beside a card isn't taken with it
-    form = F.when(F.col(text).rlike(_GATE), F.concat(F.lit(f"{_EDGE}(?=[+(\\d])(?:"), F.array_join(F.concat("_cards", F.array(F.lit(_FIXED))), "|"), F.lit(f"){_END}")))
+    form = F.when(F.col(text).rlike(_GATE), F.concat(F.lit(f"{_EDGE}(?=[+(\\d])(?:(?:"), F.array_join(F.concat("_cards", F.array(F.lit(_FIXED))), "|"), F.lit(f"){_END}|{_STAMPED})")))
     out = base.withColumn("_cards", F.when(F.col(text).rlike(_GATE), F.when(F.col(text).rlike(FORMS["card"]), _cards(F.col(text))).otherwise(F.array().cast("array<string>")))).withColumn("_form", form)
     out = out.withColumn("_found", F.when(F.col("_form").isNotNull(), F.regexp_extract_all(text, "_form", F.lit(0)))).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda x: pseudonym(x, key))))
     between = F.when(F.size("_found") > 0, F.split(text, F.col("_form"), -1))

@@ -116,6 +116,15 @@ def test_pseudonyms_of_cards_beside_numbers(spark):
     assert card not in got[7][0]
 
 
+def test_pseudonyms_of_timestamps(spark):
+    texts = ["2024-03-05T10:00:00Z", "2024-03-05", "at 2024-03-05T10, 2024-03-05Tea", "2024-02-30T10:00", "x2024-03-05T10", "2024-03-05T4111111111111111"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [(r.text, r.n_pseudonyms) for r in pseudonyms.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+    new = got[1][0]
+    assert new != "2024-03-05" and got[0] == (f"{new}T10:00:00Z", 1) and got[2] == (f"at {new}T10, 2024-03-05Tea", 1)
+    assert [n for _, n in got[3:]] == [0, 0, 1] and got[5][0] == f"{new}T4111111111111111"
+
+
 def test_pseudonyms_of_plain_telephone_numbers(spark):
     texts = ["(212) 555-0187", "212-555-0187", "212.555.0187", "+1 212 555 0187", "+1-212-555-0187", "1212-555-0187", "1799-12-31 2099-12-21 0000-01-01 2101-02-30"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
