@@ -17,6 +17,7 @@ class EngineConfig:
     walk_pages: int = 5
     toc_pages: int = 10
     toc_offsets: int = 5
+    matched_chars: int = 60
     toc_tail_chars: int = 80
     toc_lines: int = 3
     toc_like_chars: int = 100

@@ -19,30 +19,45 @@ def page_counts(pages: DataFrame) -> DataFrame:
 
 def text_layer(judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     total = F.sum("n_chars")
-    return judged.groupBy(*FILE).agg(total.cast("bigint").alias("n_chars"), (total >= config.text_layer_chars).alias("has_text"), F.max("page").alias("n_pages"), F.bool_or("any_evidence").alias("evidence"), F.count_if(F.col("n_chars") > 0).cast("bigint").alias("n_written"), F.bool_or(F.col("toc_like") & (F.col("page") <= config.toc_pages)).alias("has_toc"))
+    return judged.groupBy(*FILE).agg(total.cast("bigint").alias("n_chars"), (total >= config.text_layer_chars).alias("has_text"), F.max("page").alias("n_pages"), F.bool_or("any_evidence").alias("evidence"), F.count_if(F.col("n_chars") > 0).cast("bigint").alias("n_written"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("toc_like") & (F.col("page") <= config.toc_pages), F.col("page")))), ",").alias("toc_pages"))
 
 
 def toc_entries(judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """All entries of contents pages with a page number of the file, in order (toc_page, pattern, position)."""
     # Unicode digits count, as they do for the patterns
     digits = F.translate("number", "०१२३४५६७८९", "0123456789").try_cast("int")
-    out = judged.where("toc_numbers is not null").select(*FILE, F.col("page").alias("toc_page"), F.posexplode("toc_numbers").alias("pattern", "found")).select(*FILE, "toc_page", "pattern", F.posexplode("found").alias("position", "number"))
-    return out.withColumn("target", digits).join(page_counts(judged), FILE).where("target between 1 and n_pages").select(*FILE, "toc_page", "pattern", "position", "target")
+    both = F.zip_with("toc_numbers", "toc_texts", lambda n, t: F.arrays_zip(n.alias("number"), t.alias("text")))
+    out = judged.where("toc_numbers is not null").select(*FILE, F.col("page").alias("toc_page"), F.posexplode(both).alias("pattern", "found")).select(*FILE, "toc_page", "pattern", F.posexplode("found").alias("position", "entry"))
+    out = out.withColumns({"number": F.col("entry")["number"], "matched": F.btrim(F.regexp_replace(F.substring(F.col("entry")["text"], 1, config.matched_chars), r"[ \t\n\r\f]+", " "))})
+    return out.withColumn("target", digits).join(page_counts(judged), FILE).where("target between 1 and n_pages").select(*FILE, "toc_page", "pattern", "position", "target", "matched")
 
 
 def toc_jump(entries: DataFrame, judged: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Each file's first entry and the first page from its target on, within the offsets, that the verdict accepts (else null)."""
-    first = entries.groupBy(*FILE).agg(F.min_by("target", F.struct("toc_page", "pattern", "position")).alias("target"))
-    good = judged.where("ok").select(*FILE, "page", "kind", "signals")
-    near = first.join(good, FILE).where(F.col("page").between(F.col("target"), F.col("target") + config.toc_offsets))
-    hit = near.groupBy(*FILE).agg(F.min("page").alias("start"), F.min_by("kind", "page").alias("kind"), F.min_by("signals", "page").alias("signals"))
-    return first.join(hit, FILE, "left").select(*FILE, "target", "start", "kind", "signals")
+    """Each file's first entry, and the first page from its target on, within the offsets, that the verdict accepts (else null).
+
+    tried: what each page that was looked at gave, up to the first that is accepted.
+    """
+    chosen = entries.groupBy(*FILE).agg(F.min_by(F.struct("target", "toc_page", "matched"), F.struct("toc_page", "pattern", "position")).alias("e")).select(*FILE, "e.*")
+    looked = chosen.join(page_counts(judged), FILE).select(*FILE, "n_pages", F.explode(F.sequence("target", F.col("target") + config.toc_offsets)).alias("page"))
+    seen = looked.join(judged.select(*FILE, "page", "ok", "kind", "signals", "n_chars"), [*FILE, "page"], "left")
+    said = F.when(F.col("page") > F.col("n_pages"), "out_of_range").when(F.coalesce("n_chars", F.lit(0)) == 0, "no_text").when(F.col("ok"), "OK").otherwise("no")
+    per = seen.groupBy(*FILE).agg(F.sort_array(F.collect_list(F.struct("page", said.alias("said"), "kind", "signals"))).alias("pages"))
+    hit = F.array_position(F.transform("pages", lambda p: p["said"]), "OK")
+    per = per.withColumn("_hit", hit.cast("int"))
+    tried = F.transform(F.slice("pages", F.lit(1), F.when(F.col("_hit") > 0, F.col("_hit")).otherwise(F.size("pages"))), lambda p: F.concat(F.lit("p"), p["page"].cast("string"), F.lit("="), p["said"]))
+    found = F.when(F.col("_hit") > 0, F.get("pages", F.col("_hit") - 1))
+    got = per.select(*FILE, found.alias("f"), F.array_join(tried, ",").alias("tried"))
+    return chosen.join(got, FILE).select(*FILE, "toc_page", "matched", "target", F.col("f.page").alias("start"), "f.kind", "f.signals", "tried")
 
 
 def toc_outcome(layer: DataFrame, jump: DataFrame) -> DataFrame:
-    """What the contents gave for each file: no contents page, no entry of the section in it, an entry that no page bears out, or a valid one."""
-    rows = layer.select(*FILE, "has_toc").join(jump.select(*FILE, "target", "start"), FILE, "left")
-    return rows.select(*FILE, F.when(~F.col("has_toc"), "no_toc_pages").when(F.col("target").isNull(), "no_entries_in_toc").when(F.col("start").isNull(), F.concat(F.lit("toc_validation_failed|target_p"), F.col("target").cast("string"))).otherwise(F.concat(F.lit("toc_validated|target_p"), F.col("target").cast("string"))).alias("toc"))
+    """What the contents gave for each file: no contents page, no entry of the section in those there are, an entry that no page bears out, or a valid one; with the entry and the pages tried."""
+    rows = layer.select(*FILE, "toc_pages").join(jump.select(*FILE, "toc_page", "matched", "target", F.col("start").alias("hit"), "kind", "tried"), FILE, "left")
+    p = lambda name, c: F.concat(F.lit(f"|{name}_p"), F.col(c).cast("string"))
+    failed = F.concat(F.lit("toc_validation_failed"), p("toc", "toc_page"), p("target", "target"), F.lit("|tried:"), "tried")
+    valid = F.concat(F.lit("toc_validated"), p("toc", "toc_page"), F.lit("|matched:"), "matched", p("target", "target"), p("hit", "hit"), F.lit("|validation:"), "tried", F.lit("|"), "kind")
+    none = F.concat(F.lit("no_entries_in_toc(toc_pages="), "toc_pages", F.lit(")"))
+    return rows.select(*FILE, F.when(F.col("toc_pages") == "", "no_toc_pages").when(F.col("target").isNull(), none).when(F.col("hit").isNull(), failed).otherwise(valid).alias("toc"))
 
 
 def first_pages(judged: DataFrame, low: str = "1", high: str = "2147483647", centre: str | None = None, radius: int = 0) -> DataFrame:

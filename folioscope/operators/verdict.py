@@ -43,7 +43,7 @@ def features(pages: DataFrame, config: EngineConfig = EngineConfig(), rules: Cat
 def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:
     """flags with head, toc_reason, ca_firm, strong, is_redirect, kind, ok, cont, stop, toc_like, signals and the kind under which a scan takes the page.
 
-    stop: why a page doesn't continue a section. signals: the kind and what it rests on. toc_numbers: of contents pages, the numbers of each kind of entry.
+    stop: why a page doesn't continue a section. signals: the kind and what it rests on. toc_numbers and toc_texts: of contents pages, the numbers and texts of each kind of entry.
     """
     c = F.col
     head = c("canonical") | c("short_header")
@@ -71,15 +71,17 @@ def verdicts(flags: DataFrame, config: EngineConfig = EngineConfig(), rules: Cat
     # a firm's name is looked for only where it decides
     low = bottom(c("text"), config)
     firm = rules.firm.found(low, c("folded")) & ~rules.signature.found(low, c("folded"))
-    each = F.array(*(F.regexp_extract_all("text", F.lit(r.java), F.lit(1)) for r in rules.toc_entries))
-    two = one.withColumns({"kind": kind, "strong": (c("score") >= 2) & ~firm, "cont": c("stop") == "", "toc_numbers": F.when(c("toc_like") & (c("page") <= config.toc_pages), each)}).withColumn("ok", F.col("kind").isin("canonical", "short_header", "nil_comments"))
+    each = lambda group: F.when(c("toc_like") & (c("page") <= config.toc_pages), F.array(*(F.regexp_extract_all("text", F.lit(r.java), F.lit(group)) for r in rules.toc_entries)))
+    two = one.withColumns({"kind": kind, "strong": (c("score") >= 2) & ~firm, "cont": c("stop") == "", "toc_numbers": each(1), "toc_texts": each(0)}).withColumn("ok", F.col("kind").isin("canonical", "short_header", "nil_comments"))
     scan = F.when(c("n_chars") == 0, F.lit(None)).when(c("dq_head"), F.when(c("strong"), "strong_cag_overrides_dq")).when(c("ok"), c("kind"))
     three = two.withColumn("scan_kind", scan)
-    return three.withColumn("signals", F.concat(F.coalesce("scan_kind", "kind"), F.lit("("), evidence(three), F.lit(")"))).drop("text", "folded")
+    # what looked like a contents list: overridden where the page is accepted all the same, else why it is rejected
+    listed = F.when(~toc, "").when(c("ok"), F.concat(F.lit("|overrides_toc("), c("toc_reason"), F.lit(")"))).when(c("kind").endswith("_as_toc"), F.concat(F.lit("|"), c("toc_reason"))).otherwise("")
+    return three.withColumn("signals", F.concat(F.coalesce("scan_kind", "kind"), F.lit("("), evidence(three), F.lit(")"), listed)).drop("text", "folded")
 
 
 #: What finding, walking and reports need of a page.
-LOCATING = (*KEY, "n_chars", "any_evidence", "toc_like", "toc_numbers", "ok", "kind", "scan_kind", "signals", "cont", "stop", "signature")
+LOCATING = (*KEY, "n_chars", "any_evidence", "toc_like", "toc_numbers", "toc_texts", "ok", "kind", "scan_kind", "signals", "cont", "stop", "signature")
 
 
 def judged(pages: DataFrame, config: EngineConfig = EngineConfig(), rules: Catalogue = PRESET) -> DataFrame:

@@ -97,6 +97,8 @@ CASES: dict[str, Callable[[Case], DataFrame]] = {
     # finders
     "toc_entries": lambda s: s.entries,
     "toc_jump": lambda s: s.jump,
+    "toc_evidence": lambda s: locate.toc_outcome(locate.text_layer(s.located), s.jump),
+    "page_signals": _flags("signals"),
     "first_section_page": lambda s: locate.first_pages(s.located).where("start is not null").select(*FILE, "start", "kind"),
     "scan_position": lambda s: locate.first_pages(s.located).select(*FILE, "scanned"),
     "priority_scan": lambda s: locate.first_pages(s.located, centre="6", radius=2).where("start is not null").select(*FILE, "start", "kind"),

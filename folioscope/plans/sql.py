@@ -79,13 +79,16 @@ f2 as (select *, not ca_firm and score >= 2 as strong, case when n_chars = 0 the
 f3 as (select *, kind in ('canonical', 'short_header', 'nil_comments') as ok, case when n_chars = 0 then null when dq_head then case when strong then 'strong_cag_overrides_dq' end when kind in ('canonical', 'short_header', 'nil_comments') then kind end as scan_kind,
   concat_ws('+', case when canonical then 'canonical' end, case when short_header then 'short' end, case when body then 'body' end, case when signature then 'sig' end, case when nil_body then 'nil_body' end) as parts,
   case when n_stripped < 50 then 'short' when script_ratio > 0.3::double then 'script' when dq_walk then 'disqualifier' else '' end as stop from f2),
-judged as materialized (select *, coalesce(scan_kind, kind) || '(' || parts || ')' as signals from f3),
-layer as (select company, source_pdf, cast(sum(n_chars) as bigint) as n_chars, sum(n_chars) >= 200 as has_text, max(page) as n_pages, bool_or(any_evidence) as evidence, count(*) filter (where n_chars > 0) as n_written, bool_or(toc_like and page <= 10) as has_toc from judged group by all),
-e0 as ({' union all '.join(f"select company, source_pdf, page as toc_page, {i} as pattern, regexp_extract_all(text, {_q('(?im)' + r.pattern)}, 1) as found from judged where toc_like and page <= 10" for i, r in enumerate(_P.toc_entries))}),
-e1 as (select company, source_pdf, toc_page, pattern, unnest(range(0, len(found))) as position, unnest(found) as number from e0),
-entries as (select e1.company, e1.source_pdf, toc_page, pattern, cast(position as int) as position, cast(number as int) as target from e1 join layer using (company, source_pdf) where cast(number as int) between 1 and n_pages),
-chosen as (select company, source_pdf, arg_min(target, (toc_page, pattern, position)) as target from entries group by all),
-jump as (select c.company, c.source_pdf, c.target, min(j.page) as "start", arg_min(j.kind, j.page) as kind, arg_min(j.signals, j.page) as signals from chosen c left join judged j on c.source_pdf = j.source_pdf and j.ok and j.page between c.target and c.target + 5 group by all),
+judged as materialized (select *, coalesce(scan_kind, kind) || '(' || parts || ')' || case when toc_reason = '' then '' when ok then '|overrides_toc(' || toc_reason || ')' when ends_with(kind, '_as_toc') then '|' || toc_reason else '' end as signals from f3),
+layer as (select company, source_pdf, cast(sum(n_chars) as bigint) as n_chars, sum(n_chars) >= 200 as has_text, max(page) as n_pages, bool_or(any_evidence) as evidence, count(*) filter (where n_chars > 0) as n_written, coalesce(string_agg(cast(page as varchar), ',' order by page) filter (where toc_like and page <= 10), '') as toc_pages from judged group by all),
+e0 as ({' union all '.join(f"select company, source_pdf, page as toc_page, {i} as pattern, regexp_extract_all(text, {_q('(?im)' + r.pattern)}, 1) as found, regexp_extract_all(text, {_q('(?im)' + r.pattern)}, 0) as texts from judged where toc_like and page <= 10" for i, r in enumerate(_P.toc_entries))}),
+e1 as (select company, source_pdf, toc_page, pattern, unnest(range(0, len(found))) as position, unnest(found) as number, unnest(texts) as entry from e0),
+entries as (select e1.company, e1.source_pdf, toc_page, pattern, cast(position as int) as position, cast(number as int) as target, trim(regexp_replace(substr(entry, 1, 60), '[ \\t\\n\\r\\f]+', ' ', 'g')) as matched from e1 join layer using (company, source_pdf) where cast(number as int) between 1 and n_pages),
+chosen as (select company, source_pdf, arg_min(target, (toc_page, pattern, position)) as target, arg_min(matched, (toc_page, pattern, position)) as matched, min(toc_page) as toc_page from entries group by all),
+looked as (select c.company, c.source_pdf, c.page, case when c.page > n_pages then 'out_of_range' when coalesce(j.n_chars, 0) = 0 then 'no_text' when j.ok then 'OK' else 'no' end as said, j.kind, j.signals
+  from (select *, cast(unnest(range(target, target + 6)) as int) as page from chosen) c join layer l using (company, source_pdf) left join judged j on j.source_pdf = c.source_pdf and j.page = c.page),
+accepted as (select source_pdf, min(page) as "start", arg_min(kind, page) as kind, arg_min(signals, page) as signals from looked where said = 'OK' group by all),
+jump as (select c.company, c.source_pdf, c.toc_page, c.matched, c.target, a."start", a.kind, a.signals, (select string_agg('p' || page || '=' || said, ',' order by page) from looked k where k.source_pdf = c.source_pdf and page <= coalesce(a."start", 1000000)) as tried from chosen c left join accepted a using (source_pdf)),
 scan as (select company, source_pdf, min(page) as "start", arg_min(scan_kind, page) as kind, arg_min(signals, page) as signals from judged where scan_kind is not null group by all),
 starts as (select company, source_pdf, coalesce(j."start", s."start") as "start", case when j."start" is not null then 'toc' else 'strict_rule' end as method, case when j."start" is not null then 'toc_jump' else s.kind end as kind, coalesce(j.signals, s.signals) as signals
   from (select * from jump where "start" is not null) j full join scan s using (company, source_pdf)),
@@ -94,7 +97,8 @@ ranges as materialized (select s.*, coalesce(w.e, s."start") as "end",
   coalesce(case when r.sig < coalesce(r.bad, 1000000) then 'signature' else (select j.stop from judged j where j.source_pdf = s.source_pdf and j.page = r.bad) end, case when n_pages >= s."start" + 5 then 'cap' else 'eof' end) as stop
   from starts s join layer using (company, source_pdf) left join (select source_pdf, min(bad) as bad, min(sig) as sig from walk group by all) r using (source_pdf)
   left join (select source_pdf, max(page) as e from walk where page < coalesce(bad, 1000000) and page <= coalesce(sig, 1000000) group by all) w using (source_pdf)),
-toc as (select company, source_pdf, case when not has_toc then 'no_toc_pages' when target is null then 'no_entries_in_toc' when "start" is null then 'toc_validation_failed|target_p' || target else 'toc_validated|target_p' || target end as toc from layer left join jump using (company, source_pdf)),
+toc as (select company, source_pdf, case when toc_pages = '' then 'no_toc_pages' when target is null then 'no_entries_in_toc(toc_pages=' || toc_pages || ')' when "start" is null then 'toc_validation_failed|toc_p' || toc_page || '|target_p' || target || '|tried:' || tried
+  else 'toc_validated|toc_p' || toc_page || '|matched:' || matched || '|target_p' || target || '|hit_p' || "start" || '|validation:' || tried || '|' || kind end as toc from layer left join jump using (company, source_pdf)),
 pass1 as materialized (select company, source_pdf, source_hash, year, 'pass1' as phase, cast(null as varchar) as pass1_action, action, case action when 'EXTRACT' then 'ok' when 'ERROR' then 'error' else 'deferred' end as result,
   case when hit then method end as method, case action when 'ERROR' then 'could_not_open_source' when 'DEFER_VISION' then 'no_text_layer|n_pages=' || n_pages when 'DEFER_XY' then 'toc:' || toc || '|scanned=' || n_written else kind || '|' || signals || '|toc:' || toc || '|walk:' || stop end as evidence, case when hit then "start" end as extract_page, case when hit then "end" end as extract_end_page,
   case when hit then company || '/comments_mentioned/cag_pages/' || {_NAME} end as new_path
@@ -115,12 +119,12 @@ yes as (select company, source_pdf, min(page) as "start" from sampled join repli
 yesno as (select y.source_pdf, r.page, min(r.page) filter (where r.verdict is not true) over (partition by y.source_pdf) as bad from yes y join replies r on y.source_pdf = r.source_pdf and r.page between y."start" + 1 and y."start" + 5),
 yesrange as (select y.*, coalesce(e, y."start") as "end" from yes y left join (select source_pdf, max(page) as e from yesno where page < coalesce(bad, 1000000) group by all) using (source_pdf)),
 modes as (select p.*, f.stem, f.short, y."start" as s0, y."end" as e0, mode, p.pass1_action = 'DEFER_VISION' or p.evidence as looks from plan p join files f using (company, source_pdf) cross join (values ('on'), ('off'), ('dry')) v(mode) left join yesrange y on y.source_pdf = p.source_pdf),
-looked as (select *, (select count(*) from sampled x where x.source_pdf = modes.source_pdf) as n_sampled, case when mode = 'on' and looks then s0 end as "start", case when mode = 'on' and looks then e0 end as "end" from modes),
+asked as (select *, (select count(*) from sampled x where x.source_pdf = modes.source_pdf) as n_sampled, case when mode = 'on' and looks then s0 end as "start", case when mode = 'on' and looks then e0 end as "end" from modes),
 pass2 as materialized (select mode, company, source_pdf, source_hash, year, 'pass2' as phase, pass1_action, case when not looks or mode = 'off' or mode = 'on' and "start" is null then 'TRULY_MISSING' when pass1_action = 'DEFER_VISION' then 'VISION' else 'VISION_AGG' end as action,
   case when not looks or mode = 'off' or mode = 'on' and "start" is null then 'no_match' when mode = 'dry' then 'dry_run' else 'ok' end as result, cast(null as varchar) as method,
   case when not looks then case when eligible then 'no_keywords_anywhere|skipped_vision' else 'no_keywords_anywhere|not_eligible_xy' end when mode = 'off' then case when pass1_action = 'DEFER_VISION' then 'scanned_pdf|vision_disabled' else 'deterministic_failed|vision_disabled' end
    when mode = 'dry' then 'would_look|p' || ws || '-p' || we when "start" is not null then 'vision_hit|sampled=' || n_sampled else 'vision_no_match|window=p' || ws || '-p' || we || '|sampled=' || n_sampled end as evidence, "start" as extract_page, "end" as extract_end_page,
-  case when "start" is not null then company || '/comments_mentioned/cag_pages/' || {_NAME} end as new_path from looked),
+  case when "start" is not null then company || '/comments_mentioned/cag_pages/' || {_NAME} end as new_path from asked),
 l0 as (select doc_id, company, source_pdf, source_hash, unnest([0, 1]) as turn from files),
 l1 as (select doc_id * 2 + turn as seq, case when doc_id % 11 = 0 then '  ' when doc_id % 7 = 0 then '{{"source_pdf": "x", ' else to_json(struct_pack(company := company, source_pdf := source_pdf, source_hash := case when doc_id % 13 <> 0 then source_hash end, phase := 'pass1',
   action := case when doc_id % 4 = 0 then 'TRULY_MISSING' else 'EXTRACT' end, result := ['ok', 'error', 'deferred'][(doc_id + turn) % 3 + 1]))::varchar end as line from l0 where turn = 0 or doc_id % 5 = 0),
@@ -166,6 +170,8 @@ _FINAL = {
     "toc_like": f"select {_KEY}, toc_like from judged",
     "toc_entries": "select * from entries",
     "toc_jump": "select * from jump",
+    "toc_evidence": "select * from toc",
+    "page_signals": f"select {_KEY}, signals from judged",
     "first_section_page": """select company, source_pdf, "start", kind from scan""",
     "scan_position": """select j.company, j.source_pdf, count(*) filter (where page <= coalesce(s."start", 1000000)) as scanned from judged j left join scan s using (source_pdf) where n_chars > 0 group by all""",
     "priority_scan": """select company, source_pdf, arg_min(page, (far, page)) as "start", arg_min(scan_kind, (far, page)) as kind from (select j.*, abs(page - 6) > 2 and n_pages - 1 > 9 as far from judged j join layer l using (source_pdf)) where scan_kind is not null group by all""",

@@ -25,7 +25,7 @@ from ..sources.tables import discard, stored
 
 PAGES = "company string, source_pdf string, stem string, source_hash string, n_pages int, page int, text string"
 _KEY = ["company", "source_pdf", "source_hash"]
-_NARROW = "stem string, n_pages int, page int, n_chars int, any_evidence boolean, toc_like boolean, toc_numbers string, ok boolean, kind string, scan_kind string, signals string, cont boolean, stop string, signature boolean"
+_NARROW = "stem string, n_pages int, page int, n_chars int, any_evidence boolean, toc_like boolean, toc_numbers string, toc_texts string, ok boolean, kind string, scan_kind string, signals string, cont boolean, stop string, signature boolean"
 _COLUMNS = [c.split()[0] for c in _NARROW.split(", ")]
 _TOC = "array<array<string>>"
 
@@ -35,7 +35,7 @@ def _judged(pages: DataFrame, config: EngineConfig) -> DataFrame:
     whole = pages.where("source_pdf is not null and page is not null").withColumn("company", F.to_json(F.struct("company", "stem", "source_hash", "n_pages"), {"ignoreNullFields": "false"}))
     rows = verdict.judged(whole.select("company", "source_pdf", "page", "text"), config).select(*verdict.LOCATING)
     back = rows.withColumn("f", F.from_json("company", "company string, stem string, source_hash string, n_pages int"))
-    return back.select("f.company", "source_pdf", "f.source_hash", "f.stem", "f.n_pages", *(F.to_json(c).alias(c) if c == "toc_numbers" else c for c in verdict.LOCATING if c not in ("company", "source_pdf")))
+    return back.select("f.company", "source_pdf", "f.source_hash", "f.stem", "f.n_pages", *(F.to_json(c).alias(c) if c in ("toc_numbers", "toc_texts") else c for c in verdict.LOCATING if c not in ("company", "source_pdf")))
 
 
 def whole_files(pages: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
@@ -55,7 +55,7 @@ def whole_files(pages: DataFrame, config: EngineConfig = EngineConfig()) -> Data
                 out[c] = out[c].astype("Int32")
             for c in ("any_evidence", "toc_like", "ok", "cont", "signature"):
                 out[c] = out[c].astype("boolean")
-            yield out.astype({c: object for c in ("toc_numbers", "scan_kind")}).where(out.notna(), None)
+            yield out.astype({c: object for c in ("toc_numbers", "toc_texts", "scan_kind")}).where(out.notna(), None)
         else:
             state.update((rows.to_json(orient="split", index=False),))
 
@@ -63,7 +63,7 @@ def whole_files(pages: DataFrame, config: EngineConfig = EngineConfig()) -> Data
     grouped = narrow.groupBy(*_KEY)
     schema = f"company string, source_pdf string, source_hash string, {_NARROW}"
     out = grouped.applyInPandasWithState(put, schema, "rows string", "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("toc_numbers", F.from_json("toc_numbers", _TOC))
+    return out.withColumns({c: F.from_json(c, _TOC) for c in ("toc_numbers", "toc_texts")})
 
 
 def waiting(pages: DataFrame, records: DataFrame) -> DataFrame:

@@ -289,3 +289,33 @@ def test_rules_by_literal_texts(spark):
         t = spark.createDataFrame([(x, True) for x in yes] + [(x, False) for x in no], "t string, want boolean")
         got = t.select("t", "want", rule.found(F.col("t"), folded(F.col("t"))).alias("gated"), rule.found(F.col("t")).alias("bare")).collect()
         assert [(r.t, r.gated, r.bare) for r in got if not r.gated == r.bare == r.want] == [], name
+
+
+def test_contents_evidence_by_literal_texts(spark):
+    """What the contents gave, the entry, and each page tried up to the accepted one."""
+    filler = "y" * 120
+    good = f"{H}\n{B}\n{S}" + "x" * 60
+    contents = lambda n: "\n".join(["Contents", "Notice of the meeting ........ 2", "Report of the board ........ 3", f"{H}   of  India ........ {n}", "Accounts of the year ........ 9", filler])
+    cases = {
+        "none": [filler, good],
+        "no_entry": [contents(2).replace(H, "Nothing"), filler, good],
+        "hit": [contents(2), filler, "", good, filler],
+        "exact": [filler, contents(4), filler, good],
+        "failed": [contents(2), filler, ""],
+        "beyond": [contents(99), filler, good],
+    }
+    rows = [("c", name, i + 1, t) for name, texts in cases.items() for i, t in enumerate(texts)]
+    judged = verdict.judged(spark.createDataFrame(rows, "company string, source_pdf string, page int, text string"))
+    jump = locate.toc_jump(locate.toc_entries(judged), judged)
+    got = {r.source_pdf: r.toc for r in locate.toc_outcome(locate.text_layer(judged), jump).collect()}
+    entry = f"{H} o"  # 60 characters of the entry, spaces as one
+    assert got["none"] == "no_toc_pages" and got["no_entry"] == got["beyond"] == "no_entries_in_toc(toc_pages=1)"
+    assert got["hit"] == f"toc_validated|toc_p1|matched:{entry}|target_p2|hit_p4|validation:p2=no,p3=no_text,p4=OK|canonical"
+    assert got["exact"] == f"toc_validated|toc_p2|matched:{entry}|target_p4|hit_p4|validation:p4=OK|canonical"
+    assert got["failed"] == "toc_validation_failed|toc_p1|target_p2|tried:p2=no,p3=no_text,p4=out_of_range,p5=out_of_range,p6=out_of_range,p7=out_of_range"
+
+
+def test_signals_name_what_was_overridden(spark):
+    texts = [f"{H} ...... 3\n{B}\n{S}", f"{H} ...... 3\n{B}", f"{H}\n{B}", "Nil Comments", f"CAG Comments\n45\n{B}\n{S}"]
+    got = [r.signals for r in judge(spark, texts)[1].orderBy("page").collect()]
+    assert got == ["canonical(canonical+body+sig)|overrides_toc(toc_tail)", "canonical_rejected_as_toc(canonical+body)|toc_tail", "canonical(canonical+body)", "nil_comments()", "short_header(short+body+sig)|overrides_toc(toc_tail)"]
