@@ -17,7 +17,6 @@ import urllib.request
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from typing import Any, Protocol
 
 import pandas as pd
@@ -107,19 +106,35 @@ def request_arguments(model: str, config: EngineConfig = EngineConfig()) -> dict
     return {"model": model, "max_tokens": config.reply_tokens, "temperature": 0}
 
 
-def pdf_image(source_pdf: str, page: int, dpi: int) -> Any | None:
-    """A page as an image, by the optional pdf2image package."""
+def pdf_pages(content: bytes, first: int, last: int, dpi: int) -> list[Any]:
+    """Images of pages, as many as there are of first to last, by the optional pdf2image package."""
     from pdf2image import convert_from_bytes
 
-    images = convert_from_bytes(_content(source_pdf), first_page=page, last_page=page, dpi=dpi)
-    return images[0] if images else None
+    return convert_from_bytes(content, first_page=first, last_page=last, dpi=dpi)
 
 
-@lru_cache(maxsize=1)
-def _content(source_pdf: str) -> bytes:
-    """A file's bytes, wherever it is; the pages asked about one after the other are of one file."""
-    with opened(source_pdf) as f:
-        return f.read()
+@dataclass
+class PageImages:
+    """Page images of one file after another: a file is read once, wherever it is, and `ahead` pages that follow each other are one conversion.
+
+    Pages are asked about in order, so most of those rendered ahead are asked for; a first yes leaves at most ahead - 1 unused.
+    """
+
+    ahead: int = 4
+    convert: Callable[[bytes, int, int, int], list[Any]] = pdf_pages
+    source: str | None = None
+    content: bytes = b""
+    held: dict[int, Any] = field(default_factory=dict)
+
+    def __call__(self, source_pdf: str, page: int, dpi: int) -> Any | None:
+        if source_pdf != self.source:
+            with opened(source_pdf) as f:
+                self.content = f.read()
+            self.source, self.held = source_pdf, {}
+        if page not in self.held:
+            found = self.convert(self.content, page, page + self.ahead - 1, dpi)
+            self.held = dict.fromkeys(range(page, page + self.ahead)) | dict(enumerate(found, page))
+        return self.held[page]
 
 
 def image_base64(image: Any, quality: int) -> str:
@@ -145,7 +160,7 @@ class ImageOracle:
     keys: list[str]
     config: EngineConfig = EngineConfig()
     tasks: int = 8
-    render: Callable[[str, int, int], Any | None] = pdf_image
+    render: Callable[[str, int, int], Any | None] = field(default_factory=PageImages)
     send: Callable[[str, str, dict], str | None] = post
     pace: Pace | None = None
 

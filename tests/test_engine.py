@@ -150,6 +150,24 @@ def test_image_oracle():
     assert classifier.request_arguments("o3-mini")["reasoning_effort"] == "low"
 
 
+def test_page_images_read_and_convert_once(tmp_path):
+    for name in ("a.pdf", "_b.pdf"):
+        (tmp_path / name).write_bytes(name.encode())
+    made = []
+
+    def convert(content, first, last, dpi):
+        made.append((content, first, last))
+        return [f"{content.decode()}:{p}@{dpi}" for p in range(first, min(last, 9) + 1)]
+
+    render = classifier.PageImages(convert=convert)
+    a, b = f"file:{tmp_path}/a.pdf", str(tmp_path / "_b.pdf")
+    assert [render(a, p, 50) for p in (1, 2, 3, 4, 7, 8, 9, 10)] == [*(f"a.pdf:{p}@50" for p in (1, 2, 3, 4, 7, 8, 9)), None]
+    assert render(b, 2, 50) == "_b.pdf:2@50" and render(a, 2, 50) == "a.pdf:2@50"
+    assert made == [(b"a.pdf", 1, 4), (b"a.pdf", 7, 10), (b"_b.pdf", 2, 5), (b"a.pdf", 2, 5)]
+    with pytest.raises(FileNotFoundError):
+        render(str(tmp_path / "gone.pdf"), 1, 50)
+
+
 def _page_judge(source, page, prompt):
     if page == 1:
         raise RuntimeError("no image")
