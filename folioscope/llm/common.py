@@ -25,6 +25,8 @@ _POWERS: dict[str, np.ndarray] = {}
 _LOCAL: list[str] = []
 #: Bytes of text worked on at once; a longer text is a chunk of its own.
 CHUNK = 1 << 21
+#: Rows that go back to Spark at once: those with texts of their own are large.
+ROWS = 512
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import _powers, byte_texts, chunks, mix, stored, tidy
+from .common import ROWS, _powers, byte_texts, chunks, mix, stored, tidy
 
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -263,7 +263,7 @@ def _searched(base: DataFrame, given: list[tuple], id_type, config: Config, text
             _INDEXES.clear()
             if small:
                 _INDEXES[key] = index
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
             got: list[dict] = []
             for part in chunks(byte_texts(b.column(text)), limit=1 << 20):
                 own: list[dict] = [{} for _ in part]

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Words, byte_texts, chunks, tidy
+from .common import ROWS, Words, byte_texts, chunks, release, tidy
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -212,8 +212,8 @@ def train(texts: list[bytes], toxic: list[int], config: Config = Config()) -> Mo
     return m
 
 
-#: Bytes of texts in a training step at most, unless one text has more.
-CHUNK_TRAIN = 1 << 17
+#: Bytes of texts in a training step, and of texts scored at once, at most, unless one text has more.
+CHUNK_TRAIN, CHUNK_SCORE = 1 << 17, 1 << 19
 
 
 def scores(m: Model, texts: list[bytes]) -> np.ndarray:
@@ -247,7 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, config: Config = Con
         return train([], [], config)
     ids = docs.sparkSession.createDataFrame({(i, x) for i, _, _, x in chosen}, texts.select("doc_id", F.lit("").alias("_text")).schema)
     by = {(r.doc_id, r["_text"]): r.text.encode() for r in texts.withColumn("_text", F.sha2("text", 256)).join(F.broadcast(ids), ["doc_id", "_text"]).dropDuplicates(["doc_id", "_text"]).collect()}
-    return train([by[i, x] for i, _, _, x in chosen], [y for _, y, _, _ in chosen], config)
+    model = train([by[i, x] for i, _, _, x in chosen], [y for _, y, _, _ in chosen], config)
+    release()  # the driver goes on, too
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -258,9 +260,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
-            texts = byte_texts(b.column(text))
-            got = np.concatenate([scores(m, part) for part in chunks(texts)]) if texts else np.zeros(0)
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
+            got = np.concatenate([scores(m, part) for part in chunks(byte_texts(b.column(text)), limit=CHUNK_SCORE)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got), pa.array((got >= m.config.threshold).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
 
     return base.mapInArrow(tidy(run), schema)
