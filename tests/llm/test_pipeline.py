@@ -50,3 +50,20 @@ def test_repeated_and_null_ids_are_decided_by_row(spark):
     assert sorted(map(tuple, P.drop_near_copies(spark, spark.createDataFrame(alone, "doc_id bigint, text string"), "").collect()), key=str) == sorted([(1, a), (2, b)], key=str)
     nameless = [(None, a), (None, a), (None, b), (None, "")]
     assert sorted(map(tuple, P.drop_near_copies(spark, spark.createDataFrame(nameless, "doc_id bigint, text string"), "").collect()), key=str) == sorted([(None, a), (None, b), (None, "")], key=str)
+
+
+def test_both_ways_of_near_copies_agree(spark):
+    """Rows of unique ids, and the same with a row without id, which takes the other way, keep the same rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one = P.drop_near_copies(spark, docs, SF)
+    two = P.drop_near_copies(spark, docs.union(spark.createDataFrame([(None, "these words are in no other text at all")], docs.schema)), SF)
+    assert sorted(r.doc_id for r in one.collect()) == sorted(r.doc_id for r in two.collect() if r.doc_id is not None)
+    assert two.where("doc_id is null").count() == 1 and one.count() < docs.count()
+
+
+def test_empty_tables(spark, tmp_path):
+    """The whole pipeline over a table without rows, and without labels or items."""
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = P.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids"]
