@@ -33,6 +33,9 @@ from folioscope.sources.tables import discard, spread, stored  # noqa: E402
 from jobs.common import main, write_partitions  # noqa: E402
 
 log = logging.getLogger("jobs.extract_sections")
+#: Columns of the output tables; given when they are read, as they may be empty and partitions' names may look like numbers.
+SECTIONS = "source_pdf string, source_hash string, year string, phase string, action string, result string, method string, evidence string, extract_page int, extract_end_page int, new_path string, text string, n_section_pages bigint, company string"
+COVERAGE = "year string, status string, source_filename string, extract_path string, company string"
 
 
 @dataclass(frozen=True)
@@ -41,14 +44,15 @@ class Settings:
     company: str = ""
     #: Whether deferred files are searched by the page classifier.
     vision: bool = True
-    #: Buckets of the pages' verdicts; a bucket holds all pages of its files.
+    #: Buckets of the pages' verdicts; a bucket holds all pages of its files, and a task of either pass reads one. For a large archive, as many as make a bucket some 100 MB.
     buckets: int = 16
 
 
 def _bucketed(pages: DataFrame, path: str, settings: Settings) -> tuple[DataFrame, str]:
     """pages written by file into buckets, as an external table of a name of its own; the table, and that name."""
     name = f"judged_{uuid.uuid4().hex}"
-    pages.write.mode("overwrite").bucketBy(settings.buckets, *FILE).sortBy(*FILE).option("path", path).saveAsTable(name)
+    # dealt as buckets are, so that each is one file
+    pages.repartition(settings.buckets, *FILE).write.mode("overwrite").bucketBy(settings.buckets, *FILE).sortBy(*FILE).option("path", path).saveAsTable(name)
     return pages.sparkSession.table(name), name
 
 
@@ -69,9 +73,9 @@ def run(spark: SparkSession, documents: str, output: str, settings: Settings = S
         texts = locate.section_texts(ranges, pages).withColumnRenamed("n_pages", "n_section_pages")
         rows = decided.drop("pass1_action").join(texts, FILE, "left")
         whole = not settings.company
-        write_partitions(rows, f"{output}/sections", "company", whole=whole)
+        write_partitions(rows.select(*(c.split()[0] for c in SECTIONS.split(", "))), f"{output}/sections", "company", whole=whole)
         report = ledger.coverage(files, decided.where("result = 'ok'").select("company", "year", F.col("new_path").alias("path")), config)
-        write_partitions(report, f"{output}/coverage", "company", whole=whole)
+        write_partitions(report.select(*(c.split()[0] for c in COVERAGE.split(", "))), f"{output}/coverage", "company", whole=whole)
         told = {"files": files.count(), "pages": judged.count()} | {r["action"].lower(): r["n"] for r in decided.groupBy("action").agg(F.count("*").alias("n")).collect()}
         discard(first, decided)
     finally:
@@ -83,8 +87,8 @@ def run(spark: SparkSession, documents: str, output: str, settings: Settings = S
 
 def read_back(spark: SparkSession, output: str) -> DataFrame:
     """The output as one table: each file's decision, its section's size and hash, and its year's status."""
-    sections = spark.read.parquet(f"{output}/sections")
-    coverage = spark.read.parquet(f"{output}/coverage").select("company", "year", "status")
+    sections = spark.read.schema(SECTIONS).parquet(f"{output}/sections")
+    coverage = spark.read.schema(COVERAGE).parquet(f"{output}/coverage").select("company", "year", "status")
     return sections.join(coverage, ["company", "year"], "left").select("company", "source_pdf", "source_hash", "year", "phase", "action", "result", "method", "evidence", "extract_page", "extract_end_page", "new_path", "n_section_pages", F.sha2("text", 256).alias("text_sha256"), "status")
 
 

@@ -37,6 +37,8 @@ log = logging.getLogger("jobs.watch_archive")
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 RECORDS = "source_pdf string, stem string, source_hash string, year string, action string, result string, method string, evidence string, extract_page int, extract_end_page int, new_path string, n_section_pages bigint, text string, company string, batch bigint"
 
+COMPANIES = "n_files bigint, n_sections bigint, years_present string, years_missing string, min_page int, max_page int, median_page int, company string"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -117,7 +119,8 @@ def run(spark: SparkSession, documents: str, output: str, settings: Settings = S
 def read_back(spark: SparkSession, output: str) -> DataFrame:
     """The output as one table: each file's latest decision and section, beside its company's summary."""
     latest = _latest(_records(spark, output)).select("company", "source_pdf", "source_hash", "year", "action", "result", "method", "extract_page", "extract_end_page", "n_section_pages")
-    summary = spark.read.parquet(f"{output}/companies").select("company", "n_files", "n_sections", "years_present", "years_missing", "min_page", "max_page", "median_page")
+    there = sources.exists(spark, f"{output}/companies")
+    summary = spark.read.schema(COMPANIES).parquet(f"{output}/companies") if there else spark.createDataFrame([], COMPANIES)
     return latest.join(summary, "company")
 
 

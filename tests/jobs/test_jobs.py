@@ -87,6 +87,11 @@ def test_extract_odd_rows_and_empty_table(spark, tmp_path):
     assert {k: (r.action, r.result) for k, r in got.items()} == {"d1": ("ERROR", "error"), "d2": ("EXTRACT", "ok")}
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/e")
     assert extract_sections.run(spark, f"{tmp_path}/e", f"{tmp_path}/none")["files"] == 0
+    assert extract_sections.read_back(spark, f"{tmp_path}/none").count() == 0
+    assert watch_archive.run(spark, f"{tmp_path}/e", f"{tmp_path}/never")["files"] == 0
+    assert watch_archive.read_back(spark, f"{tmp_path}/never").count() == 0
+    told = watch_archive.run(spark, f"file:{tmp_path}/a", f"file:{tmp_path}/w")
+    assert told["files"] == 2 and {(r.action, r.n_files) for r in watch_archive.read_back(spark, f"{tmp_path}/w").collect()} == {("ERROR", 2), ("EXTRACT", 2)}
 
 
 def add(spark, df, path, order):
