@@ -46,6 +46,7 @@ class EngineConfig:
     archive_dir: str = "archives"
     ledger_dir: str = "_ledger"
     report_dir: str = "missing_years_report"
+    empty_dir: str = "companies_without_files"
     #: Tasks that ask the classifier at once.
     ask_tasks: int = 8
     use_ledger_consensus: bool = False

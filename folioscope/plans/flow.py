@@ -59,11 +59,13 @@ def run(spark: SparkSession, input_root: str, output_root: str, adapters: Adapte
     """
     run_id = run_id or time.strftime("%Y%m%d-%H%M%S-") + uuid.uuid4().hex[:6]
     book = f"{output_root}/{config.ledger_dir}"
-    folders = [f for f in sources.company_folders(spark, input_root) if company.lower() in f.lower()]
     listed = stored(sources.companies(sources.list_files(spark, input_root, config=config), company), "listed")
     files = stored(pending_files(listed, output_root, config).select("company", "source_pdf", "stem", "bytes", "source_hash"), "files")
-    held = {r.company: r.n for r in listed.groupBy("company").agg(F.count("*").alias("n")).collect()}
-    log.info("run %s: %s companies, %s without files, %s files to do%s", run_id, len(folders), len(set(folders) - set(held)), files.count(), ", dry run" if dry_run else "")
+    empty = stored(sources.companies_without_files(spark, input_root, listed, company), "empty")
+    log.info("run %s: %s companies, %s without files, %s files to do%s", run_id, listed.select("company").distinct().count() + empty.count(), empty.count(), files.count(), ", dry run" if dry_run else "")
+    if not dry_run:
+        empty.orderBy("company").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{output_root}/{config.empty_dir}")
+    discard(empty)
 
     pages = stored(sources.read_pages(files, adapters.decode), "pages")
     texts = pages.where("page is not null").select("company", "source_pdf", "page", "text")

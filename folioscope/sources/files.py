@@ -63,6 +63,12 @@ def list_outputs(spark: SparkSession, root: str, config: EngineConfig = EngineCo
     return rows.where(((F.col("folder") == config.sections_dir) & (F.col("o.kind") == "section")) | (F.col("folder") == config.missing_dir)).select("company", "path", F.when(F.col("folder") == config.missing_dir, "copy").otherwise("section").alias("kind"), "o.year", "o.short", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.pdf$", "").alias("name"))
 
 
+def companies_without_files(spark: SparkSession, root: str, listed: DataFrame, only: str = "") -> DataFrame:
+    """company: root's company folders of which listed (company) has no file."""
+    names = [(n,) for n in company_folders(spark, root) if only.lower() in n.lower()]
+    return spark.createDataFrame(names, "company string").join(listed.select("company").distinct(), "company", "left_anti")
+
+
 def companies(files: DataFrame, only: str | None = None) -> DataFrame:
     """files of companies whose name contains `only`, whatever its case."""
     return files if not only else files.where(F.contains(F.lower("company"), F.lit(only.lower())))

@@ -261,6 +261,7 @@ def test_command_twice_over_folders(spark, tmp_path):
     assert rows["R_AR_2004.pdf", "Acme Steel Ltd", "pass2"].action == "VISION" and rows["R_AR_2005.pdf", "Acme Steel Ltd", "pass2"].action == "TRULY_MISSING"
     report = spark.read.option("header", True).csv(str(out / "missing_years_report"))
     assert {(r.company, r.year, r.status, r.source_filename) for r in report.collect()} == {("Acme Steel Ltd", str(y), "present_clean", f"R_AR_{y}") for y in range(2001, 2005)} | {("Acme Steel Ltd", "2005", "missing_extract", "R_AR_2005"), ("Other", "2001", "missing_extract", "R_AR_2001")}
+    assert [r.company for r in spark.read.option("header", True).csv(str(out / "companies_without_files")).collect()] == ["Empty"]
     before = ledger.read(spark, str(out / "_ledger")).count()
     assert main([*given, "--skip-vision", "--company", "acme"], spark) == 0
     assert ledger.read(spark, str(out / "_ledger")).count() == before
