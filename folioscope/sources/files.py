@@ -26,14 +26,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def folder_and_name(spark: SparkSession, path: str) -> tuple[str, str]:
-    """Of a folder itself and nothing, of a file its folder and name: file streams read folders."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(hadoop):
-        return path, ""
-    return hadoop.getParent().toString(), hadoop.getName()
-
-
 def company_folders(spark: SparkSession, root: str) -> list[str]:
     """Names of root's folders that aren't hidden. One listing of one folder, which the driver does for every read anyway."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)

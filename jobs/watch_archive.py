@@ -22,6 +22,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from folioscope.config import EngineConfig  # noqa: E402
@@ -48,9 +49,18 @@ class Settings:
     files_a_batch: int = 1000
 
 
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the output; empty before the first batch."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _records(spark: SparkSession, output: str) -> DataFrame:
-    """All records; none before the first batch."""
-    return spark.read.schema(RECORDS).parquet(f"{output}/records") if sources.exists(spark, f"{output}/records") else spark.createDataFrame([], RECORDS)
+    return _read(spark, f"{output}/records", RECORDS)
 
 
 def _latest(records: DataFrame) -> DataFrame:
@@ -106,9 +116,9 @@ def _take(batch: DataFrame, number: int, output: str, settings: Settings, told:
 def run(spark: SparkSession, documents: str, output: str, settings: Settings = Settings()) -> dict:
     """Takes all that is new, waits for the end and returns how much that was."""
     told = {"batches": 0, "rows_read": 0, "files": 0, "companies": 0}
-    folder, only = sources.folder_and_name(spark, documents)
-    reader = spark.readStream.schema(DOCUMENTS).option("maxFilesPerTrigger", settings.files_a_batch)
-    stream = (reader.option("pathGlobFilter", only) if only else reader).parquet(folder)
+    # a file stream takes a folder or a pattern; as a pattern, the path may also be that of one file
+    table = documents.rstrip("/")
+    stream = spark.readStream.schema(DOCUMENTS).option("maxFilesPerTrigger", settings.files_a_batch).parquet(f"{table[:-1]}[{table[-1]}]")
     writer = stream.writeStream.foreachBatch(lambda batch, number: _take(batch, number, output, settings, told))
     query = writer.option("checkpointLocation", f"{output}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -119,8 +129,7 @@ def run(spark: SparkSession, documents: str, output: str, settings: Settings = S
 def read_back(spark: SparkSession, output: str) -> DataFrame:
     """The output as one table: each file's latest decision and section, beside its company's summary."""
     latest = _latest(_records(spark, output)).select("company", "source_pdf", "source_hash", "year", "action", "result", "method", "extract_page", "extract_end_page", "n_section_pages")
-    there = sources.exists(spark, f"{output}/companies")
-    summary = spark.read.schema(COMPANIES).parquet(f"{output}/companies") if there else spark.createDataFrame([], COMPANIES)
+    summary = _read(spark, f"{output}/companies", COMPANIES)
     return latest.join(summary, "company")
 
 
