@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,7 +13,8 @@ from ..functions import text as T
 from ..operators import ledger, locate, recover, verdict
 from ..operators.locate import FILE
 from ..sources import corpus, files as sources
-from ..sources.tables import spread, stored
+from ..sources.tables import shared_root, spread, stored
+from ..streaming import assembled, usual_pages
 from . import passes
 
 CONFIG = EngineConfig()
@@ -59,6 +61,24 @@ def _modes(s: Case) -> DataFrame:
     return s.pass2.withColumn("mode", F.lit("on")).unionByName(off.withColumn("mode", F.lit("off"))).unionByName(dry.withColumn("mode", F.lit("dry")))
 
 
+def _usual_pages(s: Case) -> DataFrame:
+    """The first pass's records as a ledger, taken by the stream that keeps where sections begin."""
+    root = f"{shared_root(s.pass1)}/usual-{uuid.uuid4().hex}"
+    ledger.append(s.pass1, f"{root}/ledger", "first")
+    usual_pages.run_available(s.spark, f"{root}/ledger", f"{root}/usual", f"{root}/checkpoint")
+    return usual_pages.read(s.spark, f"{root}/usual")
+
+
+def _paged_stream(s: Case) -> DataFrame:
+    """All pages as a stream whose batches each have some pages of every file; both passes' decisions on the files that it puts together."""
+    root = f"{shared_root(s.files)}/paged-{uuid.uuid4().hex}"
+    known = s.files.select(*FILE, "stem", "source_hash", F.col("n").alias("n_pages"))
+    rows = s.pages.join(known, FILE).select(*(c.split()[0] for c in assembled.PAGES.split(", ")))
+    rows.repartition(3, F.col("page") % 3).write.parquet(f"{root}/pages")
+    assembled.run_available(s.spark, f"{root}/pages", f"{root}/ledger", f"{root}/checkpoint", s.replies, files_a_batch=1)
+    return ledger.read(s.spark, f"{root}/ledger").select("source_pdf", "phase", "action", "result", "extract_page")
+
+
 _REPLIES = ("YES", "yes.", "No", "YES and NO", "NOT SURE", "UNKNOWN", "")
 
 CASES: dict[str, Callable[[Case], DataFrame]] = {
@@ -114,6 +134,9 @@ CASES: dict[str, Callable[[Case], DataFrame]] = {
     "company_consensus": lambda s: passes.agreed(s.pass1).withColumn("pages", F.array_join(F.transform("pages", lambda p: p.cast("string")), ",")),
     "action_histogram": lambda s: ledger.action_histogram(s.pass1.unionByName(s.pass2)),
     "coverage_totals": lambda s: ledger.coverage_totals(s.report),
+    # streams
+    "stream_usual_pages": _usual_pages,
+    "stream_paged_files": _paged_stream,
     # whole passes
     "pass1_actions": lambda s: s.pass1,
     "pass2_plan": lambda s: s.plan,

@@ -186,6 +186,8 @@ _FINAL = {
     "company_consensus": "select * replace (array_to_string(pages, ',') as pages) from agreed",
     "action_histogram": "select phase, action, count(*) as n from (select phase, action from pass1 union all select phase, action from pass2 where mode = 'on') group by all",
     "coverage_totals": "select count(*) as n_rows, count(*) filter (where status = 'present_clean') as n_present, count(*) filter (where status = 'missing_extract') as n_missing, count(distinct company) as n_companies from report",
+    "stream_usual_pages": "select company, min_page, max_page, median_page, n_years from agreed",
+    "stream_paged_files": "select source_pdf, phase, action, result, extract_page from pass1 union all select source_pdf, phase, action, result, extract_page from pass2 where mode = 'on'",
     "pass1_actions": "select * from pass1",
     "pass2_plan": "select * from plan",
     "pass2_actions": "select * from pass2",
