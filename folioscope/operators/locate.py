@@ -96,9 +96,18 @@ def section_ends(starts: DataFrame, judged: DataFrame, config: EngineConfig = En
     return ended.select(*starts.columns, F.greatest("start", F.coalesce("_end", "start")).alias("end"), why.alias("stop"))
 
 
-def section_texts(ranges: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages of each section, in order, as one text. Ranges become their few pages first, so that the join is by page and most texts needn't travel."""
+#: Sections whose pages' keys are sent to every executor at most; some 200 bytes a page.
+SENT = 50_000
+
+
+def section_texts(ranges: DataFrame, pages: DataFrame, n: int | None = None) -> DataFrame:
+    """Pages of each section, in order, as one text. Ranges become their few pages first, so that the join is by page.
+
+    n: how many ranges there are, where the caller has them stored and counted. Up to SENT, they go to the pages, and only texts
+    of sections travel; of more, pages and ranges meet in a shuffle.
+    """
     wanted = ranges.select(*FILE, F.explode(F.sequence("start", "end")).alias("page"))
+    wanted = F.broadcast(wanted) if n is not None and n <= SENT else wanted
     own = pages.join(wanted, [*FILE, "page"])
     ordered = F.array_sort(F.collect_list(F.struct("page", F.coalesce("text", F.lit("")).alias("text"))))
     return own.groupBy(*FILE).agg(F.array_join(F.transform(ordered, lambda s: s["text"]), "\n").alias("text"), F.count("*").cast("bigint").alias("n_pages"))

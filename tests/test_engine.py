@@ -338,3 +338,13 @@ def test_signals_name_what_was_overridden(spark):
     texts = [f"{H} ...... 3\n{B}\n{S}", f"{H} ...... 3\n{B}", f"{H}\n{B}", "Nil Comments", f"CAG Comments\n45\n{B}\n{S}"]
     got = [r.signals for r in judge(spark, texts)[1].orderBy("page").collect()]
     assert got == ["canonical(canonical+body+sig)|overrides_toc(toc_tail)", "canonical_rejected_as_toc(canonical+body)|toc_tail", "canonical(canonical+body)", "nil_comments()", "short_header(short+body+sig)|overrides_toc(toc_tail)"]
+
+
+def test_section_texts_by_either_way(spark):
+    """Ranges sent to the pages, or met in a shuffle, give the same; sent ones leave no exchange of texts."""
+    pages = spark.createDataFrame([("c", f"f{i}", p, f"{i}-{p}" if p != 3 else None) for i in range(3) for p in range(1, 6)], "company string, source_pdf string, page int, text string")
+    ranges = spark.createDataFrame([("c", "f0", 2, 4), ("c", "f2", 5, 5), ("c", "gone", 1, 2)], 'company string, source_pdf string, start int, end int')
+    ways = [locate.section_texts(ranges, pages, n) for n in (None, 3, locate.SENT + 1)]
+    want = [("c", "f0", "0-2\n\n0-4", 3), ("c", "f2", "2-5", 1)]
+    assert all(sorted(map(tuple, w.collect())) == want for w in ways)
+    assert "BroadcastHashJoin" in ways[1]._jdf.queryExecution().executedPlan().toString()
