@@ -2,9 +2,12 @@
 
 import re
 
-from folioscope.operators import locate, recover, verdict
-from folioscope.plans import passes
+import duckdb
+
+from folioscope.operators import ledger, locate, recover, verdict
+from folioscope.plans import passes, queries, sql
 from folioscope.sources import corpus
+from folioscope.streaming import assembled
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,3 +44,24 @@ def test_yes_range_sends_no_replies(spark, tmp_path):
     got = recover.yes_range(starts, replies)
     assert sent(got) == []
     assert got.count() == starts.count() > 0
+
+
+def test_paged_stream_calls_python_for_groups(spark, tmp_path, monkeypatch):
+    """Files of one group: a call for all, each goes on when it is whole, the others keep their rows."""
+    monkeypatch.setattr(assembled, "GROUPS", 1)
+    rows = lambda pages: spark.createDataFrame([("c", f, "R_2001", "h", n, p, "y" * 90) for f, n, p in pages], assembled.PAGES).coalesce(1)
+    docs, book = str(tmp_path / "pages"), str(tmp_path / "ledger")
+    seen = []
+    for pages in ([("a", 2, 1), ("b", 1, 1), ("d", 3, 3)], [("a", 2, 2), ("d", 3, 1)], [("d", 3, 2), ("d", 3, 2)]):
+        rows(pages).write.mode("append").parquet(docs)
+        assembled.run_available(spark, docs, book, str(tmp_path / "check"))
+        seen.append({r.source_pdf for r in ledger.read(spark, book).collect()})
+    assert seen == [{"b"}, {"a", "b"}, {"a", "b", "d"}]
+
+
+def test_paged_stream_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    got = queries.queries()["stream_paged_files"](spark, SF)
+    want = con.execute(sql.SQL["stream_paged_files"]).fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
