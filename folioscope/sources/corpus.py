@@ -40,7 +40,9 @@ def active(corpus: DataFrame) -> DataFrame:
 
 def pages(corpus: DataFrame, *keep: str) -> DataFrame:
     """The pages of files, with columns of the files to keep."""
-    raw = F.when(F.col("page") <= F.col("n") - 4, F.substr("text", (F.col("page") - 1) * 400 + 1, F.lit(400))).otherwise(F.concat(F.lit("This page was left for notes of readers of the report, number "), F.col("page").cast("string"), F.lit(".")))
+    # cut in one pass, so that a page costs its own length and not its file's; four pages follow that hold notes
+    cut = F.concat(F.regexp_extract_all("text", F.lit("(?s).{1,400}"), F.lit(0)), F.array_repeat(F.lit(None).cast("string"), 4))
+    raw = F.when(F.col("page") <= F.col("n") - 4, F.col("_cut")).otherwise(F.concat(F.lit("This page was left for notes of readers of the report, number "), F.col("page").cast("string"), F.lit(".")))
     at, odd = F.col("page") == F.col("p"), F.col("odd") == 1
     lines = lambda *x: F.concat_ws("\n", *(F.col(v) if isinstance(v, str) and v == "raw" else F.lit(v) if isinstance(v, str) else v for v in x))
     k = lambda n: F.col("k") == n
@@ -56,7 +58,8 @@ def pages(corpus: DataFrame, *keep: str) -> DataFrame:
         .when(k(8) & at, F.when(odd, lines(SHORT + " ........ 12", "raw", BODY)).otherwise(lines(SHORT + " ........ 12", "raw", BODY, SIGNED)))
         .otherwise(F.col("raw"))
     )
-    return corpus.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("page")).withColumn("raw", raw).select("company", "source_pdf", "doc_id", *keep, "page", text.alias("text"))
+    rows = corpus.select("*", F.posexplode(cut).alias("_at", "_cut")).drop("text").withColumn("page", F.col("_at") + 1)
+    return rows.withColumn("raw", raw).select("company", "source_pdf", "doc_id", *keep, "page", text.alias("text"))
 
 
 def replies(corpus: DataFrame) -> DataFrame:

@@ -45,12 +45,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Bytes of a table for each core from which its own parts are taken to be enough.
-_EACH = 16 << 20
+#: Parts of a table, as large as Spark reads at most, for each core, from which they are taken to be enough: fewer, of unequal sizes, leave cores idle.
+_EACH = 3
 
 
 def spread(files: DataFrame, key: str = "source_pdf") -> DataFrame:
     """files in as many tasks as there are cores at least, before rows become many: a small table may come as one row group. Tables that are large by Spark's estimate stay as they are; nothing is run to tell."""
     n = files.sparkSession.sparkContext.defaultParallelism
+    part = int(files.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(str(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return files if size >= n * _EACH else files.repartition(2 * n, key)
+    return files if size >= n * _EACH * part else files.repartition(2 * n, key)

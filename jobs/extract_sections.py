@@ -71,7 +71,7 @@ def run(spark: SparkSession, documents: str, output: str, settings: Settings = S
         decided = stored(first.where("result <> 'deferred'").unionByName(second), "decided")
         ranges = decided.where("result = 'ok'").select(*FILE, F.col("extract_page").alias("start"), F.col("extract_end_page").alias("end"))
         texts = locate.section_texts(ranges, pages, ranges.count()).withColumnRenamed("n_pages", "n_section_pages")
-        rows = decided.drop("pass1_action").join(texts, FILE, "left")
+        rows = decided.drop("pass1_action").join(locate.met(texts), FILE, "left")
         whole = not settings.company
         write_partitions(rows.select(*(c.split()[0] for c in SECTIONS.split(", "))), f"{output}/sections", "company", whole=whole)
         report = ledger.coverage(files, decided.where("result = 'ok'").select("company", "year", F.col("new_path").alias("path")), config)

@@ -100,7 +100,7 @@ def _take(batch: DataFrame, number: int, output: str, settings: Settings, told:
         first = stored(passes.pass1(files, judged, config).join(files.select("source_pdf", "stem"), "source_pdf"), "first")
         ranges = first.where("result = 'ok'").select(*FILE, F.col("extract_page").alias("start"), F.col("extract_end_page").alias("end"))
         texts = locate.section_texts(ranges, pages, ranges.count()).withColumnRenamed("n_pages", "n_section_pages")
-        rows = first.join(texts, FILE, "left").withColumn("batch", F.lit(number).cast("bigint"))
+        rows = first.join(locate.met(texts), FILE, "left").withColumn("batch", F.lit(number).cast("bigint"))
         write_partitions(rows.select(*(f.split()[0] for f in RECORDS.split(", "))), f"{output}/records", "company", "batch")
         touched = stored(fresh.select("company").distinct(), "touched")
         write_partitions(_summaries(_records(spark, output).join(touched, "company", "left_semi"), config), f"{output}/companies", "company")

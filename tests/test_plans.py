@@ -3,6 +3,7 @@
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from folioscope.operators import ledger, locate, recover, verdict
 from folioscope.plans import passes, queries, sql
@@ -65,3 +66,19 @@ def test_paged_stream_equals_sql(spark):
     got = queries.queries()["stream_paged_files"](spark, SF)
     want = con.execute(sql.SQL["stream_paged_files"]).fetchall()
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_pages_are_cut_in_one_pass(spark):
+    """A page costs its own length: the whole text isn't carried to, and searched for, each page."""
+    text = "\U0001f600\r\n" * 300 + "é" * 7
+    docs = spark.createDataFrame([(1, "src", text), (2, "src", ""), (3, "src", None), (4, "src", "x" * 400), (5, "src", "y" * 401)], "doc_id long, source string, text string")
+    pages = corpus.pages(corpus.files_of(docs).withColumn("k", F.lit(9)))
+    got = {(r.doc_id, r.page): r.text for r in pages.collect()}
+    note = lambda p: f"This page was left for notes of readers of the report, number {p}."
+    want = {}
+    for i, t in ((1, text), (2, ""), (4, "x" * 400), (5, "y" * 401)):
+        cut = [t[k : k + 400] for k in range(0, len(t), 400)]
+        want |= {(i, p + 1): cut[p] if p < len(cut) else note(p + 1) for p in range(len(cut) + 4)}
+    assert got == want
+    optimized = pages._jdf.queryExecution().optimizedPlan().toString()
+    assert "substr(text" not in optimized and "substring(text" not in optimized
