@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -162,6 +163,25 @@ def test_watch_repeats_a_batch_and_replaces_contents(spark, tmp_path):
     assert len(rows(watch_archive.read_back(spark, out))) == len(once)
 
 
+def test_watch_moves_each_text_once_before_judging_and_once_for_sections(spark, tmp_path, monkeypatch):
+    """As at size, where nothing is small enough to be broadcast: exchanges that carry a text (or a first one of equal rows), in the plans of new files and of records; pages never travel."""
+    from folioscope.operators import locate
+
+    carried = {}
+    note = lambda name, df: carried.setdefault(name, [c for c in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")) if re.search(r"\b(text|first)#", c)])
+    keep, write = watch_archive.stored, watch_archive.write_partitions
+    monkeypatch.setattr(watch_archive, "stored", lambda df, name: (note(name, df), keep(df, name))[1])
+    monkeypatch.setattr(watch_archive, "write_partitions", lambda df, path, *a, **b: (note(path.rpartition("/")[2], df), write(df, path, *a, **b))[1])
+    monkeypatch.setattr(locate, "SENT", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        watch_archive._take(spark.read.parquet(f"{SF}/documents.parquet"), 0, f"{tmp_path}/out", watch_archive.Settings(), dict.fromkeys(("batches", "rows_read", "files", "companies"), 0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(carried["fresh"]) == len(carried["records"]) == 1
+    assert not re.search(r"\bpage#", carried["records"][0])
+
+
 def test_settings(tmp_path):
     for job, name in ((extract_sections, "extract_sections.json"), (watch_archive, "watch_archive.json")):
         assert common.settings(job.Settings, str(ROOT / "jobs" / name)) == job.Settings()
