@@ -98,7 +98,9 @@ def drawn(vectors: DataFrame) -> DataFrame:
                 got.append(grey.tobytes())
             yield pa.RecordBatch.from_arrays([b.column("image_id"), pa.array([120] * len(got), pa.int32()), pa.array(got, pa.binary())], names=["image_id", "width", "pixels"])
 
-    return vectors.select(F.col("vec_id").alias("image_id"), "embedding").mapInArrow(run, "image_id bigint, width int, pixels binary")
+    # drawing and describing is much work for few bytes, so rows are dealt to more tasks than the files give
+    dealt = vectors.select(F.col("vec_id").alias("image_id"), "embedding").repartition(4 * vectors.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(run, "image_id bigint, width int, pixels binary")
 
 
 def op4_images(spark: SparkSession, sf_dir: str) -> DataFrame:

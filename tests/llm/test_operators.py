@@ -407,6 +407,68 @@ def test_repeated_texture_is_bounded(spark):
         media._PAIRS = kept
 
 
+def packed(own, c):
+    return np.array([(*d[:4], np.frombuffer(d[4], "<u8")) for d in own], media._corner(c)).tobytes()
+
+
+def test_image_pairs_with_enough_votes_are_never_ruled_out():
+    """Five corners whose turns lie at both ends of what may agree with the one in the middle, at any turn; on scales of even and odd steps."""
+    c = media.Config()
+    rng = np.random.default_rng(3)
+    for k in range(24):
+        bits = rng.integers(0, 1 << 32, (5, c.radius + 1)).astype("<u8")
+        places = rng.uniform(20, 90, (5, 2))
+        whole, off = 2 * np.pi * k / 24 + 0.05, np.array([0, -0.44, -0.44, 0.44, 0.44])
+        turn = np.angle(np.exp(1j * (whole + off)))
+        s, t = c.scales[k % 3], c.scales[(k + k // 3) % 3]
+        moved = (places[:, 0] + 1j * places[:, 1]) * np.exp(1j * whole) * (t / s) + 7
+        a = [(*p, s, 0.0, b.tobytes()) for p, b in zip(places, bits)]
+        b = [(z.real, z.imag, t, u, d.tobytes()) for z, u, d in zip(moved, turn, bits)]
+        assert list(media._agreeing(media._Table([packed([], c), packed(a, c)], c).sort(), [packed(b, c), packed([], c)], c)) == [(1, 0, 5)], k
+
+
+def test_image_pairs_equal_plain_comparison():
+    """All pairs of mosaics that share a corner of the picture, more or less of it, with their votes."""
+    c = media.Config()
+    images = []
+    for i in range(24):
+        a, b = mosaic(i % 4), mosaic(50 + i)
+        cut = 20 + 4 * i
+        b[:cut, :cut] = a[:cut, :cut]
+        images.append(np.rot90(b, i % 3).copy())
+    seen = [media.describe(a, c) for a in [mosaic(k) for k in range(4)] + images]
+    want = set()
+    for q in range(4):
+        for i, own in enumerate(seen):
+            m = [(*x[:4], *y[:4]) for x in seen[q] for y in own if (int.from_bytes(x[4]) ^ int.from_bytes(y[4])).bit_count() <= c.radius]
+            if m and (votes := media.consensus(np.array(m, np.float32).astype(np.float64), c)) >= media.needed(len(seen[q]), len(own), c):
+                want.add((q, i, votes))
+    q = media._Table([packed(own, c) for own in seen[:4]], c).sort()
+    assert set(media._agreeing(q, [packed(own, c) for own in seen], c)) == want
+    assert 10 < len(want) < 60 and min(v for _, _, v in want) < 12
+
+
+def test_image_pairs_take_little_time():
+    """65,536 pairs of mosaics, by the time of a sort on the same machine."""
+    import time
+
+    c = media.Config()
+    rows = [packed(media.describe(mosaic(k), c), c) for k in range(384)]
+    mixed = np.random.default_rng(0).random(2_000_000)
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    q = media._Table(rows[:256], c).sort()
+    pairs, sort = least(lambda: list(media._agreeing(q, rows[128:], c))), least(lambda: np.sort(mixed.copy(), kind="stable"))
+    assert pairs < 1.1 * sort
+
+
 def test_images_of_odd_tables(spark):
     """Null and repeated ids, null widths, repeated pixels, clashing columns, an empty table."""
     a, b = bytearray(scene(1).tobytes()), bytearray(scene(2).tobytes())
