@@ -63,7 +63,7 @@ def _corner(c: Config) -> np.dtype:
 _RATIO = 0.2
 #: Query classes and image classes that one group holds side by side, and query classes whose table is held at once. Of few
 #: images there are chunks of `_LEAST`, up to `_GROUPS` of them, so that many tasks have some.
-_BLOCK, _CHUNK, _TABLE, _LEAST, _GROUPS = 8192, 4096, 1024, 512, 48
+_BLOCK, _CHUNK, _TABLE, _LEAST, _GROUPS = 8192, 4096, 2048, 512, 48
 #: Bins of turns, and bins to each side that may hold corners which agree with one of this bin: turns of two that agree with a
 #: third differ by twice `turn` at most, and a difference of bins is less than one off for each of the two corners.
 _TURNS = 32
@@ -82,13 +82,12 @@ def _blur(a: np.ndarray) -> np.ndarray:
     p = np.empty((h + 4, w))
     p[2:-2], p[:2], p[-2:] = a, a[0], a[-1]
     a = _weighed(p.reshape(-1), w)
-    a *= 1 / 16
     p = np.empty((h, w + 4))
     p[:, 2:-2] = a.reshape(h, w)
     p[:, :2], p[:, -2:] = p[:, 2:3], p[:, -3:-2]
     out = np.empty(h * (w + 4))
     out[:-4] = _weighed(p.reshape(-1), 1)  # of places past a row's end too
-    return out.reshape(h, w + 4)[:, :w] * (1 / 16)
+    return out.reshape(h, w + 4)[:, :w] * (1 / 256)
 
 
 def _weighed(p: np.ndarray, step: int) -> np.ndarray:
@@ -426,8 +425,8 @@ def _agreeing(q: _Table, packed: list[bytes], c: Config) -> Iterator[tuple[int,
             cell = codes.take(_ranges(at + (r.scale[own] & 1) * len(met) * (split - 1), many))
             cell += np.repeat((r.turn[own] + 2 * _TURNS) * cells + (r.image[own] - a) * wide, many)
             cell &= _TURNS * cells - 1
-            need = needed(q.own, r.own[a:b, None], c).reshape(-1)
-            use = np.flatnonzero(_enough(cell, cells, np.repeat(need, split), slack).take(cell))
+            need, most = needed(q.own, r.own[a:b, None], c).reshape(-1), int(q.own.max() * r.own[a:b].max())
+            use = np.flatnonzero(_enough(cell, cells, np.repeat(need, split), slack, most).take(cell))
             if len(use):
                 group = cell[use] & (cells - 1)
                 by = np.argsort(group.astype(np.uint16) if cells <= 1 << 16 else group, kind="stable")
@@ -462,29 +461,19 @@ def _parities(c: Config) -> int:
     return 1 if (np.abs(ratio[:, None] - ratio)[odd[:, None] != odd] <= _RATIO + 2e-4).any() else 2
 
 
-def _enough(cell: np.ndarray, cells: int, need: np.ndarray, slack: int) -> np.ndarray:
-    """Of each counter whether it and those of the `slack` bins to each side, whose bins go round, come to what its image pair needs."""
-    n = np.bincount(cell, minlength=_TURNS * cells)
-    cap = 255 // (2 * slack + 1)  # sums fit in a byte; a counter as high as this is enough by itself, or what is needed is taken for less
-    n = np.minimum(n, cap, out=np.empty(n.shape, np.uint8), casting="unsafe").reshape(_TURNS, cells)
-    if 2 * slack + 1 >= _TURNS:
-        done = np.broadcast_to(n.sum(0, dtype=np.uint8), n.shape)
-    else:
-        n = np.concatenate([n[-slack:], n, n[:slack]])
-        sums, width, done, at = n, 1, None, 0
-        left = 2 * slack + 1
-        while left:  # windows of 1, 2, 4, ... rows are added up to the width wanted
-            if left & 1:
-                part = sums[at : at + _TURNS]
-                done = part.copy() if done is None else np.add(done, part, out=done)
-                at += width
-            left >>= 1
-            if left:
-                sums = sums[:-width] + sums[width:]
-                width *= 2
-    least = np.full(cells, cap, np.uint8)
-    least[: len(need)] = np.minimum(need, cap)
-    return (done >= least).reshape(-1)
+def _enough(cell: np.ndarray, cells: int, need: np.ndarray, slack: int, most: int) -> np.ndarray:
+    """Of each counter whether it and those of the `slack` bins to each side, whose bins go round, come to what its image pair needs. None of these sums is over `most`."""
+    n = np.zeros((_TURNS, cells), np.uint16 if most < 1 << 16 else np.uint32)
+    np.add.at(n.reshape(-1), cell, n.dtype.type(1))
+    least = np.full(cells, np.iinfo(n.dtype).max, n.dtype)
+    least[: len(need)] = need
+    width = 2 * slack + 1
+    if width >= _TURNS:
+        return np.broadcast_to(n.sum(0, dtype=n.dtype) >= least, n.shape).reshape(-1)
+    sums = np.zeros((_TURNS + width, cells), n.dtype)  # of the bins before; they may run over, their differences don't
+    for k in range(1, len(sums)):
+        np.add(sums[k - 1], n[(k - 1 - slack) % _TURNS], out=sums[k])
+    return (sums[width:] - sums[:-width] >= least).reshape(-1)
 
 
 def _consensus(q: _Table, r: _Table, x: np.ndarray, y: np.ndarray, pair: np.ndarray, group: np.ndarray, c: Config) -> Iterator[tuple[int, int, int]]:
