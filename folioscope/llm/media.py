@@ -310,6 +310,7 @@ class _Table:
     def __init__(self, packed: list[bytes], c: Config):
         kind = _corner(c)
         corners = np.frombuffer(b"".join(packed), kind)
+        self.packed = packed
         self.own = np.array([len(p) // kind.itemsize for p in packed], np.int64)
         self.image = np.repeat(np.arange(len(packed)), self.own)
         self.x, self.y, self.s, self.t = (np.ascontiguousarray(corners[k]) for k in "xyst")
@@ -336,9 +337,10 @@ class _Table:
 _LOOK = 1 << 17
 
 
-def _near(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
-    """Descriptors of q (sorted) and of r that are within the radius, each such pair once; by descriptors of r."""
+def _near(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """Descriptors of q (sorted) and of r that are within the radius, each such pair once; by descriptors of r. None if they are too many of several images."""
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found = 0
     for at, (known, word) in enumerate(zip(q.sorted, r.words, strict=True)):
         lo = np.searchsorted(known, word)
         n = np.searchsorted(known, word, "right") - lo
@@ -359,6 +361,9 @@ def _near(q: _Table, r: _Table, c: Config) -> tuple[np.ndarray, np.ndarray]:
                 i, j = i[new], j[new]
             left.append(i)
             right.append(j)
+            found += len(i)
+            if found > 4 * _PAIRS and len(r.own) > 1:
+                return None, None
     i, j = np.concatenate(left), np.concatenate(right)
     by = np.argsort(j, kind="stable")
     return i[by], j[by]
@@ -391,9 +396,15 @@ _HELD, _SIDE = 1 << 18, 1 << 17
 
 
 def _agreeing(q: _Table, packed: list[bytes], c: Config) -> Iterator[tuple[int, int, int]]:
-    """Image of q (sorted), image of packed and votes, where these suffice."""
+    """Image of q (sorted), image of packed and votes, where these suffice. Images, then queries, that meet too much at once are taken by halves."""
     r = _Table(packed, c)
     i, j = _near(q, r, c)
+    if i is None:
+        del r
+        half = len(packed) // 2
+        yield from _agreeing(q, packed[:half], c)
+        yield from ((a, half + b, votes) for a, b, votes in _agreeing(q, packed[half:], c))
+        return
     # of each descriptor of r: descriptors of q that it meets, their corners, and where the former begin
     n, size = np.bincount(j, minlength=len(r.count)), np.bincount(j, q.count[i], minlength=len(r.count)).astype(np.int64)
     begin = np.cumsum(n) - n
@@ -418,6 +429,12 @@ def _agreeing(q: _Table, packed: list[bytes], c: Config) -> Iterator[tuple[int,
         own_size = size[r.which[past[lo] : past[hi]]]
         sums = np.add.reduceat(np.append(own_size, 0), past[lo:hi] - past[lo]) * (r.own[lo:hi] > 0)
         for a, b in _portions(sums, _PAIRS, steps):
+            if sums[a] > 4 * _PAIRS and len(q.own) > 1:
+                at = 0
+                for part in (q.packed[: len(q.own) // 2], q.packed[len(q.own) // 2 :]):
+                    yield from ((at + k, lo + a, votes) for k, _, votes in _agreeing(_Table(part, c).sort(), packed[lo + a : lo + b], c))
+                    at += len(part)
+                continue
             a, b = a + lo, b + lo
             own = slice(past[a], past[b])
             kind = r.which[own]
@@ -435,10 +452,11 @@ def _agreeing(q: _Table, packed: list[bytes], c: Config) -> Iterator[tuple[int,
                 x = met.take(use - (np.cumsum(many) - many - at)[y])
                 held.append((x, y + past[a], group + a * wide))
                 pairs += len(use)
-            if held and (pairs > _HELD or b == hi):
-                x, y, group = (np.concatenate(v) for v in zip(*held, strict=True))
+            if pairs > _HELD:
+                yield from _consensus(q, r, held, split, c)
                 held, pairs = [], 0
-                yield from _consensus(q, r, x, y, group // split, group, c)
+        if held:
+            yield from _consensus(q, r, held, split, c)
 
 
 def _stretches(r: _Table, size: np.ndarray, past: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -476,8 +494,10 @@ def _enough(cell: np.ndarray, cells: int, need: np.ndarray, slack: int, most: in
     return (sums[width:] - sums[:-width] >= least).reshape(-1)
 
 
-def _consensus(q: _Table, r: _Table, x: np.ndarray, y: np.ndarray, pair: np.ndarray, group: np.ndarray, c: Config) -> Iterator[tuple[int, int, int]]:
-    """Image of q, image of r and votes, where these suffice, of pairs of corners (x of q, y of r) in ascending groups of their image pairs."""
+def _consensus(q: _Table, r: _Table, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], split: int, c: Config) -> Iterator[tuple[int, int, int]]:
+    """Image of q, image of r and votes, where these suffice, of pairs of corners (of q, of r, and their group, ascending: `split` groups for an image pair)."""
+    x, y, group = (np.concatenate(v) for v in zip(*held, strict=True))
+    pair = group // split
     wide = len(q.own)
     new = np.flatnonzero(np.diff(group, prepend=-1))
     size = np.diff(np.append(new, len(group)))
